@@ -92,3 +92,57 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id ASC) AS rn
   FROM sc)
 SELECT category_id, session_id, click_count FROM ranked WHERE rn <= 10""")
+
+# ---- page flow (target flow 1,2,3,4,5,6,7) ---------------------------------
+FLOW = (1, 2, 3, 4, 5, 6, 7)
+_FLOW_PAGES = ", ".join(str(p) for p in FLOW)
+_FLOW_LABELS = ", ".join(f"'{a}-{b}'" for a, b in zip(FLOW, FLOW[1:]))
+
+_SUCC = """,
+succ AS (
+  SELECT session_id, page_id, action_time, action_seq,
+         lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, action_seq) AS next_page
+  FROM actions)"""
+
+_JUMPS_ALL = _SUCC + """,
+j AS (SELECT page_id AS from_page, next_page AS to_page FROM succ WHERE next_page IS NOT NULL)"""
+
+_JUMPS_LAST = _SUCC + """,
+lastj AS (
+  SELECT page_id AS from_page, next_page AS to_page,
+         row_number() OVER (PARTITION BY session_id, page_id
+                            ORDER BY action_time DESC, action_seq DESC) AS rn
+  FROM succ WHERE next_page IS NOT NULL),
+j AS (SELECT from_page, to_page FROM lastj WHERE rn = 1)"""
+
+_COUNTS = """,
+c AS (
+  SELECT CAST(from_page AS VARCHAR) || '-' || CAST(to_page AS VARCHAR) AS flow, from_page, to_page,
+         count(*) AS jumps
+  FROM j
+  WHERE CAST(from_page AS VARCHAR) || '-' || CAST(to_page AS VARCHAR) IN (%s)
+  GROUP BY 1, 2, 3),
+v AS (SELECT page_id, count(*) AS visits FROM actions WHERE page_id IN (%s) GROUP BY page_id)""" % (
+    _FLOW_LABELS, _FLOW_PAGES)
+
+SQL["page_visits"] = with_actions(""",
+v AS (SELECT page_id, count(*) AS visits FROM actions WHERE page_id IN (%s) GROUP BY page_id)
+SELECT * FROM v""" % _FLOW_PAGES)
+
+SQL["page_jump_counts"] = with_actions(_JUMPS_ALL + _COUNTS + """
+SELECT flow, from_page, to_page, jumps FROM c""")
+
+SQL["page_jump_counts_last"] = with_actions(_JUMPS_LAST + _COUNTS + """
+SELECT flow, from_page, to_page, jumps FROM c""")
+
+SQL["page_jump_rate"] = with_actions(_JUMPS_LAST + _COUNTS + """
+SELECT flow, round(CAST(jumps AS DOUBLE) / visits * 100, 6) AS rate
+FROM c JOIN v ON c.from_page = v.page_id""")
+
+SQL["page_jump_rate_all"] = with_actions(_JUMPS_ALL + _COUNTS + """
+SELECT flow, round(CAST(jumps AS DOUBLE) / visits * 100, 6) AS rate
+FROM c JOIN v ON c.from_page = v.page_id""")
+
+SQL["page_jump_rate_whole"] = with_actions(_JUMPS_ALL + _COUNTS + """
+SELECT flow, CAST(trunc(CAST(jumps AS DOUBLE) / visits * 100) AS BIGINT) AS rate
+FROM c JOIN v ON c.from_page = v.page_id""")

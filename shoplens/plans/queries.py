@@ -6,9 +6,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.operators import category
+from shoplens.operators import category, pageflow
 from shoplens.operators.filters import in_action_time_range
 from shoplens.sources import testviews as tv
 
@@ -39,3 +39,41 @@ def category_top10(spark, sf_dir):
 @query
 def category_session_top10(spark, sf_dir):
     return category.top_sessions(tv.actions(spark, sf_dir), 10, 10)
+
+
+# ---- page flow ---------------------------------------------------------------
+FLOW = (1, 2, 3, 4, 5, 6, 7)
+
+
+def _rounded(df: DataFrame, col: str = "rate", places: int = 6) -> DataFrame:
+    return df.withColumn(col, F.round(col, places))
+
+
+@query
+def page_visits(spark, sf_dir):
+    return pageflow.page_visits(tv.actions(spark, sf_dir), FLOW)
+
+
+@query
+def page_jump_counts(spark, sf_dir):
+    return pageflow.jump_counts(tv.actions(spark, sf_dir), FLOW, dedupe="none")
+
+
+@query
+def page_jump_counts_last(spark, sf_dir):
+    return pageflow.jump_counts(tv.actions(spark, sf_dir), FLOW, dedupe="last")
+
+
+@query
+def page_jump_rate(spark, sf_dir):
+    return _rounded(pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="last"))
+
+
+@query
+def page_jump_rate_all(spark, sf_dir):
+    return _rounded(pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="none"))
+
+
+@query
+def page_jump_rate_whole(spark, sf_dir):
+    return pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="none", whole_percent=True)
