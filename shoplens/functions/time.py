@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _col(c) -> Column:
@@ -28,7 +30,7 @@ def instant_of(ms) -> Column:
 
 def local_time_of(ms, tz: str | None = None) -> Column:
     """Epoch ms -> ``timestamp_ntz`` wall-clock time in ``tz``."""
-    utc = F.timestampadd("MILLISECOND", _col(ms), _EPOCH_NTZ)
+    utc = F.timestamp_add("MILLISECOND", _col(ms), _epoch_ntz())
     if tz == "UTC":
         return utc
     target = F.current_timezone() if tz is None else F.lit(tz)

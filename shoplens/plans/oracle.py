@@ -146,3 +146,82 @@ FROM c JOIN v ON c.from_page = v.page_id""")
 SQL["page_jump_rate_whole"] = with_actions(_JUMPS_ALL + _COUNTS + """
 SELECT flow, CAST(trunc(CAST(jumps AS DOUBLE) / visits * 100) AS BIGINT) AS rate
 FROM c JOIN v ON c.from_page = v.page_id""")
+
+# ---- ad clicks (UTC days, 1 h buckets, 6 h windows sliding by 1 h, keep 6) ----------
+_DAY = "strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d')"
+
+_DAILY = """,
+daily AS (SELECT """ + _DAY + """ AS day, area, city, adid, count(*) AS clicks
+          FROM clicks GROUP BY 1, 2, 3, 4)"""
+
+_TOP3 = _DAILY + """,
+area_totals AS (SELECT day, area, adid, CAST(sum(clicks) AS BIGINT) AS clicks FROM daily GROUP BY 1, 2, 3),
+ranked AS (SELECT day, area, row_number() OVER (PARTITION BY day, area ORDER BY clicks DESC, adid ASC) AS rank,
+                  adid, clicks FROM area_totals),
+top3 AS (SELECT * FROM ranked WHERE rank <= 3)"""
+
+_BUCKETS = """,
+buckets AS (SELECT adid, (ts_ms // 3600000) * 3600000 AS bucket_ms, count(*) AS clicks
+            FROM clicks GROUP BY 1, 2)"""
+
+_TREND = _BUCKETS + """,
+wins AS (
+  SELECT (b.bucket_ms // 3600000) * 3600000 - r.i * 3600000 AS window_start_ms,
+         (b.bucket_ms // 3600000) * 3600000 - r.i * 3600000 + 21600000 AS window_end_ms,
+         b.adid, b.bucket_ms, b.clicks
+  FROM buckets b CROSS JOIN range(0, 6) r(i)),
+trend AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY window_end_ms, adid ORDER BY bucket_ms) AS rn FROM wins)
+  WHERE rn <= 6)"""
+
+SQL["ad_click_parse"] = with_clicks("""
+SELECT ts_ms, area, city, userid, adid FROM clicks""")
+
+SQL["ads_daily_area_city"] = with_clicks(_DAILY + """
+SELECT * FROM daily""")
+
+SQL["ads_daily_top3"] = with_clicks(_TOP3 + """
+SELECT * FROM top3""")
+
+SQL["ads_daily_top3_json"] = with_clicks(_TOP3 + """
+SELECT day, area, '{' || string_agg('"' || adid || '":' || CAST(clicks AS VARCHAR), ',' ORDER BY rank) || '}' AS top_json
+FROM top3 GROUP BY day, area""")
+
+SQL["ad_click_buckets"] = with_clicks(_BUCKETS + """
+SELECT * FROM buckets""")
+
+SQL["ad_click_trend"] = with_clicks(_TREND + """
+SELECT window_start_ms, window_end_ms, adid, bucket_ms, clicks FROM trend""")
+
+SQL["ad_click_trend_json"] = with_clicks(_TREND + """
+SELECT window_end_ms, adid,
+       '[' || string_agg('{"' || strftime(make_timestamp(bucket_ms * 1000), '%H:%M') || '":' || CAST(clicks AS VARCHAR) || '}',
+                         ',' ORDER BY bucket_ms) || ']' AS trend_json
+FROM trend GROUP BY window_end_ms, adid""")
+
+# ---- blacklist (threshold 5, 6-hour micro-batches) ----------------------------------
+_BLOCKED = """,
+uac AS (SELECT userid, adid, count(*) AS clicks FROM clicks GROUP BY 1, 2),
+blocked AS (SELECT DISTINCT userid FROM uac WHERE clicks >= 5)"""
+
+_PER_BATCH = """,
+per AS (SELECT userid, adid, ts_ms // 21600000 AS batch, count(*) AS n FROM clicks GROUP BY 1, 2, 3),
+cum AS (SELECT *, sum(n) OVER (PARTITION BY userid, adid ORDER BY batch
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM per),
+blk AS (SELECT userid, min(batch) AS block_batch FROM cum WHERE c >= 5 GROUP BY userid)"""
+
+SQL["blacklist_users"] = with_clicks(_BLOCKED + """
+SELECT userid FROM blocked""")
+
+SQL["blacklist_filtered_clicks"] = with_clicks(_BLOCKED + """
+SELECT * FROM clicks WHERE userid NOT IN (SELECT userid FROM blocked)""")
+
+SQL["blacklist_block_batches"] = with_clicks(_PER_BATCH + """
+SELECT userid, block_batch FROM blk""")
+
+SQL["blacklist_accepted_counts"] = with_clicks(_PER_BATCH + """
+SELECT p.userid, p.adid, CAST(sum(p.n) AS BIGINT) AS clicks
+FROM per p LEFT JOIN blk b ON p.userid = b.userid
+WHERE b.block_batch IS NULL OR p.batch <= b.block_batch
+GROUP BY 1, 2""")

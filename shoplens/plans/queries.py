@@ -8,9 +8,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.operators import category, pageflow
+from shoplens.operators import ads, blacklist, category, pageflow
 from shoplens.operators.filters import in_action_time_range
 from shoplens.sources import testviews as tv
+from shoplens.sources.clicks import click_lines, parse_ad_clicks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,3 +78,82 @@ def page_jump_rate_all(spark, sf_dir):
 @query
 def page_jump_rate_whole(spark, sf_dir):
     return pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="none", whole_percent=True)
+
+
+# ---- ad clicks -----------------------------------------------------------------
+# Test-data parameters (clicks are ~20 minutes apart at sf0.01, and the largest
+# (user, ad) count is 6-10): hourly buckets, 6-hour windows sliding by 1 hour,
+# threshold 5, 6-hour micro-batches for the blacklist loop.
+TZ = "UTC"
+BUCKET_MS = 3_600_000
+WINDOW, SLIDE, KEEP = "6 hours", "1 hour", 6
+LABEL_FMT = "HH:mm"
+THRESHOLD = 5
+BATCH_MS = 6 * 3_600_000
+
+
+def parsed_clicks(spark, sf_dir):
+    """Clicks that went through the text-line format and the parser."""
+    lines = click_lines(tv.ad_clicks(spark, sf_dir))
+    clicks, _ = parse_ad_clicks(lines)
+    return clicks
+
+
+@query
+def ad_click_parse(spark, sf_dir):
+    return parsed_clicks(spark, sf_dir)
+
+
+@query
+def ads_daily_area_city(spark, sf_dir):
+    return ads.daily_area_city(parsed_clicks(spark, sf_dir), TZ)
+
+
+@query
+def ads_daily_top3(spark, sf_dir):
+    return ads.daily_top_ads(ads.daily_area_city(parsed_clicks(spark, sf_dir), TZ), 3)
+
+
+@query
+def ads_daily_top3_json(spark, sf_dir):
+    return ads.top_ads_json(ads.daily_top_ads(ads.daily_area_city(parsed_clicks(spark, sf_dir), TZ), 3))
+
+
+@query
+def ad_click_buckets(spark, sf_dir):
+    return ads.click_buckets(parsed_clicks(spark, sf_dir), BUCKET_MS)
+
+
+@query
+def ad_click_trend(spark, sf_dir):
+    return ads.click_trend(ads.click_buckets(parsed_clicks(spark, sf_dir), BUCKET_MS), WINDOW, SLIDE, KEEP)
+
+
+@query
+def ad_click_trend_json(spark, sf_dir):
+    trend = ads.click_trend(ads.click_buckets(parsed_clicks(spark, sf_dir), BUCKET_MS), WINDOW, SLIDE, KEEP)
+    return ads.trend_json(trend, LABEL_FMT, TZ)
+
+
+# ---- blacklist -------------------------------------------------------------------
+@query
+def blacklist_users(spark, sf_dir):
+    return blacklist.blocked_users(parsed_clicks(spark, sf_dir), THRESHOLD)
+
+
+@query
+def blacklist_filtered_clicks(spark, sf_dir):
+    clicks = tv.ad_clicks(spark, sf_dir)
+    return blacklist.drop_blocked(clicks, blacklist.blocked_users(clicks, THRESHOLD))
+
+
+@query
+def blacklist_block_batches(spark, sf_dir):
+    clicks = blacklist.with_batches(parsed_clicks(spark, sf_dir), BATCH_MS)
+    return blacklist.block_batches(clicks, THRESHOLD)
+
+
+@query
+def blacklist_accepted_counts(spark, sf_dir):
+    clicks = blacklist.with_batches(parsed_clicks(spark, sf_dir), BATCH_MS)
+    return blacklist.accepted_counts(clicks, THRESHOLD)
