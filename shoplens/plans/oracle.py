@@ -225,3 +225,10 @@ SELECT p.userid, p.adid, CAST(sum(p.n) AS BIGINT) AS clicks
 FROM per p LEFT JOIN blk b ON p.userid = b.userid
 WHERE b.block_batch IS NULL OR p.batch <= b.block_batch
 GROUP BY 1, 2""")
+
+# ---- streaming twins: the whole table arrives in one micro-batch, so each equals
+# its batch query (the blacklist: no user is blocked before the first batch).
+SQL["stream_ads_daily_area_city"] = SQL["ads_daily_area_city"]
+SQL["stream_ads_daily_top3"] = SQL["ads_daily_top3"]
+SQL["stream_blacklist_users"] = SQL["blacklist_users"]
+SQL["stream_click_trend"] = SQL["ad_click_trend_json"]

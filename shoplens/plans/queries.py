@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplens.operators import ads, blacklist, category, pageflow
 from shoplens.operators.filters import in_action_time_range
+from shoplens import streaming
+from shoplens.session import shared_path
 from shoplens.sources import testviews as tv
 from shoplens.sources.clicks import click_lines, parse_ad_clicks
 
@@ -90,6 +92,7 @@ WINDOW, SLIDE, KEEP = "6 hours", "1 hour", 6
 LABEL_FMT = "HH:mm"
 THRESHOLD = 5
 BATCH_MS = 6 * 3_600_000
+AVAILABLE_NOW = {"availableNow": True}
 
 
 def parsed_clicks(spark, sf_dir):
@@ -157,3 +160,59 @@ def blacklist_block_batches(spark, sf_dir):
 def blacklist_accepted_counts(spark, sf_dir):
     clicks = blacklist.with_batches(parsed_clicks(spark, sf_dir), BATCH_MS)
     return blacklist.accepted_counts(clicks, THRESHOLD)
+
+
+# ---- streaming twins -------------------------------------------------------------
+# The events table is read as a file stream, turned into ad-click lines and parsed
+# back, then fed to the streaming job under an availableNow trigger; the result is
+# read from the job's snapshot. Output folders are unique per call, below the
+# shared checkpoint folder.
+def stream_clicks(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir))
+    customer, nation, region = tv.load_tables(spark, sf_dir, "customer", "nation", "region")
+    clicks, _ = parse_ad_clicks(click_lines(tv.ad_clicks_from_events(events, customer, nation, region)))
+    return clicks
+
+
+def _run(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def _stream_out(spark, name):
+    return shared_path(spark, "streams", name, unique=True)
+
+
+@query
+def stream_ads_daily_area_city(spark, sf_dir):
+    out = _stream_out(spark, "daily")
+    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, tz=TZ, trigger=AVAILABLE_NOW))
+    return streaming.read_daily_totals(spark, out)
+
+
+@query
+def stream_ads_daily_top3(spark, sf_dir):
+    out = _stream_out(spark, "daily")
+    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, top_n=3, tz=TZ,
+                                    trigger=AVAILABLE_NOW))
+    return streaming.read_daily_top_ads(spark, out)
+
+
+@query
+def stream_blacklist_users(spark, sf_dir):
+    out = _stream_out(spark, "blacklist")
+    _run(streaming.run_blacklist(stream_clicks(spark, sf_dir), out, threshold=THRESHOLD,
+                                 trigger=AVAILABLE_NOW))
+    return streaming.read_blacklist(spark, out)
+
+
+@query
+def stream_click_trend(spark, sf_dir):
+    out = _stream_out(spark, "trend")
+    _run(streaming.run_click_trend(stream_clicks(spark, sf_dir), out, bucket_ms=BUCKET_MS,
+                                   window=WINDOW, slide=SLIDE, keep=KEEP, label_fmt=LABEL_FMT,
+                                   tz=TZ, trigger=AVAILABLE_NOW))
+    return streaming.read_click_trend(spark, out)
