@@ -54,7 +54,12 @@ def jumps(actions: DataFrame, dedupe: str = "last", tie: str | None = "action_se
     """
     if dedupe not in ("last", "none"):
         raise ValueError("dedupe must be 'last' or 'none'")
-    s = page_successors(actions, tie, chunk).where(F.col("next_page").isNotNull())
+    return jumps_of_successors(page_successors(actions, tie, chunk), dedupe, tie, from_pages)
+
+
+def jumps_of_successors(succ: DataFrame, dedupe: str = "last", tie: str | None = "action_seq",
+                        from_pages: Sequence[int] | None = None) -> DataFrame:
+    s = succ.where(F.col("next_page").isNotNull())
     if from_pages is not None:
         s = s.where(F.col("page_id").isin(list(from_pages)))
     if dedupe == "last":
@@ -71,9 +76,13 @@ def _flow_label(a, b) -> Column:
 def jump_counts(actions: DataFrame, flow, dedupe: str = "last", tie: str | None = "action_seq",
                 chunk: str | None = "hour") -> DataFrame:
     """(flow 'x-y', from_page, to_page, jumps) for target jumps seen at least once."""
+    return _jump_counts(page_successors(actions, tie, chunk), flow, dedupe, tie)
+
+
+def _jump_counts(succ: DataFrame, flow, dedupe: str, tie: str | None) -> DataFrame:
     pairs = target_jumps(flow)
     labels = [f"{a}-{b}" for a, b in pairs]
-    j = jumps(actions, dedupe, tie, chunk, from_pages=sorted({a for a, _ in pairs}))
+    j = jumps_of_successors(succ, dedupe, tie, from_pages=sorted({a for a, _ in pairs}))
     return (j.withColumn("flow", _flow_label(F.col("from_page"), F.col("to_page")))
              .where(F.col("flow").isin(labels))
              .groupBy("flow", "from_page", "to_page").agg(F.count("*").alias("jumps")))
@@ -90,8 +99,12 @@ def jump_rate(actions: DataFrame, flow, dedupe: str = "last", whole_percent: boo
               tie: str | None = "action_seq", chunk: str | None = "hour") -> DataFrame:
     """(flow, rate). Jumps never seen give no row. ``whole_percent`` truncates the
     percentage toward zero to a bigint."""
-    counts = jump_counts(actions, flow, dedupe, tie, chunk)
-    # At most one row per page of the flow: a parameter-sized table.
+    if dedupe not in ("last", "none"):
+        raise ValueError("dedupe must be 'last' or 'none'")
+    counts = _jump_counts(page_successors(actions, tie, chunk), flow, dedupe, tie)
+    # The denominator is a separate narrow scan (one column) with a partial
+    # aggregate; it has at most one row per page of the flow, a parameter-sized
+    # table, so it is broadcast.
     visits = F.broadcast(page_visits(actions, flow))
     rate = F.col("jumps").cast("double") / F.col("visits") * 100
     if whole_percent:
