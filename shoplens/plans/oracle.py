@@ -232,3 +232,4 @@ SQL["stream_ads_daily_area_city"] = SQL["ads_daily_area_city"]
 SQL["stream_ads_daily_top3"] = SQL["ads_daily_top3"]
 SQL["stream_blacklist_users"] = SQL["blacklist_users"]
 SQL["stream_click_trend"] = SQL["ad_click_trend_json"]
+SQL["stream_ads_daily_top3_json"] = SQL["ads_daily_top3_json"]

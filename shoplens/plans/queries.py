@@ -216,3 +216,11 @@ def stream_click_trend(spark, sf_dir):
                                    window=WINDOW, slide=SLIDE, keep=KEEP, label_fmt=LABEL_FMT,
                                    tz=TZ, trigger=AVAILABLE_NOW))
     return streaming.read_click_trend(spark, out)
+
+
+@query
+def stream_ads_daily_top3_json(spark, sf_dir):
+    out = _stream_out(spark, "daily")
+    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, top_n=3, tz=TZ,
+                                    trigger=AVAILABLE_NOW))
+    return streaming.read_daily_top_json(spark, out)

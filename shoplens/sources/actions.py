@@ -20,4 +20,7 @@ def read_actions(spark: SparkSession, source: str, fmt: str = "parquet") -> Data
     is inferred; projections and filters written later still reach the scan."""
     if "/" not in source and ":" not in source:
         return conform_actions(spark.table(source))
+    if fmt == "parquet":
+        # Keep extra columns of the files (e.g. a tie-break sequence) but type the known ones.
+        return conform_actions(spark.read.parquet(source))
     return spark.read.format(fmt).schema(ACTION).load(source)

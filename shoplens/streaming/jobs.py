@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.functions.time import day_of, instant_of
 from shoplens.operators import ads, blacklist
-from shoplens.schemas import AD_BUCKETS, BLACKLIST, DAILY_TOTALS, USER_AD_COUNTS
+from shoplens.schemas import AD_BUCKETS, BLACKLIST, DAILY_TOP_JSON, DAILY_TOTALS, USER_AD_COUNTS
 from shoplens.sinks.snapshot import read_snapshot, write_snapshot
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
@@ -89,7 +89,7 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
                        "area", "city", "adid", "clicks"))
     else:
         agg = ads.daily_area_city(clicks, tz)
-    totals_path, top_path = f"{out}/totals", f"{out}/top"
+    totals_path, top_path, json_path = f"{out}/totals", f"{out}/top", f"{out}/top_json"
 
     def batch(updated: DataFrame, batch_id: int) -> None:
         spark = updated.sparkSession
@@ -103,6 +103,12 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
             prev_top = read_snapshot(spark, top_path, TOP_ADS, before=batch_id)
             write_snapshot(prev_top.join(touched, ["day", "area"], "left_anti").unionByName(top),
                            top_path, batch_id)
+            # JSON document per (day, area), rebuilt for the touched groups only.
+            fresh = read_snapshot(spark, top_path, TOP_ADS, version=batch_id).join(
+                touched, ["day", "area"], "left_semi")
+            prev_docs = read_snapshot(spark, json_path, DAILY_TOP_JSON, before=batch_id)
+            write_snapshot(_merge(prev_docs, ads.top_ads_json(fresh), ["day", "area"]),
+                           json_path, batch_id)
         finally:
             updated.unpersist()
 
@@ -117,6 +123,20 @@ def read_daily_top_ads(spark: SparkSession, out: str) -> DataFrame:
     return read_snapshot(spark, f"{out}/top", TOP_ADS)
 
 
+def read_daily_top_json(spark: SparkSession, out: str) -> DataFrame:
+    return read_snapshot(spark, f"{out}/top_json", DAILY_TOP_JSON)
+
+
+def console_preview(stream: DataFrame, n: int = 10, mode: str = "append",
+                    trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Print the first ``n`` rows of every micro-batch (a debugging sink)."""
+    w = (stream.writeStream.format("console").outputMode(mode).option("numRows", n)
+         .option("truncate", False).trigger(**(trigger or DEFAULT_TRIGGER)))
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w.start()
+
+
 # ---- blacklist --------------------------------------------------------------------
 def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
                   threshold: int = 100, trigger: dict | None = None,
