@@ -44,23 +44,34 @@ def _per_batch(clicks: DataFrame, batch_col: str) -> DataFrame:
     return clicks.groupBy("userid", "adid", batch_col).agg(F.count("*").alias("n"))
 
 
-def block_batches(clicks: DataFrame, threshold: int = 100, batch_col: str = "batch",
-                  per_batch: DataFrame | None = None) -> DataFrame:
+def _with_block_batch(clicks: DataFrame, threshold: int, batch_col: str) -> DataFrame:
+    """Rows (userid, adid, batch, n, block_batch).
+
+    Clicks are first aggregated per (user, ad, batch) with a map-side partial
+    step, so a hot user is already reduced to one row per (ad, batch) before any
+    shuffle. Those rows are then hash-partitioned by user once; the running
+    count per (user, ad), the first crossing per user and the final sums all
+    reuse that partitioning, so no further exchange is needed.
+    """
+    per = _per_batch(clicks, batch_col).repartition("userid")
+    pair = (Window.partitionBy("userid", "adid").orderBy(batch_col)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    user = Window.partitionBy("userid")
+    crossing = F.when(F.sum("n").over(pair) >= threshold, F.col(batch_col))
+    return (per.withColumn("_crossing", crossing)
+            .withColumn("block_batch", F.min("_crossing").over(user)).drop("_crossing"))
+
+
+def block_batches(clicks: DataFrame, threshold: int = 100, batch_col: str = "batch") -> DataFrame:
     """(userid, block_batch): the first batch at whose end some (user, ad)
-    running count reaches ``threshold``. The running count is a window over one
-    row per (user, ad, batch), so a hot user costs rows per batch, not per click."""
-    per = per_batch if per_batch is not None else _per_batch(clicks, batch_col)
-    w = (Window.partitionBy("userid", "adid").orderBy(batch_col)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (per.withColumn("_cum", F.sum("n").over(w)).where(F.col("_cum") >= threshold)
-            .groupBy("userid").agg(F.min(batch_col).alias("block_batch")))
+    running count reaches ``threshold``."""
+    return (_with_block_batch(clicks, threshold, batch_col).where(F.col("block_batch").isNotNull())
+            .groupBy("userid").agg(F.min("block_batch").alias("block_batch")))
 
 
 def accepted_counts(clicks: DataFrame, threshold: int = 100, batch_col: str = "batch") -> DataFrame:
     """(userid, adid, clicks) as counted by the micro-batch loop: clicks in
     batches up to and including the user's blocking batch."""
-    per = _per_batch(clicks, batch_col)
-    blocked = block_batches(clicks, threshold, batch_col, per_batch=per)
-    kept = (per.join(blocked, "userid", "left")
-            .where(F.col("block_batch").isNull() | (F.col(batch_col) <= F.col("block_batch"))))
+    rows = _with_block_batch(clicks, threshold, batch_col)
+    kept = rows.where(F.col("block_batch").isNull() | (F.col(batch_col) <= F.col("block_batch")))
     return kept.groupBy("userid", "adid").agg(F.sum("n").alias("clicks"))
