@@ -3,4 +3,4 @@
 from shoplens.sinks.snapshot import (  # noqa: F401
     latest_version, list_versions, read_snapshot, write_snapshot,
 )
-from shoplens.sinks.tables import append_jdbc, replace_table  # noqa: F401
+from shoplens.sinks.tables import append_jdbc, preview, replace_table  # noqa: F401

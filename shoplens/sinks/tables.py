@@ -31,3 +31,10 @@ def append_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
     if num_partitions is not None:
         opts["numPartitions"] = str(num_partitions)
     df.write.format("jdbc").options(**opts).mode("append").save()
+
+
+def preview(df: DataFrame, n: int = 100) -> DataFrame:
+    """The first ``n`` rows (printed), e.g. after writing a table."""
+    head = df.limit(n)
+    head.show(n, truncate=False)
+    return head

@@ -85,3 +85,16 @@ def test_params():
     p = JobParams.from_json('{"targetPageFlow": "1,2,3,4"}')
     assert p.target_page_flow == (1, 2, 3, 4)
     assert not is_not_blank(None) and not is_not_blank(" ") and is_not_blank("x")
+
+
+def test_date_partitions_are_pruned(spark, tmp_path):
+    df = actions_df(spark, [action(date=d, action_time=f"{d} 10:00:00") for d in
+                            ("2018-11-24", "2018-11-25", "2018-11-26", "2018-11-27")])
+    path = str(tmp_path / "log")
+    df.write.partitionBy("date").parquet(path)
+    from shoplens.sources.actions import read_actions
+    logged = read_actions(spark, path)
+    q = in_action_time_range(logged, "2018-11-25 00:00:00", "2018-11-26")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2018-11-25" in plan
+    assert [r.date for r in q.collect()] == ["2018-11-25"]
