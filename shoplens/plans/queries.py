@@ -186,10 +186,17 @@ def _stream_out(spark, name):
     return shared_path(spark, "streams", name, unique=True)
 
 
+def _state_parts(spark):
+    # State partitions are fixed when a query first starts; size them to the
+    # cluster's cores rather than to a shuffle-partition default sized for batch.
+    return spark.sparkContext.defaultParallelism
+
+
 @query
 def stream_ads_daily_area_city(spark, sf_dir):
     out = _stream_out(spark, "daily")
-    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, tz=TZ, trigger=AVAILABLE_NOW))
+    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, tz=TZ, trigger=AVAILABLE_NOW,
+                                    state_partitions=_state_parts(spark)))
     return streaming.read_daily_totals(spark, out)
 
 
@@ -197,7 +204,7 @@ def stream_ads_daily_area_city(spark, sf_dir):
 def stream_ads_daily_top3(spark, sf_dir):
     out = _stream_out(spark, "daily")
     _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, top_n=3, tz=TZ,
-                                    trigger=AVAILABLE_NOW))
+                                    trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
     return streaming.read_daily_top_ads(spark, out)
 
 
@@ -214,7 +221,7 @@ def stream_click_trend(spark, sf_dir):
     out = _stream_out(spark, "trend")
     _run(streaming.run_click_trend(stream_clicks(spark, sf_dir), out, bucket_ms=BUCKET_MS,
                                    window=WINDOW, slide=SLIDE, keep=KEEP, label_fmt=LABEL_FMT,
-                                   tz=TZ, trigger=AVAILABLE_NOW))
+                                   tz=TZ, trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
     return streaming.read_click_trend(spark, out)
 
 
@@ -222,5 +229,5 @@ def stream_click_trend(spark, sf_dir):
 def stream_ads_daily_top3_json(spark, sf_dir):
     out = _stream_out(spark, "daily")
     _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, top_n=3, tz=TZ,
-                                    trigger=AVAILABLE_NOW))
+                                    trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
     return streaming.read_daily_top_json(spark, out)

@@ -34,6 +34,11 @@ TOP_ADS = T.StructType([
     T.StructField("clicks", T.LongType()),
 ])
 
+USER_AD = T.StructType([
+    T.StructField("userid", T.StringType()),
+    T.StructField("adid", T.StringType()),
+])
+
 TREND_JSON = T.StructType([
     T.StructField("window_end_ms", T.LongType()),
     T.StructField("adid", T.StringType()),
@@ -55,13 +60,37 @@ def interval_ms(text: str) -> int:
 
 
 def _start(df: DataFrame, mode: str, fn, checkpoint: str, trigger: dict | None,
-           name: str | None) -> StreamingQuery:
+           name: str | None, state_partitions: int | None) -> StreamingQuery:
+    """Start the query. ``state_partitions`` fixes the number of state-store
+    partitions; it is read once, when the query first starts, and then kept in
+    the checkpoint (AQE cannot coalesce stateful partitions later)."""
     w = (df.writeStream.outputMode(mode).foreachBatch(fn)
          .option("checkpointLocation", checkpoint)
          .trigger(**(trigger or DEFAULT_TRIGGER)))
     if name:
         w = w.queryName(name)
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    conf = df.sparkSession.conf
+    old = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    try:
+        return w.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", old)
+
+
+def _stage(batch: DataFrame, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Write the micro-batch's rows to ``path`` and read them back in ``spark``.
+
+    A streaming query runs its batches in a cloned session with adaptive
+    execution off, so joins and merges planned there would use a fixed partition
+    count. The batch rows are small (changed keys or new clicks); staging them
+    lets every merge run in the caller's session with AQE, and cuts lineage. A
+    replayed batch overwrites the same staged rows.
+    """
+    batch.write.mode("overwrite").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _merge(prev: DataFrame, updated: DataFrame, keys: list[str]) -> DataFrame:
@@ -72,7 +101,8 @@ def _merge(prev: DataFrame, updated: DataFrame, keys: list[str]) -> DataFrame:
 # ---- daily totals and top ads (one state, two outputs) --------------------------
 def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None, top_n: int = 3,
                      tz: str | None = None, watermark: str | None = None,
-                     trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                     trigger: dict | None = None, name: str | None = None,
+                     state_partitions: int | None = None) -> StreamingQuery:
     """Running clicks per (day, area, city, ad) and the top ``top_n`` ads per
     (day, area).
 
@@ -90,10 +120,11 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
     else:
         agg = ads.daily_area_city(clicks, tz)
     totals_path, top_path, json_path = f"{out}/totals", f"{out}/top", f"{out}/top_json"
+    spark = clicks.sparkSession
 
-    def batch(updated: DataFrame, batch_id: int) -> None:
-        spark = updated.sparkSession
-        updated = updated.select(*keys, "clicks").persist()
+    def batch(changed: DataFrame, batch_id: int) -> None:
+        updated = _stage(changed.select(*keys, "clicks"), spark, f"{out}/_staged", DAILY_TOTALS)
+        updated = updated.persist()
         try:
             prev = read_snapshot(spark, totals_path, DAILY_TOTALS, before=batch_id)
             write_snapshot(_merge(prev, updated, keys), totals_path, batch_id)
@@ -112,7 +143,8 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
         finally:
             updated.unpersist()
 
-    return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name)
+    return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
+                  state_partitions)
 
 
 def read_daily_totals(spark: SparkSession, out: str) -> DataFrame:
@@ -146,9 +178,10 @@ def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
     ``threshold``. Counts and blacklist of batch ``b`` derive from version
     ``b-1`` only, so a replay of ``b`` rewrites the same versions."""
     counts_path, bl_path = f"{out}/counts", f"{out}/blacklist"
+    spark = clicks.sparkSession
 
-    def batch(b: DataFrame, batch_id: int) -> None:
-        spark = b.sparkSession
+    def batch(raw: DataFrame, batch_id: int) -> None:
+        b = _stage(raw, spark, f"{out}/_staged", USER_AD)
         bl_prev = read_snapshot(spark, bl_path, BLACKLIST, before=batch_id)
         counts_prev = read_snapshot(spark, counts_path, USER_AD_COUNTS, before=batch_id)
         accepted = blacklist.user_ad_counts(blacklist.drop_blocked(b, bl_prev))
@@ -160,7 +193,7 @@ def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
         write_snapshot(bl_prev.unionByName(newly).distinct(), bl_path, batch_id)
 
     return _start(clicks.select("userid", "adid"), "append", batch,
-                  checkpoint or f"{out}/_checkpoint", trigger, name)
+                  checkpoint or f"{out}/_checkpoint", trigger, name, None)
 
 
 def read_blacklist(spark: SparkSession, out: str) -> DataFrame:
@@ -176,7 +209,7 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
                     bucket_ms: int = 10_000, window: str = "60 seconds", slide: str = "10 seconds",
                     keep: int = 6, label_fmt: str = "mm:ss", tz: str | None = None,
                     watermark: str | None = None, trigger: dict | None = None,
-                    name: str | None = None) -> StreamingQuery:
+                    name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """State: clicks per (ad, bucket). Each batch merges the changed buckets into
     the bucket snapshot and rewrites the trend documents of the windows that
     contain a changed bucket only."""
@@ -189,10 +222,11 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
         agg = ads.click_buckets(clicks, bucket_ms)
     buckets_path, trend_path = f"{out}/buckets", f"{out}/trend"
     span = interval_ms(window)
+    spark = clicks.sparkSession
 
-    def batch(updated: DataFrame, batch_id: int) -> None:
-        spark = updated.sparkSession
-        updated = updated.select("adid", "bucket_ms", "clicks").persist()
+    def batch(changed: DataFrame, batch_id: int) -> None:
+        updated = _stage(changed.select("adid", "bucket_ms", "clicks"), spark, f"{out}/_staged",
+                         AD_BUCKETS).persist()
         try:
             prev = read_snapshot(spark, buckets_path, AD_BUCKETS, before=batch_id)
             write_snapshot(_merge(prev, updated, ["adid", "bucket_ms"]), buckets_path, batch_id)
@@ -212,7 +246,8 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
         finally:
             updated.unpersist()
 
-    return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name)
+    return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
+                  state_partitions)
 
 
 def read_click_trend(spark: SparkSession, out: str) -> DataFrame:
