@@ -1,6 +1,6 @@
 """Writers: catalog tables, JDBC, and versioned snapshots for streaming results."""
 
 from shoplens.sinks.snapshot import (  # noqa: F401
-    latest_version, list_versions, read_snapshot, write_snapshot,
+    latest_version, list_versions, prune_versions, read_snapshot, write_snapshot,
 )
 from shoplens.sinks.tables import append_jdbc, preview, replace_table  # noqa: F401

@@ -41,8 +41,23 @@ def version_path(path: str, version: int) -> str:
     return f"{path}/v={int(version)}"
 
 
-def write_snapshot(df: DataFrame, path: str, version: int) -> None:
+def write_snapshot(df: DataFrame, path: str, version: int, keep: int | None = None) -> None:
+    """Write version ``version``; with ``keep``, then drop all but the newest
+    ``keep`` complete versions (at least two are kept, so a replay of the next
+    batch still finds its predecessor)."""
     df.write.mode("overwrite").parquet(version_path(path, version))
+    if keep is not None:
+        prune_versions(df.sparkSession, path, max(2, keep))
+
+
+def prune_versions(spark: SparkSession, path: str, keep: int = 3) -> list[int]:
+    """Delete complete versions older than the newest ``keep``; returns them."""
+    old = list_versions(spark, path)[:-keep] if keep > 0 else []
+    if old:
+        jvm, _, fs = _fs(spark, path)
+        for v in old:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, v)), True)
+    return old
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType,

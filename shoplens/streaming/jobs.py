@@ -8,7 +8,8 @@ idempotent. Progress and state live in the checkpoint folder; restarting with
 the same checkpoint resumes where the query stopped.
 
 Default trigger: a micro-batch every 5 seconds. Tests and the registered
-queries use ``{"availableNow": True}``.
+queries use ``{"availableNow": True}``. ``retain`` bounds the number of snapshot
+versions kept per output (all are kept when it is None).
 """
 
 from __future__ import annotations
@@ -102,7 +103,7 @@ def _merge(prev: DataFrame, updated: DataFrame, keys: list[str]) -> DataFrame:
 def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None, top_n: int = 3,
                      tz: str | None = None, watermark: str | None = None,
                      trigger: dict | None = None, name: str | None = None,
-                     state_partitions: int | None = None) -> StreamingQuery:
+                     state_partitions: int | None = None, retain: int | None = None) -> StreamingQuery:
     """Running clicks per (day, area, city, ad) and the top ``top_n`` ads per
     (day, area).
 
@@ -127,19 +128,19 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
         updated = updated.persist()
         try:
             prev = read_snapshot(spark, totals_path, DAILY_TOTALS, before=batch_id)
-            write_snapshot(_merge(prev, updated, keys), totals_path, batch_id)
+            write_snapshot(_merge(prev, updated, keys), totals_path, batch_id, retain)
             totals = read_snapshot(spark, totals_path, DAILY_TOTALS, version=batch_id)
             touched = updated.select("day", "area").distinct()
             top = ads.daily_top_ads(totals.join(touched, ["day", "area"], "left_semi"), top_n)
             prev_top = read_snapshot(spark, top_path, TOP_ADS, before=batch_id)
             write_snapshot(prev_top.join(touched, ["day", "area"], "left_anti").unionByName(top),
-                           top_path, batch_id)
+                           top_path, batch_id, retain)
             # JSON document per (day, area), rebuilt for the touched groups only.
             fresh = read_snapshot(spark, top_path, TOP_ADS, version=batch_id).join(
                 touched, ["day", "area"], "left_semi")
             prev_docs = read_snapshot(spark, json_path, DAILY_TOP_JSON, before=batch_id)
             write_snapshot(_merge(prev_docs, ads.top_ads_json(fresh), ["day", "area"]),
-                           json_path, batch_id)
+                           json_path, batch_id, retain)
         finally:
             updated.unpersist()
 
@@ -172,7 +173,7 @@ def console_preview(stream: DataFrame, n: int = 10, mode: str = "append",
 # ---- blacklist --------------------------------------------------------------------
 def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
                   threshold: int = 100, trigger: dict | None = None,
-                  name: str | None = None) -> StreamingQuery:
+                  name: str | None = None, retain: int | None = None) -> StreamingQuery:
     """Per micro-batch: drop clicks of users blocked before this batch, add the
     rest to the (user, ad) counts, and block every user with a count reaching
     ``threshold``. Counts and blacklist of batch ``b`` derive from version
@@ -187,10 +188,10 @@ def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
         accepted = blacklist.user_ad_counts(blacklist.drop_blocked(b, bl_prev))
         merged = (counts_prev.unionByName(accepted).groupBy("userid", "adid")
                   .agg(F.sum("clicks").alias("clicks")))
-        write_snapshot(merged, counts_path, batch_id)
+        write_snapshot(merged, counts_path, batch_id, retain)
         counts = read_snapshot(spark, counts_path, USER_AD_COUNTS, version=batch_id)
         newly = counts.where(F.col("clicks") >= threshold).select("userid")
-        write_snapshot(bl_prev.unionByName(newly).distinct(), bl_path, batch_id)
+        write_snapshot(bl_prev.unionByName(newly).distinct(), bl_path, batch_id, retain)
 
     return _start(clicks.select("userid", "adid"), "append", batch,
                   checkpoint or f"{out}/_checkpoint", trigger, name, None)
@@ -209,7 +210,8 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
                     bucket_ms: int = 10_000, window: str = "60 seconds", slide: str = "10 seconds",
                     keep: int = 6, label_fmt: str = "mm:ss", tz: str | None = None,
                     watermark: str | None = None, trigger: dict | None = None,
-                    name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+                    name: str | None = None, state_partitions: int | None = None,
+                    retain: int | None = None) -> StreamingQuery:
     """State: clicks per (ad, bucket). Each batch merges the changed buckets into
     the bucket snapshot and rewrites the trend documents of the windows that
     contain a changed bucket only."""
@@ -229,7 +231,7 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
                          AD_BUCKETS).persist()
         try:
             prev = read_snapshot(spark, buckets_path, AD_BUCKETS, before=batch_id)
-            write_snapshot(_merge(prev, updated, ["adid", "bucket_ms"]), buckets_path, batch_id)
+            write_snapshot(_merge(prev, updated, ["adid", "bucket_ms"]), buckets_path, batch_id, retain)
             lo, hi = updated.agg(F.min("bucket_ms"), F.max("bucket_ms")).first()
             if lo is None:
                 return
@@ -242,7 +244,7 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
                 affected, ["window_end_ms", "adid"], "left_semi")
             docs = ads.trend_json(trend, label_fmt, tz)
             prev_docs = read_snapshot(spark, trend_path, TREND_JSON, before=batch_id)
-            write_snapshot(_merge(prev_docs, docs, ["window_end_ms", "adid"]), trend_path, batch_id)
+            write_snapshot(_merge(prev_docs, docs, ["window_end_ms", "adid"]), trend_path, batch_id, retain)
         finally:
             updated.unpersist()
 

@@ -47,3 +47,14 @@ def test_kafka_source_needs_connector(spark):
     with pytest.raises(Exception):
         read_click_lines_stream(spark, "kafka", **{"kafka.bootstrap.servers": "none:0",
                                                    "subscribe": "ads_log"})
+
+
+def test_prune_keeps_newest_versions(spark):
+    from shoplens.sinks import prune_versions
+    path = tempfile.mkdtemp(prefix="shoplens-snap-") + "/p"
+    for v in range(5):
+        write_snapshot(spark.createDataFrame([(f"u{v}",)], BLACKLIST), path, v)
+    assert prune_versions(spark, path, keep=2) == [0, 1, 2]
+    assert list_versions(spark, path) == [3, 4]
+    write_snapshot(spark.createDataFrame([("u5",)], BLACKLIST), path, 5, keep=1)   # at least 2 stay
+    assert list_versions(spark, path) == [4, 5]
