@@ -9,23 +9,31 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", app: str = "shoplens",
+def build_session(master: str | None = "local[8]", app: str = "shoplens",
                   shuffle_partitions: int | None = None,
                   driver_memory: str | None = None,
+                  partition_bytes: str = "128m",
                   extra: dict | None = None) -> SparkSession:
     """A session with AQE on (runtime coalescing, skew splitting, broadcast
     conversion from measured sizes) and a UTC session time zone.
 
-    On a cluster, leave ``shuffle_partitions`` high (AQE coalesces small
-    partitions at run time); for local runs it defaults to the core count.
+    ``partition_bytes`` is both the scan split size and AQE's target size for
+    shuffle partitions, so a task's input stays far below executor memory at any
+    scale. On a cluster (``master=None`` keeps the submitted master) set
+    ``shuffle_partitions`` high, e.g. a few times the total cores: it is the upper
+    bound AQE coalesces down from. For local runs it defaults to the core count.
     """
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.ui.enabled", "false")
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
+    b = (b.config("spark.ui.enabled", "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", partition_bytes)
+         .config("spark.sql.files.maxPartitionBytes", partition_bytes)
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC"))
-    if shuffle_partitions is None and master.startswith("local"):
+    if shuffle_partitions is None and master and master.startswith("local"):
         n = master[master.find("[") + 1:-1] if "[" in master else "1"
         shuffle_partitions = os.cpu_count() if n == "*" else int(n)
     if shuffle_partitions:
