@@ -58,3 +58,14 @@ def test_prune_keeps_newest_versions(spark):
     assert list_versions(spark, path) == [3, 4]
     write_snapshot(spark.createDataFrame([("u5",)], BLACKLIST), path, 5, keep=1)   # at least 2 stay
     assert list_versions(spark, path) == [4, 5]
+
+
+def test_read_actions_from_catalog_table(spark):
+    from shoplens.sources.actions import read_actions
+    from tests.conftest import action, actions_df
+    name = "actions_" + uuid.uuid4().hex[:6]
+    replace_table(actions_df(spark, [action(page_id=3)]), name)
+    df = read_actions(spark, name)
+    assert df.schema["page_id"].dataType.simpleString() == "bigint"
+    assert [r.page_id for r in df.collect()] == [3]
+    spark.sql(f"DROP TABLE {name}")

@@ -112,3 +112,26 @@ def test_watermark_drops_late_clicks(spark):
     without = {r.day: r.clicks for r in streaming.read_daily_totals(spark, keep).collect()}
     assert without == {"2018-11-26": 2, "2018-11-29": 2}
     assert with_wm == {"2018-11-26": 1, "2018-11-29": 2}
+
+
+def test_trend_watermark_path_matches_batch_for_in_order_data(spark):
+    batches = [[(T0 + d, "a", "c", "u", "1") for d in b] for b in [[0, 5_000], [20_000], [70_000]]]
+    out = _out()
+    q = streaming.run_click_trend(_clicks_stream(spark, _write_batches(batches)), out,
+                                  bucket_ms=10_000, window="60 seconds", slide="10 seconds", keep=6,
+                                  tz="UTC", watermark="10 minutes", trigger=NOW, state_partitions=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    allrows = [r for b in batches for r in b]
+    expected = ads.trend_json(ads.click_trend(ads.click_buckets(clicks_df(spark, allrows), 10_000),
+                                              "60 seconds", "10 seconds", 6), "mm:ss", "UTC")
+    got = streaming.read_click_trend(spark, out)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_console_preview_runs(spark):
+    src = _write_batches([[(T0, "a", "c", "u", "1")]])
+    q = streaming.console_preview(_clicks_stream(spark, src), n=10, trigger=NOW,
+                                  checkpoint=_out())
+    q.awaitTermination()
+    assert q.exception() is None
