@@ -47,6 +47,13 @@ def time_label(ms, fmt: str = "mm:ss", tz: str | None = None) -> Column:
 
 
 def bucket_start(ms, bucket_ms: int) -> Column:
-    """Start of the ``bucket_ms``-wide bucket holding ``ms`` (floor, epoch-aligned)."""
-    b = F.lit(int(bucket_ms))
-    return F.floor(_col(ms) / b).cast("bigint") * b
+    """Start of the ``bucket_ms``-wide bucket holding ``ms`` (epoch-aligned floor,
+    in exact integer arithmetic; ``pmod`` keeps times before 1970 aligned too)."""
+    m = _col(ms)
+    return m - F.pmod(m, F.lit(int(bucket_ms)))
+
+
+def bucket_index(ms, bucket_ms: int) -> Column:
+    """Index of the ``bucket_ms``-wide bucket holding ``ms`` (epoch-aligned)."""
+    # an exact multiple divided by its factor: exact for any epoch-ms value (< 2^53)
+    return (bucket_start(ms, bucket_ms) / F.lit(int(bucket_ms))).cast("bigint")

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shoplens.functions.time import bucket_index
+
 
 def user_ad_counts(clicks: DataFrame) -> DataFrame:
     """(userid, adid, clicks)."""
@@ -37,7 +39,7 @@ def drop_blocked(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 def with_batches(clicks: DataFrame, batch_ms: int = 5_000, col: str = "batch") -> DataFrame:
     """Assign each click to the micro-batch of its time (``ts_ms div batch_ms``)."""
-    return clicks.withColumn(col, F.floor(F.col("ts_ms") / F.lit(batch_ms)).cast("bigint"))
+    return clicks.withColumn(col, bucket_index("ts_ms", batch_ms))
 
 
 def _per_batch(clicks: DataFrame, batch_col: str) -> DataFrame:
