@@ -60,14 +60,19 @@ def click_trend(buckets: DataFrame, window: str = "60 seconds", slide: str = "10
     Buckets are aggregated first, so the window fan-out (window / slide copies)
     applies to one row per (ad, bucket), not to clicks.
     """
+    order = Window.partitionBy("window_end_ms", "adid").orderBy("bucket_ms")
+    return (windows_of(buckets, window, slide).withColumn("_rn", F.row_number().over(order))
+            .where(F.col("_rn") <= keep).drop("_rn"))
+
+
+def windows_of(buckets: DataFrame, window: str, slide: str) -> DataFrame:
+    """(window_start_ms, window_end_ms, adid, bucket_ms, clicks): each bucket
+    row once per sliding window that contains the bucket's start."""
     w = F.window(instant_of("bucket_ms"), window, slide)
-    b = buckets.select("adid", "bucket_ms", "clicks", w.alias("_w")).select(
+    return buckets.select("adid", "bucket_ms", "clicks", w.alias("_w")).select(
         F.unix_millis("_w.start").alias("window_start_ms"),
         F.unix_millis("_w.end").alias("window_end_ms"),
         "adid", "bucket_ms", "clicks")
-    order = Window.partitionBy("window_end_ms", "adid").orderBy("bucket_ms")
-    return (b.withColumn("_rn", F.row_number().over(order))
-            .where(F.col("_rn") <= keep).drop("_rn"))
 
 
 def trend_json(trend: DataFrame, label_fmt: str = "mm:ss", tz: str | None = None) -> DataFrame:

@@ -125,6 +125,8 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
 
     def batch(changed: DataFrame, batch_id: int) -> None:
         updated = _stage(changed.select(*keys, "clicks"), spark, f"{out}/_staged", DAILY_TOTALS)
+        if updated.isEmpty():       # e.g. a batch that only advances the watermark
+            return
         updated = updated.persist()
         try:
             prev = read_snapshot(spark, totals_path, DAILY_TOTALS, before=batch_id)
@@ -183,6 +185,8 @@ def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
 
     def batch(raw: DataFrame, batch_id: int) -> None:
         b = _stage(raw, spark, f"{out}/_staged", USER_AD)
+        if b.isEmpty():
+            return
         bl_prev = read_snapshot(spark, bl_path, BLACKLIST, before=batch_id)
         counts_prev = read_snapshot(spark, counts_path, USER_AD_COUNTS, before=batch_id)
         accepted = blacklist.user_ad_counts(blacklist.drop_blocked(b, bl_prev))
@@ -230,12 +234,12 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
         updated = _stage(changed.select("adid", "bucket_ms", "clicks"), spark, f"{out}/_staged",
                          AD_BUCKETS).persist()
         try:
-            prev = read_snapshot(spark, buckets_path, AD_BUCKETS, before=batch_id)
-            write_snapshot(_merge(prev, updated, ["adid", "bucket_ms"]), buckets_path, batch_id, retain)
             lo, hi = updated.agg(F.min("bucket_ms"), F.max("bucket_ms")).first()
-            if lo is None:
+            if lo is None:          # no changed bucket (e.g. a watermark-only batch)
                 return
-            affected = (ads.click_trend(updated, window, slide, keep=span)
+            prev = read_snapshot(spark, buckets_path, AD_BUCKETS, before=batch_id)
+            write_snapshot(_merge(prev, updated, ["adid", "bucket_ms"]), buckets_path, batch_id, retain)
+            affected = (ads.windows_of(updated, window, slide)
                         .select("window_end_ms", "adid").distinct())
             buckets = (read_snapshot(spark, buckets_path, AD_BUCKETS, version=batch_id)
                        .where(F.col("bucket_ms").between(lo - span, hi + span))
