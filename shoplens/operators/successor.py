@@ -25,7 +25,9 @@ def with_successor(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.lead(value).over(w))
 
-    d = df.withColumn("_chunk", chunk)
+    # A null chunk becomes "" so it still joins and, like the nulls-first order
+    # of the rows themselves, comes before every other chunk.
+    d = df.withColumn("_chunk", F.coalesce(chunk.cast("string"), F.lit("")))
     w1 = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     d = (d.withColumn(out, F.lead(value).over(w1))
           .withColumn("_last", F.lead(F.lit(True)).over(w1).isNull())

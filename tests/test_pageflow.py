@@ -93,3 +93,14 @@ def test_chunked_successor_equals_plain_lead(spark, pages):
     plain = sorted(tuple(r) for r in pageflow.page_successors(df, chunk=None).collect())
     for chunk in ("minute", "hour", "day"):
         assert sorted(tuple(r) for r in pageflow.page_successors(df, chunk=chunk).collect()) == plain
+
+
+def test_null_times_sort_first_and_keep_their_successor(spark):
+    rows = [action(session_id="s", page_id=1, action_time=None, action_seq=0),
+            action(session_id="s", page_id=2, action_time="2018-11-26 10:00:00", action_seq=1),
+            action(session_id="s", page_id=3, action_time="2018-11-26 12:00:00", action_seq=2)]
+    df = actions_df(spark, rows)
+    plain = sorted(tuple(r) for r in pageflow.page_successors(df, chunk=None).collect())
+    chunked = sorted(tuple(r) for r in pageflow.page_successors(df, chunk="hour").collect())
+    assert plain == chunked
+    assert {r[1]: r[-1] for r in chunked} == {1: 2, 2: 3, 3: None}
