@@ -39,7 +39,17 @@ def local_time_of(ms, tz: str | None = None) -> Column:
 
 def day_of(ms, tz: str | None = None) -> Column:
     """Epoch ms -> ``yyyy-MM-dd`` in ``tz``."""
-    return F.date_format(local_time_of(ms, tz), "yyyy-MM-dd")
+    return F.date_format(local_date_of(ms, tz), "yyyy-MM-dd")
+
+
+def local_date_of(ms, tz: str | None = None) -> Column:
+    """Epoch ms -> ``date`` in ``tz``. For UTC this is integer arithmetic on the
+    epoch ms (no per-row calendar conversion); group on this and format the
+    day string once per group."""
+    if tz == "UTC":
+        return F.date_from_unix_date(
+            ((_col(ms) - F.pmod(_col(ms), F.lit(86_400_000))) / F.lit(86_400_000)).cast("int"))
+    return F.to_date(local_time_of(ms, tz))
 
 
 def time_label(ms, fmt: str = "mm:ss", tz: str | None = None) -> Column:

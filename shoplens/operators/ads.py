@@ -10,14 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shoplens.functions.time import bucket_start, day_of, instant_of, time_label
+from shoplens.functions.time import bucket_start, instant_of, local_date_of, time_label
 
 
 def daily_area_city(clicks: DataFrame, tz: str | None = None) -> DataFrame:
     """(day, area, city, adid, clicks); day of the click's epoch ms in ``tz``
-    (default: the session time zone)."""
-    return (clicks.groupBy(day_of("ts_ms", tz).alias("day"), "area", "city", "adid")
-            .agg(F.count("*").alias("clicks")))
+    (default: the session time zone). Grouping is on a 4-byte date; the day
+    string is formatted once per group, after the aggregation."""
+    return (clicks.groupBy(local_date_of("ts_ms", tz).alias("_d"), "area", "city", "adid")
+            .agg(F.count("*").alias("clicks"))
+            .select(F.date_format("_d", "yyyy-MM-dd").alias("day"), "area", "city", "adid", "clicks"))
 
 
 def daily_area(counts: DataFrame) -> DataFrame:
