@@ -32,3 +32,15 @@ def test_reports_written_to_tables(spark):
     assert rates and {r.taskid for r in rates} == {rate_tid}
     for t in (*targets, f"rate_{suffix}"):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_cli_page_jump_rate(spark, tmp_path):
+    from shoplens.__main__ import main
+    path = str(tmp_path / "actions")
+    testviews.actions(spark, SF_SMALL).write.parquet(path)
+    name = "cli_rate_" + uuid.uuid4().hex[:6]
+    assert main(["page-jump-rate", "--source", path, "--params", '{"targetPageFlow": "1,2,3"}',
+                 "--target", name, "--dedupe", "none", "--whole-percent"]) == 0
+    rows = spark.table(name).collect()
+    assert rows and all(isinstance(r.rate, int) for r in rows)
+    spark.sql(f"DROP TABLE {name}")
