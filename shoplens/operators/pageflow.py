@@ -38,7 +38,7 @@ def _chunk(chunk: str | None) -> Column | None:
 
 
 def page_successors(actions: DataFrame, tie: str | None = "action_seq",
-                    chunk: str | None = "hour") -> DataFrame:
+                    chunk: str | None = "minute") -> DataFrame:
     """(session_id, page_id, action_time[, tie], next_page) for every action."""
     cols = ["session_id", "page_id", *_order(tie)]
     return with_successor(actions.select(*cols), ["session_id"], _order(tie), "page_id",
@@ -46,7 +46,7 @@ def page_successors(actions: DataFrame, tie: str | None = "action_seq",
 
 
 def jumps(actions: DataFrame, dedupe: str = "last", tie: str | None = "action_seq",
-          chunk: str | None = "hour", from_pages: Sequence[int] | None = None) -> DataFrame:
+          chunk: str | None = "minute", from_pages: Sequence[int] | None = None) -> DataFrame:
     """(session_id, from_page, to_page), one row per counted jump.
 
     ``from_pages`` restricts the from-page after adjacency is known (adjacency
@@ -74,7 +74,7 @@ def _flow_label(a, b) -> Column:
 
 
 def jump_counts(actions: DataFrame, flow, dedupe: str = "last", tie: str | None = "action_seq",
-                chunk: str | None = "hour") -> DataFrame:
+                chunk: str | None = "minute") -> DataFrame:
     """(flow 'x-y', from_page, to_page, jumps) for target jumps seen at least once."""
     return _jump_counts(page_successors(actions, tie, chunk), flow, dedupe, tie)
 
@@ -96,7 +96,7 @@ def page_visits(actions: DataFrame, flow) -> DataFrame:
 
 
 def jump_rate(actions: DataFrame, flow, dedupe: str = "last", whole_percent: bool = False,
-              tie: str | None = "action_seq", chunk: str | None = "hour") -> DataFrame:
+              tie: str | None = "action_seq", chunk: str | None = "minute") -> DataFrame:
     """(flow, rate). Jumps never seen give no row. ``whole_percent`` truncates the
     percentage toward zero to a bigint."""
     if dedupe not in ("last", "none"):

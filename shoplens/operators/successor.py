@@ -3,7 +3,7 @@
 A plain ``lead`` over ``Window.partitionBy(keys)`` puts every row of a key in
 one task; one session holding a third of the log would then be sorted by one
 core. With ``chunk`` (an expression that never decreases along the order, e.g.
-the hour of the action time) the window runs per (key, chunk) instead, and the
+the minute of the action time) the window runs per (key, chunk) instead, and the
 successor of each chunk's last row is the first row of the key's next non-empty
 chunk, found on a table with one row per (key, chunk). The result is exact: the
 same as the unchunked ``lead``.

@@ -44,7 +44,7 @@ def category_session_top10_job(actions: DataFrame, params: JobParams, task_id: s
 
 def page_jump_rate_job(actions: DataFrame, params: JobParams, task_id: str, dedupe: str = "last",
                        whole_percent: bool = False, tie: str | None = None,
-                       chunk: str | None = "hour") -> DataFrame:
+                       chunk: str | None = "minute") -> DataFrame:
     """(taskid, flow, rate). Without a ``tie`` column, actions in the same second
     are ordered arbitrarily, as in the original job."""
     if not params.target_page_flow:
