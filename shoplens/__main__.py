@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--threshold", type=int, default=100)
     ap.add_argument("--tz", default=None)
     ap.add_argument("--watermark", default=None)
+    ap.add_argument("--bucket-ms", type=int, default=10_000)
     ap.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
 
@@ -68,8 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         q = streaming.run_daily_totals(clicks, a.out, a.checkpoint, tz=a.tz, watermark=a.watermark,
                                        trigger=trigger)
     elif a.job == "ads-trend":
-        q = streaming.run_click_trend(clicks, a.out, a.checkpoint, tz=a.tz, watermark=a.watermark,
-                                      trigger=trigger)
+        q = streaming.run_click_trend(clicks, a.out, a.checkpoint, bucket_ms=a.bucket_ms,
+                                      watermark=a.watermark, trigger=trigger)
     else:
         q = streaming.run_blacklist(clicks, a.out, a.checkpoint, threshold=a.threshold, trigger=trigger)
     q.awaitTermination()

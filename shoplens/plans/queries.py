@@ -203,16 +203,16 @@ def stream_ads_daily_area_city(spark, sf_dir):
 @query
 def stream_ads_daily_top3(spark, sf_dir):
     out = _stream_out(spark, "daily")
-    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, top_n=3, tz=TZ,
-                                    trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
-    return streaming.read_daily_top_ads(spark, out)
+    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, tz=TZ, trigger=AVAILABLE_NOW,
+                                    state_partitions=_state_parts(spark)))
+    return streaming.read_daily_top_ads(spark, out, 3)
 
 
 @query
 def stream_blacklist_users(spark, sf_dir):
     out = _stream_out(spark, "blacklist")
     _run(streaming.run_blacklist(stream_clicks(spark, sf_dir), out, threshold=THRESHOLD,
-                                 trigger=AVAILABLE_NOW))
+                                 trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
     return streaming.read_blacklist(spark, out)
 
 
@@ -220,14 +220,13 @@ def stream_blacklist_users(spark, sf_dir):
 def stream_click_trend(spark, sf_dir):
     out = _stream_out(spark, "trend")
     _run(streaming.run_click_trend(stream_clicks(spark, sf_dir), out, bucket_ms=BUCKET_MS,
-                                   window=WINDOW, slide=SLIDE, keep=KEEP, label_fmt=LABEL_FMT,
-                                   tz=TZ, trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
-    return streaming.read_click_trend(spark, out)
+                                   trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
+    return streaming.read_click_trend(spark, out, WINDOW, SLIDE, KEEP, LABEL_FMT, TZ)
 
 
 @query
 def stream_ads_daily_top3_json(spark, sf_dir):
     out = _stream_out(spark, "daily")
-    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, top_n=3, tz=TZ,
-                                    trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
-    return streaming.read_daily_top_json(spark, out)
+    _run(streaming.run_daily_totals(stream_clicks(spark, sf_dir), out, tz=TZ, trigger=AVAILABLE_NOW,
+                                    state_partitions=_state_parts(spark)))
+    return streaming.read_daily_top_json(spark, out, 3)

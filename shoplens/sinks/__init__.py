@@ -1,5 +1,9 @@
-"""Writers: catalog tables, JDBC, and versioned snapshots for streaming results."""
+"""Writers: catalog tables, JDBC, change logs of streaming aggregates, and
+versioned snapshots."""
 
+from shoplens.sinks.changes import (  # noqa: F401
+    append_changes, batch_ids, compact_changes, latest, read_changes,
+)
 from shoplens.sinks.snapshot import (  # noqa: F401
     latest_version, list_versions, prune_versions, read_snapshot, write_snapshot,
 )

@@ -1,0 +1,81 @@
+"""Change logs: the update-mode output of a streaming aggregation, one folder
+per micro-batch (``<path>/batch=<id>``), append-only.
+
+A batch writes only the keys it changed, with their new absolute values, so the
+per-batch cost follows the batch, not the accumulated state. All values kept
+this way are counts that never decrease, so the current value of a key is the
+maximum over the log: a replayed batch (rewritten with overwrite) or a
+duplicate can never change a result. ``compact_changes`` folds the log into its
+newest batch folder to bound the number of files readers list.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Committed batch folders (those with a ``_SUCCESS`` marker), ascending."""
+    jvm, p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch=") and name[6:].isdigit():
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[6:]))
+    return sorted(out)
+
+
+def append_changes(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/batch={int(batch_id)}")
+
+
+def read_changes(spark: SparkSession, path: str, schema: T.StructType,
+                 before: int | None = None) -> DataFrame:
+    """All logged rows plus their ``batch`` (rows of batches < ``before`` only,
+    pruned by folder); empty when nothing is logged yet."""
+    full = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
+    if not batch_ids(spark, path):
+        return spark.createDataFrame([], full)
+    df = spark.read.schema(full).option("basePath", path).parquet(path)
+    return df.where(F.col("batch") < before) if before is not None else df
+
+
+def latest(changes: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Current value per key of a log of non-decreasing values."""
+    return changes.groupBy(*keys).agg(F.max(value).alias(value))
+
+
+def compact_changes(spark: SparkSession, path: str, schema: T.StructType,
+                    keys: Sequence[str], value: str) -> int | None:
+    """Fold the log into its second-newest batch folder and delete the older
+    folders; returns the batch id folded into (None when there is nothing to do).
+
+    The newest folder is left alone, because the stream may still replay that
+    batch. The folded rows are appended to the target folder before anything is
+    deleted, so every reader sees the same maxima throughout and a crash loses
+    nothing; a reader that listed a folder just before its deletion must retry.
+    """
+    ids = batch_ids(spark, path)
+    if len(ids) < 3:
+        return None
+    target = ids[-2]
+    folded = latest(read_changes(spark, path, schema).where(F.col("batch") <= target), keys, value)
+    folded.select(*[f.name for f in schema.fields]).write.mode("append").parquet(
+        f"{path}/batch={target}")
+    jvm, _, fs = _fs(spark, path)
+    for b in ids:
+        if b < target:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/batch={b}"), True)
+    return target

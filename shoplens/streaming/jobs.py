@@ -1,15 +1,17 @@
 """Streaming ad-click jobs.
 
 Each job reads a streaming DataFrame of typed clicks (see
-``shoplens.sources.clicks``), keeps its running state in Spark's state store or
-in versioned snapshots, and writes its results with ``foreachBatch`` into
-snapshots under ``out`` (see ``shoplens.sinks.snapshot``), so a replayed batch is
-idempotent. Progress and state live in the checkpoint folder; restarting with
-the same checkpoint resumes where the query stopped.
-
-Default trigger: a micro-batch every 5 seconds. Tests and the registered
-queries use ``{"availableNow": True}``. ``retain`` bounds the number of snapshot
-versions kept per output (all are kept when it is None).
+``shoplens.sources.clicks``). Running counts live in Spark's state store; every
+micro-batch appends only the keys it changed, with their new totals, to a
+change log under ``out`` (see ``shoplens.sinks.changes``). The per-batch cost
+therefore follows the batch, not the accumulated state, and since every logged
+value is a count that never decreases, readers take the maximum per key: a
+replayed batch cannot change any result. Rankings and JSON documents are views
+over the logs (``read_*``), computed with the same functions as the batch jobs.
+
+Progress and state live in the checkpoint folder; restarting with the same
+checkpoint resumes where the query stopped. Default trigger: a micro-batch
+every 5 seconds; tests and the registered queries use ``{"availableNow": True}``.
 """
 
 from __future__ import annotations
@@ -21,29 +23,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.functions.time import day_of, instant_of
-from shoplens.operators import ads, blacklist
-from shoplens.schemas import AD_BUCKETS, BLACKLIST, DAILY_TOP_JSON, DAILY_TOTALS, USER_AD_COUNTS
-from shoplens.sinks.snapshot import read_snapshot, write_snapshot
+from shoplens.operators import ads
+from shoplens.schemas import AD_BUCKETS, DAILY_TOTALS, USER_AD_COUNTS
+from shoplens.sinks.changes import append_changes, latest, read_changes
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 
-TOP_ADS = T.StructType([
-    T.StructField("day", T.StringType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("rank", T.IntegerType()),
-    T.StructField("adid", T.StringType()),
-    T.StructField("clicks", T.LongType()),
-])
-
-USER_AD = T.StructType([
+BLOCKED = T.StructType([
     T.StructField("userid", T.StringType()),
-    T.StructField("adid", T.StringType()),
-])
-
-TREND_JSON = T.StructType([
-    T.StructField("window_end_ms", T.LongType()),
-    T.StructField("adid", T.StringType()),
-    T.StructField("trend_json", T.StringType()),
+    T.StructField("block_batch", T.LongType()),
 ])
 
 _UNITS_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000,
@@ -85,33 +73,32 @@ def _stage(batch: DataFrame, spark: SparkSession, path: str, schema: T.StructTyp
     """Write the micro-batch's rows to ``path`` and read them back in ``spark``.
 
     A streaming query runs its batches in a cloned session with adaptive
-    execution off, so joins and merges planned there would use a fixed partition
-    count. The batch rows are small (changed keys or new clicks); staging them
-    lets every merge run in the caller's session with AQE, and cuts lineage. A
-    replayed batch overwrites the same staged rows.
+    execution off, so joins planned there would use a fixed partition count.
+    The batch rows are small (changed keys); staging them lets the join run in
+    the caller's session with AQE, and cuts lineage. A replayed batch
+    overwrites the same staged rows.
     """
     batch.write.mode("overwrite").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def _merge(prev: DataFrame, updated: DataFrame, keys: list[str]) -> DataFrame:
-    """Replace the rows of ``prev`` whose keys appear in ``updated``."""
-    return prev.join(updated.select(*keys), keys, "left_anti").unionByName(updated)
+def _names(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields]
 
 
-# ---- daily totals and top ads (one state, two outputs) --------------------------
-def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None, top_n: int = 3,
+# ---- daily totals and top ads -------------------------------------------------
+def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
                      tz: str | None = None, watermark: str | None = None,
                      trigger: dict | None = None, name: str | None = None,
-                     state_partitions: int | None = None, retain: int | None = None) -> StreamingQuery:
-    """Running clicks per (day, area, city, ad) and the top ``top_n`` ads per
-    (day, area).
+                     state_partitions: int | None = None) -> StreamingQuery:
+    """Running clicks per (day, area, city, ad); the top ads per (day, area) and
+    their JSON documents are read from the same state (``read_daily_top_ads``,
+    ``read_daily_top_json``).
 
     Without ``watermark`` the state keeps every key forever (as a running total
     must). With ``watermark`` the days are UTC days, state of days older than
     the watermark is evicted and later clicks for them are dropped.
     """
-    keys = ["day", "area", "city", "adid"]
     if watermark:
         s = clicks.withColumn("event_time", instant_of("ts_ms")).withWatermark("event_time", watermark)
         agg = (s.groupBy(F.window("event_time", "1 day").alias("_day"), "area", "city", "adid")
@@ -120,105 +107,90 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
                        "area", "city", "adid", "clicks"))
     else:
         agg = ads.daily_area_city(clicks, tz)
-    totals_path, top_path, json_path = f"{out}/totals", f"{out}/top", f"{out}/top_json"
-    spark = clicks.sparkSession
+    log = f"{out}/totals"
 
     def batch(changed: DataFrame, batch_id: int) -> None:
-        updated = _stage(changed.select(*keys, "clicks"), spark, f"{out}/_staged", DAILY_TOTALS)
-        if updated.isEmpty():       # e.g. a batch that only advances the watermark
-            return
-        updated = updated.persist()
-        try:
-            prev = read_snapshot(spark, totals_path, DAILY_TOTALS, before=batch_id)
-            write_snapshot(_merge(prev, updated, keys), totals_path, batch_id, retain)
-            totals = read_snapshot(spark, totals_path, DAILY_TOTALS, version=batch_id)
-            touched = updated.select("day", "area").distinct()
-            top = ads.daily_top_ads(totals.join(touched, ["day", "area"], "left_semi"), top_n)
-            prev_top = read_snapshot(spark, top_path, TOP_ADS, before=batch_id)
-            write_snapshot(prev_top.join(touched, ["day", "area"], "left_anti").unionByName(top),
-                           top_path, batch_id, retain)
-            # JSON document per (day, area), rebuilt for the touched groups only.
-            fresh = read_snapshot(spark, top_path, TOP_ADS, version=batch_id).join(
-                touched, ["day", "area"], "left_semi")
-            prev_docs = read_snapshot(spark, json_path, DAILY_TOP_JSON, before=batch_id)
-            write_snapshot(_merge(prev_docs, ads.top_ads_json(fresh), ["day", "area"]),
-                           json_path, batch_id, retain)
-        finally:
-            updated.unpersist()
+        append_changes(changed.select(*_names(DAILY_TOTALS)), log, batch_id)
 
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)
 
 
 def read_daily_totals(spark: SparkSession, out: str) -> DataFrame:
-    return read_snapshot(spark, f"{out}/totals", DAILY_TOTALS)
+    """(day, area, city, adid, clicks): current running totals."""
+    return latest(read_changes(spark, f"{out}/totals", DAILY_TOTALS),
+                  ["day", "area", "city", "adid"], "clicks").select(*_names(DAILY_TOTALS))
 
 
-def read_daily_top_ads(spark: SparkSession, out: str) -> DataFrame:
-    return read_snapshot(spark, f"{out}/top", TOP_ADS)
+def read_daily_top_ads(spark: SparkSession, out: str, n: int = 3) -> DataFrame:
+    return ads.daily_top_ads(read_daily_totals(spark, out), n)
 
 
-def read_daily_top_json(spark: SparkSession, out: str) -> DataFrame:
-    return read_snapshot(spark, f"{out}/top_json", DAILY_TOP_JSON)
-
-
-def console_preview(stream: DataFrame, n: int = 10, mode: str = "append",
-                    trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """Print the first ``n`` rows of every micro-batch (a debugging sink)."""
-    w = (stream.writeStream.format("console").outputMode(mode).option("numRows", n)
-         .option("truncate", False).trigger(**(trigger or DEFAULT_TRIGGER)))
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    return w.start()
+def read_daily_top_json(spark: SparkSession, out: str, n: int = 3) -> DataFrame:
+    return ads.top_ads_json(read_daily_top_ads(spark, out, n))
 
 
 # ---- blacklist --------------------------------------------------------------------
 def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
                   threshold: int = 100, trigger: dict | None = None,
-                  name: str | None = None, retain: int | None = None) -> StreamingQuery:
-    """Per micro-batch: drop clicks of users blocked before this batch, add the
-    rest to the (user, ad) counts, and block every user with a count reaching
-    ``threshold``. Counts and blacklist of batch ``b`` derive from version
-    ``b-1`` only, so a replay of ``b`` rewrites the same versions."""
-    counts_path, bl_path = f"{out}/counts", f"{out}/blacklist"
+                  name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Click-threshold blacklist with the original loop's semantics: clicks of
+    users blocked before a batch are not counted; a user is blocked once a
+    (user, ad) count reaches ``threshold``, and the crossing batch counts in full.
+
+    The state store keeps the unfiltered count per (user, ad). Blocking never
+    depends on the filter (a user's clicks are dropped only after the user is
+    blocked), so a changed pair of a user not blocked in an earlier batch carries
+    exactly the counted total: it is logged, and its user is blocked if the total
+    reaches the threshold. Pairs of users blocked earlier are not logged, which
+    freezes their counts. Per batch: the changed pairs and the blacklist.
+    """
+    counts_log, bl_log = f"{out}/counts", f"{out}/blacklist"
+    agg = clicks.groupBy("userid", "adid").agg(F.count("*").alias("clicks"))
     spark = clicks.sparkSession
 
-    def batch(raw: DataFrame, batch_id: int) -> None:
-        b = _stage(raw, spark, f"{out}/_staged", USER_AD)
-        if b.isEmpty():
-            return
-        bl_prev = read_snapshot(spark, bl_path, BLACKLIST, before=batch_id)
-        counts_prev = read_snapshot(spark, counts_path, USER_AD_COUNTS, before=batch_id)
-        accepted = blacklist.user_ad_counts(blacklist.drop_blocked(b, bl_prev))
-        merged = (counts_prev.unionByName(accepted).groupBy("userid", "adid")
-                  .agg(F.sum("clicks").alias("clicks")))
-        write_snapshot(merged, counts_path, batch_id, retain)
-        counts = read_snapshot(spark, counts_path, USER_AD_COUNTS, version=batch_id)
-        newly = counts.where(F.col("clicks") >= threshold).select("userid")
-        write_snapshot(bl_prev.unionByName(newly).distinct(), bl_path, batch_id, retain)
+    def batch(changed: DataFrame, batch_id: int) -> None:
+        ch = _stage(changed.select(*_names(USER_AD_COUNTS)), spark, f"{out}/_staged", USER_AD_COUNTS)
+        # users blocked in earlier batches only: a replay of this batch sees the same set
+        earlier = read_changes(spark, bl_log, BLOCKED, before=batch_id).select("userid")
+        counted = ch.join(earlier, "userid", "left_anti").persist()
+        try:
+            append_changes(counted, counts_log, batch_id)
+            newly = (counted.where(F.col("clicks") >= threshold).select("userid").distinct()
+                     .withColumn("block_batch", F.lit(batch_id).cast("bigint")))
+            append_changes(newly, bl_log, batch_id)
+        finally:
+            counted.unpersist()
 
-    return _start(clicks.select("userid", "adid"), "append", batch,
-                  checkpoint or f"{out}/_checkpoint", trigger, name, None)
+    return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
+                  state_partitions)
 
 
 def read_blacklist(spark: SparkSession, out: str) -> DataFrame:
-    return read_snapshot(spark, f"{out}/blacklist", BLACKLIST)
+    """(userid): every blocked user."""
+    return read_changes(spark, f"{out}/blacklist", BLOCKED).select("userid").distinct()
+
+
+def read_block_batches(spark: SparkSession, out: str) -> DataFrame:
+    """(userid, block_batch): the micro-batch in which each user was blocked."""
+    return (read_changes(spark, f"{out}/blacklist", BLOCKED).groupBy("userid")
+            .agg(F.min("block_batch").alias("block_batch")))
 
 
 def read_user_ad_counts(spark: SparkSession, out: str) -> DataFrame:
-    return read_snapshot(spark, f"{out}/counts", USER_AD_COUNTS)
+    """(userid, adid, clicks): counted clicks per (user, ad)."""
+    return latest(read_changes(spark, f"{out}/counts", USER_AD_COUNTS),
+                  ["userid", "adid"], "clicks").select(*_names(USER_AD_COUNTS))
 
 
 # ---- click trend ----------------------------------------------------------------------
 def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
-                    bucket_ms: int = 10_000, window: str = "60 seconds", slide: str = "10 seconds",
-                    keep: int = 6, label_fmt: str = "mm:ss", tz: str | None = None,
-                    watermark: str | None = None, trigger: dict | None = None,
-                    name: str | None = None, state_partitions: int | None = None,
-                    retain: int | None = None) -> StreamingQuery:
-    """State: clicks per (ad, bucket). Each batch merges the changed buckets into
-    the bucket snapshot and rewrites the trend documents of the windows that
-    contain a changed bucket only."""
+                    bucket_ms: int = 10_000, watermark: str | None = None,
+                    trigger: dict | None = None, name: str | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
+    """Running clicks per (ad, ``bucket_ms`` bucket); trends over sliding windows
+    and their JSON documents are read from it (``read_click_trend``). With
+    ``watermark`` the state of buckets older than the watermark is evicted."""
     if watermark:
         s = clicks.withColumn("event_time", instant_of("ts_ms")).withWatermark("event_time", watermark)
         agg = (s.groupBy("adid", F.window("event_time", f"{int(bucket_ms)} milliseconds").alias("_b"))
@@ -226,41 +198,41 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
                .select("adid", F.unix_millis("_b.start").alias("bucket_ms"), "clicks"))
     else:
         agg = ads.click_buckets(clicks, bucket_ms)
-    buckets_path, trend_path = f"{out}/buckets", f"{out}/trend"
-    span = interval_ms(window)
-    spark = clicks.sparkSession
+    log = f"{out}/buckets"
 
     def batch(changed: DataFrame, batch_id: int) -> None:
-        updated = _stage(changed.select("adid", "bucket_ms", "clicks"), spark, f"{out}/_staged",
-                         AD_BUCKETS).persist()
-        try:
-            lo, hi = updated.agg(F.min("bucket_ms"), F.max("bucket_ms")).first()
-            if lo is None:          # no changed bucket (e.g. a watermark-only batch)
-                return
-            prev = read_snapshot(spark, buckets_path, AD_BUCKETS, before=batch_id)
-            write_snapshot(_merge(prev, updated, ["adid", "bucket_ms"]), buckets_path, batch_id, retain)
-            affected = (ads.windows_of(updated, window, slide)
-                        .select("window_end_ms", "adid").distinct())
-            buckets = (read_snapshot(spark, buckets_path, AD_BUCKETS, version=batch_id)
-                       .where(F.col("bucket_ms").between(lo - span, hi + span))
-                       .join(updated.select("adid").distinct(), "adid", "left_semi"))
-            trend = ads.click_trend(buckets, window, slide, keep).join(
-                affected, ["window_end_ms", "adid"], "left_semi")
-            docs = ads.trend_json(trend, label_fmt, tz)
-            prev_docs = read_snapshot(spark, trend_path, TREND_JSON, before=batch_id)
-            write_snapshot(_merge(prev_docs, docs, ["window_end_ms", "adid"]), trend_path, batch_id, retain)
-        finally:
-            updated.unpersist()
+        append_changes(changed.select(*_names(AD_BUCKETS)), log, batch_id)
 
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)
 
 
-def read_click_trend(spark: SparkSession, out: str) -> DataFrame:
-    return read_snapshot(spark, f"{out}/trend", TREND_JSON)
-
-
 def read_click_buckets(spark: SparkSession, out: str) -> DataFrame:
-    return read_snapshot(spark, f"{out}/buckets", AD_BUCKETS)
-
-
+    return latest(read_changes(spark, f"{out}/buckets", AD_BUCKETS),
+                  ["adid", "bucket_ms"], "clicks").select(*_names(AD_BUCKETS))
+
+
+def read_click_trend(spark: SparkSession, out: str, window: str = "60 seconds",
+                     slide: str = "10 seconds", keep: int = 6, label_fmt: str = "mm:ss",
+                     tz: str | None = None, since_ms: int | None = None) -> DataFrame:
+    """(window_end_ms, adid, trend_json) over the logged buckets; ``since_ms``
+    restricts to windows ending after it (e.g. the last hour for a dashboard),
+    which prunes the buckets read."""
+    buckets = read_click_buckets(spark, out)
+    if since_ms is not None:
+        buckets = buckets.where(F.col("bucket_ms") >= since_ms - interval_ms(window))
+    trend = ads.click_trend(buckets, window, slide, keep)
+    if since_ms is not None:
+        trend = trend.where(F.col("window_end_ms") > since_ms)
+    return ads.trend_json(trend, label_fmt, tz)
+
+
+# ---- debugging sink -------------------------------------------------------------------
+def console_preview(stream: DataFrame, n: int = 10, mode: str = "append",
+                    trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Print the first ``n`` rows of every micro-batch."""
+    w = (stream.writeStream.format("console").outputMode(mode).option("numRows", n)
+         .option("truncate", False).trigger(**(trigger or DEFAULT_TRIGGER)))
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w.start()

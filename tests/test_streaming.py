@@ -3,7 +3,8 @@ import tempfile
 
 from shoplens import streaming
 from shoplens.operators import ads, blacklist
-from shoplens.sinks.snapshot import list_versions
+from shoplens.sinks.changes import batch_ids, compact_changes, read_changes
+from shoplens.schemas import DAILY_TOTALS
 from shoplens.sources.clicks import parse_ad_clicks, read_click_lines_stream
 from tests.conftest import clicks_df
 from tests.test_blacklist import model_loop
@@ -41,19 +42,21 @@ def test_blacklist_stream_equals_loop_and_batch(spark):
     ]]
     out = _out()
     q = streaming.run_blacklist(_clicks_stream(spark, _write_batches(batches)), out, threshold=3,
-                                trigger=NOW, retain=2)
+                                trigger=NOW, state_partitions=2)
     q.awaitTermination()
     assert q.exception() is None
     counts, blocked = model_loop([[(r[3], r[4]) for r in b] for b in batches], 3)
     got = {(r.userid, r.adid): r.clicks for r in streaming.read_user_ad_counts(spark, out).collect()}
     assert got == counts
     assert {r.userid for r in streaming.read_blacklist(spark, out).collect()} == blocked
-    assert list_versions(spark, f"{out}/counts") == [len(batches) - 2, len(batches) - 1]
+    assert batch_ids(spark, f"{out}/counts") == list(range(len(batches)))
+    blocked_at = {r.userid: r.block_batch for r in streaming.read_block_batches(spark, out).collect()}
     # batch twin with the file index as batch id
     rows = [(b * 10_000 + r[0] - T0, *r[1:]) for b, batch in enumerate(batches) for r in batch]
     df = blacklist.with_batches(clicks_df(spark, rows), 10_000)
     twin = {(r.userid, r.adid): r.clicks for r in blacklist.accepted_counts(df, 3).collect()}
     assert twin == counts
+    assert blocked_at == {r.userid: r.block_batch for r in blacklist.block_batches(df, 3).collect()}
 
 
 def test_daily_totals_stream_restart_adds_nothing(spark):
@@ -63,7 +66,8 @@ def test_daily_totals_stream_restart_adds_nothing(spark):
     src = _write_batches(batches)
     out = _out()
     for _ in range(2):       # the second run resumes from the checkpoint: nothing new
-        q = streaming.run_daily_totals(_clicks_stream(spark, src), out, tz="UTC", trigger=NOW)
+        q = streaming.run_daily_totals(_clicks_stream(spark, src), out, tz="UTC", trigger=NOW,
+                                       state_partitions=3)
         q.awaitTermination()
         assert q.exception() is None
     allrows = [r for b in batches for r in b]
@@ -73,7 +77,14 @@ def test_daily_totals_stream_restart_adds_nothing(spark):
     top = ads.daily_top_ads(expected, 3)
     assert sorted(map(tuple, streaming.read_daily_top_ads(spark, out).collect())) == \
         sorted(map(tuple, top.collect()))
-    assert len(list_versions(spark, f"{out}/totals")) == len(batches)
+    assert batch_ids(spark, f"{out}/totals") == list(range(len(batches)))
+    # compaction folds the log without changing any value
+    before = sorted(map(tuple, got.collect()))
+    assert compact_changes(spark, f"{out}/totals", DAILY_TOTALS, ["day", "area", "city", "adid"],
+                           "clicks") == 1
+    assert batch_ids(spark, f"{out}/totals") == [1, 2]
+    assert sorted(map(tuple, streaming.read_daily_totals(spark, out).collect())) == before
+    assert read_changes(spark, f"{out}/totals", DAILY_TOTALS, before=2).count() > 0
 
 
 def test_trend_stream_equals_batch(spark):
@@ -84,16 +95,19 @@ def test_trend_stream_equals_batch(spark):
     ]]
     out = _out()
     q = streaming.run_click_trend(_clicks_stream(spark, _write_batches(batches)), out,
-                                  bucket_ms=10_000, window="60 seconds", slide="10 seconds",
-                                  keep=6, label_fmt="mm:ss", tz="UTC", trigger=NOW)
+                                  bucket_ms=10_000, trigger=NOW)
     q.awaitTermination()
     assert q.exception() is None
     allrows = [r for b in batches for r in b]
     trend = ads.click_trend(ads.click_buckets(clicks_df(spark, allrows), 10_000),
                             "60 seconds", "10 seconds", 6)
     expected = ads.trend_json(trend, "mm:ss", "UTC")
-    got = streaming.read_click_trend(spark, out)
+    got = streaming.read_click_trend(spark, out, "60 seconds", "10 seconds", 6, "mm:ss", "UTC")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    recent = streaming.read_click_trend(spark, out, "60 seconds", "10 seconds", 6, "mm:ss", "UTC",
+                                        since_ms=T0 + 120_000)
+    assert sorted(map(tuple, recent.collect())) == sorted(
+        t for t in map(tuple, expected.collect()) if t[0] > T0 + 120_000)
 
 
 def test_watermark_drops_late_clicks(spark):
@@ -118,14 +132,14 @@ def test_trend_watermark_path_matches_batch_for_in_order_data(spark):
     batches = [[(T0 + d, "a", "c", "u", "1") for d in b] for b in [[0, 5_000], [20_000], [70_000]]]
     out = _out()
     q = streaming.run_click_trend(_clicks_stream(spark, _write_batches(batches)), out,
-                                  bucket_ms=10_000, window="60 seconds", slide="10 seconds", keep=6,
-                                  tz="UTC", watermark="10 minutes", trigger=NOW, state_partitions=2)
+                                  bucket_ms=10_000, watermark="10 minutes", trigger=NOW,
+                                  state_partitions=2)
     q.awaitTermination()
     assert q.exception() is None
     allrows = [r for b in batches for r in b]
     expected = ads.trend_json(ads.click_trend(ads.click_buckets(clicks_df(spark, allrows), 10_000),
                                               "60 seconds", "10 seconds", 6), "mm:ss", "UTC")
-    got = streaming.read_click_trend(spark, out)
+    got = streaming.read_click_trend(spark, out, "60 seconds", "10 seconds", 6, "mm:ss", "UTC")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
 
 
