@@ -21,7 +21,10 @@ def build_session(master: str | None = "local[8]", app: str = "shoplens",
     shuffle partitions, so a task's input stays far below executor memory at any
     scale. On a cluster (``master=None`` keeps the submitted master) set
     ``shuffle_partitions`` high, e.g. a few times the total cores: it is the upper
-    bound AQE coalesces down from. For local runs it defaults to the core count.
+    bound AQE coalesces down from, to partitions of about ``partition_bytes``
+    (``parallelismFirst`` off, so a busy cluster gets no flood of tiny tasks).
+    Local runs default to one shuffle partition per core and keep them all busy
+    on small inputs (parallelism first, 128 KB minimum partition).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -33,7 +36,10 @@ def build_session(master: str | None = "local[8]", app: str = "shoplens",
          .config("spark.sql.files.maxPartitionBytes", partition_bytes)
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC"))
-    if shuffle_partitions is None and master and master.startswith("local"):
+    local = bool(master) and master.startswith("local")
+    b = (b.config("spark.sql.adaptive.coalescePartitions.parallelismFirst", str(local).lower())
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k" if local else "1m"))
+    if shuffle_partitions is None and local:
         n = master[master.find("[") + 1:-1] if "[" in master else "1"
         shuffle_partitions = os.cpu_count() if n == "*" else int(n)
     if shuffle_partitions:
