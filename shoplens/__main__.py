@@ -16,6 +16,7 @@ import argparse
 import sys
 
 from shoplens import streaming
+from shoplens.defaults import BLACKLIST_THRESHOLD, TREND_BUCKET_MS
 from shoplens.plans import jobs
 from shoplens.session import build_session
 from shoplens.sources.clicks import parse_ad_clicks, read_click_lines_stream
@@ -44,10 +45,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--option", action="append", help="key=value; source options or JDBC options")
     ap.add_argument("--out", help="snapshot folder of a streaming job")
     ap.add_argument("--checkpoint", help="default: <out>/_checkpoint")
-    ap.add_argument("--threshold", type=int, default=100)
+    ap.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD)
     ap.add_argument("--tz", default=None)
     ap.add_argument("--watermark", default=None)
-    ap.add_argument("--bucket-ms", type=int, default=10_000)
+    ap.add_argument("--bucket-ms", type=int, default=TREND_BUCKET_MS)
     ap.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
 

@@ -2,7 +2,9 @@
 
 from pyspark.sql import Column, functions as F
 
+from shoplens.defaults import ID_LIST_SEPARATOR
+
 
 def id_list(c) -> Column:
     """``"1,1,2"`` -> ``["1", "1", "2"]``; repeated ids stay repeated; null stays null."""
-    return F.split(F.col(c) if isinstance(c, str) else c, ",")
+    return F.split(F.col(c) if isinstance(c, str) else c, ID_LIST_SEPARATOR)

@@ -6,6 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from shoplens.defaults import DAY_FORMAT, TREND_LABEL
+
 
 def _epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -39,7 +41,7 @@ def local_time_of(ms, tz: str | None = None) -> Column:
 
 def day_of(ms, tz: str | None = None) -> Column:
     """Epoch ms -> ``yyyy-MM-dd`` in ``tz``."""
-    return F.date_format(local_date_of(ms, tz), "yyyy-MM-dd")
+    return F.date_format(local_date_of(ms, tz), DAY_FORMAT)
 
 
 def local_date_of(ms, tz: str | None = None) -> Column:
@@ -52,7 +54,7 @@ def local_date_of(ms, tz: str | None = None) -> Column:
     return F.to_date(local_time_of(ms, tz))
 
 
-def time_label(ms, fmt: str = "mm:ss", tz: str | None = None) -> Column:
+def time_label(ms, fmt: str = TREND_LABEL, tz: str | None = None) -> Column:
     return F.date_format(local_time_of(ms, tz), fmt)
 
 

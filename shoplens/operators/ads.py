@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shoplens.defaults import (
+    DAY_FORMAT, TOP_ADS, TREND_BUCKET_MS, TREND_KEEP, TREND_LABEL, TREND_SLIDE, TREND_WINDOW,
+)
 from shoplens.functions.time import bucket_start, instant_of, local_date_of, time_label
 
 
@@ -19,7 +22,7 @@ def daily_area_city(clicks: DataFrame, tz: str | None = None) -> DataFrame:
     string is formatted once per group, after the aggregation."""
     return (clicks.groupBy(local_date_of("ts_ms", tz).alias("_d"), "area", "city", "adid")
             .agg(F.count("*").alias("clicks"))
-            .select(F.date_format("_d", "yyyy-MM-dd").alias("day"), "area", "city", "adid", "clicks"))
+            .select(F.date_format("_d", DAY_FORMAT).alias("day"), "area", "city", "adid", "clicks"))
 
 
 def daily_area(counts: DataFrame) -> DataFrame:
@@ -27,7 +30,7 @@ def daily_area(counts: DataFrame) -> DataFrame:
     return counts.groupBy("day", "area", "adid").agg(F.sum("clicks").alias("clicks"))
 
 
-def daily_top_ads(counts: DataFrame, n: int = 3) -> DataFrame:
+def daily_top_ads(counts: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """(day, area, rank, adid, clicks) for the ``n`` ads with most clicks per
     (day, area) (ties by adid). Runs as a WindowGroupLimit, so each map task
     ships at most ``n`` rows per group."""
@@ -47,14 +50,14 @@ def top_ads_json(top: DataFrame) -> DataFrame:
                         F.transform("_r", lambda x: F.struct(x["adid"], x["clicks"])))).alias("top_json")))
 
 
-def click_buckets(clicks: DataFrame, bucket_ms: int = 10_000) -> DataFrame:
+def click_buckets(clicks: DataFrame, bucket_ms: int = TREND_BUCKET_MS) -> DataFrame:
     """(adid, bucket_ms, clicks): clicks per ad in epoch-aligned buckets."""
     return (clicks.groupBy("adid", bucket_start("ts_ms", bucket_ms).alias("bucket_ms"))
             .agg(F.count("*").alias("clicks")))
 
 
-def click_trend(buckets: DataFrame, window: str = "60 seconds", slide: str = "10 seconds",
-                keep: int = 6) -> DataFrame:
+def click_trend(buckets: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLIDE,
+                keep: int = TREND_KEEP) -> DataFrame:
     """(window_start_ms, window_end_ms, adid, bucket_ms, clicks): for every
     sliding window (``window`` long, every ``slide``) and ad, the first ``keep``
     buckets starting inside the window, in time order.
@@ -77,7 +80,7 @@ def windows_of(buckets: DataFrame, window: str, slide: str) -> DataFrame:
         "adid", "bucket_ms", "clicks")
 
 
-def trend_json(trend: DataFrame, label_fmt: str = "mm:ss", tz: str | None = None) -> DataFrame:
+def trend_json(trend: DataFrame, label_fmt: str = TREND_LABEL, tz: str | None = None) -> DataFrame:
     """(window_end_ms, adid, trend_json) with ``[{"<label>":clicks},...]`` in time
     order; labels format the bucket start with ``label_fmt`` in ``tz``."""
     items = F.array_sort(F.collect_list(F.struct("bucket_ms", "clicks")))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shoplens.defaults import BLACKLIST_THRESHOLD
 from shoplens.functions.time import bucket_index
 
 
@@ -24,7 +25,7 @@ def user_ad_counts(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy("userid", "adid").agg(F.count("*").alias("clicks"))
 
 
-def blocked_users(clicks: DataFrame, threshold: int = 100) -> DataFrame:
+def blocked_users(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
     """(userid) of users with at least one (user, ad) count >= ``threshold``."""
     return (user_ad_counts(clicks).where(F.col("clicks") >= threshold)
             .select("userid").distinct())
@@ -64,14 +65,16 @@ def _with_block_batch(clicks: DataFrame, threshold: int, batch_col: str) -> Data
             .withColumn("block_batch", F.min("_crossing").over(user)).drop("_crossing"))
 
 
-def block_batches(clicks: DataFrame, threshold: int = 100, batch_col: str = "batch") -> DataFrame:
+def block_batches(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
+                  batch_col: str = "batch") -> DataFrame:
     """(userid, block_batch): the first batch at whose end some (user, ad)
     running count reaches ``threshold``."""
     return (_with_block_batch(clicks, threshold, batch_col).where(F.col("block_batch").isNotNull())
             .groupBy("userid").agg(F.min("block_batch").alias("block_batch")))
 
 
-def accepted_counts(clicks: DataFrame, threshold: int = 100, batch_col: str = "batch") -> DataFrame:
+def accepted_counts(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
+                    batch_col: str = "batch") -> DataFrame:
     """(userid, adid, clicks) as counted by the micro-batch loop: clicks in
     batches up to and including the user's blocking batch."""
     rows = _with_block_batch(clicks, threshold, batch_col)

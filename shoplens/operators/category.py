@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shoplens.defaults import TOP_CATEGORIES, TOP_SESSIONS
 from shoplens.functions.ids import id_list
 from shoplens.operators.filters import is_click
 
@@ -37,7 +38,7 @@ def category_counts(actions: DataFrame) -> DataFrame:
                  F.count_if(a == "pay").alias("pay_count")))
 
 
-def top_categories(actions: DataFrame, n: int = 10) -> DataFrame:
+def top_categories(actions: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
     """Order by clicks, then orders, then payments (all descending); ties are
     broken by ``category_id`` so the result is deterministic."""
     return (category_counts(actions)
@@ -46,7 +47,7 @@ def top_categories(actions: DataFrame, n: int = 10) -> DataFrame:
             .limit(n))
 
 
-def top_sessions(actions: DataFrame, n_categories: int = 10, n_sessions: int = 10,
+def top_sessions(actions: DataFrame, n_categories: int = TOP_CATEGORIES, n_sessions: int = TOP_SESSIONS,
                  categories: DataFrame | None = None) -> DataFrame:
     """(category_id, session_id, click_count): in each top category, the
     ``n_sessions`` sessions with most clicks (ties by ``session_id``).

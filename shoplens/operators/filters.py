@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from shoplens.defaults import NOT_A_CLICK
 from shoplens.params import is_not_blank
 
 
@@ -32,4 +33,4 @@ def in_action_time_range(df: DataFrame, start: str | None = None, end: str | Non
 def is_click(click_category_col: str = "click_category_id"):
     """A click has a category other than -1 (null is not a click either)."""
     c = F.col(click_category_col)
-    return c.isNotNull() & (c != -1)
+    return c.isNotNull() & (c != NOT_A_CLICK)

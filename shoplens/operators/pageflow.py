@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shoplens.defaults import FLOW_SEPARATOR
 from shoplens.operators.successor import with_successor
 from shoplens.params import parse_flow
 
@@ -70,7 +71,7 @@ def jumps_of_successors(succ: DataFrame, dedupe: str = "last", tie: str | None =
 
 
 def _flow_label(a, b) -> Column:
-    return F.concat_ws("-", a.cast("string"), b.cast("string"))
+    return F.concat_ws(FLOW_SEPARATOR, a.cast("string"), b.cast("string"))
 
 
 def jump_counts(actions: DataFrame, flow, dedupe: str = "last", tie: str | None = "action_seq",
@@ -81,7 +82,7 @@ def jump_counts(actions: DataFrame, flow, dedupe: str = "last", tie: str | None
 
 def _jump_counts(succ: DataFrame, flow, dedupe: str, tie: str | None) -> DataFrame:
     pairs = target_jumps(flow)
-    labels = [f"{a}-{b}" for a, b in pairs]
+    labels = [f"{a}{FLOW_SEPARATOR}{b}" for a, b in pairs]
     j = jumps_of_successors(succ, dedupe, tie, from_pages=sorted({a for a, _ in pairs}))
     return (j.withColumn("flow", _flow_label(F.col("from_page"), F.col("to_page")))
              .where(F.col("flow").isin(labels))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shoplens.defaults import LINE_SEPARATOR
 from shoplens.schemas import AD_CLICK, CLICK_LINE
 
 _FIELDS = ["ts_ms", "area", "city", "userid", "adid"]
@@ -16,7 +17,7 @@ _FIELDS = ["ts_ms", "area", "city", "userid", "adid"]
 def _split(lines: DataFrame, col: str) -> DataFrame:
     # rtrim first: a trailing separator yields no trailing empty field (as a
     # Java String.split would drop it).
-    return lines.withColumn("_parts", F.split(F.rtrim(F.col(col)), " "))
+    return lines.withColumn("_parts", F.split(F.rtrim(F.col(col)), LINE_SEPARATOR))
 
 
 def _ok(strict: bool):
@@ -47,7 +48,7 @@ def parse_ad_clicks(lines: DataFrame, col: str = "value", strict: bool = True,
 
 def click_lines(clicks: DataFrame) -> DataFrame:
     """The inverse of the parser: typed clicks -> ``value`` lines."""
-    return clicks.select(F.concat_ws(" ", F.col("ts_ms").cast("string"), "area", "city",
+    return clicks.select(F.concat_ws(LINE_SEPARATOR, F.col("ts_ms").cast("string"), "area", "city",
                                      "userid", "adid").alias("value"))
 
 

@@ -22,12 +22,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shoplens.defaults import (
+    BLACKLIST_THRESHOLD, MICRO_BATCH, TOP_ADS, TREND_BUCKET_MS, TREND_KEEP, TREND_LABEL, TREND_SLIDE,
+    TREND_WINDOW,
+)
 from shoplens.functions.time import day_of, instant_of
 from shoplens.operators import ads
 from shoplens.schemas import AD_BUCKETS, DAILY_TOTALS, USER_AD_COUNTS
 from shoplens.sinks.changes import append_changes, latest, read_changes
 
-DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
+DEFAULT_TRIGGER = {"processingTime": MICRO_BATCH}
 
 BLOCKED = T.StructType([
     T.StructField("userid", T.StringType()),
@@ -122,17 +126,17 @@ def read_daily_totals(spark: SparkSession, out: str) -> DataFrame:
                   ["day", "area", "city", "adid"], "clicks").select(*_names(DAILY_TOTALS))
 
 
-def read_daily_top_ads(spark: SparkSession, out: str, n: int = 3) -> DataFrame:
+def read_daily_top_ads(spark: SparkSession, out: str, n: int = TOP_ADS) -> DataFrame:
     return ads.daily_top_ads(read_daily_totals(spark, out), n)
 
 
-def read_daily_top_json(spark: SparkSession, out: str, n: int = 3) -> DataFrame:
+def read_daily_top_json(spark: SparkSession, out: str, n: int = TOP_ADS) -> DataFrame:
     return ads.top_ads_json(read_daily_top_ads(spark, out, n))
 
 
 # ---- blacklist --------------------------------------------------------------------
 def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
-                  threshold: int = 100, trigger: dict | None = None,
+                  threshold: int = BLACKLIST_THRESHOLD, trigger: dict | None = None,
                   name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Click-threshold blacklist with the original loop's semantics: clicks of
     users blocked before a batch are not counted; a user is blocked once a
@@ -185,7 +189,7 @@ def read_user_ad_counts(spark: SparkSession, out: str) -> DataFrame:
 
 # ---- click trend ----------------------------------------------------------------------
 def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
-                    bucket_ms: int = 10_000, watermark: str | None = None,
+                    bucket_ms: int = TREND_BUCKET_MS, watermark: str | None = None,
                     trigger: dict | None = None, name: str | None = None,
                     state_partitions: int | None = None) -> StreamingQuery:
     """Running clicks per (ad, ``bucket_ms`` bucket); trends over sliding windows
@@ -212,8 +216,8 @@ def read_click_buckets(spark: SparkSession, out: str) -> DataFrame:
                   ["adid", "bucket_ms"], "clicks").select(*_names(AD_BUCKETS))
 
 
-def read_click_trend(spark: SparkSession, out: str, window: str = "60 seconds",
-                     slide: str = "10 seconds", keep: int = 6, label_fmt: str = "mm:ss",
+def read_click_trend(spark: SparkSession, out: str, window: str = TREND_WINDOW,
+                     slide: str = TREND_SLIDE, keep: int = TREND_KEEP, label_fmt: str = TREND_LABEL,
                      tz: str | None = None, since_ms: int | None = None) -> DataFrame:
     """(window_end_ms, adid, trend_json) over the logged buckets; ``since_ms``
     restricts to windows ending after it (e.g. the last hour for a dashboard),
