@@ -37,8 +37,14 @@ def batch_ids(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
-def append_changes(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={int(batch_id)}")
+def append_changes(df: DataFrame, path: str, batch_id: int,
+                   partition_by: Sequence[str] = ()) -> None:
+    """Write one batch's changed rows; ``partition_by`` (e.g. a day column) lets
+    readers of a time range skip folders."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/batch={int(batch_id)}")
 
 
 def read_changes(spark: SparkSession, path: str, schema: T.StructType,
@@ -58,7 +64,7 @@ def latest(changes: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def compact_changes(spark: SparkSession, path: str, schema: T.StructType,
-                    keys: Sequence[str], value: str) -> int | None:
+                    keys: Sequence[str], value: str, partition_by: Sequence[str] = ()) -> int | None:
     """Fold the log into its second-newest batch folder and delete the older
     folders; returns the batch id folded into (None when there is nothing to do).
 
@@ -66,14 +72,17 @@ def compact_changes(spark: SparkSession, path: str, schema: T.StructType,
     batch. The folded rows are appended to the target folder before anything is
     deleted, so every reader sees the same maxima throughout and a crash loses
     nothing; a reader that listed a folder just before its deletion must retry.
+    ``partition_by`` must be the layout the log was written with.
     """
     ids = batch_ids(spark, path)
     if len(ids) < 3:
         return None
     target = ids[-2]
     folded = latest(read_changes(spark, path, schema).where(F.col("batch") <= target), keys, value)
-    folded.select(*[f.name for f in schema.fields]).write.mode("append").parquet(
-        f"{path}/batch={target}")
+    w = folded.select(*[f.name for f in schema.fields]).write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/batch={target}")
     jvm, _, fs = _fs(spark, path)
     for b in ids:
         if b < target:

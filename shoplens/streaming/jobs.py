@@ -114,24 +114,29 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
     log = f"{out}/totals"
 
     def batch(changed: DataFrame, batch_id: int) -> None:
-        append_changes(changed.select(*_names(DAILY_TOTALS)), log, batch_id)
+        append_changes(changed.select(*_names(DAILY_TOTALS)), log, batch_id, partition_by=["day"])
 
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)
 
 
-def read_daily_totals(spark: SparkSession, out: str) -> DataFrame:
-    """(day, area, city, adid, clicks): current running totals."""
-    return latest(read_changes(spark, f"{out}/totals", DAILY_TOTALS),
-                  ["day", "area", "city", "adid"], "clicks").select(*_names(DAILY_TOTALS))
+def read_daily_totals(spark: SparkSession, out: str, since_day: str | None = None) -> DataFrame:
+    """(day, area, city, adid, clicks): current running totals; ``since_day``
+    (``yyyy-MM-dd``) reads only the day folders from that day on."""
+    log = read_changes(spark, f"{out}/totals", DAILY_TOTALS)
+    if since_day is not None:
+        log = log.where(F.col("day") >= since_day)
+    return latest(log, ["day", "area", "city", "adid"], "clicks").select(*_names(DAILY_TOTALS))
 
 
-def read_daily_top_ads(spark: SparkSession, out: str, n: int = TOP_ADS) -> DataFrame:
-    return ads.daily_top_ads(read_daily_totals(spark, out), n)
+def read_daily_top_ads(spark: SparkSession, out: str, n: int = TOP_ADS,
+                       since_day: str | None = None) -> DataFrame:
+    return ads.daily_top_ads(read_daily_totals(spark, out, since_day), n)
 
 
-def read_daily_top_json(spark: SparkSession, out: str, n: int = TOP_ADS) -> DataFrame:
-    return ads.top_ads_json(read_daily_top_ads(spark, out, n))
+def read_daily_top_json(spark: SparkSession, out: str, n: int = TOP_ADS,
+                        since_day: str | None = None) -> DataFrame:
+    return ads.top_ads_json(read_daily_top_ads(spark, out, n, since_day))
 
 
 # ---- blacklist --------------------------------------------------------------------

@@ -81,7 +81,7 @@ def test_daily_totals_stream_restart_adds_nothing(spark):
     # compaction folds the log without changing any value
     before = sorted(map(tuple, got.collect()))
     assert compact_changes(spark, f"{out}/totals", DAILY_TOTALS, ["day", "area", "city", "adid"],
-                           "clicks") == 1
+                           "clicks", partition_by=["day"]) == 1
     assert batch_ids(spark, f"{out}/totals") == [1, 2]
     assert sorted(map(tuple, streaming.read_daily_totals(spark, out).collect())) == before
     assert read_changes(spark, f"{out}/totals", DAILY_TOTALS, before=2).count() > 0
@@ -149,3 +149,20 @@ def test_console_preview_runs(spark):
                                   checkpoint=_out())
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_daily_log_is_pruned_by_day(spark):
+    src = _write_batches([[(T0 - 86_400_000, "n", "bj", "u", "1"), (T0, "n", "bj", "u", "1")],
+                          [(T0 + 5, "n", "bj", "u", "2")]])
+    out = _out()
+    q = streaming.run_daily_totals(_clicks_stream(spark, src), out, tz="UTC", trigger=NOW,
+                                   state_partitions=2)
+    q.awaitTermination()
+    recent = streaming.read_daily_totals(spark, out, since_day="2018-11-26")
+    assert sorted((r.day, r.adid, r.clicks) for r in recent.collect()) == [
+        ("2018-11-26", "1", 1), ("2018-11-26", "2", 1)]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2018-11-26" in plan
+    top = streaming.read_daily_top_json(spark, out, 3)
+    assert {r.day: r.top_json for r in top.collect()} == {"2018-11-25": '{"1":1}',
+                                                          "2018-11-26": '{"1":1,"2":1}'}
