@@ -69,3 +69,12 @@ def test_read_actions_from_catalog_table(spark):
     assert df.schema["page_id"].dataType.simpleString() == "bigint"
     assert [r.page_id for r in df.collect()] == [3]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_preview_shows_first_rows(spark, capsys):
+    from shoplens.sinks import preview
+    df = spark.range(500).withColumnRenamed("id", "n")
+    head = preview(df, 100)
+    assert head.count() == 100
+    out = capsys.readouterr().out
+    assert "|n  |" in out and "|99 |" in out and "|100|" not in out
