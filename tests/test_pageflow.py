@@ -104,3 +104,32 @@ def test_null_times_sort_first_and_keep_their_successor(spark):
     chunked = sorted(tuple(r) for r in pageflow.page_successors(df, chunk="hour").collect())
     assert plain == chunked
     assert {r[1]: r[-1] for r in chunked} == {1: 2, 2: 3, 3: None}
+
+
+def test_hot_session_is_spread_over_partitions(spark):
+    from pyspark.sql import functions as F
+    from shoplens.sources import testviews
+    from tests.conftest import SF_CHECK
+    # a third of all actions moved into one session (rows derived from the test tables)
+    acts = testviews.actions(spark, SF_CHECK)
+    hot = acts.withColumn("session_id", F.when(F.col("action_seq") % 3 == 0, F.lit("hot"))
+                          .otherwise(F.col("session_id")))
+    total = hot.count()
+    shares = {}
+    # measure the shuffle's own distribution (AQE would merge this small input's partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for chunk in (None, "minute"):
+            succ = pageflow.page_successors(hot, chunk=chunk)
+            # count next_page so the window itself is computed (not pruned away)
+            per_part = (succ.where(F.col("session_id") == "hot")
+                        .select("next_page", F.spark_partition_id().alias("p"))
+                        .groupBy("p").agg(F.count("*").alias("n"), F.count("next_page")).collect())
+            shares[chunk] = max(r["n"] for r in per_part) / total
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert shares[None] >= 0.33                     # the plain window: one task holds the hot session
+    assert shares["minute"] < 0.33 / 2              # chunked: spread over the partitions
+    plain = pageflow.jump_rate(hot, (1, 2, 3, 4, 5, 6, 7), "last", chunk=None).collect()
+    chunked = pageflow.jump_rate(hot, (1, 2, 3, 4, 5, 6, 7), "last", chunk="minute").collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, chunked))
