@@ -156,7 +156,8 @@ daily AS (SELECT """ + _DAY + """ AS day, area, city, adid, count(*) AS clicks
 
 _TOP3 = _DAILY + """,
 area_totals AS (SELECT day, area, adid, CAST(sum(clicks) AS BIGINT) AS clicks FROM daily GROUP BY 1, 2, 3),
-ranked AS (SELECT day, area, row_number() OVER (PARTITION BY day, area ORDER BY clicks DESC, adid ASC) AS rank,
+ranked AS (SELECT day, area,
+                  CAST(row_number() OVER (PARTITION BY day, area ORDER BY clicks DESC, adid ASC) AS INTEGER) AS rank,
                   adid, clicks FROM area_totals),
 top3 AS (SELECT * FROM ranked WHERE rank <= 3)"""
 

@@ -7,6 +7,8 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -32,6 +34,11 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(ocols) == cols
