@@ -81,6 +81,8 @@ SELECT * FROM counts""")
 SQL["category_top10"] = with_actions(CATEGORY_EXPANDED + """
 SELECT * FROM top""")
 
+SQL["table_round_trip"] = SQL["category_top10"]
+
 SQL["category_session_top10"] = with_actions(CATEGORY_EXPANDED + """,
 sc AS (
   SELECT CAST(a.click_category_id AS VARCHAR) AS category_id, a.session_id, count(*) AS click_count

@@ -12,6 +12,7 @@ from shoplens.operators import ads, blacklist, category, pageflow
 from shoplens.operators.filters import in_action_time_range
 from shoplens import streaming
 from shoplens.session import shared_path
+from shoplens.sinks.tables import replace_table
 from shoplens.sources import testviews as tv
 from shoplens.sources.clicks import click_lines, parse_ad_clicks
 
@@ -44,6 +45,15 @@ def category_session_top10(spark, sf_dir):
     return category.top_sessions(tv.actions(spark, sf_dir), 10, 10)
 
 
+@query
+def table_round_trip(spark, sf_dir):
+    """J1's result written as a catalog table (replaced when it exists) and read back."""
+    location = shared_path(spark, "tables", "category_top10", unique=True)
+    name = "category_top10_" + location.rsplit("/", 1)[-1][:12]
+    replace_table(category.top_categories(tv.actions(spark, sf_dir), 10), name, path=location)
+    return spark.table(name)
+
+
 # ---- page flow ---------------------------------------------------------------
 FLOW = (1, 2, 3, 4, 5, 6, 7)
 

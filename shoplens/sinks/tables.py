@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame
 
 
 def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                  fmt: str = "parquet") -> None:
-    """Replace a managed table with ``df`` (created when absent)."""
+                  fmt: str = "parquet", path: str | None = None) -> None:
+    """Replace a catalog table with ``df`` (created when absent). With ``path`` the
+    table's files live there (an external table) instead of the warehouse."""
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
 
 
