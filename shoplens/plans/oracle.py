@@ -217,6 +217,9 @@ blk AS (SELECT userid, min(batch) AS block_batch FROM cum WHERE c >= 5 GROUP BY
 SQL["blacklist_users"] = with_clicks(_BLOCKED + """
 SELECT userid FROM blocked""")
 
+SQL["blacklist_user_ad_counts"] = with_clicks(_BLOCKED + """
+SELECT userid, adid, clicks FROM uac""")
+
 SQL["blacklist_filtered_clicks"] = with_clicks(_BLOCKED + """
 SELECT * FROM clicks WHERE userid NOT IN (SELECT userid FROM blocked)""")
 
@@ -235,4 +238,5 @@ SQL["stream_ads_daily_area_city"] = SQL["ads_daily_area_city"]
 SQL["stream_ads_daily_top3"] = SQL["ads_daily_top3"]
 SQL["stream_blacklist_users"] = SQL["blacklist_users"]
 SQL["stream_click_trend"] = SQL["ad_click_trend_json"]
+SQL["stream_blacklist_counts"] = SQL["blacklist_user_ad_counts"]
 SQL["stream_ads_daily_top3_json"] = SQL["ads_daily_top3_json"]

@@ -154,6 +154,11 @@ def blacklist_users(spark, sf_dir):
     return blacklist.blocked_users(parsed_clicks(spark, sf_dir), THRESHOLD)
 
 
+@query
+def blacklist_user_ad_counts(spark, sf_dir):
+    return blacklist.user_ad_counts(parsed_clicks(spark, sf_dir))
+
+
 @query
 def blacklist_filtered_clicks(spark, sf_dir):
     clicks = tv.ad_clicks(spark, sf_dir)
@@ -226,6 +231,14 @@ def stream_blacklist_users(spark, sf_dir):
     return streaming.read_blacklist(spark, out)
 
 
+@query
+def stream_blacklist_counts(spark, sf_dir):
+    out = _stream_out(spark, "blacklist")
+    _run(streaming.run_blacklist(stream_clicks(spark, sf_dir), out, threshold=THRESHOLD,
+                                 trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
+    return streaming.read_user_ad_counts(spark, out)
+
+
 @query
 def stream_click_trend(spark, sf_dir):
     out = _stream_out(spark, "trend")
