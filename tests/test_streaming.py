@@ -166,3 +166,35 @@ def test_daily_log_is_pruned_by_day(spark):
     top = streaming.read_daily_top_json(spark, out, 3)
     assert {r.day: r.top_json for r in top.collect()} == {"2018-11-25": '{"1":1}',
                                                           "2018-11-26": '{"1":1,"2":1}'}
+
+
+def test_replayed_batch_changes_nothing(spark):
+    # The driver dies after a batch wrote its output but before the commit log
+    # recorded it: on restart Spark runs that batch again with the same id.
+    batches = [[(T0 + i, "north", "bj", u, a) for i, (u, a) in enumerate(b)] for b in [
+        [("u1", "x"), ("u1", "x"), ("u2", "x")],
+        [("u1", "x"), ("u1", "y"), ("u2", "y")],
+        [("u1", "y"), ("u2", "x"), ("u2", "x"), ("u2", "x")],
+    ]]
+    src, out = _write_batches(batches), _out()
+    run = lambda: streaming.run_blacklist(_clicks_stream(spark, src), out, threshold=3,
+                                          trigger=NOW, state_partitions=2)
+    q = run()
+    q.awaitTermination()
+    first = (sorted(map(tuple, streaming.read_user_ad_counts(spark, out).collect())),
+             sorted(map(tuple, streaming.read_block_batches(spark, out).collect())))
+    last_commit = os.path.join(out, "_checkpoint", "commits", str(len(batches) - 1))
+    assert os.path.exists(last_commit)
+    for f in (last_commit, os.path.join(os.path.dirname(last_commit), f".{len(batches) - 1}.crc")):
+        if os.path.exists(f):
+            os.remove(f)
+    q = run()
+    q.awaitTermination()
+    assert q.exception() is None
+    assert q.lastProgress is not None and q.lastProgress["batchId"] == len(batches) - 1   # replayed
+    again = (sorted(map(tuple, streaming.read_user_ad_counts(spark, out).collect())),
+             sorted(map(tuple, streaming.read_block_batches(spark, out).collect())))
+    assert again == first
+    counts, blocked = model_loop([[(r[3], r[4]) for r in b] for b in batches], 3)
+    assert dict(((u, a), n) for u, a, n in first[0]) == counts
+    assert {u for u, _ in first[1]} == blocked
