@@ -41,6 +41,9 @@ def append_changes(df: DataFrame, path: str, batch_id: int,
                    partition_by: Sequence[str] = ()) -> None:
     """Write one batch's changed rows; ``partition_by`` (e.g. a day column) lets
     readers of a time range skip folders."""
+    if partition_by:
+        # one file per partition value and batch, not one per task and value
+        df = df.repartition(*partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
