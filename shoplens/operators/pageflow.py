@@ -12,6 +12,7 @@ from-page; ``dedupe='none'`` counts every adjacent jump.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -53,13 +54,13 @@ def jumps(actions: DataFrame, dedupe: str = "last", tie: str | None = "action_se
     ``from_pages`` restricts the from-page after adjacency is known (adjacency
     itself always spans all pages), which shrinks the de-duplication shuffle.
     """
-    if dedupe not in ("last", "none"):
-        raise ValueError("dedupe must be 'last' or 'none'")
     return jumps_of_successors(page_successors(actions, tie, chunk), dedupe, tie, from_pages)
 
 
 def jumps_of_successors(succ: DataFrame, dedupe: str = "last", tie: str | None = "action_seq",
                         from_pages: Sequence[int] | None = None) -> DataFrame:
+    if dedupe not in ("last", "none"):
+        raise ValueError("dedupe must be 'last' or 'none'")
     s = succ.where(F.col("next_page").isNotNull())
     if from_pages is not None:
         s = s.where(F.col("page_id").isin(list(from_pages)))
@@ -82,11 +83,14 @@ def jump_counts(actions: DataFrame, flow, dedupe: str = "last", tie: str | None
 
 def _jump_counts(succ: DataFrame, flow, dedupe: str, tie: str | None) -> DataFrame:
     pairs = target_jumps(flow)
-    labels = [f"{a}{FLOW_SEPARATOR}{b}" for a, b in pairs]
     j = jumps_of_successors(succ, dedupe, tie, from_pages=sorted({a for a, _ in pairs}))
-    return (j.withColumn("flow", _flow_label(F.col("from_page"), F.col("to_page")))
-             .where(F.col("flow").isin(labels))
-             .groupBy("flow", "from_page", "to_page").agg(F.count("*").alias("jumps")))
+    # compare the page ids (no per-row string); the label is built once per jump
+    is_target = reduce(lambda x, y: x | y,
+                       [(F.col("from_page") == a) & (F.col("to_page") == b) for a, b in pairs])
+    return (j.where(is_target)
+             .groupBy("from_page", "to_page").agg(F.count("*").alias("jumps"))
+             .select(_flow_label(F.col("from_page"), F.col("to_page")).alias("flow"),
+                     "from_page", "to_page", "jumps"))
 
 
 def page_visits(actions: DataFrame, flow) -> DataFrame:
@@ -100,8 +104,6 @@ def jump_rate(actions: DataFrame, flow, dedupe: str = "last", whole_percent: boo
               tie: str | None = "action_seq", chunk: str | None = "minute") -> DataFrame:
     """(flow, rate). Jumps never seen give no row. ``whole_percent`` truncates the
     percentage toward zero to a bigint."""
-    if dedupe not in ("last", "none"):
-        raise ValueError("dedupe must be 'last' or 'none'")
     counts = _jump_counts(page_successors(actions, tie, chunk), flow, dedupe, tie)
     # The denominator is a separate narrow scan (one column) with a partial
     # aggregate; it has at most one row per page of the flow, a parameter-sized
