@@ -47,8 +47,8 @@ def main() -> None:
     print(f"# Executed plans at `{sf}` (after AQE, local[8])\n")
     print("Generated by `tools/plan_report.py`. Shuffles count hash/range exchanges; broadcasts are "
           "size-bounded (explicit) or chosen by AQE from measured sizes.\n")
-    print("| Query | Scans (read schema) | Shuffles | Broadcasts | Reused | Partial aggs | Partial top-k | Joins |")
-    print("|---|---|---|---|---|---|---|---|")
+    print("| Query | Scans (read schema) | Pushed filters | Shuffles | Broadcasts | Reused | Partial aggs | Partial top-k | Joins |")
+    print("|---|---|---|---|---|---|---|---|---|")
     for name, fn in E.queries().items():
         if name.startswith("stream_"):
             continue
@@ -58,7 +58,8 @@ def main() -> None:
         s = summarize(plan)
         scans = "<br>".join(f"{t}: `{sch}`" for t, sch in s["scans"])
         joins = f"{s['bhj']} BHJ, {s['smj']} SMJ"
-        print(f"| {name} | {scans} | {s['exchanges']} | {s['broadcasts']} | {s['reused']} | "
+        pushed = "<br>".join(f"`{f}`" for f in s["pushed"]) or "—"
+        print(f"| {name} | {scans} | {pushed} | {s['exchanges']} | {s['broadcasts']} | {s['reused']} | "
               f"{s['partial_aggs']} | {s['partial_topk']} | {joins} |")
     spark.stop()
 
