@@ -36,3 +36,21 @@ def test_flagship_is_take_ordered(spark):
 def test_top_category_list_is_broadcast(spark):
     plan = _plan(E.queries()["category_session_top10"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_predicates_reach_the_scan_of_a_native_log(spark, tmp_path):
+    from shoplens.operators import pageflow
+    from shoplens.operators.filters import in_action_time_range
+    from shoplens.sources import testviews
+    from shoplens.sources.actions import read_actions
+    path = str(tmp_path / "log")
+    testviews.actions(spark, SF_SMALL).write.parquet(path)
+    log = read_actions(spark, path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")     # untruncated scan details
+    visits = _plan(pageflow.page_visits(log, (1, 2, 3)))
+    assert "PushedFilters: [In(page_id, [1,2,3])" in visits and "ReadSchema: struct<page_id:bigint>" in visits
+    ranged = _plan(in_action_time_range(log, "2024-01-08 00:00:00", "2024-01-21").select("session_id"))
+    assert "GreaterThanOrEqual(action_time,2024-01-08 00:00:00)" in ranged
+    assert "LessThanOrEqual(action_time,2024-01-21)" in ranged
+    assert "GreaterThanOrEqual(date,2024-01-08)" in ranged        # the implied partition bound
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
