@@ -12,6 +12,8 @@ over the logs (``read_*``), computed with the same functions as the batch jobs.
 Progress and state live in the checkpoint folder; restarting with the same
 checkpoint resumes where the query stopped. Default trigger: a micro-batch
 every 5 seconds; tests and the registered queries use ``{"availableNow": True}``.
+``compact_every=N`` folds the logs every N batches (never the newest folder,
+which a restart may still replay).
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from shoplens.defaults import (
 from shoplens.functions.time import day_of, instant_of
 from shoplens.operators import ads
 from shoplens.schemas import AD_BUCKETS, DAILY_TOTALS, USER_AD_COUNTS
-from shoplens.sinks.changes import append_changes, latest, read_changes
+from shoplens.sinks.changes import append_changes, compact_changes, latest, read_changes
 
 DEFAULT_TRIGGER = {"processingTime": MICRO_BATCH}
 
@@ -90,11 +92,20 @@ def _names(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields]
 
 
+def _maybe_compact(spark: SparkSession, every: int | None, batch_id: int, logs) -> None:
+    """Every ``every`` batches, fold each log (path, schema, keys, value,
+    partition_by) so the number of folders readers list stays bounded."""
+    if every and batch_id > 0 and batch_id % every == 0:
+        for path, schema, keys, value, parts in logs:
+            compact_changes(spark, path, schema, keys, value, parts)
+
+
 # ---- daily totals and top ads -------------------------------------------------
 def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
                      tz: str | None = None, watermark: str | None = None,
                      trigger: dict | None = None, name: str | None = None,
-                     state_partitions: int | None = None) -> StreamingQuery:
+                     state_partitions: int | None = None,
+                     compact_every: int | None = None) -> StreamingQuery:
     """Running clicks per (day, area, city, ad); the top ads per (day, area) and
     their JSON documents are read from the same state (``read_daily_top_ads``,
     ``read_daily_top_json``).
@@ -112,9 +123,12 @@ def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
     else:
         agg = ads.daily_area_city(clicks, tz)
     log = f"{out}/totals"
+    spark = clicks.sparkSession
 
     def batch(changed: DataFrame, batch_id: int) -> None:
         append_changes(changed.select(*_names(DAILY_TOTALS)), log, batch_id, partition_by=["day"])
+        _maybe_compact(spark, compact_every, batch_id,
+                       [(log, DAILY_TOTALS, ["day", "area", "city", "adid"], "clicks", ["day"])])
 
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)
@@ -142,7 +156,8 @@ def read_daily_top_json(spark: SparkSession, out: str, n: int = TOP_ADS,
 # ---- blacklist --------------------------------------------------------------------
 def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
                   threshold: int = BLACKLIST_THRESHOLD, trigger: dict | None = None,
-                  name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+                  name: str | None = None, state_partitions: int | None = None,
+                  compact_every: int | None = None) -> StreamingQuery:
     """Click-threshold blacklist with the original loop's semantics: clicks of
     users blocked before a batch are not counted; a user is blocked once a
     (user, ad) count reaches ``threshold``, and the crossing batch counts in full.
@@ -170,6 +185,9 @@ def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
             append_changes(newly, bl_log, batch_id)
         finally:
             counted.unpersist()
+        _maybe_compact(spark, compact_every, batch_id,
+                       [(counts_log, USER_AD_COUNTS, ["userid", "adid"], "clicks", []),
+                        (bl_log, BLOCKED, ["userid"], "block_batch", [])])
 
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)
@@ -196,7 +214,8 @@ def read_user_ad_counts(spark: SparkSession, out: str) -> DataFrame:
 def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
                     bucket_ms: int = TREND_BUCKET_MS, watermark: str | None = None,
                     trigger: dict | None = None, name: str | None = None,
-                    state_partitions: int | None = None) -> StreamingQuery:
+                    state_partitions: int | None = None,
+                    compact_every: int | None = None) -> StreamingQuery:
     """Running clicks per (ad, ``bucket_ms`` bucket); trends over sliding windows
     and their JSON documents are read from it (``read_click_trend``). With
     ``watermark`` the state of buckets older than the watermark is evicted."""
@@ -208,9 +227,12 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
     else:
         agg = ads.click_buckets(clicks, bucket_ms)
     log = f"{out}/buckets"
+    spark = clicks.sparkSession
 
     def batch(changed: DataFrame, batch_id: int) -> None:
         append_changes(changed.select(*_names(AD_BUCKETS)), log, batch_id)
+        _maybe_compact(spark, compact_every, batch_id,
+                       [(log, AD_BUCKETS, ["adid", "bucket_ms"], "clicks", [])])
 
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)

@@ -45,6 +45,16 @@ def test_blacklist_stream_equals_loop_and_batch(spark):
                                 trigger=NOW, state_partitions=2)
     q.awaitTermination()
     assert q.exception() is None
+    compacted = _out()
+    q = streaming.run_blacklist(_clicks_stream(spark, _write_batches(batches)), compacted,
+                                threshold=3, trigger=NOW, state_partitions=2, compact_every=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert batch_ids(spark, f"{compacted}/counts") == [1, 2, 3]       # folded into batch 1 at batch 2
+    assert sorted(map(tuple, streaming.read_user_ad_counts(spark, compacted).collect())) == \
+        sorted(map(tuple, streaming.read_user_ad_counts(spark, out).collect()))
+    assert sorted(map(tuple, streaming.read_block_batches(spark, compacted).collect())) == \
+        sorted(map(tuple, streaming.read_block_batches(spark, out).collect()))
     counts, blocked = model_loop([[(r[3], r[4]) for r in b] for b in batches], 3)
     got = {(r.userid, r.adid): r.clicks for r in streaming.read_user_ad_counts(spark, out).collect()}
     assert got == counts
