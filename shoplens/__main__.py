@@ -50,6 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--watermark", default=None)
     ap.add_argument("--bucket-ms", type=int, default=TREND_BUCKET_MS)
     ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--state-partitions", type=int, default=None, help="fixed at the first start")
+    ap.add_argument("--compact-every", type=int, default=None, help="fold change logs every N batches")
     a = ap.parse_args(argv)
 
     spark = build_session(a.master, app=f"shoplens-{a.job}")
@@ -65,15 +67,16 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, a.format, a.path, **opts))
-    trigger = {"availableNow": True} if a.available_now else None
+    common = {"trigger": {"availableNow": True} if a.available_now else None,
+              "state_partitions": a.state_partitions, "compact_every": a.compact_every}
     if a.job == "ads-daily":
         q = streaming.run_daily_totals(clicks, a.out, a.checkpoint, tz=a.tz, watermark=a.watermark,
-                                       trigger=trigger)
+                                       **common)
     elif a.job == "ads-trend":
         q = streaming.run_click_trend(clicks, a.out, a.checkpoint, bucket_ms=a.bucket_ms,
-                                      watermark=a.watermark, trigger=trigger)
+                                      watermark=a.watermark, **common)
     else:
-        q = streaming.run_blacklist(clicks, a.out, a.checkpoint, threshold=a.threshold, trigger=trigger)
+        q = streaming.run_blacklist(clicks, a.out, a.checkpoint, threshold=a.threshold, **common)
     q.awaitTermination()
     return 0 if q.exception() is None else 1
 
