@@ -235,6 +235,7 @@ GROUP BY 1, 2""")
 # ---- streaming twins: the whole table arrives in one micro-batch, so each equals
 # its batch query (the blacklist: no user is blocked before the first batch).
 SQL["stream_ads_daily_area_city"] = SQL["ads_daily_area_city"]
+SQL["stream_lines_ads_daily_area_city"] = SQL["ads_daily_area_city"]
 SQL["stream_ads_daily_top3"] = SQL["ads_daily_top3"]
 SQL["stream_blacklist_users"] = SQL["blacklist_users"]
 SQL["stream_click_trend"] = SQL["ad_click_trend_json"]

@@ -14,7 +14,9 @@ from shoplens import streaming
 from shoplens.session import shared_path
 from shoplens.sinks.tables import replace_table
 from shoplens.sources import testviews as tv
-from shoplens.sources.clicks import click_lines, parse_ad_clicks
+from shoplens.sources.clicks import (
+    click_lines, parse_ad_clicks, read_click_lines_stream, write_click_lines,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -215,6 +217,19 @@ def stream_ads_daily_area_city(spark, sf_dir):
     return streaming.read_daily_totals(spark, out)
 
 
+@query
+def stream_lines_ads_daily_area_city(spark, sf_dir):
+    """The click feed published as text lines (one folder of files, as a topic
+    would hold them), streamed back, parsed and counted."""
+    topic = shared_path(spark, "topics", "ads_log", unique=True)
+    write_click_lines(tv.ad_clicks(spark, sf_dir), topic)
+    clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, "text", topic))
+    out = _stream_out(spark, "daily_lines")
+    _run(streaming.run_daily_totals(clicks, out, tz=TZ, trigger=AVAILABLE_NOW,
+                                    state_partitions=_state_parts(spark)))
+    return streaming.read_daily_totals(spark, out)
+
+
 @query
 def stream_ads_daily_top3(spark, sf_dir):
     out = _stream_out(spark, "daily")
