@@ -236,6 +236,7 @@ GROUP BY 1, 2""")
 # its batch query (the blacklist: no user is blocked before the first batch).
 SQL["stream_ads_daily_area_city"] = SQL["ads_daily_area_city"]
 SQL["stream_lines_ads_daily_area_city"] = SQL["ads_daily_area_city"]
+SQL["stream_lines_blacklist_users"] = SQL["blacklist_users"]
 SQL["stream_ads_daily_top3"] = SQL["ads_daily_top3"]
 SQL["stream_blacklist_users"] = SQL["blacklist_users"]
 SQL["stream_click_trend"] = SQL["ad_click_trend_json"]

@@ -217,19 +217,36 @@ def stream_ads_daily_area_city(spark, sf_dir):
     return streaming.read_daily_totals(spark, out)
 
 
+LINE_FILES = 4
+
+
+def published_click_stream(spark, sf_dir):
+    """The click feed published as text lines in several files (as a topic would
+    hold them) and read back one file per micro-batch."""
+    topic = shared_path(spark, "topics", "ads_log", unique=True)
+    write_click_lines(tv.ad_clicks(spark, sf_dir).repartition(LINE_FILES), topic)
+    clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, "text", topic, maxFilesPerTrigger=1))
+    return clicks
+
+
 @query
 def stream_lines_ads_daily_area_city(spark, sf_dir):
-    """The click feed published as text lines (one folder of files, as a topic
-    would hold them), streamed back, parsed and counted."""
-    topic = shared_path(spark, "topics", "ads_log", unique=True)
-    write_click_lines(tv.ad_clicks(spark, sf_dir), topic)
-    clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, "text", topic))
     out = _stream_out(spark, "daily_lines")
-    _run(streaming.run_daily_totals(clicks, out, tz=TZ, trigger=AVAILABLE_NOW,
-                                    state_partitions=_state_parts(spark)))
+    _run(streaming.run_daily_totals(published_click_stream(spark, sf_dir), out, tz=TZ,
+                                    trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
     return streaming.read_daily_totals(spark, out)
 
 
+@query
+def stream_lines_blacklist_users(spark, sf_dir):
+    """Several micro-batches: who is blocked does not depend on where the batch
+    boundaries fall (only the frozen counts do), so this equals the batch query."""
+    out = _stream_out(spark, "blacklist_lines")
+    _run(streaming.run_blacklist(published_click_stream(spark, sf_dir), out, threshold=THRESHOLD,
+                                 trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
+    return streaming.read_blacklist(spark, out)
+
+
 @query
 def stream_ads_daily_top3(spark, sf_dir):
     out = _stream_out(spark, "daily")
