@@ -39,7 +39,7 @@ def _chunk(chunk: str | None) -> Column | None:
     return None if chunk is None else F.substring("action_time", 1, CHUNKS[chunk])
 
 
-def page_successors(actions: DataFrame, tie: str | None = "action_seq",
+def page_successors(actions: DataFrame, tie: str | None = None,
                     chunk: str | None = "minute") -> DataFrame:
     """(session_id, page_id, action_time[, tie], next_page) for every action."""
     cols = ["session_id", "page_id", *_order(tie)]
@@ -47,7 +47,7 @@ def page_successors(actions: DataFrame, tie: str | None = "action_seq",
                           "next_page", _chunk(chunk))
 
 
-def jumps(actions: DataFrame, dedupe: str = "last", tie: str | None = "action_seq",
+def jumps(actions: DataFrame, dedupe: str = "last", tie: str | None = None,
           chunk: str | None = "minute", from_pages: Sequence[int] | None = None) -> DataFrame:
     """(session_id, from_page, to_page), one row per counted jump.
 
@@ -57,7 +57,7 @@ def jumps(actions: DataFrame, dedupe: str = "last", tie: str | None = "action_se
     return jumps_of_successors(page_successors(actions, tie, chunk), dedupe, tie, from_pages)
 
 
-def jumps_of_successors(succ: DataFrame, dedupe: str = "last", tie: str | None = "action_seq",
+def jumps_of_successors(succ: DataFrame, dedupe: str = "last", tie: str | None = None,
                         from_pages: Sequence[int] | None = None) -> DataFrame:
     if dedupe not in ("last", "none"):
         raise ValueError("dedupe must be 'last' or 'none'")
@@ -75,7 +75,7 @@ def _flow_label(a, b) -> Column:
     return F.concat_ws(FLOW_SEPARATOR, a.cast("string"), b.cast("string"))
 
 
-def jump_counts(actions: DataFrame, flow, dedupe: str = "last", tie: str | None = "action_seq",
+def jump_counts(actions: DataFrame, flow, dedupe: str = "last", tie: str | None = None,
                 chunk: str | None = "minute") -> DataFrame:
     """(flow 'x-y', from_page, to_page, jumps) for target jumps seen at least once."""
     return _jump_counts(page_successors(actions, tie, chunk), flow, dedupe, tie)
@@ -101,7 +101,7 @@ def page_visits(actions: DataFrame, flow) -> DataFrame:
 
 
 def jump_rate(actions: DataFrame, flow, dedupe: str = "last", whole_percent: bool = False,
-              tie: str | None = "action_seq", chunk: str | None = "minute") -> DataFrame:
+              tie: str | None = None, chunk: str | None = "minute") -> DataFrame:
     """(flow, rate). Jumps never seen give no row. ``whole_percent`` truncates the
     percentage toward zero to a bigint."""
     counts = _jump_counts(page_successors(actions, tie, chunk), flow, dedupe, tie)

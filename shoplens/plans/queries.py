@@ -71,27 +71,28 @@ def page_visits(spark, sf_dir):
 
 @query
 def page_jump_counts(spark, sf_dir):
-    return pageflow.jump_counts(tv.actions(spark, sf_dir), FLOW, dedupe="none")
+    return pageflow.jump_counts(tv.actions(spark, sf_dir), FLOW, dedupe="none", tie=tv.TIE)
 
 
 @query
 def page_jump_counts_last(spark, sf_dir):
-    return pageflow.jump_counts(tv.actions(spark, sf_dir), FLOW, dedupe="last")
+    return pageflow.jump_counts(tv.actions(spark, sf_dir), FLOW, dedupe="last", tie=tv.TIE)
 
 
 @query
 def page_jump_rate(spark, sf_dir):
-    return _rounded(pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="last"))
+    return _rounded(pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="last", tie=tv.TIE))
 
 
 @query
 def page_jump_rate_all(spark, sf_dir):
-    return _rounded(pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="none"))
+    return _rounded(pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="none", tie=tv.TIE))
 
 
 @query
 def page_jump_rate_whole(spark, sf_dir):
-    return pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="none", whole_percent=True)
+    return pageflow.jump_rate(tv.actions(spark, sf_dir), FLOW, dedupe="none", whole_percent=True,
+                             tie=tv.TIE)
 
 
 # ---- ad clicks -----------------------------------------------------------------

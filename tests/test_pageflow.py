@@ -3,6 +3,8 @@ from hypothesis import given, settings, strategies as st
 from shoplens.operators import pageflow
 from tests.conftest import action, actions_df
 
+TIE = "action_seq"
+
 
 def _rows(sessions):
     """sessions: {session_id: [page, ...]} in time order (one second apart)."""
@@ -42,7 +44,7 @@ def model_rate(sessions, flow, dedupe):
 
 def _rate(spark, sessions, flow, dedupe, chunk="hour"):
     df = actions_df(spark, _rows(sessions))
-    return {r.flow: r.rate for r in pageflow.jump_rate(df, flow, dedupe, chunk=chunk).collect()}
+    return {r.flow: r.rate for r in pageflow.jump_rate(df, flow, dedupe, chunk=chunk, tie=TIE).collect()}
 
 
 def test_last_jump_per_page_and_filters(spark):
@@ -61,14 +63,15 @@ def test_same_second_ordered_by_tie(spark):
             action(session_id="s", page_id=1, action_time="2018-11-26 10:00:00", action_seq=1),
             action(session_id="s", page_id=3, action_time="2018-11-26 10:00:01", action_seq=0)]
     df = actions_df(spark, rows)
-    got = sorted((r.from_page, r.to_page) for r in pageflow.jumps(df, "none").collect())
+    got = sorted((r.from_page, r.to_page) for r in pageflow.jumps(df, "none", tie=TIE).collect())
     assert got == [(1, 2), (2, 3)]
 
 
 def test_whole_percent_truncates(spark):
     sessions = {"a": [1, 2], "b": [1, 3], "c": [1, 3]}
     df = actions_df(spark, _rows(sessions))
-    got = {r.flow: r.rate for r in pageflow.jump_rate(df, (1, 2), "none", whole_percent=True).collect()}
+    got = {r.flow: r.rate for r in pageflow.jump_rate(df, (1, 2), "none", whole_percent=True,
+                                                      tie=TIE).collect()}
     assert got == {"1-2": 33}
 
 
@@ -90,9 +93,9 @@ def test_rates_match_literal_model(spark, sessions):
 def test_chunked_successor_equals_plain_lead(spark, pages):
     # One long session spread over many minute chunks (seconds advance by 1).
     df = actions_df(spark, _rows({"hot": pages}))
-    plain = sorted(tuple(r) for r in pageflow.page_successors(df, chunk=None).collect())
+    plain = sorted(tuple(r) for r in pageflow.page_successors(df, tie=TIE, chunk=None).collect())
     for chunk in ("minute", "hour", "day"):
-        assert sorted(tuple(r) for r in pageflow.page_successors(df, chunk=chunk).collect()) == plain
+        assert sorted(tuple(r) for r in pageflow.page_successors(df, tie=TIE, chunk=chunk).collect()) == plain
 
 
 def test_null_times_sort_first_and_keep_their_successor(spark):
@@ -100,8 +103,8 @@ def test_null_times_sort_first_and_keep_their_successor(spark):
             action(session_id="s", page_id=2, action_time="2018-11-26 10:00:00", action_seq=1),
             action(session_id="s", page_id=3, action_time="2018-11-26 12:00:00", action_seq=2)]
     df = actions_df(spark, rows)
-    plain = sorted(tuple(r) for r in pageflow.page_successors(df, chunk=None).collect())
-    chunked = sorted(tuple(r) for r in pageflow.page_successors(df, chunk="hour").collect())
+    plain = sorted(tuple(r) for r in pageflow.page_successors(df, tie=TIE, chunk=None).collect())
+    chunked = sorted(tuple(r) for r in pageflow.page_successors(df, tie=TIE, chunk="hour").collect())
     assert plain == chunked
     assert {r[1]: r[-1] for r in chunked} == {1: 2, 2: 3, 3: None}
 
@@ -120,7 +123,7 @@ def test_hot_session_is_spread_over_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         for chunk in (None, "minute"):
-            succ = pageflow.page_successors(hot, chunk=chunk)
+            succ = pageflow.page_successors(hot, tie=TIE, chunk=chunk)
             # count next_page so the window itself is computed (not pruned away)
             per_part = (succ.where(F.col("session_id") == "hot")
                         .select("next_page", F.spark_partition_id().alias("p"))
@@ -130,6 +133,13 @@ def test_hot_session_is_spread_over_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert shares[None] >= 0.33                     # the plain window: one task holds the hot session
     assert shares["minute"] < 0.33 / 2              # chunked: spread over the partitions
-    plain = pageflow.jump_rate(hot, (1, 2, 3, 4, 5, 6, 7), "last", chunk=None).collect()
-    chunked = pageflow.jump_rate(hot, (1, 2, 3, 4, 5, 6, 7), "last", chunk="minute").collect()
+    plain = pageflow.jump_rate(hot, (1, 2, 3, 4, 5, 6, 7), "last", chunk=None, tie=TIE).collect()
+    chunked = pageflow.jump_rate(hot, (1, 2, 3, 4, 5, 6, 7), "last", chunk="minute", tie=TIE).collect()
     assert sorted(map(tuple, plain)) == sorted(map(tuple, chunked))
+
+
+def test_plain_action_schema_needs_no_tie_column(spark):
+    sessions = {"a": [1, 2, 3], "b": [1, 2]}
+    df = actions_df(spark, _rows(sessions)).drop("action_seq")      # exactly the ACTION schema
+    got = {r.flow: r.rate for r in pageflow.jump_rate(df, (1, 2, 3), "last").collect()}
+    assert got == model_rate(sessions, (1, 2, 3), "last")
