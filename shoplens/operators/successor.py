@@ -12,6 +12,7 @@ same as the unchunked ``lead``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,8 +27,12 @@ def with_successor(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
         return df.withColumn(out, F.lead(value).over(w))
 
     # A null chunk becomes "" so it still joins and, like the nulls-first order
-    # of the rows themselves, comes before every other chunk.
-    d = df.withColumn("_chunk", F.coalesce(chunk.cast("string"), F.lit("")))
+    # of the rows themselves, comes before every other chunk. Rows with a null
+    # key stay in one chunk: a null key never matches in the join below, and in
+    # a single chunk no successor has to cross it.
+    null_key = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+    d = df.withColumn("_chunk", F.when(null_key, F.lit(""))
+                      .otherwise(F.coalesce(chunk.cast("string"), F.lit(""))))
     w1 = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     d = (d.withColumn(out, F.lead(value).over(w1))
           .withColumn("_last", F.lead(F.lit(True)).over(w1).isNull())

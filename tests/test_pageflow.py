@@ -143,3 +143,13 @@ def test_plain_action_schema_needs_no_tie_column(spark):
     df = actions_df(spark, _rows(sessions)).drop("action_seq")      # exactly the ACTION schema
     got = {r.flow: r.rate for r in pageflow.jump_rate(df, (1, 2, 3), "last").collect()}
     assert got == model_rate(sessions, (1, 2, 3), "last")
+
+
+def test_null_session_keeps_successors_across_minutes(spark):
+    rows = [action(session_id=None, page_id=p, action_time=f"2018-11-26 10:{m:02d}:00", action_seq=i)
+            for i, (p, m) in enumerate([(1, 0), (2, 5), (3, 9)])]
+    rows.append(action(session_id="s", page_id=4, action_time="2018-11-26 10:01:00", action_seq=9))
+    df = actions_df(spark, rows)
+    plain = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk=None).collect()))
+    chunked = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk="minute").collect()))
+    assert plain == chunked
