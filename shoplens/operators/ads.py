@@ -88,3 +88,11 @@ def trend_json(trend: DataFrame, label_fmt: str = TREND_LABEL, tz: str | None =
             .select("window_end_ms", "adid",
                     F.to_json(F.transform("_b", lambda x: F.create_map(
                         time_label(x["bucket_ms"], label_fmt, tz), x["clicks"]))).alias("trend_json")))
+
+
+def latest_trend(docs: DataFrame) -> DataFrame:
+    """(adid, window_end_ms, trend_json): per ad only its newest window, the one
+    document per ad that the original job keeps (overwritten every batch)."""
+    w = Window.partitionBy("adid").orderBy(F.desc("window_end_ms"))
+    return (docs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+            .select("adid", "window_end_ms", "trend_json"))

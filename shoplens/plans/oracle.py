@@ -203,6 +203,16 @@ SELECT window_end_ms, adid,
                          ',' ORDER BY bucket_ms) || ']' AS trend_json
 FROM trend GROUP BY window_end_ms, adid""")
 
+SQL["ad_click_trend_latest"] = with_clicks(_TREND + """,
+docs AS (
+  SELECT window_end_ms, adid,
+         '[' || string_agg('{"' || strftime(make_timestamp(bucket_ms * 1000), '%H:%M') || '":' || CAST(clicks AS VARCHAR) || '}',
+                           ',' ORDER BY bucket_ms) || ']' AS trend_json
+  FROM trend GROUP BY window_end_ms, adid)
+SELECT adid, window_end_ms, trend_json FROM (
+  SELECT *, row_number() OVER (PARTITION BY adid ORDER BY window_end_ms DESC) AS rn FROM docs)
+WHERE rn = 1""")
+
 # ---- blacklist (threshold 5, 6-hour micro-batches) ----------------------------------
 _BLOCKED = """,
 uac AS (SELECT userid, adid, count(*) AS clicks FROM clicks GROUP BY 1, 2),

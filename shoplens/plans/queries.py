@@ -151,6 +151,12 @@ def ad_click_trend_json(spark, sf_dir):
     return ads.trend_json(trend, LABEL_FMT, TZ)
 
 
+@query
+def ad_click_trend_latest(spark, sf_dir):
+    trend = ads.click_trend(ads.click_buckets(parsed_clicks(spark, sf_dir), BUCKET_MS), WINDOW, SLIDE, KEEP)
+    return ads.latest_trend(ads.trend_json(trend, LABEL_FMT, TZ))
+
+
 # ---- blacklist -------------------------------------------------------------------
 @query
 def blacklist_users(spark, sf_dir):

@@ -2,7 +2,17 @@
 results as change logs with views over them)."""
 
 from shoplens.streaming.jobs import (  # noqa: F401
-    console_preview, read_blacklist, read_block_batches, read_click_buckets, read_click_trend,
-    read_daily_top_ads, read_daily_top_json, read_daily_totals, read_user_ad_counts, run_blacklist,
-    run_click_trend, run_daily_totals,
+    console_preview,
+    read_blacklist,
+    read_block_batches,
+    read_click_buckets,
+    read_click_trend,
+    read_daily_top_ads,
+    read_daily_top_json,
+    read_daily_totals,
+    read_latest_click_trend,
+    read_user_ad_counts,
+    run_blacklist,
+    run_click_trend,
+    run_daily_totals,
 )

@@ -258,6 +258,14 @@ def read_click_trend(spark: SparkSession, out: str, window: str = TREND_WINDOW,
     return ads.trend_json(trend, label_fmt, tz)
 
 
+def read_latest_click_trend(spark: SparkSession, out: str, window: str = TREND_WINDOW,
+                            slide: str = TREND_SLIDE, keep: int = TREND_KEEP,
+                            label_fmt: str = TREND_LABEL, tz: str | None = None,
+                            since_ms: int | None = None) -> DataFrame:
+    """(adid, window_end_ms, trend_json): each ad's newest trend document."""
+    return ads.latest_trend(read_click_trend(spark, out, window, slide, keep, label_fmt, tz, since_ms))
+
+
 # ---- debugging sink -------------------------------------------------------------------
 def console_preview(stream: DataFrame, n: int = 10, mode: str = "append",
                     trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:

@@ -114,6 +114,10 @@ def test_trend_stream_equals_batch(spark):
     expected = ads.trend_json(trend, "mm:ss", "UTC")
     got = streaming.read_click_trend(spark, out, "60 seconds", "10 seconds", 6, "mm:ss", "UTC")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    latest = {r.adid: (r.window_end_ms - T0, r.trend_json) for r in
+              streaming.read_latest_click_trend(spark, out, "60 seconds", "10 seconds", 6, "mm:ss",
+                                                "UTC").collect()}
+    assert latest == {"1": (190_000, '[{"02:10":1}]'), "2": (120_000, '[{"01:00":1}]')}
     recent = streaming.read_click_trend(spark, out, "60 seconds", "10 seconds", 6, "mm:ss", "UTC",
                                         since_ms=T0 + 120_000)
     assert sorted(map(tuple, recent.collect())) == sorted(
