@@ -9,10 +9,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(master: str | None = "local[8]", app: str = "shoplens",
                   shuffle_partitions: int | None = None,
                   driver_memory: str | None = None,
                   partition_bytes: str = "128m",
+                  state_store: str | None = None,
                   extra: dict | None = None) -> SparkSession:
     """A session with AQE on (runtime coalescing, skew splitting, broadcast
     conversion from measured sizes) and a UTC session time zone.
@@ -25,6 +29,9 @@ def build_session(master: str | None = "local[8]", app: str = "shoplens",
     (``parallelismFirst`` off, so a busy cluster gets no flood of tiny tasks).
     Local runs default to one shuffle partition per core and keep them all busy
     on small inputs (parallelism first, 128 KB minimum partition).
+
+    ``state_store="rocksdb"`` keeps streaming state in RocksDB (off the JVM heap,
+    incremental checkpoints): the choice for large running totals on a cluster.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -46,6 +53,8 @@ def build_session(master: str | None = "local[8]", app: str = "shoplens",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
         b = b.config("spark.driver.memory", driver_memory)
+    if state_store == "rocksdb":
+        b = b.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -212,3 +212,23 @@ def test_replayed_batch_changes_nothing(spark):
     counts, blocked = model_loop([[(r[3], r[4]) for r in b] for b in batches], 3)
     assert dict(((u, a), n) for u, a, n in first[0]) == counts
     assert {u for u, _ in first[1]} == blocked
+
+
+def test_rocksdb_state_store_gives_the_same_totals(spark):
+    from shoplens.session import ROCKSDB_PROVIDER
+    batches = [[(T0 + 1, "north", "bj", "u1", "1"), (T0 + 2, "north", "tj", "u1", "2")],
+               [(T0 + 3, "north", "bj", "u2", "1")]]
+    src, out = _write_batches(batches), _out()
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB_PROVIDER)          # read when the query starts
+    try:
+        q = streaming.run_daily_totals(_clicks_stream(spark, src), out, tz="UTC", trigger=NOW,
+                                       state_partitions=2)
+        q.awaitTermination()
+        assert q.exception() is None
+    finally:
+        spark.conf.set(key, old)
+    expected = ads.daily_area_city(clicks_df(spark, [r for b in batches for r in b]), "UTC")
+    assert sorted(map(tuple, streaming.read_daily_totals(spark, out).collect())) == \
+        sorted(map(tuple, expected.collect()))
