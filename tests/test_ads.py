@@ -67,3 +67,22 @@ def test_buckets_and_trend(spark):
     docs = {r.window_end_ms - edge: r.trend_json
             for r in ads.trend_json(trend, "mm:ss", "UTC").collect()}
     assert docs[60_000] == '[{"00:00":2},{"00:10":1}]'
+
+
+def test_time_arithmetic_matches_python(spark):
+    import datetime as dt
+    import random
+    from zoneinfo import ZoneInfo
+    from pyspark.sql import functions as F
+    from shoplens.functions.time import bucket_start, day_of, local_date_of
+    rnd = random.Random(7)
+    values = [rnd.randrange(-2_000_000_000_000, 4_000_000_000_000) for _ in range(300)] + [0, -1, 86_399_999]
+    df = spark.createDataFrame([(v,) for v in values], "ms long")
+    rows = df.select("ms", bucket_start("ms", 10_000).alias("b"), day_of("ms", "UTC").alias("d"),
+                     F.date_format(local_date_of("ms", "Asia/Shanghai"), "yyyy-MM-dd").alias("s")).collect()
+    epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    for r in rows:
+        t = epoch + dt.timedelta(milliseconds=r.ms)
+        assert r.b == r.ms - r.ms % 10_000                  # Python % floors, like pmod here
+        assert r.d == t.strftime("%Y-%m-%d")
+        assert r.s == t.astimezone(ZoneInfo("Asia/Shanghai")).strftime("%Y-%m-%d")
