@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from shoplens import streaming
 from shoplens.operators import ads, blacklist
 from shoplens.sinks.changes import batch_ids, compact_changes, read_changes
@@ -232,3 +234,19 @@ def test_rocksdb_state_store_gives_the_same_totals(spark):
     expected = ads.daily_area_city(clicks_df(spark, [r for b in batches for r in b]), "UTC")
     assert sorted(map(tuple, streaming.read_daily_totals(spark, out).collect())) == \
         sorted(map(tuple, expected.collect()))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_blacklist_stream_random_batches_match_loop(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    batches = [[(T0 + i, "a", "c", rnd.choice(["u1", "u2", "u3"]), rnd.choice(["x", "y"]))
+                for i in range(rnd.randint(1, 8))] for _ in range(4)]
+    out = _out()
+    q = streaming.run_blacklist(_clicks_stream(spark, _write_batches(batches)), out, threshold=3,
+                                trigger=NOW, state_partitions=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    counts, blocked = model_loop([[(r[3], r[4]) for r in b] for b in batches], 3)
+    assert {(r.userid, r.adid): r.clicks for r in streaming.read_user_ad_counts(spark, out).collect()} == counts
+    assert {r.userid for r in streaming.read_blacklist(spark, out).collect()} == blocked
