@@ -3,6 +3,8 @@ plan (after AQE) at a given scale: parquet scans and their read schemas, pushed
 filters, shuffles, broadcasts, reused exchanges, partial top-k and aggregates.
 
     python tools/plan_report.py [/root/testdata/sf0.01] > PLANS.md
+
+The full ``explain("formatted")`` final plans of a few key queries follow the table.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from shoplens.session import build_session  # noqa: E402
 
+FORMATTED = ("category_session_top10", "page_jump_rate", "blacklist_accepted_counts")
+
 
 def final_plan(plan: str) -> str:
     """The final (post-AQE) part of an adaptive plan string."""
@@ -61,6 +65,13 @@ def main() -> None:
         pushed = "<br>".join(f"`{f}`" for f in s["pushed"]) or "—"
         print(f"| {name} | {scans} | {pushed} | {s['exchanges']} | {s['broadcasts']} | {s['reused']} | "
               f"{s['partial_aggs']} | {s['partial_topk']} | {joins} |")
+    for name in FORMATTED:
+        df = E.queries()[name](spark, sf)
+        df.collect()
+        text = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        final = text.split("== Initial Plan ==", 1)[0] if "== Initial Plan ==" in text else text
+        print(f"\n## `{name}` (formatted, final plan)\n\n```\n{final.strip()}\n```")
     spark.stop()
 
 
