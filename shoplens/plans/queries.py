@@ -189,7 +189,7 @@ def blacklist_accepted_counts(spark, sf_dir):
 # ---- streaming twins -------------------------------------------------------------
 # The events table is read as a file stream, turned into ad-click lines and parsed
 # back, then fed to the streaming job under an availableNow trigger; the result is
-# read from the job's snapshot. Output folders are unique per call, below the
+# read from the job's change log. Output folders are unique per call, below the
 # shared checkpoint folder.
 def stream_clicks(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
