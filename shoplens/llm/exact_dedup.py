@@ -52,7 +52,9 @@ class DigestIndex:
     def ingest(self, rows: DataFrame) -> None:
         """Append the digests of ``rows`` (digest, doc_id) that the index lacks, each
         with its smallest doc_id."""
-        new = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
+        # written first: the optimiser would move the anti join below the aggregate, to where
+        # all rows of a hot digest still are
+        new = written(rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id")), "new_digests")
         fresh = new.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
         (fresh.write.mode("append").format("parquet").option("path", self.path)
          .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
