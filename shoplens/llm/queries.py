@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import bpe, exact_dedup, packing, token_counts, token_store
+from shoplens.llm import bpe, exact_dedup, langid, packing, quality, simhash, token_counts, token_store
 from shoplens.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,18 @@ def op6_token_ids(spark, sf_dir):
     docs = documents(spark, sf_dir)
     store = token_store.write_store(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return store.lookup(docs)
+
+
+@query
+def op7_quality_rules(spark, sf_dir):
+    return quality.measure(documents(spark, sf_dir))
+
+
+@query
+def op9_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    return langid.predict_languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
