@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import bpe, exact_dedup, langid, packing, quality, simhash, token_counts, token_store
+from shoplens.llm import bpe, exact_dedup, langid, packing, quality, simhash, suffix_dedup, token_counts, token_store
 from shoplens.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,11 @@ def op7_quality_rules(spark, sf_dir):
     return quality.measure(documents(spark, sf_dir))
 
 
+@query
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.removed_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
