@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import bpe, exact_dedup, langid, packing, quality, simhash, suffix_dedup, token_counts, token_store
+from shoplens.llm import bpe, exact_dedup, langid, lbl, packing, quality, simhash, suffix_dedup, token_counts, token_store
 from shoplens.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ FROM d
 """
 
 
+@query
+def op4_lbl_scores(spark, sf_dir):
+    return lbl.score_documents(documents(spark, sf_dir))
+
+
 @query
 def op5_byte_bpe(spark, sf_dir):
     return bpe.encode_and_decode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
