@@ -41,7 +41,7 @@ CONTEXT = 2
 DIM = 24
 NOISE = 32
 BATCH = 2048
-RATE = 0.1
+RATE = 0.05
 SEED = 7
 FLUSH_WORDS = 300_000
 BLOCK_TOKENS = 200_000
@@ -109,7 +109,7 @@ class Trainer:
         self.noise_p, self.log_noise = unigram, np.log(NOISE * unigram).astype(np.float32)
         self.cumulative = np.cumsum(unigram)
         self.rng = np.random.default_rng(seed)
-        self.squares = [np.full_like(x, 1e-2) for x in (self.p.r, self.p.q, self.p.c, self.p.b)]
+        self.squares = [np.full_like(x, 1e-8) for x in (self.p.r, self.p.q, self.p.c, self.p.b)]
 
     def step(self, ids: np.ndarray, history: np.ndarray) -> None:
         p, n = self.p, len(ids)
