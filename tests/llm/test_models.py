@@ -1,0 +1,270 @@
+"""Quality rules, language identification, language-model scoring, packing, pipeline."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from shoplens.llm import langid, lbl, packing, quality
+from shoplens.llm.queries import QUERIES, SQL
+from tests.conftest import SF_SMALL
+from tests.llm.conftest import ODD_TEXTS, table, words
+
+
+# ---- quality -------------------------------------------------------------------
+def brute_repeats(w):
+    def common(i, j):
+        n = 0
+        while i + n < len(w) and j + n < len(w) and w[i + n] == w[j + n]:
+            n += 1
+        return n
+    return [max((common(i, j) for j in range(len(w)) if j != i), default=0) for i in range(len(w))]
+
+
+def test_repeat_lengths():
+    rnd = random.Random(0)
+    for _ in range(300):
+        w = [rnd.randint(0, 3) for _ in range(rnd.randint(0, 30))]
+        assert quality.repeat_lengths(np.array(w, np.int64)).tolist() == brute_repeats(w)
+
+
+def test_measures_equal_brute_force(spark, monkeypatch):
+    rnd = random.Random(6)
+    phrase = words(rnd, 12)
+    texts = ODD_TEXTS + [" ".join([words(rnd, 30), phrase, words(rnd, rnd.randint(0, 60)), phrase]) for _ in range(8)]
+    texts += ["line one | two\nline one | two\n\n  \nline " + words(rnd, 40), words(rnd, 200, "ab")]
+    monkeypatch.setattr(quality, "BATCH_WORDS", 100)
+    got = {r.doc_id: r for r in quality.measure(table(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        windows = Counter(tuple(w[k:k + 8]) for k in range(len(w) - 7))
+        marked = set()
+        for k in range(len(w) - 7):
+            if windows[tuple(w[k:k + 8])] > 1:
+                marked.update(range(k, k + 8))
+        base = len(w) < 20 or 100 * len(marked) > 30 * len(w)
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (
+            len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(marked), base)
+        assert r.longest_repeat == max(brute_repeats(w), default=0)
+        assert not (base and r.kept)
+
+
+def test_repetitive_documents_go_and_clean_ones_stay(spark):
+    rnd = random.Random(8)
+    clean = [words(rnd, 200, "abcdefghij") for _ in range(5)]
+    block = words(rnd, 120, "abcdefghij")
+    df = table(spark, clean + [block + " " + words(rnd, 700, "abcdefghij") + " " + block, None, "too short"])
+    kept = quality.passing_documents(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 5]
+    monkey = quality.judge([block + " " + block + " " + words(rnd, 50)])
+    assert monkey["kept"] == [False]
+    long = quality.judge([block + " " + words(rnd, 300) + " " + block + " " + words(rnd, 400)])
+    assert long["longest_repeat"] == [120]
+    assert quality.passing_documents(df.limit(0)).count() == 0
+
+
+def test_longest_repeat_rule(monkeypatch):
+    rnd = random.Random(8)
+    block = words(rnd, 60, "abcdefghij")
+    text = block + " " + words(rnd, 150, "abcdefghij") + " " + block
+    monkeypatch.setattr(quality, "MAX_REPEAT_PERCENT", 100)
+    monkeypatch.setattr(quality, "MAX_COVERED", 1.0)
+    assert quality.judge([text])["kept"] == [False]
+    monkeypatch.setattr(quality, "MAX_LONGEST", 0.9)
+    assert quality.judge([text])["kept"] == [True]
+
+
+# ---- language ------------------------------------------------------------------
+LANGS = {"aa": "abcde ", "bb": "vwxyz ", "cc": "éèàç "}
+
+
+def test_kneser_ney_sums_to_one():
+    text = langid.normalised("the cat sat on the mat. the hat!")
+    model = langid.train([text], 3)
+    symbols = np.unique(np.append(text, [32]))
+    scorer = langid.Scorer({"x": model}, 3)
+    for context in ([0, 0], [ord("t"), ord("h")], [ord("q"), ord("a")], [ord("e"), 32]):
+        codes = np.array([x for s in symbols.tolist() for x in (*context, s)], np.uint64)
+        p = np.exp(scorer._compute(codes, np.arange(2, len(codes), 3))[:, 0]).sum()
+        unseen = math.exp(model[0][0][0])
+        assert p <= 1 + 1e-9 and p > 1 - 60 * unseen
+
+
+def test_languages_and_defined_cases(spark):
+    rnd = random.Random(5)
+    names = sorted(LANGS)
+    truth = [names[i % 3] for i in range(240)]
+    texts = [words(rnd, 25, LANGS[x]) for x in truth] + ODD_TEXTS
+    ids = list(range(len(texts)))
+    df = table(spark, texts, ids, truth + [None] * len(ODD_TEXTS))
+    got = {r.doc_id: r for r in langid.predict_languages(df).collect()}
+    for i, t in enumerate(texts):
+        held = zlib.crc32(str(i).encode()) % 4 == 2
+        assert got[i].held_out == held and 0 <= got[i].score <= 1
+        if t is None or not any(c.isalpha() for c in t):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+        else:
+            assert got[i].lang_pred in LANGS
+    assert all(got[i].lang_pred == truth[i] for i in range(240))
+    foreign = next(i for i, t in enumerate(texts) if t and t.startswith("你好"))
+    assert got[foreign].rejected
+    none = langid.predict_languages(table(spark, texts, [None] * len(texts), truth + [None] * len(ODD_TEXTS)))
+    assert {r.lang_pred for r in none.collect()} == {"und"}
+    assert langid.predict_languages(df.limit(0)).count() == 0
+
+
+def test_language_accuracy_on_held_out_rows(spark):
+    got = QUERIES["op10_language_id"](spark, SF_SMALL).where("held_out")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "lang")
+    right = got.join(docs, "doc_id").select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right >= 0.95
+
+
+# ---- language model ------------------------------------------------------------
+def test_scores(spark):
+    rnd = random.Random(3)
+    texts = [words(rnd, rnd.randint(0, 60), "ab") for _ in range(80)] + ODD_TEXTS
+    got = {r.doc_id: r for r in lbl.score_documents(table(spark, texts), words=5, frequent=9).collect()}
+    split = [re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) + [None]
+             for t in texts]
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
+    counts = Counter(w for s, h in zip(split, held) if not h for w in s)
+    n, v = sum(counts.values()), len(counts)
+    for i, s in enumerate(split):
+        r = got[i]
+        base = sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in s)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(s), sum(counts[w] > 0 for w in s), n)
+        assert r.base_score == pytest.approx(base, abs=1e-9)
+        assert r.score < 0
+
+
+def test_log_probabilities_are_normalised():
+    facts = ([(b"aa", 9), (b"ab", 4), (b"c", 2)], 2, 20, 5, 3, np.zeros(256), np.zeros(256))
+    vocabulary = lbl.Vocabulary(*facts)
+    p = lbl.Parameters.initial(vocabulary.unigram, dim=4)
+    trainer = lbl.Trainer(p, vocabulary.unigram, 1)
+    ids = np.array([257, 258, 100, 257, 0, 258, 0])
+    trainer.run(ids, np.array([0, 5]))
+    rows = len(vocabulary.unigram)
+    probe = np.concatenate([[257, 100, r] for r in range(rows)])
+    logs = lbl.Scorer(trainer.p).log_probs(probe, np.arange(0, 3 * rows, 3))
+    assert np.exp(logs[2::3]).sum() == pytest.approx(1.0, abs=1e-4)
+
+
+def test_training_beats_unigram():
+    rng = np.random.default_rng(0)
+    ids = np.zeros(60_000, np.int64)
+    for i in range(1, len(ids)):  # a chain that mostly counts up
+        ids[i] = (ids[i - 1] + 1) % 20 if rng.random() < 0.8 else rng.integers(20)
+    unigram = np.full(20, 1 / 20)
+    p = lbl.Parameters.initial(unigram)
+    starts = np.arange(0, len(ids), 100)
+    trainer = lbl.Trainer(p, unigram, 1)
+    trainer.run(ids, starts)
+    assert lbl.Scorer(trainer.p).log_probs(ids, starts).mean() > math.log(1 / 20) + 0.5
+
+
+def test_scores_without_training_rows(spark):
+    got = lbl.score_documents(table(spark, ["a b", None], [None, None])).collect()
+    assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.held_out) for r in got) == [(1, 0, 0, False), (3, 0, 0, False)]
+    assert lbl.score_documents(table(spark, ["a"]).limit(0)).count() == 0
+
+
+# ---- packing -------------------------------------------------------------------
+def test_pack_is_valid_and_near_the_bound():
+    rnd = random.Random(1)
+    for n in (0, 1, 5, 300):
+        lengths = [rnd.choice([1, rnd.randint(1, 4096), rnd.randint(1, 300)]) for _ in range(n)]
+        bins, offsets, caps = packing.pack(lengths)
+        used = Counter()
+        spans = {}
+        for k, (b, o, size) in enumerate(zip(bins, offsets, lengths)):
+            used[b] += size
+            spans.setdefault(b, []).append((o, o + size))
+        for b, s in spans.items():
+            s.sort()
+            assert s[0][0] == 0 and all(x[1] == y[0] for x, y in zip(s, s[1:]))
+            assert s[-1][1] == used[b] <= caps[b]
+            assert caps[b] == min(c for c in packing.CAPACITIES if c >= used[b])
+        assert set(spans) == set(range(len(caps)))
+        if n == 300:
+            assert caps.sum() < 1.05 * sum(lengths)
+
+
+def test_pack_against_all_partitions():
+    def partitions(items):
+        if not items:
+            yield []
+            return
+        head, *rest = items
+        for p in partitions(rest):
+            for i in range(len(p)):
+                yield p[:i] + [p[i] + [head]] + p[i + 1:]
+            yield [[head]] + p
+    rnd = random.Random(2)
+    caps, ratio = (8, 16, 32), []
+    for _ in range(40):
+        lengths = [rnd.randint(1, 20) for _ in range(6)]
+        cost = lambda sums: sum(packing.sequence_cost(min(c for c in caps if c >= x)) for x in sums)
+        best = min(cost([sum(b) for b in p]) for p in partitions(lengths) if all(sum(b) <= 32 for b in p))
+        _, _, got = packing.pack(lengths, caps)
+        ratio.append(sum(map(packing.sequence_cost, got)) / best)
+    assert min(ratio) == pytest.approx(1.0) and max(ratio) < 1.6 and sum(ratio) / len(ratio) < 1.1
+
+
+def test_packed_table_holds_every_token_once(spark):
+    texts = ODD_TEXTS + ["w " * 10_000, "same row", "same row"]
+    ids = [*range(len(ODD_TEXTS)), 100, 101, 101]
+    got = packing.best_fit_pack(table(spark, texts, ids), group_pieces=5).toPandas()
+    for i, t in zip(ids[:-2], texts):
+        own = got[got.doc_id == i].sort_values("first_token")
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) + 1
+        assert own.n_tokens.sum() == n and (own.first_token.tolist() == list(range(0, n, 4096)))
+    assert sorted(got[got.doc_id == 101]["copy"]) == [0, 1]
+    by_bin = got.groupby(["pack_group", "bin"])
+    assert (by_bin.n_tokens.sum() == by_bin.bin_used.first()).all()
+    assert packing.best_fit_pack(table(spark, ["a"]).limit(0)).count() == 0
+
+
+# ---- registration and pipeline -------------------------------------------------
+def test_every_operator_has_one_query():
+    assert sorted(QUERIES) == sorted({q for q in QUERIES if re.match(r"op\d+_", q)})
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert set(SQL) <= set(QUERIES)
+
+
+def test_pipeline_stages_take_effect(spark):
+    rnd = random.Random(11)
+    clean = [words(rnd, 150, "abcdefghijk") for _ in range(6)]
+    passage = words(rnd, 120, "lmnopqrst")
+    texts = clean + [clean[0].replace(" ", " \n", 3), "short", None, "again " * 100, clean[1] + " " + passage, clean[2] + " " + passage]
+    rows = table(spark, texts)
+    counts = []
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, rows, SF_SMALL)
+        counts.append(rows.count())
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert rows.columns == table(spark, []).columns
+        if name == "suffix-array dedup":
+            assert not any(passage in (r.text or "") for r in rows.collect())
+    assert counts[:4] == [9, 8, 8, 8]
+    assert 8 <= counts[4]
+
+
+def test_pipeline_runs_on_the_documents_and_on_nothing(spark):
+    out = corpus_pipeline.run(spark, SF_SMALL)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert 0 < out.select("doc_id").distinct().count() < docs.count()
+    rows = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, rows, SF_SMALL)
+    assert rows.count() == 0
