@@ -55,9 +55,8 @@ def op5_byte_bpe(spark, sf_dir):
 
 @query
 def op6_token_ids(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    store = token_store.write_store(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return store.lookup(docs)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_store.write_store(documents(spark, sf_dir), path, end_id=2).read_all()
 
 
 @query

@@ -35,11 +35,15 @@ _SPACE = frozenset(" \t\n\x0b\x0c\r")
 _MEMOS: dict = {}
 
 
+# The splitting pattern of the vocabulary on lower-case printable ASCII, with white
+# space (which it drops) left out.
+ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
+MEMO_WORDS = 600_000
+
+
 def _memo(path: str) -> WordMemo:
     if path not in _MEMOS:
-        tok = library_tokenizer(path)
-        _MEMOS[path] = WordMemo(
-            lambda words: [len(e.ids) for e in tok.encode_batch(words, add_special_tokens=False)])
+        _MEMOS[path] = WordMemo(path, ASCII_PIECES, pack=len, fold=str.lower, limit=MEMO_WORDS)
     return _MEMOS[path]
 
 
@@ -51,7 +55,8 @@ def _count_short(path: str):
             for t in b.column("text").to_pylist():
                 words += t.encode().split()
                 ends.append(len(words))
-            sums = np.concatenate([[0], np.cumsum(memo.values_of(words), dtype=np.int64)])
+            counts = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+            sums = np.concatenate([[0], np.cumsum(counts)])
             at = np.array([0, *ends])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("n_bytes"), pa.array(sums[at[1:]] - sums[at[:-1]], pa.int64())],

@@ -6,6 +6,7 @@ system and lost executors are covered), sorted by document key inside a shard:
     part        group of keys the shard belongs to (a range of keys)
     no          number of the shard in its part
     min_key, max_key, n_docs, n_ids
+    keys        the document keys in order, little-endian int64, to list a shard
     payload     ids of all documents, one after another, little-endian unsigned,
                 2 bytes an id where the vocabulary allows it, else 4 (``width``)
     seeds       displacement of each hash bucket, little-endian int32
@@ -13,8 +14,8 @@ system and lost executors are covered), sorted by document key inside a shard:
                 offset (uint64), length (uint32), fingerprint (uint32)
 
 A key is looked up in constant time: hash -> bucket -> displacement -> slot ->
-fingerprint check -> slice of the payload. Keys themselves aren't stored; a
-foreign key is refused by its fingerprint but for 1 in 2^32.
+fingerprint check -> slice of the payload. A foreign key is refused by its
+fingerprint but for 1 in 2^32.
 
 Key ranges come from quantiles of the ids, so documents are tokenised once and
 shuffled once; a task holds one shard at a time (``shard_ids`` ids or one document).
@@ -26,6 +27,7 @@ null doc_id are kept under the null key. An empty table gives an empty store.
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -37,7 +39,9 @@ from shoplens.llm.tables import texts, written
 from shoplens.llm.tokenizer_memo import WordMemo, library_tokenizer
 
 SHARD_IDS = 1 << 20
-PART_DOCS = 2000
+PART_DOCS = 500
+PARTS_TO_A_TASK = 4
+MAX_PARTS = 20_000  # beyond that parts grow; a task still holds one shard at a time
 NULL_KEY = -(1 << 63)
 _U64 = (1 << 64) - 1
 _SLOT = np.dtype([("offset", "<u8"), ("length", "<u4"), ("mark", "<u4")])
@@ -125,51 +129,92 @@ class Shard:
 
 
 # ---- encoding ------------------------------------------------------------------
-_MEMOS: dict = {}
-
-
-def _memo(path: str, width: int) -> WordMemo:
-    if (path, width) not in _MEMOS:
-        tok = library_tokenizer(path)
-        _MEMOS[path, width] = WordMemo(
-            lambda words: [np.array(e.ids, f"<u{width}").tobytes()
-                           for e in tok.encode_batch(words, add_special_tokens=False)])
-    return _MEMOS[path, width]
+# The splitting pattern of byte-level BPE on printable ASCII after at most one space.
+ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+"
+MEMO_WORDS = 800_000
+_WORKER: dict = {}
+
+
+class TextCoder:
+    """Ids of whole texts, packed. A text is cut before each single space and around
+    each single line feed that stand between two characters other than white
+    space: the splitting pattern of byte-level BPE starts a piece there whatever
+    surrounds it, so what lies between is encoded on its own, and remembered."""
+
+    # Other white space than single spaces and line feeds inside the text; beyond ASCII,
+    # by leading bytes.
+    SINGLE = (b"\t", b"\x0b", b"\x0c", b"\r")
+    PAIRS = (b"  ", b" \n", b"\n ", b"\n\n")
+    WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80")
+
+    def __init__(self, path: str, width: int):
+        letter = {2: "H", 4: "I"}[width]
+        pack = lambda ids: struct.pack(f"<{len(ids)}{letter}", *ids)
+        self.first = WordMemo(path, ASCII_PIECES, pack, limit=MEMO_WORDS // 4)
+        self.after_space = WordMemo(path, ASCII_PIECES, pack, before=b" ", limit=MEMO_WORDS)
+        self.line_feed = pack(library_tokenizer(path).encode("\n", add_special_tokens=False).ids)
+
+    def _odd(self, text: bytes) -> bool:
+        return (text[:1].isspace() or text[-1:].isspace() or any(x in text for x in self.SINGLE)
+                or any(x in text for x in self.PAIRS) or (not text.isascii() and any(x in text for x in self.WIDE)))
+
+    def encode(self, text: bytes) -> bytes:
+        after_space = self.after_space.__getitem__
+        if self._odd(text):
+            first, *rest = units(text)
+            return self.first[first] + b"".join(map(after_space, rest))
+        lines = []
+        for line in text.split(b"\n"):
+            words = line.split(b" ")
+            words[1:] = map(after_space, words[1:])
+            words[0] = self.first[words[0]]
+            lines.append(b"".join(words))
+        return self.line_feed.join(lines)
 
 
 def units(text: bytes) -> list[bytes]:
-    """Cuts before each single space that stands between two characters other than
-    ASCII white space. The pattern of byte-level BPE starts a piece at such a space,
-    whatever surrounds it, so the units are encoded independently."""
-    parts = text.split(b" ")
-    out = [parts[0]]
-    for part in parts[1:]:
-        if part and out[-1] and part[0] not in b"\t\n\x0b\x0c\r" and out[-1][-1] not in b" \t\n\x0b\x0c\r":
-            out.append(b" " + part)
+    """``text`` cut at each single space between two characters other than white space
+    (of any script), without those spaces; other white space stays inside the units."""
+    head, *parts = text.decode().split(" ")
+    out = [head]
+    for part in parts:
+        if part and out[-1] and not part[0].isspace() and not out[-1][-1].isspace():
+            out.append(part)
         else:
-            out[-1] += b" " + part
-    return out
+            out[-1] += " " + part
+    return [u.encode() for u in out]
+
 
+def _coder(path: str, width: int) -> TextCoder:
+    if (path, width) not in _WORKER:
+        _WORKER[path, width] = TextCoder(path, width)
+    return _WORKER[path, width]
 
-def _tokenise(path: str, end_id: int, width: int):
+
+def _tokenise(path: str, end_id: int, width: int, bounds: np.ndarray):
     def run(batches):
-        memo, end = _memo(path, width), np.array([end_id], f"<u{width}").tobytes()
+        coder, end = _coder(path, width), np.array([end_id], f"<u{width}").tobytes()
         for b in batches:
-            all_units, ends = [], []
-            for t in b.column("text").to_pylist():
-                all_units += units(t.encode())
-                ends.append(len(all_units))
-            codes, start, out = memo.values_of(all_units), 0, []
-            for stop in ends:
-                out.append(b"".join(codes[start:stop]) + end)
-                start = stop
-            yield pa.RecordBatch.from_arrays([b.column("part"), b.column("key"), pa.array(out, pa.binary())],
+            codes = [coder.encode(t.encode()) + end for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([_part_of(bounds, b.column("key")), b.column("key"), pa.array(codes, pa.binary())],
                                              names=["part", "key", "ids"])
     return run
 
 
+def _part_of(bounds: np.ndarray, keys) -> pa.Array:
+    """Number of the key range that each key lies in."""
+    return pa.array(np.searchsorted(bounds, keys.to_numpy(zero_copy_only=False), side="right").astype(np.int64))
+
+
+def _route(bounds: np.ndarray):
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([_part_of(bounds, b.column("key")), b.column("key")], names=["part", "key"])
+    return run
+
+
 _SHARD_DDL = ("part bigint, no bigint, min_key bigint, max_key bigint, n_docs bigint, n_ids bigint, width int, "
-              "payload binary, seeds binary, slots binary")
+              "keys binary, payload binary, seeds binary, slots binary")
 
 
 def _shards(width: int, shard_ids: int):
@@ -178,7 +223,8 @@ def _shards(width: int, shard_ids: int):
         seeds, slots = build_index(np.array(keys, np.int64), np.array(lengths, np.int64))
         return pa.RecordBatch.from_pydict(
             {"part": [part], "no": [no], "min_key": [keys[0]], "max_key": [keys[-1]], "n_docs": [len(keys)],
-             "n_ids": [sum(lengths)], "width": pa.array([width], pa.int32()), "payload": pa.array([b"".join(blobs)], pa.binary()),
+             "n_ids": [sum(lengths)], "width": pa.array([width], pa.int32()),
+             "keys": pa.array([np.array(keys, "<i8").tobytes()], pa.binary()), "payload": pa.array([b"".join(blobs)], pa.binary()),
              "seeds": pa.array([seeds], pa.binary()), "slots": pa.array([slots], pa.binary())})
 
     def run(batches):
@@ -205,17 +251,11 @@ def _shards(width: int, shard_ids: int):
     return run
 
 
-def _part_of(bounds: list[int]):
-    """Number of the key range that ``key`` lies in."""
-    edges = F.array(*[F.lit(x).cast("bigint") for x in bounds]) if bounds else F.array().cast("array<bigint>")
-    return F.aggregate(edges, F.lit(0).cast("bigint"), lambda n, x: n + (x <= F.col("key")).cast("bigint"))
-
-
 class TokenStore:
     """A written store: ``shards`` (the files), and the bounds of its key ranges."""
 
     def __init__(self, shards: DataFrame, bounds: list[int]):
-        self.shards, self.bounds = shards, bounds
+        self.shards, self.bounds = shards, np.array(bounds, np.int64)
 
     def starts(self) -> DataFrame:
         """(part, no, min_key, max_key, start): ids of all shards before each. Sums run
@@ -230,40 +270,65 @@ class TokenStore:
                 .join(before, "block").select("part", "no", "min_key", "max_key",
                                               (F.col("before") + F.col("within")).alias("start")))
 
+    def _placed(self, found: DataFrame) -> DataFrame:
+        starts = self.starts().select("part", "no", "start")
+        doc_id = F.when(F.col("key") != NULL_KEY, F.col("key"))
+        return found.join(starts, ["part", "no"]).select(
+            doc_id.alias("doc_id"), (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+
+    def read_all(self) -> DataFrame:
+        """(doc_id, start, n_tokens, ids_crc32) of every document, each found by its key in
+        its shard; ``start`` counts the ids of all documents before it. No payload is
+        shuffled."""
+        return self._placed(self.shards.select(*_SHARD_READ).mapInArrow(_read_shards, _FOUND_DDL))
+
     def lookup(self, keys: DataFrame) -> DataFrame:
-        """(doc_id, start, n_tokens, ids_crc32) of each distinct ``doc_id`` of ``keys`` that
-        the store holds; ``start`` counts the ids of all documents before it."""
+        """The same for each distinct ``doc_id`` of ``keys`` that the store holds."""
         wanted = (keys.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_KEY)).alias("key")).distinct()
-                  .withColumn("part", _part_of(self.bounds)))
-        routed = wanted.join(self.starts(), "part").where("key between min_key and max_key").select(
-            "part", "no", "start", "key")
+                  .mapInArrow(_route(self.bounds), "part bigint, key bigint"))
+        routed = wanted.join(self.starts(), "part").where("key between min_key and max_key").select("part", "no", "key")
         shards = self.shards.select(F.col("part").alias("s_part"), F.col("no").alias("s_no"),
                                     "width", "payload", "seeds", "slots")
-        return (routed.groupBy("part", "no").cogroup(shards.groupBy("s_part", "s_no"))
-                .applyInPandas(_read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"))
+        return self._placed(routed.groupBy("part", "no").cogroup(shards.groupBy("s_part", "s_no"))
+                            .applyInPandas(_read_keys, _FOUND_DDL))
+
+
+_FOUND_DDL = "part bigint, no bigint, key bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
+_SHARD_READ = ("part", "no", "width", "keys", "payload", "seeds", "slots")
+
+
+def _found(part: int, no: int, keys: np.ndarray, shard: Shard) -> dict:
+    found, offset, length = shard.find(keys)
+    keys, offset, length = keys[found], offset[found], length[found]
+    crc = [zlib.crc32(shard.ids(o, n).tobytes()) for o, n in zip(offset.tolist(), length.tolist())]
+    return {"part": np.full(len(keys), part), "no": np.full(len(keys), no), "key": keys, "offset": offset,
+            "n_tokens": length, "ids_crc32": np.array(crc, np.int64)}
+
+
+def _read_shards(batches):
+    for b in batches:
+        for r in zip(*(b.column(c) for c in _SHARD_READ)):
+            part, no, width, keys, payload, seeds, slots = (x.as_py() for x in r)
+            shard = Shard(payload, seeds, slots, width)
+            yield pa.RecordBatch.from_pydict(_found(part, no, np.frombuffer(keys, "<i8"), shard))
 
 
-def _read(keys: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
+def _read_keys(keys: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
     if keys.empty or shard.empty:
-        return pd.DataFrame({"doc_id": [], "start": [], "n_tokens": [], "ids_crc32": []}, dtype="int64")
-    row = shard.iloc[0]
-    store = Shard(row.payload, row.seeds, row.slots, int(row.width))
-    found, offset, length = store.find(keys["key"].to_numpy())
-    out = pd.DataFrame({"doc_id": keys["key"], "start": keys["start"] + offset, "n_tokens": length})[found]
-    out["ids_crc32"] = [zlib.crc32(store.ids(o, n).tobytes()) for o, n in zip(offset[found], length[found])]
-    out["doc_id"] = out["doc_id"].astype("Int64").mask(out["doc_id"] == NULL_KEY)
-    return out
+        return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("part", "no", "key", "offset", "n_tokens", "ids_crc32")})
+    row, at = shard.iloc[0], keys.iloc[0]
+    return pd.DataFrame(_found(at.part, at.no, keys["key"].to_numpy(), Shard(row.payload, row.seeds, row.slots, int(row.width))))
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: int = SHARD_IDS,
                 part_docs: int = PART_DOCS) -> TokenStore:
     """Tokenise ``docs`` (doc_id, text), append ``end_id`` to each and write the shards."""
     width = 2 if max(library_tokenizer(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    rows = texts(docs).withColumn("key", F.coalesce("doc_id", F.lit(NULL_KEY)))
-    parts = max(1, -(-rows.count() // part_docs))
-    bounds = sorted({int(x) for x in rows.select("key").approxQuantile(
+    rows = texts(docs).select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("key"), "text")
+    parts = min(MAX_PARTS, max(1, -(-rows.count() // part_docs)))
+    bounds = sorted({int(x) for x in rows.approxQuantile(
         "key", [k / parts for k in range(1, parts)], 0.1 / parts)}) if parts > 1 else []
-    coded = rows.select(_part_of(bounds).alias("part"), "key", "text")
-    ids = coded.mapInArrow(_tokenise(tokenizer_path, end_id, width), "part bigint, key bigint, ids binary")
-    dealt = ids.repartition(max(1, len(bounds) + 1), "part").sortWithinPartitions("part", "key", "ids")
+    ids = rows.mapInArrow(_tokenise(tokenizer_path, end_id, width, np.array(bounds, np.int64)),
+                          "part bigint, key bigint, ids binary")
+    dealt = ids.repartition(-(-parts // PARTS_TO_A_TASK), "part").sortWithinPartitions("part", "key", "ids")
     return TokenStore(written(dealt.mapInArrow(_shards(width, shard_ids), _SHARD_DDL), "token_store"), bounds)

@@ -88,7 +88,9 @@ def test_store_equals_the_library(spark, shard_ids, part_docs):
     keys = rnd.sample(range(-1000, 1 << 40), len(texts))
     df = table(spark, texts, ids=keys)
     tok = Tokenizer.from_file(BYTE)
-    got = {r.doc_id: r for r in token_store.write_store(df, BYTE, 2, shard_ids, part_docs).lookup(df).collect()}
+    store = token_store.write_store(df, BYTE, 2, shard_ids, part_docs)
+    got = {r.doc_id: r for r in store.lookup(df).collect()}
+    assert got == {r.doc_id: r for r in store.read_all().collect()}
     start = 0
     for key, t in sorted(zip(keys, texts)):
         ids = tok.encode(t or "", add_special_tokens=False).ids + [2]
@@ -105,17 +107,25 @@ def test_store_null_repeated_and_foreign_keys(spark):
     assert got[5].n_tokens == len(Tokenizer.from_file(BYTE).encode("b c").ids) + 1 + 2
     assert (got[None].start, got[None].n_tokens) == (0, 2)
     empty = token_store.write_store(df.limit(0), BYTE, 2)
-    assert empty.lookup(df).count() == 0
+    assert empty.lookup(df).count() == empty.read_all().count() == 0
 
 
 def test_units_are_encoded_independently():
-    tok, rnd = Tokenizer.from_file(BYTE), random.Random(2)
-    for _ in range(500):
-        t = "".join(rnd.choice("ab'st1 .\n\t\xa0é  ") for _ in range(rnd.randint(0, 30)))
-        parts = token_store.units(t.encode())
-        assert b"".join(parts) == t.encode()
-        ids = [i for p in parts for i in tok.encode(p.decode(), add_special_tokens=False).ids]
-        assert ids == tok.encode(t, add_special_tokens=False).ids
+    tok, rnd, coder = Tokenizer.from_file(BYTE), random.Random(2), token_store.TextCoder(BYTE, 2)
+    assert coder.first.cut and coder.after_space.cut and token_counts._memo(WORD).cut
+    for k in range(3000):
+        t = "".join(rnd.choice("ab'st1 .\n\t\x0b\xa0\x1cé  " if k % 2 else "abTÉ×ß's.,| \nl") for _ in range(rnd.randint(0, 30)))
+        assert b" ".join(token_store.units(t.encode())) == t.encode()
+        ids = np.frombuffer(coder.encode(t.encode()), "<u2").tolist()
+        assert ids == tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_word_memo_equals_the_library():
+    rnd = random.Random(4)
+    tok, memo = Tokenizer.from_file(WORD), token_counts._memo(WORD)
+    for _ in range(5000):
+        w = "".join(rnd.choice("abSTé×ÿßÀ'.,|1<>_Σǅ́") for _ in range(rnd.randint(1, 9)))
+        assert memo[w.encode()] == len(tok.encode(w, add_special_tokens=False).ids), w
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 100, 5000])
