@@ -310,7 +310,7 @@ def _covered(docs: DataFrame, length: int, size: int, bucket: int):
     marks = written(marks.join(shared, "h", "left_semi").withColumn("bucket", F.expr("unhex(lpad(hex(h), 16, '0'))")).drop("h"),
                     "marks")
     contexts = written(marks.groupBy("bucket", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "sha", "pos")).alias("at")), "contexts")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "sha", "pos", "lone")).alias("at")), "contexts")
     contested = contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     wanted = (contexts.join(contested, "bucket").groupBy(F.col("at.key").alias("key"), F.col("at.sha").alias("sha"))
               .agg(F.collect_list(F.struct("bucket", "context", F.col("at.pos").alias("pos"))).alias("wanted")))
@@ -321,8 +321,10 @@ def _covered(docs: DataFrame, length: int, size: int, bucket: int):
     many = contexts.where("n > 1").select("bucket", "context")
     whole = marks.where("lone").join(many, ["bucket", "context"], "left_semi").where(left + right >= length).select(
         "key", "sha", (F.col("pos") - left).alias("start"), (F.col("pos") + right).alias("end"))
-    part = marks.where("lone").join(solved, ["bucket", "context"]).select(
-        "key", "sha", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end"))
+    # a context held twice is covered whole; for the others the one place they are at is known
+    once = contexts.where("n = 1 and at.lone").join(solved, ["bucket", "context"])
+    part = once.select(F.col("at.key").alias("key"), F.col("at.sha").alias("sha"),
+                       (F.col("at.pos") - F.col("left")).alias("start"), (F.col("at.pos") + F.col("right")).alias("end"))
     spans = whole.unionByName(part).groupBy("key", "sha").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     scan = scan.drop("anchors").join(firsts.select("sha", "copies"), "sha")
     return scan, written(spans, "spans")
