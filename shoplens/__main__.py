@@ -7,7 +7,8 @@
     python -m shoplens blacklist   --format text --path /shop/ads/lines --out /shop/ads/blacklist --threshold 100
 
 Batch jobs write to a catalog table (default) or over JDBC (``--sink jdbc --option url=...``);
-streaming jobs run until stopped (or ``--available-now``) and write snapshots under ``--out``.
+streaming jobs run until stopped (or ``--available-now``), write change logs under ``--out`` and
+keep rejected lines under ``--rejects``.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from shoplens import streaming
 from shoplens.defaults import BLACKLIST_THRESHOLD, TREND_BUCKET_MS
 from shoplens.plans import jobs
 from shoplens.session import build_session
-from shoplens.sources.clicks import parse_ad_clicks, read_click_lines_stream
+from shoplens.sinks.changes import FOLD_EVERY
+from shoplens.sources.clicks import parse_ad_clicks, read_click_lines_stream, write_rejects_stream
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -43,18 +45,23 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="text", help="click stream source: text or kafka")
     ap.add_argument("--path", help="folder of click-line files (text source)")
     ap.add_argument("--option", action="append", help="key=value; source options or JDBC options")
-    ap.add_argument("--out", help="snapshot folder of a streaming job")
+    ap.add_argument("--out", help="folder of a streaming job's change logs")
     ap.add_argument("--checkpoint", help="default: <out>/_checkpoint")
     ap.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD)
-    ap.add_argument("--tz", default=None)
+    ap.add_argument("--tie", help="column that orders the actions of one second")
+    ap.add_argument("--chunk", default="minute", choices=["day", "hour", "minute", "none"],
+                    help="time slices that long sessions are split into")
+    ap.add_argument("--tz", default=None, help="time zone of the days (ads-daily)")
+    ap.add_argument("--rejects", help="folder of rejected lines; default: <out>/rejects")
+    ap.add_argument("--state-store", default=None, choices=["rocksdb"], help="default: in memory")
     ap.add_argument("--watermark", default=None)
     ap.add_argument("--bucket-ms", type=int, default=TREND_BUCKET_MS)
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--state-partitions", type=int, default=None, help="fixed at the first start")
-    ap.add_argument("--compact-every", type=int, default=None, help="fold change logs every N batches")
+    ap.add_argument("--fold-every", type=int, default=FOLD_EVERY, help="fold change logs every N batches")
     a = ap.parse_args(argv)
 
-    spark = build_session(a.master, app=f"shoplens-{a.job}")
+    spark = build_session(a.master, app=f"shoplens-{a.job}", state_store=a.state_store)
     opts = _options(a.option)
     if a.job == "category-reports":
         targets = tuple(a.target or ("category_top10", "category_top10_session_count"))
@@ -63,12 +70,14 @@ def main(argv: list[str] | None = None) -> int:
     if a.job == "page-jump-rate":
         target = (a.target or ["page_jump_rate"])[0]
         print(jobs.run_page_jump_rate(spark, a.source, a.params, a.sink, target, dedupe=a.dedupe,
-                                      whole_percent=a.whole_percent, **opts))
+                                      whole_percent=a.whole_percent, tie=a.tie,
+                                      chunk=None if a.chunk == "none" else a.chunk, **opts))
         return 0
 
-    clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, a.format, a.path, **opts))
-    common = {"trigger": {"availableNow": True} if a.available_now else None,
-              "state_partitions": a.state_partitions, "compact_every": a.compact_every}
+    clicks, rejects = parse_ad_clicks(read_click_lines_stream(spark, a.format, a.path, **opts))
+    trigger = {"availableNow": True} if a.available_now else streaming.DEFAULT_TRIGGER
+    common = {"trigger": trigger, "state_partitions": a.state_partitions, "fold_every": a.fold_every}
+    kept = write_rejects_stream(rejects, a.rejects or f"{a.out}/rejects", trigger=trigger)
     if a.job == "ads-daily":
         q = streaming.run_daily_totals(clicks, a.out, a.checkpoint, tz=a.tz, watermark=a.watermark,
                                        **common)
@@ -78,7 +87,9 @@ def main(argv: list[str] | None = None) -> int:
     else:
         q = streaming.run_blacklist(clicks, a.out, a.checkpoint, threshold=a.threshold, **common)
     q.awaitTermination()
-    return 0 if q.exception() is None else 1
+    if a.available_now:
+        kept.awaitTermination()
+    return 0 if q.exception() is None and kept.exception() is None else 1
 
 
 if __name__ == "__main__":

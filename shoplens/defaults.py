@@ -13,7 +13,6 @@ TREND_BUCKET_MS = 10_000            # click-trend bucket width, epoch millisecon
 TREND_KEEP = 6                      # buckets kept per trend window, earliest first
 TREND_LABEL = "mm:ss"               # bucket label format in trend documents
 DAY_FORMAT = "yyyy-MM-dd"           # day of an ad click and of an action
-ACTION_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 LINE_SEPARATOR = " "                # fields of an ad-click line: ts area city userid adid
 ID_LIST_SEPARATOR = ","             # order / payment id lists, target page flow
 FLOW_SEPARATOR = "-"                # "x-y" page jump labels

@@ -90,9 +90,26 @@ def trend_json(trend: DataFrame, label_fmt: str = TREND_LABEL, tz: str | None =
                         time_label(x["bucket_ms"], label_fmt, tz), x["clicks"]))).alias("trend_json")))
 
 
-def latest_trend(docs: DataFrame) -> DataFrame:
+def latest_trend(buckets: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLIDE,
+                 keep: int = TREND_KEEP) -> DataFrame:
+    """The rows of ``click_trend`` of each ad's newest window. Every window an ad is in
+    holds one of its buckets, so its newest window is the newest one of its newest
+    bucket: that bucket alone (a partial maximum) is fanned out, and the ad's buckets
+    are joined to the one window found."""
+    newest = buckets.groupBy("adid").agg(F.max("bucket_ms").alias("bucket_ms")).withColumn("clicks", F.lit(0))
+    last = (windows_of(newest, window, slide).groupBy("adid")
+            .agg(F.max(F.struct("window_end_ms", "window_start_ms")).alias("_w"))
+            .select(F.col("adid").alias("_ad"), "_w.window_start_ms", "_w.window_end_ms"))
+    inside = buckets.join(last, F.col("adid").eqNullSafe(F.col("_ad")) & (F.col("bucket_ms") >= F.col("window_start_ms"))
+                          & (F.col("bucket_ms") < F.col("window_end_ms")))
+    order = Window.partitionBy("adid").orderBy("bucket_ms")
+    return (inside.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= keep)
+            .select("window_start_ms", "window_end_ms", "adid", "bucket_ms", "clicks"))
+
+
+def latest_trend_json(buckets: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLIDE,
+                      keep: int = TREND_KEEP, label_fmt: str = TREND_LABEL, tz: str | None = None) -> DataFrame:
     """(adid, window_end_ms, trend_json): per ad only its newest window, the one
     document per ad that the original job keeps (overwritten every batch)."""
-    w = Window.partitionBy("adid").orderBy(F.desc("window_end_ms"))
-    return (docs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-            .select("adid", "window_end_ms", "trend_json"))
+    docs = trend_json(latest_trend(buckets, window, slide, keep), label_fmt, tz)
+    return docs.select("adid", "window_end_ms", "trend_json")

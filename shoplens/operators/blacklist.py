@@ -47,36 +47,32 @@ def _per_batch(clicks: DataFrame, batch_col: str) -> DataFrame:
     return clicks.groupBy("userid", "adid", batch_col).agg(F.count("*").alias("n"))
 
 
-def _with_block_batch(clicks: DataFrame, threshold: int, batch_col: str) -> DataFrame:
-    """Rows (userid, adid, batch, n, block_batch).
-
-    Clicks are first aggregated per (user, ad, batch) with a map-side partial
-    step, so a hot user is already reduced to one row per (ad, batch) before any
-    shuffle. Those rows are then hash-partitioned by user once; the running
-    count per (user, ad), the first crossing per user and the final sums all
-    reuse that partitioning, so no further exchange is needed.
+def _crossings(per: DataFrame, threshold: int, batch_col: str) -> DataFrame:
+    """(userid, block_batch) from clicks per (user, ad, batch).
+
+    The running count is taken per (user, ad), so a hot user is spread over the ads
+    they click; each pair gives its first crossing, and the least one per user is a
+    partial aggregate.
     """
-    per = _per_batch(clicks, batch_col).repartition("userid")
     pair = (Window.partitionBy("userid", "adid").orderBy(batch_col)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    user = Window.partitionBy("userid")
-    crossing = F.when(F.sum("n").over(pair) >= threshold, F.col(batch_col))
-    return (per.withColumn("_crossing", crossing)
-            .withColumn("block_batch", F.min("_crossing").over(user)).drop("_crossing"))
+    return (per.withColumn("_total", F.sum("n").over(pair)).where(F.col("_total") >= threshold)
+            .groupBy("userid").agg(F.min(batch_col).alias("block_batch")))
 
 
 def block_batches(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
                   batch_col: str = "batch") -> DataFrame:
     """(userid, block_batch): the first batch at whose end some (user, ad)
     running count reaches ``threshold``."""
-    return (_with_block_batch(clicks, threshold, batch_col).where(F.col("block_batch").isNotNull())
-            .groupBy("userid").agg(F.min("block_batch").alias("block_batch")))
+    return _crossings(_per_batch(clicks, batch_col), threshold, batch_col)
 
 
 def accepted_counts(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
                     batch_col: str = "batch") -> DataFrame:
     """(userid, adid, clicks) as counted by the micro-batch loop: clicks in
-    batches up to and including the user's blocking batch."""
-    rows = _with_block_batch(clicks, threshold, batch_col)
+    batches up to and including the user's blocking batch. Clicks are aggregated per
+    (user, ad, batch) before they meet the blocking batches."""
+    per = _per_batch(clicks, batch_col)
+    rows = per.join(_crossings(per, threshold, batch_col), "userid", "left")
     kept = rows.where(F.col("block_batch").isNull() | (F.col(batch_col) <= F.col("block_batch")))
     return kept.groupBy("userid", "adid").agg(F.sum("n").alias("clicks"))

@@ -52,15 +52,17 @@ def top_sessions(actions: DataFrame, n_categories: int = TOP_CATEGORIES, n_sessi
     """(category_id, session_id, click_count): in each top category, the
     ``n_sessions`` sessions with most clicks (ties by ``session_id``).
 
-    The category list has at most ``n_categories`` rows (it is a limit), so it
-    is broadcast for a semi join. Counting per (category, session) is a partial
+    The category list computed here has at most ``n_categories`` rows (it is a limit),
+    so it is broadcast for a semi join; a list given by the caller is joined as its
+    size demands. Counting per (category, session) is a partial
     + final hash aggregate; the per-category top-k runs as a WindowGroupLimit
     before and after the shuffle, so a category with a huge number of sessions
     sends only ``n_sessions`` rows per map task.
     """
     if categories is None:
-        categories = top_categories(actions, n_categories)
-    top = F.broadcast(categories.select("category_id"))
+        top = F.broadcast(top_categories(actions, n_categories).select("category_id"))
+    else:
+        top = categories.select("category_id")
     clicks = (actions.where(is_click())
               .select(F.col("click_category_id").cast("string").alias("category_id"), "session_id"))
     counts = (clicks.join(top, "category_id", "left_semi")

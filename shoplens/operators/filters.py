@@ -9,16 +9,17 @@ from shoplens.params import is_not_blank
 
 
 def in_action_time_range(df: DataFrame, start: str | None = None, end: str | None = None,
-                         col: str = "action_time", date_col: str | None = "date") -> DataFrame:
+                         col: str = "action_time", date_col: str | None = None) -> DataFrame:
     """Inclusive ``start <= action_time <= end``; a blank bound is skipped.
 
     The comparison is on the string, as the original jobs do: an ``end`` of
     ``2018-11-26`` excludes every row of that day (``'2018-11-26 10:00:00' >
-    '2018-11-26'``). When the log also has a ``date`` column equal to the first
-    ten characters of ``action_time`` (a partition column, typically), the
-    implied bounds on it are added so partition pruning can skip whole days.
+    '2018-11-26'``). ``date_col`` names a column that is known to equal the first ten
+    characters of ``action_time`` (a partition column, typically): the implied bounds
+    on it are added so partition pruning can skip whole days. Without it only
+    ``action_time`` decides.
     """
-    has_date = date_col is not None and date_col in df.columns
+    has_date = date_col is not None
     if is_not_blank(start):
         df = df.where(F.col(col) >= F.lit(start))
         if has_date:

@@ -18,22 +18,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def with_successor(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                   value: str, out: str, chunk: Column | None = None) -> DataFrame:
+                   value: str, out: str, chunk: Column | None = None,
+                   position: str | None = None) -> DataFrame:
     """Add column ``out``: ``value`` of the next row of the same key in ``order``
-    (null for the key's last row)."""
+    (null for the key's last row). ``position`` names a further column that numbers the
+    rows of a key and chunk in that order."""
     keys = list(keys)
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order)
+        df = df if position is None else df.withColumn(position, F.row_number().over(w))
         return df.withColumn(out, F.lead(value).over(w))
 
     # A null chunk becomes "" so it still joins and, like the nulls-first order
-    # of the rows themselves, comes before every other chunk. Rows with a null
-    # key stay in one chunk: a null key never matches in the join below, and in
-    # a single chunk no successor has to cross it.
-    null_key = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
-    d = df.withColumn("_chunk", F.when(null_key, F.lit(""))
-                      .otherwise(F.coalesce(chunk.cast("string"), F.lit(""))))
+    # of the rows themselves, comes before every other chunk. Keys are compared
+    # null-safe: the rows of a null key are one sequence, split into chunks as well.
+    d = df.withColumn("_chunk", F.coalesce(chunk.cast("string"), F.lit("")))
     w1 = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    d = d if position is None else d.withColumn(position, F.row_number().over(w1))
     d = (d.withColumn(out, F.lead(value).over(w1))
           .withColumn("_last", F.lead(F.lit(True)).over(w1).isNull())
           .withColumn("_first", F.lag(F.lit(True)).over(w1).isNull()))
@@ -42,7 +43,9 @@ def with_successor(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     heads = d.where(F.col("_first")).select(*keys, "_chunk", F.col(value).alias("_head"))
     # One row per (key, chunk): bounded by time span / chunk width, not by data volume.
     w2 = Window.partitionBy(*keys).orderBy("_chunk")
-    nxt = heads.select(*keys, "_chunk", F.lead("_head").over(w2).alias("_next_head"))
-    return (d.join(nxt, [*keys, "_chunk"], "left")
+    nxt = heads.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_of"),
+                       F.lead("_head").over(w2).alias("_next_head"))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    return (d.join(nxt, same & (F.col("_chunk") == F.col("_of")), "left")
              .withColumn(out, F.when(F.col("_last"), F.col("_next_head")).otherwise(F.col(out)))
-             .drop("_chunk", "_last", "_first", "_next_head"))
+             .drop("_chunk", "_last", "_first", "_next_head", "_of", *[f"_key{i}" for i in range(len(keys))]))

@@ -45,8 +45,7 @@ def category_session_top10_job(actions: DataFrame, params: JobParams, task_id: s
 def page_jump_rate_job(actions: DataFrame, params: JobParams, task_id: str, dedupe: str = "last",
                        whole_percent: bool = False, tie: str | None = None,
                        chunk: str | None = "minute") -> DataFrame:
-    """(taskid, flow, rate). Without a ``tie`` column, actions in the same second
-    are ordered arbitrarily, as in the original job."""
+    """(taskid, flow, rate). Actions in the same second are ordered by ``tie``, then by page."""
     if not params.target_page_flow:
         raise ValueError("targetPageFlow is required")
     rate = pageflow.jump_rate(_filtered(actions, params), params.target_page_flow, dedupe,
@@ -86,9 +85,9 @@ def run_category_reports(spark: SparkSession, source: str, params_json: str,
 def run_page_jump_rate(spark: SparkSession, source: str, params_json: str, sink: str = "table",
                        target: str = "page_jump_rate", task_id: str | None = None,
                        dedupe: str = "last", whole_percent: bool = False,
-                       tie: str | None = None, **sink_options) -> str:
+                       tie: str | None = None, chunk: str | None = "minute", **sink_options) -> str:
     task_id = task_id or new_task_id()
     df = page_jump_rate_job(read_actions(spark, source), JobParams.from_json(params_json), task_id,
-                            dedupe, whole_percent, tie)
+                            dedupe, whole_percent, tie, chunk)
     write_result(df, sink, target, **sink_options)
     return task_id

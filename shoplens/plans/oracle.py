@@ -78,6 +78,18 @@ WHERE action_time >= '2024-01-08 00:00:00' AND action_time <= '2024-01-21'""")
 SQL["category_action_counts"] = with_actions(CATEGORY_EXPANDED + """
 SELECT * FROM counts""")
 
+SQL["category_counts_sparse_lists"] = with_actions(""",
+clicked AS (SELECT click_product_id % 4 AS k FROM actions WHERE click_category_id <> -1),
+ids AS (
+  SELECT k, unnest(CASE k WHEN 0 THEN ['1', '', '2'] WHEN 1 THEN ['', '3'] WHEN 2 THEN CAST([] AS VARCHAR[]) ELSE [''] END) AS category_id
+  FROM clicked)
+SELECT category_id, CAST(0 AS BIGINT) AS click_count, count(*) AS order_count, CAST(0 AS BIGINT) AS pay_count
+FROM ids GROUP BY category_id""")
+
+SQL["job_category_top10"] = ("WITH all_" + ACTIONS_CTE.strip().replace("actions AS (", "all_actions AS (", 1) + """,
+actions AS (SELECT * FROM all_actions WHERE action_time >= '2024-01-08 00:00:00')""" + CATEGORY_EXPANDED + """
+SELECT 'task-0' AS taskid, top.* FROM top""").replace("WITH all_ev", "WITH ev")
+
 SQL["category_top10"] = with_actions(CATEGORY_EXPANDED + """
 SELECT * FROM top""")
 
@@ -149,6 +161,23 @@ SQL["page_jump_rate_whole"] = with_actions(_JUMPS_ALL + _COUNTS + """
 SELECT flow, CAST(trunc(CAST(jumps AS DOUBLE) / visits * 100) AS BIGINT) AS rate
 FROM c JOIN v ON c.from_page = v.page_id""")
 
+# Sessions cut to whole hours: of one hour the pages come in order.
+_HOURLY = """,
+succ AS (
+  SELECT session_id, page_id, left(action_time, 13) AS hour,
+         lead(page_id) OVER (PARTITION BY session_id ORDER BY left(action_time, 13), page_id) AS next_page,
+         row_number() OVER (PARTITION BY session_id ORDER BY left(action_time, 13), page_id) AS pos
+  FROM actions),
+lastj AS (
+  SELECT page_id AS from_page, next_page AS to_page,
+         row_number() OVER (PARTITION BY session_id, page_id ORDER BY pos DESC) AS rn
+  FROM succ WHERE next_page IS NOT NULL),
+j AS (SELECT from_page, to_page FROM lastj WHERE rn = 1)"""
+
+SQL["page_jump_rate_no_tie"] = with_actions(_HOURLY + _COUNTS + """
+SELECT flow, round(CAST(jumps AS DOUBLE) / visits * 100, 6) AS rate
+FROM c JOIN v ON c.from_page = v.page_id""")
+
 # ---- ad clicks (UTC days, 1 h buckets, 6 h windows sliding by 1 h, keep 6) ----------
 _DAY = "strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d')"
 
@@ -181,6 +210,10 @@ trend AS (
 SQL["ad_click_parse"] = with_clicks("""
 SELECT ts_ms, area, city, userid, adid FROM clicks""")
 
+SQL["ad_click_rejects"] = with_clicks("""
+SELECT CASE event_id % 4 WHEN 1 THEN 'too few fields' WHEN 3 THEN 'bad time' ELSE 'good' END AS reason, count(*) AS lines
+FROM clicks GROUP BY 1""")
+
 SQL["ads_daily_area_city"] = with_clicks(_DAILY + """
 SELECT * FROM daily""")
 
@@ -203,6 +236,12 @@ SELECT window_end_ms, adid,
                          ',' ORDER BY bucket_ms) || ']' AS trend_json
 FROM trend GROUP BY window_end_ms, adid""")
 
+SQL["ad_click_trend_keep3"] = with_clicks(_TREND + """
+SELECT window_end_ms, adid,
+       '[' || string_agg('{"' || strftime(make_timestamp(bucket_ms * 1000), '%M:%S') || '":' || CAST(clicks AS VARCHAR) || '}',
+                         ',' ORDER BY bucket_ms) || ']' AS trend_json
+FROM trend WHERE rn <= 3 GROUP BY window_end_ms, adid""")
+
 SQL["ad_click_trend_latest"] = with_clicks(_TREND + """,
 docs AS (
   SELECT window_end_ms, adid,
@@ -219,7 +258,7 @@ uac AS (SELECT userid, adid, count(*) AS clicks FROM clicks GROUP BY 1, 2),
 blocked AS (SELECT DISTINCT userid FROM uac WHERE clicks >= 5)"""
 
 _PER_BATCH = """,
-per AS (SELECT userid, adid, ts_ms // 21600000 AS batch, count(*) AS n FROM clicks GROUP BY 1, 2, 3),
+per AS (SELECT userid, adid, ts_ms // BATCH_MS AS batch, count(*) AS n FROM clicks GROUP BY 1, 2, 3),
 cum AS (SELECT *, sum(n) OVER (PARTITION BY userid, adid ORDER BY batch
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM per),
 blk AS (SELECT userid, min(batch) AS block_batch FROM cum WHERE c >= 5 GROUP BY userid)"""
@@ -233,17 +272,23 @@ SELECT userid, adid, clicks FROM uac""")
 SQL["blacklist_filtered_clicks"] = with_clicks(_BLOCKED + """
 SELECT * FROM clicks WHERE userid NOT IN (SELECT userid FROM blocked)""")
 
-SQL["blacklist_block_batches"] = with_clicks(_PER_BATCH + """
-SELECT userid, block_batch FROM blk""")
+_BLOCK_BATCHES = _PER_BATCH + """
+SELECT userid, block_batch FROM blk"""
 
-SQL["blacklist_accepted_counts"] = with_clicks(_PER_BATCH + """
+_ACCEPTED = _PER_BATCH + """
 SELECT p.userid, p.adid, CAST(sum(p.n) AS BIGINT) AS clicks
 FROM per p LEFT JOIN blk b ON p.userid = b.userid
 WHERE b.block_batch IS NULL OR p.batch <= b.block_batch
-GROUP BY 1, 2""")
+GROUP BY 1, 2"""
+
+for _name, _ms in (("", 6 * 3_600_000), ("stream_", 3 * 86_400_000)):
+    SQL[_name + "blacklist_block_batches"] = with_clicks(_BLOCK_BATCHES.replace("BATCH_MS", str(_ms)))
+    SQL[_name + "blacklist_accepted_counts"] = with_clicks(_ACCEPTED.replace("BATCH_MS", str(_ms)))
 
-# ---- streaming twins: the whole table arrives in one micro-batch, so each equals
-# its batch query (the blacklist: no user is blocked before the first batch).
+# ---- streaming twins: each equals its batch query (where the whole table arrives in
+# one micro-batch, no user of the blacklist is blocked before it).
+SQL["stream_restart_daily"] = SQL["ads_daily_area_city"]
+SQL["stream_click_trend_latest"] = SQL["ad_click_trend_latest"]
 SQL["stream_ads_daily_area_city"] = SQL["ads_daily_area_city"]
 SQL["stream_lines_ads_daily_area_city"] = SQL["ads_daily_area_city"]
 SQL["stream_lines_blacklist_users"] = SQL["blacklist_users"]

@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shoplens.operators import ads, blacklist, category, pageflow
 from shoplens.operators.filters import in_action_time_range
 from shoplens import streaming
+from shoplens.params import JobParams
+from shoplens.plans import jobs
 from shoplens.session import shared_path
 from shoplens.sinks.tables import replace_table
 from shoplens.sources import testviews as tv
+from shoplens.sources.actions import read_actions
 from shoplens.sources.clicks import (
-    click_lines, parse_ad_clicks, read_click_lines_stream, write_click_lines,
+    click_lines, parse_ad_clicks, read_click_lines_stream, reject_counts, write_click_lines,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +32,8 @@ def query(fn: Query) -> Query:
 
 @query
 def actions_date_range(spark, sf_dir):
-    return in_action_time_range(tv.actions(spark, sf_dir), "2024-01-08 00:00:00", "2024-01-21")
+    bounds = "2024-01-08 00:00:00", "2024-01-21"
+    return in_action_time_range(tv.actions(spark, sf_dir, *bounds), *bounds)
 
 
 @query
@@ -37,6 +41,27 @@ def category_action_counts(spark, sf_dir):
     return category.category_counts(tv.actions(spark, sf_dir))
 
 
+@query
+def category_counts_sparse_lists(spark, sf_dir):
+    """Order lists with empty members at the start, in the middle and at the end."""
+    k = F.col("click_product_id") % 4
+    lists = F.when(k == 0, F.lit("1,,2,,")).when(k == 1, F.lit(",3")).when(k == 2, F.lit(",,")).otherwise(F.lit(""))
+    sparse = tv.actions(spark, sf_dir).where("click_category_id <> -1").select(
+        F.lit(-1).cast("bigint").alias("click_category_id"), lists.alias("order_category_ids"),
+        F.lit(None).cast("string").alias("pay_category_ids"))
+    return category.category_counts(sparse)
+
+
+@query
+def job_category_top10(spark, sf_dir):
+    """The batch job end to end: the log written as files, read and typed, the parameter
+    document with a blank bound, one task id on every row of the result table."""
+    log = shared_path(spark, "logs", "actions", unique=True)
+    tv.actions(spark, sf_dir).withColumn("page_id", F.col("page_id").cast("string")).write.parquet(log)
+    params = JobParams.from_json('{"startDate": "2024-01-08 00:00:00", "endDate": "  "}')
+    return jobs.category_top10_job(read_actions(spark, log), params, "task-0")
+
+
 @query
 def category_top10(spark, sf_dir):
     return category.top_categories(tv.actions(spark, sf_dir), 10)
@@ -95,6 +120,14 @@ def page_jump_rate_whole(spark, sf_dir):
                              tie=tv.TIE)
 
 
+@query
+def page_jump_rate_no_tie(spark, sf_dir):
+    """Sessions cut to whole hours, so that many actions share a time; no tie column."""
+    hourly = tv.actions(spark, sf_dir).withColumn(
+        "action_time", F.concat(F.substring("action_time", 1, 13), F.lit(":00:00")))
+    return _rounded(pageflow.jump_rate(hourly, FLOW, dedupe="last"))
+
+
 # ---- ad clicks -----------------------------------------------------------------
 # Test-data parameters (clicks are ~20 minutes apart at sf0.01, and the largest
 # (user, ad) count is 6-10): hourly buckets, 6-hour windows sliding by 1 hour,
@@ -120,6 +153,21 @@ def ad_click_parse(spark, sf_dir):
     return parsed_clicks(spark, sf_dir)
 
 
+@query
+def ad_click_rejects(spark, sf_dir):
+    """Good lines and lines spoilt by their event id: the last field gone, a sixth one
+    (still good, fields are read by position), a time that is no number."""
+    clicks = tv.ad_clicks(spark, sf_dir)
+    line = click_lines(clicks.withColumn("adid", F.concat_ws("#", "adid", "event_id"))).select("value")
+    event, k = F.substring_index("value", "#", -1), F.substring_index("value", "#", -1).cast("bigint") % 4
+    plain = F.substring_index("value", "#", 1)
+    spoilt = (F.when(k == 0, plain).when(k == 1, F.regexp_replace(plain, " [^ ]+$", ""))
+              .when(k == 2, F.concat(plain, F.lit(" "), event)).otherwise(F.concat(F.lit("x"), plain)))
+    good, rejects = parse_ad_clicks(line.select(spoilt.alias("value")))
+    return reject_counts(rejects).unionByName(
+        good.agg(F.count("*").alias("lines")).withColumn("reason", F.lit("good")))
+
+
 @query
 def ads_daily_area_city(spark, sf_dir):
     return ads.daily_area_city(parsed_clicks(spark, sf_dir), TZ)
@@ -151,10 +199,17 @@ def ad_click_trend_json(spark, sf_dir):
     return ads.trend_json(trend, LABEL_FMT, TZ)
 
 
+@query
+def ad_click_trend_keep3(spark, sf_dir):
+    """Windows with more buckets than are kept, labels in the default format."""
+    trend = ads.click_trend(ads.click_buckets(parsed_clicks(spark, sf_dir), BUCKET_MS), WINDOW, SLIDE, 3)
+    return ads.trend_json(trend, tz=TZ)
+
+
 @query
 def ad_click_trend_latest(spark, sf_dir):
-    trend = ads.click_trend(ads.click_buckets(parsed_clicks(spark, sf_dir), BUCKET_MS), WINDOW, SLIDE, KEEP)
-    return ads.latest_trend(ads.trend_json(trend, LABEL_FMT, TZ))
+    buckets = ads.click_buckets(parsed_clicks(spark, sf_dir), BUCKET_MS)
+    return ads.latest_trend_json(buckets, WINDOW, SLIDE, KEEP, LABEL_FMT, TZ)
 
 
 # ---- blacklist -------------------------------------------------------------------
@@ -193,8 +248,8 @@ def blacklist_accepted_counts(spark, sf_dir):
 # shared checkpoint folder.
 def stream_clicks(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
+    # a pattern that matches the table alone, be it one file or a folder of files
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     customer, nation, region = tv.load_tables(spark, sf_dir, "customer", "nation", "region")
     clicks, _ = parse_ad_clicks(click_lines(tv.ad_clicks_from_events(events, customer, nation, region)))
     return clicks
@@ -224,18 +279,65 @@ def stream_ads_daily_area_city(spark, sf_dir):
     return streaming.read_daily_totals(spark, out)
 
 
-LINE_FILES = 4
-
-
 def published_click_stream(spark, sf_dir):
-    """The click feed published as text lines in several files (as a topic would
-    hold them) and read back one file per micro-batch."""
+    """The click feed published as text lines (as a topic would hold them; as many files
+    as the table gives tasks) and read back as a stream."""
     topic = shared_path(spark, "topics", "ads_log", unique=True)
-    write_click_lines(tv.ad_clicks(spark, sf_dir).repartition(LINE_FILES), topic)
-    clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, "text", topic, maxFilesPerTrigger=1))
+    write_click_lines(tv.ad_clicks(spark, sf_dir), topic)
+    clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, "text", topic))
     return clicks
 
 
+SLICE_MS = 3 * 86_400_000
+
+
+def run_in_slices(spark, sf_dir, start, slice_ms=SLICE_MS):
+    """Publish the click feed slice by slice of time; after each slice the job is started
+    on the same checkpoint and takes it as one micro-batch. Returns (batch, slice): the
+    time slice that each micro-batch was."""
+    topic = shared_path(spark, "topics", "ads_log", unique=True)
+    feed = tv.ad_clicks(spark, sf_dir).withColumn("slice", F.floor(F.col("ts_ms") / slice_ms))
+    slices = [r["slice"] for r in feed.select("slice").distinct().orderBy("slice").collect()]  # of time, not of rows
+    for i in slices:
+        write_click_lines(feed.where(F.col("slice") == i), topic)
+        clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, "text", topic))
+        _run(start(clicks))
+    return spark.createDataFrame(list(enumerate(slices)), "batch bigint, slice bigint")
+
+
+def _blacklist_in_slices(spark, sf_dir):
+    out = _stream_out(spark, "blacklist_slices")
+    slices = run_in_slices(spark, sf_dir, lambda clicks: streaming.run_blacklist(
+        clicks, out, threshold=THRESHOLD, trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark), fold_every=4))
+    return out, slices
+
+
+@query
+def stream_blacklist_accepted_counts(spark, sf_dir):
+    """The feedback loop over micro-batches: users blocked in one are not counted in the
+    next ones."""
+    out, _ = _blacklist_in_slices(spark, sf_dir)
+    return streaming.read_user_ad_counts(spark, out)
+
+
+@query
+def stream_blacklist_block_batches(spark, sf_dir):
+    out, slices = _blacklist_in_slices(spark, sf_dir)
+    blocks = streaming.read_block_batches(spark, out)
+    return blocks.join(F.broadcast(slices), blocks.block_batch == slices.batch).select(
+        "userid", F.col("slice").alias("block_batch"))
+
+
+@query
+def stream_restart_daily(spark, sf_dir):
+    """Daily totals of a job that is stopped and started again on its checkpoint while the
+    feed goes on."""
+    out = _stream_out(spark, "daily_restart")
+    run_in_slices(spark, sf_dir, lambda clicks: streaming.run_daily_totals(
+        clicks, out, tz=TZ, trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)), 15 * 86_400_000)
+    return streaming.read_daily_totals(spark, out)
+
+
 @query
 def stream_lines_ads_daily_area_city(spark, sf_dir):
     out = _stream_out(spark, "daily_lines")
@@ -246,8 +348,8 @@ def stream_lines_ads_daily_area_city(spark, sf_dir):
 
 @query
 def stream_lines_blacklist_users(spark, sf_dir):
-    """Several micro-batches: who is blocked does not depend on where the batch
-    boundaries fall (only the frozen counts do), so this equals the batch query."""
+    """Who is blocked does not depend on where the batch boundaries fall (only the
+    frozen counts do), so this equals the batch query."""
     out = _stream_out(spark, "blacklist_lines")
     _run(streaming.run_blacklist(published_click_stream(spark, sf_dir), out, threshold=THRESHOLD,
                                  trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
@@ -286,6 +388,14 @@ def stream_click_trend(spark, sf_dir):
     return streaming.read_click_trend(spark, out, WINDOW, SLIDE, KEEP, LABEL_FMT, TZ)
 
 
+@query
+def stream_click_trend_latest(spark, sf_dir):
+    out = _stream_out(spark, "trend")
+    _run(streaming.run_click_trend(stream_clicks(spark, sf_dir), out, bucket_ms=BUCKET_MS,
+                                   trigger=AVAILABLE_NOW, state_partitions=_state_parts(spark)))
+    return streaming.read_latest_click_trend(spark, out, WINDOW, SLIDE, KEEP, LABEL_FMT, TZ)
+
+
 @query
 def stream_ads_daily_top3_json(spark, sf_dir):
     out = _stream_out(spark, "daily")

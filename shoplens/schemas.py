@@ -1,4 +1,4 @@
-"""Explicit schemas of the inputs and results (no inference anywhere)."""
+"""Explicit schemas of the inputs and of what the streaming jobs log."""
 
 from pyspark.sql import types as T
 
@@ -19,27 +19,6 @@ ACTION = T.StructType([
     T.StructField("city_id", T.LongType()),
 ])
 
-USER = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("username", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("age", T.IntegerType()),
-    T.StructField("professional", T.StringType()),
-    T.StructField("gender", T.StringType()),
-])
-
-PRODUCT = T.StructType([
-    T.StructField("product_id", T.LongType()),
-    T.StructField("product_name", T.StringType()),
-    T.StructField("extend_info", T.StringType()),
-])
-
-CITY = T.StructType([
-    T.StructField("city_id", T.LongType()),
-    T.StructField("city_name", T.StringType()),
-    T.StructField("area", T.StringType()),
-])
-
 # One ad click, parsed from the line "timestamp area city userid adid".
 AD_CLICK = T.StructType([
     T.StructField("ts_ms", T.LongType()),      # epoch milliseconds
@@ -51,27 +30,6 @@ AD_CLICK = T.StructType([
 
 CLICK_LINE = T.StructType([T.StructField("value", T.StringType())])
 
-CATEGORY_TOP = T.StructType([
-    T.StructField("taskid", T.StringType()),
-    T.StructField("category_id", T.StringType()),
-    T.StructField("click_count", T.LongType()),
-    T.StructField("order_count", T.LongType()),
-    T.StructField("pay_count", T.LongType()),
-])
-
-CATEGORY_SESSION_TOP = T.StructType([
-    T.StructField("taskid", T.StringType()),
-    T.StructField("category_id", T.StringType()),
-    T.StructField("session_id", T.StringType()),
-    T.StructField("click_count", T.LongType()),
-])
-
-PAGE_JUMP_RATE = T.StructType([
-    T.StructField("taskid", T.StringType()),
-    T.StructField("flow", T.StringType()),
-    T.StructField("rate", T.DoubleType()),
-])
-
 DAILY_TOTALS = T.StructType([
     T.StructField("day", T.StringType()),
     T.StructField("area", T.StringType()),
@@ -80,20 +38,6 @@ DAILY_TOTALS = T.StructType([
     T.StructField("clicks", T.LongType()),
 ])
 
-DAILY_TOP_JSON = T.StructType([
-    T.StructField("day", T.StringType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("top_json", T.StringType()),
-])
-
-USER_AD_COUNTS = T.StructType([
-    T.StructField("userid", T.StringType()),
-    T.StructField("adid", T.StringType()),
-    T.StructField("clicks", T.LongType()),
-])
-
-BLACKLIST = T.StructType([T.StructField("userid", T.StringType())])
-
 AD_BUCKETS = T.StructType([
     T.StructField("adid", T.StringType()),
     T.StructField("bucket_ms", T.LongType()),

@@ -82,9 +82,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def run_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{checkpoint_root(spark)}/shoplens/run-{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path below the shared checkpoint folder; ``unique`` appends a run id."""
-    items = [checkpoint_root(spark), "shoplens", *parts]
+    """A path below the shared checkpoint folder. ``unique`` gives a new path below this
+    application's folder, which ``remove_run_folder`` deletes."""
     if unique:
-        items.append(uuid.uuid4().hex)
-    return "/".join(items)
+        return "/".join([run_root(spark), *parts, uuid.uuid4().hex])
+    return "/".join([checkpoint_root(spark), "shoplens", *parts])
+
+
+def remove_run_folder(spark: SparkSession) -> None:
+    """Delete what this application wrote to unique paths; results that still read
+    them must have been used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,10 +1,6 @@
-"""Writers: catalog tables, JDBC, change logs of streaming aggregates, and
-versioned snapshots."""
+"""Writers: catalog tables, JDBC, rejected lines, and change logs of streaming aggregates."""
 
 from shoplens.sinks.changes import (  # noqa: F401
-    append_changes, batch_ids, compact_changes, latest, read_changes,
-)
-from shoplens.sinks.snapshot import (  # noqa: F401
-    latest_version, list_versions, prune_versions, read_snapshot, write_snapshot,
+    append_changes, committed_runs, fold_changes, latest, live_runs, read_changes,
 )
 from shoplens.sinks.tables import append_jdbc, preview, replace_table  # noqa: F401

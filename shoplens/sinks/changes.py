@@ -1,64 +1,114 @@
-"""Change logs: the update-mode output of a streaming aggregation, one folder
-per micro-batch (``<path>/batch=<id>``), append-only.
-
-A batch writes only the keys it changed, with their new absolute values, so the
-per-batch cost follows the batch, not the accumulated state. All values kept
-this way are counts that never decrease, so the current value of a key is the
-maximum over the log: a replayed batch (rewritten with overwrite) or a
-duplicate can never change a result. ``compact_changes`` folds the log into its
-newest batch folder to bound the number of files readers list.
+"""Change logs: the update-mode output of a streaming aggregation.
+
+Every micro-batch writes the keys it changed, with their new absolute values, to a
+folder of its own, so the per-batch cost follows the batch, not the accumulated
+state. A log holds *runs*; a run covers the batches ``first`` to ``last`` in
+
+    <path>/run=<first>-<last>.<attempt>/         rows (by time folder, if any)
+    <path>/_commits/<first>-<last>.<attempt>     empty; written after the rows
+
+Readers list ``_commits`` once and read the folders of committed runs only. A
+replayed batch writes a new attempt beside the committed one, so readers never see
+a gap or rows without a commit.
+
+Every ``every`` batches the runs of a full block are folded into one run, and
+``every`` of those into the next wider one, and so on: a row is rewritten once per
+level, and a log of n batches has about ``every`` * log(n) runs. The batch that may
+still be replayed is never folded. Folded folders go at the next fold, so a reader
+that has listed them can finish.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+FOLD_EVERY = 10
+Fold = Callable[[DataFrame], DataFrame]
+
+
+@dataclass(frozen=True, order=True)
+class Run:
+    first: int
+    last: int
+    attempt: int
+
+    @property
+    def name(self) -> str:
+        return f"{self.first}-{self.last}.{self.attempt}"
+
+    @classmethod
+    def parse(cls, name: str) -> "Run | None":
+        span, _, attempt = name.partition(".")
+        first, _, last = span.partition("-")
+        return cls(int(first), int(last), int(attempt)) if first.isdigit() and last.isdigit() and attempt.isdigit() else None
+
+    def within(self, other: "Run") -> bool:
+        return (other.first <= self.first and self.last <= other.last
+                and (other.last - other.first, other.attempt) > (self.last - self.first, self.attempt))
+
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path_class = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path_class, path_class(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """Committed batch folders (those with a ``_SUCCESS`` marker), ascending."""
-    jvm, p, fs = _fs(spark, path)
-    if not fs.exists(p):
+def committed_runs(spark: SparkSession, path: str) -> list[Run]:
+    """All committed runs, also such that a wider run or a later attempt replaces."""
+    path_class, fs = _fs(spark, path)
+    folder = path_class(f"{path}/_commits")
+    if not fs.exists(folder):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch=") and name[6:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[6:]))
-    return sorted(out)
-
-
-def append_changes(df: DataFrame, path: str, batch_id: int,
-                   partition_by: Sequence[str] = ()) -> None:
-    """Write one batch's changed rows; ``partition_by`` (e.g. a day column) lets
-    readers of a time range skip folders."""
-    if partition_by:
-        # one file per partition value and batch, not one per task and value
-        df = df.repartition(*partition_by)
-    w = df.write.mode("overwrite")
+    found = (Run.parse(s.getPath().getName()) for s in fs.listStatus(folder))
+    return sorted(r for r in found if r)
+
+
+def live_runs(runs: Sequence[Run]) -> list[Run]:
+    """The runs to read: of each batch the widest run that holds it, its last attempt."""
+    return [r for r in runs if not any(r.within(o) for o in runs)]
+
+
+def _commit(spark: SparkSession, path: str, run: Run) -> None:
+    path_class, fs = _fs(spark, path)
+    fs.create(path_class(f"{path}/_commits/{run.name}"), True).close()
+
+
+def _next_attempt(spark: SparkSession, path: str, first: int, last: int) -> Run:
+    taken = [r.attempt for r in committed_runs(spark, path) if (r.first, r.last) == (first, last)]
+    return Run(first, last, max(taken, default=-1) + 1)
+
+
+def _write(df: DataFrame, path: str, run: Run, partition_by: Sequence[str]) -> None:
+    w = df.write.mode("overwrite")  # over what a failed attempt left
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(f"{path}/batch={int(batch_id)}")
+    w.parquet(f"{path}/run={run.name}")
 
 
-def read_changes(spark: SparkSession, path: str, schema: T.StructType,
-                 before: int | None = None) -> DataFrame:
-    """All logged rows plus their ``batch`` (rows of batches < ``before`` only,
-    pruned by folder); empty when nothing is logged yet."""
-    full = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
-    if not batch_ids(spark, path):
-        return spark.createDataFrame([], full)
-    df = spark.read.schema(full).option("basePath", path).parquet(path)
-    return df.where(F.col("batch") < before) if before is not None else df
+def append_changes(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    """Write and commit one batch's changed rows. They stay in the partitions they come
+    in (the state partitions), so a day with nearly all rows is written by many tasks;
+    ``partition_by`` (a time column) lets readers of a time range skip folders."""
+    spark = df.sparkSession
+    run = _next_attempt(spark, path, int(batch_id), int(batch_id))
+    _write(df, path, run, partition_by)
+    _commit(spark, path, run)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, runs: Sequence[Run]) -> DataFrame:
+    if not runs:
+        return spark.createDataFrame([], schema)
+    full = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
+    return (spark.read.schema(full).option("basePath", path)
+            .parquet(*[f"{path}/run={r.name}" for r in runs]).drop("run"))
+
+
+def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of all committed runs; empty when nothing is logged yet."""
+    return _read(spark, path, schema, live_runs(committed_runs(spark, path)))
 
 
 def latest(changes: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -66,28 +116,33 @@ def latest(changes: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return changes.groupBy(*keys).agg(F.max(value).alias(value))
 
 
-def compact_changes(spark: SparkSession, path: str, schema: T.StructType,
-                    keys: Sequence[str], value: str, partition_by: Sequence[str] = ()) -> int | None:
-    """Fold the log into its second-newest batch folder and delete the older
-    folders; returns the batch id folded into (None when there is nothing to do).
-
-    The newest folder is left alone, because the stream may still replay that
-    batch. The folded rows are appended to the target folder before anything is
-    deleted, so every reader sees the same maxima throughout and a crash loses
-    nothing; a reader that listed a folder just before its deletion must retry.
-    ``partition_by`` must be the layout the log was written with.
-    """
-    ids = batch_ids(spark, path)
-    if len(ids) < 3:
-        return None
-    target = ids[-2]
-    folded = latest(read_changes(spark, path, schema).where(F.col("batch") <= target), keys, value)
-    w = folded.select(*[f.name for f in schema.fields]).write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{path}/batch={target}")
-    jvm, _, fs = _fs(spark, path)
-    for b in ids:
-        if b < target:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/batch={b}"), True)
-    return target
+def fold_changes(spark: SparkSession, path: str, schema: T.StructType, fold: Fold, batch_id: int,
+                 partition_by: Sequence[str] = (), every: int = FOLD_EVERY) -> list[Run]:
+    """Fold every block of runs that is complete now that ``batch_id`` is committed;
+    returns the new runs. ``fold`` maps rows of a run of batches to fewer rows with the
+    same meaning. Rows are rebalanced by the time column: large days are split, small
+    ones share a task."""
+    made, width = [], every
+    while batch_id > 0 and batch_id % width == 0:
+        runs = committed_runs(spark, path)
+        live = live_runs(runs)
+        _drop(spark, path, [r for r in runs if r not in live])
+        target = Run(batch_id - width, batch_id - 1, 0)
+        parts = [r for r in live if r.within(target)]
+        if parts:
+            rows = fold(_read(spark, path, schema, parts)).select(*[f.name for f in schema.fields])
+            rows = rows.hint("rebalance", *partition_by) if partition_by else rows.hint("rebalance")
+            _write(rows, path, target, partition_by)
+            _commit(spark, path, target)
+            made.append(target)
+        width *= every
+    return made
+
+
+def _drop(spark: SparkSession, path: str, runs: Sequence[Run]) -> None:
+    """Commit markers go first, so no reader starts on a folder that is being deleted."""
+    path_class, fs = _fs(spark, path)
+    for r in runs:
+        fs.delete(path_class(f"{path}/_commits/{r.name}"), False)
+    for r in runs:
+        fs.delete(path_class(f"{path}/run={r.name}"), True)

@@ -16,8 +16,9 @@ def conform_actions(df: DataFrame) -> DataFrame:
 
 
 def read_actions(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
-    """A catalog table name or a path. With a path the schema is given, so nothing
-    is inferred; projections and filters written later still reach the scan."""
+    """A catalog table name or a path. Parquet brings its own columns, of which the known
+    ones are cast; other formats are read with the schema given. Projections and filters
+    written later reach the scan either way."""
     if "/" not in source and ":" not in source:
         return conform_actions(spark.table(source))
     if fmt == "parquet":

@@ -1,7 +1,8 @@
 """Ad-click lines ``"<epoch-ms> <area> <city> <userid> <adid>"`` (single spaces).
 
-The same parser serves batch and streaming DataFrames. Lines that do not parse
-go to a rejects DataFrame instead of failing the task.
+The same parser serves batch and streaming DataFrames. Fields are read by position:
+whatever follows the fifth is ignored, as the original jobs do. Lines that do not
+parse go to a rejects DataFrame instead of failing the task.
 """
 
 from __future__ import annotations
@@ -9,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplens.defaults import LINE_SEPARATOR
-from shoplens.schemas import AD_CLICK, CLICK_LINE
+from shoplens.schemas import CLICK_LINE
 
+NULL_FIELD = "\\N"      # a null area, city, user or ad in a line
 _FIELDS = ["ts_ms", "area", "city", "userid", "adid"]
 
 
@@ -27,19 +29,19 @@ def _ok(strict: bool):
     return F.coalesce(enough & ts_ok, F.lit(False))
 
 
-def parse_ad_clicks(lines: DataFrame, col: str = "value", strict: bool = True,
+def parse_ad_clicks(lines: DataFrame, col: str = "value", strict: bool = False,
                     keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Lines -> (clicks, rejects).
 
-    ``strict`` requires exactly five fields; ``strict=False`` ignores extra
-    trailing fields, as positional decoding would. ``keep`` carries extra input
-    columns (e.g. a tie-break id) through to the clicks.
+    ``strict`` also rejects lines with more than five fields. ``keep`` carries extra
+    input columns (e.g. a tie-break id) through to the clicks. A null field of the
+    original click (``NULL_FIELD``) comes back as null.
     """
     parts = _split(lines, col)
     ok = _ok(strict)
     clicks = parts.where(ok).select(
         F.get("_parts", 0).cast("bigint").alias("ts_ms"),
-        *[F.get("_parts", i).alias(name) for i, name in enumerate(_FIELDS) if i > 0],
+        *[F.nullif(F.get("_parts", i), F.lit(NULL_FIELD)).alias(name) for i, name in enumerate(_FIELDS) if i > 0],
         *[F.col(k) for k in keep],
     )
     rejects = parts.where(~ok).select(F.col(col).alias("value"))
@@ -47,9 +49,26 @@ def parse_ad_clicks(lines: DataFrame, col: str = "value", strict: bool = True,
 
 
 def click_lines(clicks: DataFrame) -> DataFrame:
-    """The inverse of the parser: typed clicks -> ``value`` lines."""
-    return clicks.select(F.concat_ws(LINE_SEPARATOR, F.col("ts_ms").cast("string"), "area", "city",
-                                     "userid", "adid").alias("value"))
+    """The inverse of the parser: typed clicks -> ``value`` lines. A null field is
+    written as ``NULL_FIELD``, so a line always has five fields (a null time still
+    makes a line that is rejected)."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_FIELD)) for c in _FIELDS]
+    return clicks.select(F.concat_ws(LINE_SEPARATOR, *fields).alias("value"))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """(reason, lines): how many lines were rejected and why."""
+    few = F.size(F.split(F.rtrim("value"), LINE_SEPARATOR)) < len(_FIELDS)
+    reason = F.when(F.col("value").isNull(), "null line").when(few, "too few fields").otherwise("bad time")
+    return rejects.groupBy(reason.alias("reason")).agg(F.count("*").alias("lines"))
+
+
+def write_rejects_stream(rejects: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None):
+    """Keep the rejected lines of a stream: appended as text files below ``path``, where
+    ``read_click_lines`` and ``reject_counts`` find them."""
+    w = (rejects.select(F.coalesce("value", F.lit("")).alias("value")).writeStream.format("text").outputMode("append")
+         .option("path", path).option("checkpointLocation", checkpoint or f"{path}/_checkpoint"))
+    return (w.trigger(**trigger) if trigger else w).start()
 
 
 def write_click_lines(clicks: DataFrame, path: str, fmt: str = "text", **options) -> None:
@@ -79,6 +98,3 @@ def read_click_lines_stream(spark: SparkSession, fmt: str = "text", path: str |
         return reader.load().select(F.col("value").cast("string").alias("value"))
     return reader.schema(CLICK_LINE).load(path)
 
-
-def empty_clicks(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], AD_CLICK)

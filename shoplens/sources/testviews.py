@@ -16,6 +16,8 @@ same expressions; k is the integer member ``k`` of ``events.props``):
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplens.functions.time import epoch_ms_of_ntz
@@ -83,9 +85,21 @@ def load_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame
     return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
 
 
-def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def in_ts_range(events: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Events whose action time, as text, lies between ``start`` and ``end``, said of the
+    time column itself, so that the scan can skip. Bounds are ``yyyy-MM-dd`` or
+    ``yyyy-MM-dd HH:mm:ss``; as text, a bare day as ``end`` comes before its first second."""
+    if start:
+        events = events.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+    if end:
+        stop = datetime.fromisoformat(end) + timedelta(seconds=1 if len(end) > 10 else 0)
+        events = events.where(F.col("ts") < F.lit(str(stop)).cast("timestamp_ntz"))
+    return events
+
+
+def actions(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
     (events,) = load_tables(spark, sf_dir, "events")
-    return actions_from_events(events)
+    return actions_from_events(in_ts_range(events, start, end))
 
 
 def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 results as change logs with views over them)."""
 
 from shoplens.streaming.jobs import (  # noqa: F401
+    DEFAULT_TRIGGER,
     console_preview,
     read_blacklist,
     read_block_batches,

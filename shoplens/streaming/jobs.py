@@ -3,22 +3,21 @@
 Each job reads a streaming DataFrame of typed clicks (see
 ``shoplens.sources.clicks``). Running counts live in Spark's state store; every
 micro-batch appends only the keys it changed, with their new totals, to a
-change log under ``out`` (see ``shoplens.sinks.changes``). The per-batch cost
-therefore follows the batch, not the accumulated state, and since every logged
-value is a count that never decreases, readers take the maximum per key: a
-replayed batch cannot change any result. Rankings and JSON documents are views
-over the logs (``read_*``), computed with the same functions as the batch jobs.
+change log under ``out`` (see ``shoplens.sinks.changes``), which is folded every
+``fold_every`` batches. The per-batch cost follows the batch, not the accumulated
+state; every logged value is a count that never decreases, so a replayed batch
+cannot change any result. Rankings and JSON documents are views over the logs
+(``read_*``), computed with the same functions as the batch jobs.
 
 Progress and state live in the checkpoint folder; restarting with the same
 checkpoint resumes where the query stopped. Default trigger: a micro-batch
 every 5 seconds; tests and the registered queries use ``{"availableNow": True}``.
-``compact_every=N`` folds the logs every N batches (never the newest folder,
-which a restart may still replay).
 """
 
 from __future__ import annotations
 
 import re
+import threading
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -28,18 +27,25 @@ from shoplens.defaults import (
     BLACKLIST_THRESHOLD, MICRO_BATCH, TOP_ADS, TREND_BUCKET_MS, TREND_KEEP, TREND_LABEL, TREND_SLIDE,
     TREND_WINDOW,
 )
-from shoplens.functions.time import day_of, instant_of
+from shoplens.functions.time import day_of, epoch_ms_of_ntz, instant_of, local_time_of
 from shoplens.operators import ads
-from shoplens.schemas import AD_BUCKETS, DAILY_TOTALS, USER_AD_COUNTS
-from shoplens.sinks.changes import append_changes, compact_changes, latest, read_changes
+from shoplens.schemas import AD_BUCKETS, DAILY_TOTALS
+from shoplens.sinks.changes import FOLD_EVERY, append_changes, fold_changes, latest, read_changes
 
 DEFAULT_TRIGGER = {"processingTime": MICRO_BATCH}
 
-BLOCKED = T.StructType([
+# Unfiltered running total of a (user, ad) after a micro-batch that changed it;
+# ``blocks``: the total has reached the threshold.
+USER_AD_TOTALS = T.StructType([
     T.StructField("userid", T.StringType()),
-    T.StructField("block_batch", T.LongType()),
+    T.StructField("adid", T.StringType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("clicks", T.LongType()),
+    T.StructField("blocks", T.BooleanType()),
 ])
 
+BUCKET_CHANGES = T.StructType([*AD_BUCKETS.fields, T.StructField("day", T.StringType())])
+
 _UNITS_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000,
              "day": 86_400_000, "week": 604_800_000}
 
@@ -54,6 +60,10 @@ def interval_ms(text: str) -> int:
     return total
 
 
+# A query takes its number of state partitions from a session setting when it starts.
+_STARTING = threading.Lock()
+
+
 def _start(df: DataFrame, mode: str, fn, checkpoint: str, trigger: dict | None,
            name: str | None, state_partitions: int | None) -> StreamingQuery:
     """Start the query. ``state_partitions`` fixes the number of state-store
@@ -64,72 +74,61 @@ def _start(df: DataFrame, mode: str, fn, checkpoint: str, trigger: dict | None,
          .trigger(**(trigger or DEFAULT_TRIGGER)))
     if name:
         w = w.queryName(name)
-    if not state_partitions:
-        return w.start()
     conf = df.sparkSession.conf
-    old = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
-    try:
-        return w.start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", old)
-
-
-def _stage(batch: DataFrame, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Write the micro-batch's rows to ``path`` and read them back in ``spark``.
-
-    A streaming query runs its batches in a cloned session with adaptive
-    execution off, so joins planned there would use a fixed partition count.
-    The batch rows are small (changed keys); staging them lets the join run in
-    the caller's session with AQE, and cuts lineage. A replayed batch
-    overwrites the same staged rows.
-    """
-    batch.write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    with _STARTING:
+        old = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(int(state_partitions or old)))
+        try:
+            return w.start()
+        finally:
+            conf.set("spark.sql.shuffle.partitions", old)
 
 
 def _names(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields]
 
 
-def _maybe_compact(spark: SparkSession, every: int | None, batch_id: int, logs) -> None:
-    """Every ``every`` batches, fold each log (path, schema, keys, value,
-    partition_by) so the number of folders readers list stays bounded."""
-    if every and batch_id > 0 and batch_id % every == 0:
-        for path, schema, keys, value, parts in logs:
-            compact_changes(spark, path, schema, keys, value, parts)
+def _logged(spark: SparkSession, path: str, schema: T.StructType, fold, fold_every: int,
+            partition_by=()):
+    """A foreachBatch function that logs the rows of a batch and folds the log when due.
+    Folding runs in the caller's session, where adaptive execution is on."""
+    def batch(changed: DataFrame, batch_id: int) -> None:
+        rows = changed.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        append_changes(rows.select(*_names(schema)), path, batch_id, partition_by)
+        fold_changes(spark, path, schema, fold, batch_id, partition_by, fold_every)
+    return batch
 
 
 # ---- daily totals and top ads -------------------------------------------------
+def _local_instant(ms, tz: str | None):
+    """Wall-clock time in ``tz`` as if it were UTC: an event time whose whole days are
+    the days of ``tz``."""
+    return instant_of(epoch_ms_of_ntz(local_time_of(ms, tz)))
+
+
 def run_daily_totals(clicks: DataFrame, out: str, checkpoint: str | None = None,
                      tz: str | None = None, watermark: str | None = None,
                      trigger: dict | None = None, name: str | None = None,
                      state_partitions: int | None = None,
-                     compact_every: int | None = None) -> StreamingQuery:
-    """Running clicks per (day, area, city, ad); the top ads per (day, area) and
-    their JSON documents are read from the same state (``read_daily_top_ads``,
-    ``read_daily_top_json``).
+                     fold_every: int = FOLD_EVERY) -> StreamingQuery:
+    """Running clicks per (day, area, city, ad), days in ``tz`` (default: the session
+    time zone); the top ads per (day, area) and their JSON documents are read from the
+    same state (``read_daily_top_ads``, ``read_daily_top_json``).
 
     Without ``watermark`` the state keeps every key forever (as a running total
-    must). With ``watermark`` the days are UTC days, state of days older than
-    the watermark is evicted and later clicks for them are dropped.
+    must). With ``watermark``, state of days older than the watermark is evicted and
+    later clicks for them are dropped.
     """
     if watermark:
-        s = clicks.withColumn("event_time", instant_of("ts_ms")).withWatermark("event_time", watermark)
+        s = clicks.withColumn("event_time", _local_instant("ts_ms", tz)).withWatermark("event_time", watermark)
         agg = (s.groupBy(F.window("event_time", "1 day").alias("_day"), "area", "city", "adid")
                .agg(F.count("*").alias("clicks"))
                .select(day_of(F.unix_millis("_day.start"), "UTC").alias("day"),
                        "area", "city", "adid", "clicks"))
     else:
         agg = ads.daily_area_city(clicks, tz)
-    log = f"{out}/totals"
-    spark = clicks.sparkSession
-
-    def batch(changed: DataFrame, batch_id: int) -> None:
-        append_changes(changed.select(*_names(DAILY_TOTALS)), log, batch_id, partition_by=["day"])
-        _maybe_compact(spark, compact_every, batch_id,
-                       [(log, DAILY_TOTALS, ["day", "area", "city", "adid"], "clicks", ["day"])])
-
+    fold = lambda rows: latest(rows, ["day", "area", "city", "adid"], "clicks")
+    batch = _logged(clicks.sparkSession, f"{out}/totals", DAILY_TOTALS, fold, fold_every, ["day"])
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)
 
@@ -157,57 +156,51 @@ def read_daily_top_json(spark: SparkSession, out: str, n: int = TOP_ADS,
 def run_blacklist(clicks: DataFrame, out: str, checkpoint: str | None = None,
                   threshold: int = BLACKLIST_THRESHOLD, trigger: dict | None = None,
                   name: str | None = None, state_partitions: int | None = None,
-                  compact_every: int | None = None) -> StreamingQuery:
+                  fold_every: int = FOLD_EVERY) -> StreamingQuery:
     """Click-threshold blacklist with the original loop's semantics: clicks of
     users blocked before a batch are not counted; a user is blocked once a
     (user, ad) count reaches ``threshold``, and the crossing batch counts in full.
 
-    The state store keeps the unfiltered count per (user, ad). Blocking never
-    depends on the filter (a user's clicks are dropped only after the user is
-    blocked), so a changed pair of a user not blocked in an earlier batch carries
-    exactly the counted total: it is logged, and its user is blocked if the total
-    reaches the threshold. Pairs of users blocked earlier are not logged, which
-    freezes their counts. Per batch: the changed pairs and the blacklist.
+    Blocking never depends on the filter (a user's clicks are dropped only after the
+    user is blocked), so the log of unfiltered totals by batch says everything: the
+    batch that blocks a user is the first one in which a total of theirs reaches the
+    threshold, and a pair's count is its total as of that batch. A batch appends its
+    changed pairs and reads nothing; the readers below apply the rule.
     """
-    counts_log, bl_log = f"{out}/counts", f"{out}/blacklist"
-    agg = clicks.groupBy("userid", "adid").agg(F.count("*").alias("clicks"))
-    spark = clicks.sparkSession
-
-    def batch(changed: DataFrame, batch_id: int) -> None:
-        ch = _stage(changed.select(*_names(USER_AD_COUNTS)), spark, f"{out}/_staged", USER_AD_COUNTS)
-        # users blocked in earlier batches only: a replay of this batch sees the same set
-        earlier = read_changes(spark, bl_log, BLOCKED, before=batch_id).select("userid")
-        counted = ch.join(earlier, "userid", "left_anti").persist()
-        try:
-            append_changes(counted, counts_log, batch_id)
-            newly = (counted.where(F.col("clicks") >= threshold).select("userid").distinct()
-                     .withColumn("block_batch", F.lit(batch_id).cast("bigint")))
-            append_changes(newly, bl_log, batch_id)
-        finally:
-            counted.unpersist()
-        _maybe_compact(spark, compact_every, batch_id,
-                       [(counts_log, USER_AD_COUNTS, ["userid", "adid"], "clicks", []),
-                        (bl_log, BLOCKED, ["userid"], "block_batch", [])])
-
+    agg = (clicks.groupBy("userid", "adid").agg(F.count("*").alias("clicks"))
+           .withColumn("blocks", F.col("clicks") >= threshold))
+    batch = _logged(clicks.sparkSession, f"{out}/totals", USER_AD_TOTALS, _as_of_block, fold_every)
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)
 
 
-def read_blacklist(spark: SparkSession, out: str) -> DataFrame:
-    """(userid): every blocked user."""
-    return read_changes(spark, f"{out}/blacklist", BLOCKED).select("userid").distinct()
+def _block_batches(totals: DataFrame) -> DataFrame:
+    return totals.where("blocks").groupBy("userid").agg(F.min("batch").alias("block_batch"))
+
+
+def _as_of_block(totals: DataFrame) -> DataFrame:
+    """The last total of each (user, ad) up to the batch that blocks the user. Folding a
+    run of batches with it is exact: if an earlier run blocks the user, all rows of this
+    run are beyond the block, whichever of them are left."""
+    rows = totals.join(_block_batches(totals), "userid", "left")
+    kept = rows.where(F.col("block_batch").isNull() | (F.col("batch") <= F.col("block_batch")))
+    return (kept.groupBy("userid", "adid").agg(F.max(F.struct("batch", "clicks", "blocks")).alias("_t"))
+            .select("userid", "adid", "_t.batch", "_t.clicks", "_t.blocks"))
 
 
 def read_block_batches(spark: SparkSession, out: str) -> DataFrame:
     """(userid, block_batch): the micro-batch in which each user was blocked."""
-    return (read_changes(spark, f"{out}/blacklist", BLOCKED).groupBy("userid")
-            .agg(F.min("block_batch").alias("block_batch")))
+    return _block_batches(read_changes(spark, f"{out}/totals", USER_AD_TOTALS))
+
+
+def read_blacklist(spark: SparkSession, out: str) -> DataFrame:
+    """(userid): every blocked user."""
+    return read_block_batches(spark, out).select("userid")
 
 
 def read_user_ad_counts(spark: SparkSession, out: str) -> DataFrame:
     """(userid, adid, clicks): counted clicks per (user, ad)."""
-    return latest(read_changes(spark, f"{out}/counts", USER_AD_COUNTS),
-                  ["userid", "adid"], "clicks").select(*_names(USER_AD_COUNTS))
+    return _as_of_block(read_changes(spark, f"{out}/totals", USER_AD_TOTALS)).select("userid", "adid", "clicks")
 
 
 # ---- click trend ----------------------------------------------------------------------
@@ -215,10 +208,11 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
                     bucket_ms: int = TREND_BUCKET_MS, watermark: str | None = None,
                     trigger: dict | None = None, name: str | None = None,
                     state_partitions: int | None = None,
-                    compact_every: int | None = None) -> StreamingQuery:
+                    fold_every: int = FOLD_EVERY) -> StreamingQuery:
     """Running clicks per (ad, ``bucket_ms`` bucket); trends over sliding windows
-    and their JSON documents are read from it (``read_click_trend``). With
-    ``watermark`` the state of buckets older than the watermark is evicted."""
+    and their JSON documents are read from it (``read_click_trend``). The log has a
+    folder per UTC day of the buckets. With ``watermark`` the state of buckets older
+    than the watermark is evicted."""
     if watermark:
         s = clicks.withColumn("event_time", instant_of("ts_ms")).withWatermark("event_time", watermark)
         agg = (s.groupBy("adid", F.window("event_time", f"{int(bucket_ms)} milliseconds").alias("_b"))
@@ -226,21 +220,24 @@ def run_click_trend(clicks: DataFrame, out: str, checkpoint: str | None = None,
                .select("adid", F.unix_millis("_b.start").alias("bucket_ms"), "clicks"))
     else:
         agg = ads.click_buckets(clicks, bucket_ms)
-    log = f"{out}/buckets"
-    spark = clicks.sparkSession
-
-    def batch(changed: DataFrame, batch_id: int) -> None:
-        append_changes(changed.select(*_names(AD_BUCKETS)), log, batch_id)
-        _maybe_compact(spark, compact_every, batch_id,
-                       [(log, AD_BUCKETS, ["adid", "bucket_ms"], "clicks", [])])
-
+    agg = agg.withColumn("day", day_of("bucket_ms", "UTC"))
+    fold = lambda rows: latest(rows, ["day", "adid", "bucket_ms"], "clicks")
+    batch = _logged(clicks.sparkSession, f"{out}/buckets", BUCKET_CHANGES, fold, fold_every, ["day"])
     return _start(agg, "update", batch, checkpoint or f"{out}/_checkpoint", trigger, name,
                   state_partitions)
 
 
-def read_click_buckets(spark: SparkSession, out: str) -> DataFrame:
-    return latest(read_changes(spark, f"{out}/buckets", AD_BUCKETS),
-                  ["adid", "bucket_ms"], "clicks").select(*_names(AD_BUCKETS))
+def read_click_buckets(spark: SparkSession, out: str, since_ms: int | None = None) -> DataFrame:
+    """(adid, bucket_ms, clicks); ``since_ms`` reads the folders of the days from that
+    instant on and keeps the buckets that start at it or later."""
+    log = read_changes(spark, f"{out}/buckets", BUCKET_CHANGES)
+    if since_ms is not None:
+        log = log.where((F.col("day") >= day_of(F.lit(int(since_ms)), "UTC")) & (F.col("bucket_ms") >= since_ms))
+    return latest(log, ["adid", "bucket_ms"], "clicks").select(*_names(AD_BUCKETS))
+
+
+def _window_buckets(spark: SparkSession, out: str, window: str, since_ms: int | None) -> DataFrame:
+    return read_click_buckets(spark, out, None if since_ms is None else since_ms - interval_ms(window))
 
 
 def read_click_trend(spark: SparkSession, out: str, window: str = TREND_WINDOW,
@@ -249,10 +246,7 @@ def read_click_trend(spark: SparkSession, out: str, window: str = TREND_WINDOW,
     """(window_end_ms, adid, trend_json) over the logged buckets; ``since_ms``
     restricts to windows ending after it (e.g. the last hour for a dashboard),
     which prunes the buckets read."""
-    buckets = read_click_buckets(spark, out)
-    if since_ms is not None:
-        buckets = buckets.where(F.col("bucket_ms") >= since_ms - interval_ms(window))
-    trend = ads.click_trend(buckets, window, slide, keep)
+    trend = ads.click_trend(_window_buckets(spark, out, window, since_ms), window, slide, keep)
     if since_ms is not None:
         trend = trend.where(F.col("window_end_ms") > since_ms)
     return ads.trend_json(trend, label_fmt, tz)
@@ -263,7 +257,8 @@ def read_latest_click_trend(spark: SparkSession, out: str, window: str = TREND_W
                             label_fmt: str = TREND_LABEL, tz: str | None = None,
                             since_ms: int | None = None) -> DataFrame:
     """(adid, window_end_ms, trend_json): each ad's newest trend document."""
-    return ads.latest_trend(read_click_trend(spark, out, window, slide, keep, label_fmt, tz, since_ms))
+    buckets = _window_buckets(spark, out, window, since_ms)
+    return ads.latest_trend_json(buckets, window, slide, keep, label_fmt, tz)
 
 
 # ---- debugging sink -------------------------------------------------------------------

@@ -7,7 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from shoplens.schemas import ACTION, AD_CLICK  # noqa: E402
-from shoplens.session import build_session  # noqa: E402
+from shoplens.session import build_session, remove_run_folder  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -17,6 +17,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     s = build_session("local[4]", app="shoplens-tests", shuffle_partitions=4)
     yield s
+    remove_run_folder(s)
     s.stop()
 
 

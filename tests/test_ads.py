@@ -14,11 +14,11 @@ def test_parse_lines_and_rejects(spark):
         [("1543190400000 north beijing 1 2",), ("1543190400000 north beijing 1",),
          ("1543190400000 north beijing 1 2 extra",), ("noon north beijing 1 2",), ("",),
          ("1543190400001 south shanghai 3 4 ",)], "value string")
-    clicks, rejects = parse_ad_clicks(lines)
+    clicks, rejects = parse_ad_clicks(lines, strict=True)
     assert sorted(tuple(r) for r in clicks.collect()) == [
         (1543190400000, "north", "beijing", "1", "2"), (1543190400001, "south", "shanghai", "3", "4")]
     assert rejects.count() == 4
-    loose, loose_rejects = parse_ad_clicks(lines, strict=False)
+    loose, loose_rejects = parse_ad_clicks(lines)      # by position: a sixth field is ignored
     assert loose.count() == 3 and loose_rejects.count() == 3
 
 
@@ -86,3 +86,16 @@ def test_time_arithmetic_matches_python(spark):
         assert r.b == r.ms - r.ms % 10_000                  # Python % floors, like pmod here
         assert r.d == t.strftime("%Y-%m-%d")
         assert r.s == t.astimezone(ZoneInfo("Asia/Shanghai")).strftime("%Y-%m-%d")
+
+
+def test_newest_trend_equals_the_newest_of_all_windows(spark):
+    rows = [(MIDNIGHT + d, "a", "c", "u", ad) for ad, ds in
+            {"1": [0, 9_999, 10_000, 60_000, 130_000, 135_000], "2": [5_000], None: [70_000, 72_000]}.items() for d in ds]
+    buckets = ads.click_buckets(clicks_df(spark, rows), 10_000)
+    for keep in (6, 2):
+        docs = ads.trend_json(ads.click_trend(buckets, "60 seconds", "10 seconds", keep), "mm:ss", "UTC")
+        newest = {}
+        for r in docs.collect():
+            newest[r.adid] = max(newest.get(r.adid, (0, "")), (r.window_end_ms, r.trend_json))
+        got = ads.latest_trend_json(buckets, "60 seconds", "10 seconds", keep, "mm:ss", "UTC")
+        assert {r.adid: (r.window_end_ms, r.trend_json) for r in got.collect()} == newest

@@ -51,3 +51,24 @@ def test_closed_form_matches_loop(spark, batches, threshold):
     got = {(r.userid, r.adid): r.clicks for r in blacklist.accepted_counts(df, threshold).collect()}
     assert got == counts
     assert {r.userid for r in blacklist.blocked_users(df, threshold).collect()} == blocked
+
+
+def test_a_hot_user_is_spread_over_partitions(spark):
+    """A third of the clicks are one user's, over many ads and batches."""
+    from pyspark.sql import functions as F
+    hot = spark.range(3000).select(
+        F.col("id").alias("ts_ms"), F.lit("a").alias("area"), F.lit("c").alias("city"),
+        F.when(F.col("id") % 3 == 0, F.lit("bot")).otherwise(F.concat(F.lit("u"), F.col("id"))).alias("userid"),
+        (F.col("id") % 101).cast("string").alias("adid"), (F.col("id") / 300).cast("bigint").alias("batch"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per = blacklist._per_batch(hot, "batch")
+        w = blacklist._crossings(per, 5, "batch")
+        plan = w._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(userid" in plan and "Window" in plan
+        window = plan[plan.index("Window ["):]
+        assert window[window.index("hashpartitioning("):].startswith("hashpartitioning(userid#") and ", adid#" in window[
+            window.index("hashpartitioning("):][:60]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r.userid for r in blacklist.block_batches(hot, 5).collect()] == ["bot"]

@@ -76,7 +76,7 @@ def test_time_range_is_a_string_comparison(spark):
 
 def test_time_range_adds_partition_predicate(spark):
     df = actions_df(spark, [action()])
-    plan = in_action_time_range(df, "2018-11-25 10:00:00", "2018-11-27")._jdf.queryExecution() \
+    plan = in_action_time_range(df, "2018-11-25 10:00:00", "2018-11-27", date_col="date")._jdf.queryExecution() \
         .optimizedPlan().toString()
     assert "date" in plan and "2018-11-25" in plan
 
@@ -94,7 +94,31 @@ def test_date_partitions_are_pruned(spark, tmp_path):
     df.write.partitionBy("date").parquet(path)
     from shoplens.sources.actions import read_actions
     logged = read_actions(spark, path)
-    q = in_action_time_range(logged, "2018-11-25 00:00:00", "2018-11-26")
+    q = in_action_time_range(logged, "2018-11-25 00:00:00", "2018-11-26", date_col="date")
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "2018-11-25" in plan
     assert [r.date for r in q.collect()] == ["2018-11-25"]
+
+
+def test_only_the_action_time_decides_unless_a_date_column_is_named(spark):
+    rows = [action(date=d, action_time="2018-11-26 10:00:00", city_id=i) for i, d in
+            enumerate([None, "20181126", "2018-11-26"])]
+    df = actions_df(spark, rows)
+    kept = in_action_time_range(df, "2018-11-25", "2018-11-27")
+    assert sorted(r.city_id for r in kept.collect()) == [0, 1, 2]
+
+
+def test_id_lists_drop_trailing_empties_only(spark):
+    from shoplens.functions.ids import id_list
+    lists = {"1,2,": ["1", "2"], "1,,2,,": ["1", "", "2"], ",3": ["", "3"], ",,": [], "": [""], "7": ["7"], None: None}
+    df = spark.createDataFrame([(x,) for x in lists], "ids string")
+    assert {r.ids: r.got for r in df.select("ids", id_list("ids").alias("got")).collect()} == lists
+
+
+def test_a_callers_category_list_is_not_forced_into_a_broadcast(spark):
+    from shoplens.operators.category import top_sessions
+    df = actions_df(spark, [action(click_category_id=3, session_id="a"), action(click_category_id=4, session_id="b")])
+    cats = spark.createDataFrame([("3",), ("4",)], "category_id string")
+    got = top_sessions(df, categories=cats)
+    assert sorted(map(tuple, got.collect())) == [("3", "a", 1), ("4", "b", 1)]
+    assert "ResolvedHint" not in got._jdf.queryExecution().analyzed().toString()

@@ -1,3 +1,5 @@
+import pytest
+
 from hypothesis import given, settings, strategies as st
 
 from shoplens.operators import pageflow
@@ -93,9 +95,9 @@ def test_rates_match_literal_model(spark, sessions):
 def test_chunked_successor_equals_plain_lead(spark, pages):
     # One long session spread over many minute chunks (seconds advance by 1).
     df = actions_df(spark, _rows({"hot": pages}))
-    plain = sorted(tuple(r) for r in pageflow.page_successors(df, tie=TIE, chunk=None).collect())
+    plain = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk=None).drop("position").collect()))
     for chunk in ("minute", "hour", "day"):
-        assert sorted(tuple(r) for r in pageflow.page_successors(df, tie=TIE, chunk=chunk).collect()) == plain
+        assert sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk=chunk).drop("position").collect())) == plain
 
 
 def test_null_times_sort_first_and_keep_their_successor(spark):
@@ -103,19 +105,21 @@ def test_null_times_sort_first_and_keep_their_successor(spark):
             action(session_id="s", page_id=2, action_time="2018-11-26 10:00:00", action_seq=1),
             action(session_id="s", page_id=3, action_time="2018-11-26 12:00:00", action_seq=2)]
     df = actions_df(spark, rows)
-    plain = sorted(tuple(r) for r in pageflow.page_successors(df, tie=TIE, chunk=None).collect())
-    chunked = sorted(tuple(r) for r in pageflow.page_successors(df, tie=TIE, chunk="hour").collect())
+    plain = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk=None).drop("position").collect()))
+    chunked = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk="hour").drop("position").collect()))
     assert plain == chunked
-    assert {r[1]: r[-1] for r in chunked} == {1: 2, 2: 3, 3: None}
+    got = {r.page_id: r.next_page for r in pageflow.page_successors(df, tie=TIE, chunk="hour").collect()}
+    assert got == {1: 2, 2: 3, 3: None}
 
 
-def test_hot_session_is_spread_over_partitions(spark):
+@pytest.mark.parametrize("session", ["hot", None])
+def test_hot_session_is_spread_over_partitions(spark, session):
     from pyspark.sql import functions as F
     from shoplens.sources import testviews
     from tests.conftest import SF_CHECK
     # a third of all actions moved into one session (rows derived from the test tables)
     acts = testviews.actions(spark, SF_CHECK)
-    hot = acts.withColumn("session_id", F.when(F.col("action_seq") % 3 == 0, F.lit("hot"))
+    hot = acts.withColumn("session_id", F.when(F.col("action_seq") % 3 == 0, F.lit(session))
                           .otherwise(F.col("session_id")))
     total = hot.count()
     shares = {}
@@ -125,7 +129,7 @@ def test_hot_session_is_spread_over_partitions(spark):
         for chunk in (None, "minute"):
             succ = pageflow.page_successors(hot, tie=TIE, chunk=chunk)
             # count next_page so the window itself is computed (not pruned away)
-            per_part = (succ.where(F.col("session_id") == "hot")
+            per_part = (succ.where(F.col("session_id").eqNullSafe(F.lit(session)))
                         .select("next_page", F.spark_partition_id().alias("p"))
                         .groupBy("p").agg(F.count("*").alias("n"), F.count("next_page")).collect())
             shares[chunk] = max(r["n"] for r in per_part) / total
@@ -150,6 +154,16 @@ def test_null_session_keeps_successors_across_minutes(spark):
             for i, (p, m) in enumerate([(1, 0), (2, 5), (3, 9)])]
     rows.append(action(session_id="s", page_id=4, action_time="2018-11-26 10:01:00", action_seq=9))
     df = actions_df(spark, rows)
-    plain = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk=None).collect()))
-    chunked = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk="minute").collect()))
+    plain = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk=None).drop("position").collect()))
+    chunked = sorted(map(str, pageflow.page_successors(df, tie=TIE, chunk="minute").drop("position").collect()))
     assert plain == chunked
+
+
+@pytest.mark.parametrize("dedupe", ["last", "none"])
+def test_actions_of_one_second_give_one_result_for_any_partitioning(spark, dedupe):
+    pages = [3, 1, 2, 2, 1, 4, 3, 5]
+    rows = [action(session_id="s", page_id=p, action_time="2018-11-26 10:00:00", action_seq=i) for i, p in enumerate(pages)]
+    df = actions_df(spark, rows).drop("action_seq")
+    results = {tuple(sorted((r.flow, r.rate) for r in pageflow.jump_rate(df.repartition(n), (1, 2, 3, 4, 5), dedupe).collect()))
+               for n in (1, 2, 3, 5)}
+    assert results == {tuple(sorted(model_rate({"s": sorted(pages)}, (1, 2, 3, 4, 5), dedupe).items()))}

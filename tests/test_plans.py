@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
+from shoplens.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
 
-BATCH = [n for n in E.queries() if not n.startswith("stream_")]
+BATCH = [n for n in QUERIES if not n.startswith("stream_")]
 
 
 def _plan(df):
@@ -49,8 +50,28 @@ def test_predicates_reach_the_scan_of_a_native_log(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")     # untruncated scan details
     visits = _plan(pageflow.page_visits(log, (1, 2, 3)))
     assert "PushedFilters: [In(page_id, [1,2,3])" in visits and "ReadSchema: struct<page_id:bigint>" in visits
-    ranged = _plan(in_action_time_range(log, "2024-01-08 00:00:00", "2024-01-21").select("session_id"))
+    ranged = _plan(in_action_time_range(log, "2024-01-08 00:00:00", "2024-01-21", date_col="date").select("session_id"))
     assert "GreaterThanOrEqual(action_time,2024-01-08 00:00:00)" in ranged
     assert "LessThanOrEqual(action_time,2024-01-21)" in ranged
     assert "GreaterThanOrEqual(date,2024-01-08)" in ranged        # the implied partition bound
     spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_jump_rate_scans_the_log_once(spark):
+    for name in ("page_jump_rate", "page_jump_rate_all"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        # two branches of the successor share one shuffle; nothing else reads the log
+        assert plan.count("FileScan") <= 2 and "BroadcastExchange HashedRelationBroadcastMode(List(cast(input[0, bigint" not in plan
+
+
+def test_time_range_reaches_the_scan(spark):
+    plan = _plan(E.queries()["actions_date_range"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts,2024-01-08T00:00" in plan and "LessThan(ts,2024-01-21T00:00" in plan
+
+
+def test_newest_trend_is_found_before_any_document_is_made(spark):
+    plan = _plan(E.queries()["ad_click_trend_latest"](spark, SF_SMALL))
+    # documents (collect_list) are made above the join with each ad's one window; the
+    # window is found from the ad's newest bucket, a partial maximum
+    assert plan.index("collect_list") < plan.index("Join") < plan.index("partial_max(bucket_ms")
+    assert "collect_list" not in plan[plan.index("Join"):]

@@ -1,26 +1,18 @@
+import os
 import tempfile
 import uuid
 
 import pytest
 
-from shoplens.schemas import BLACKLIST
 from shoplens.session import checkpoint_root, shared_path
-from shoplens.sinks import latest_version, list_versions, read_snapshot, replace_table, write_snapshot
-from shoplens.sources.clicks import read_click_lines, write_click_lines
+from shoplens.schemas import DAILY_TOTALS
+from shoplens.sinks import append_changes, committed_runs, fold_changes, latest, live_runs, read_changes, replace_table
+from shoplens.sources.clicks import (
+    parse_ad_clicks, read_click_lines, reject_counts, write_click_lines, write_rejects_stream,
+)
 from tests.conftest import clicks_df
 
 
-def test_snapshot_versions_and_replay(spark):
-    path = tempfile.mkdtemp(prefix="shoplens-snap-") + "/bl"
-    assert read_snapshot(spark, path, BLACKLIST).count() == 0
-    write_snapshot(spark.createDataFrame([("u1",)], BLACKLIST), path, 0)
-    write_snapshot(spark.createDataFrame([("u1",), ("u2",)], BLACKLIST), path, 1)
-    write_snapshot(spark.createDataFrame([("u1",), ("u2",)], BLACKLIST), path, 1)   # replay
-    assert list_versions(spark, path) == [0, 1]
-    assert latest_version(spark, path, before=1) == 0
-    assert sorted(r.userid for r in read_snapshot(spark, path, BLACKLIST).collect()) == ["u1", "u2"]
-
-
 def test_replace_table_round_trip(spark):
     df = spark.createDataFrame([("1", 3), ("2", 1)], "category_id string, click_count long")
     name = "t_" + uuid.uuid4().hex[:8]
@@ -49,17 +41,6 @@ def test_kafka_source_needs_connector(spark):
                                                    "subscribe": "ads_log"})
 
 
-def test_prune_keeps_newest_versions(spark):
-    from shoplens.sinks import prune_versions
-    path = tempfile.mkdtemp(prefix="shoplens-snap-") + "/p"
-    for v in range(5):
-        write_snapshot(spark.createDataFrame([(f"u{v}",)], BLACKLIST), path, v)
-    assert prune_versions(spark, path, keep=2) == [0, 1, 2]
-    assert list_versions(spark, path) == [3, 4]
-    write_snapshot(spark.createDataFrame([("u5",)], BLACKLIST), path, 5, keep=1)   # at least 2 stay
-    assert list_versions(spark, path) == [4, 5]
-
-
 def test_read_actions_from_catalog_table(spark):
     from shoplens.sources.actions import read_actions
     from tests.conftest import action, actions_df
@@ -78,3 +59,114 @@ def test_preview_shows_first_rows(spark, capsys):
     assert head.count() == 100
     out = capsys.readouterr().out
     assert "|n  |" in out and "|99 |" in out and "|100|" not in out
+
+
+KEYS = ["day", "area", "city", "adid"]
+
+
+def _totals(spark, rows):
+    return spark.createDataFrame([(d, "a", "c", ad, n) for d, ad, n in rows], DAILY_TOTALS)
+
+
+def _fold(rows):
+    return latest(rows, KEYS, "clicks")
+
+
+def _values(spark, path):
+    return sorted((r.day, r.adid, r.clicks) for r in _fold(read_changes(spark, path, DAILY_TOTALS)).collect())
+
+
+def test_uncommitted_rows_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert read_changes(spark, path, DAILY_TOTALS).count() == 0
+    append_changes(_totals(spark, [("d1", "1", 1)]), path, 0, ["day"])
+    # a batch that died while it wrote: rows without a commit
+    _totals(spark, [("d1", "1", 9)]).write.partitionBy("day").parquet(f"{path}/run=1-1.0")
+    assert _values(spark, path) == [("d1", "1", 1)]
+    append_changes(_totals(spark, [("d1", "1", 2)]), path, 1, ["day"])
+    assert _values(spark, path) == [("d1", "1", 2)]
+
+
+def test_replay_leaves_no_gap(spark, tmp_path):
+    path = str(tmp_path / "log")
+    append_changes(_totals(spark, [("d1", "1", 5)]), path, 0)
+    seen = read_changes(spark, path, DAILY_TOTALS)
+    append_changes(_totals(spark, [("d1", "1", 5)]), path, 0)       # replayed: a new attempt
+    assert [r.name for r in live_runs(committed_runs(spark, path))] == ["0-0.1"]
+    assert seen.count() == 1                                        # a reader of the first attempt goes on
+    assert _values(spark, path) == [("d1", "1", 5)]
+
+
+def test_a_hot_day_is_written_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = _totals(spark, [("d1", str(i), i) for i in range(4000)]).repartition(16)
+    append_changes(rows, path, 0, ["day"])
+    assert len([f for f in os.listdir(f"{path}/run=0-0.0/day=d1") if f.endswith(".parquet")]) == 16
+
+
+def test_a_thousand_batches_stay_few_runs(spark, tmp_path):
+    """Markers only: which runs are live after 1,000 batches that fold by tens."""
+    from shoplens.sinks.changes import Run
+    runs = []
+    for b in range(1000):
+        runs.append(Run(b, b, 0))
+        width = 10
+        while b > 0 and b % width == 0:
+            runs = live_runs(runs)
+            target = Run(b - width, b - 1, 0)
+            assert any(r.within(target) for r in runs)
+            runs.append(target)
+            width *= 10
+        runs = live_runs(runs)
+        assert len(runs) <= 31
+    covered = sorted(i for r in runs for i in range(r.first, r.last + 1))
+    assert covered == list(range(1000))
+
+
+def test_folding_keeps_values_and_bounds_files(spark, tmp_path):
+    path = str(tmp_path / "log")
+    total = {}
+    for b in range(13):
+        rows = [(f"d{b % 3}", str(a), b + a) for a in range(3)] + [("d9", "x", b + 1)]
+        for d, a, n in rows:
+            total[d, a] = max(n, total.get((d, a), 0))
+        append_changes(_totals(spark, rows).repartition(4), path, b, ["day"])
+        fold_changes(spark, path, DAILY_TOTALS, _fold, b, ["day"], every=3)
+        assert _values(spark, path) == sorted((d, a, n) for (d, a), n in total.items())
+    live = live_runs(committed_runs(spark, path))
+    assert [(r.first, r.last) for r in live] == [(0, 8), (9, 11), (12, 12)]
+    folders = [f for f in os.listdir(path) if f.startswith("run=")]
+    assert len(folders) <= 8                                        # folded ones go at the next fold
+    files = [f for _, _, names in os.walk(f"{path}/run=0-8.0") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 8                                          # 4 days
+    assert fold_changes(spark, path, DAILY_TOTALS, _fold, 12, ["day"], every=3) == []   # folded before
+    assert _values(spark, path) == sorted((d, a, n) for (d, a), n in total.items())
+
+
+def test_lines_are_read_by_position_and_rejects_kept(spark, tmp_path):
+    lines = ["1 a c u 1", "2 a c u 1 more fields", "3 a c u", "x a c u 1", "", None, "4 a c u 1 "]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    clicks, rejects = parse_ad_clicks(df)
+    assert sorted(r.ts_ms for r in clicks.collect()) == [1, 2, 4]
+    assert {r.reason: r.lines for r in reject_counts(rejects).collect()} == {
+        "too few fields": 2, "bad time": 1, "null line": 1}
+    strict, rest = parse_ad_clicks(df, strict=True)
+    assert sorted(r.ts_ms for r in strict.collect()) == [1, 4] and rest.count() == 5
+
+
+def test_null_fields_survive_the_line_format(spark):
+    from shoplens.sources.clicks import click_lines
+    rows = [(1, None, "c", "u", "1"), (2, "a", None, None, "1"), (None, "a", "c", "u", "1")]
+    clicks, rejects = parse_ad_clicks(click_lines(clicks_df(spark, rows)))
+    assert sorted(map(tuple, clicks.collect())) == rows[:2]
+    assert rejects.count() == 1
+
+
+def test_rejected_lines_of_a_stream_are_kept(spark, tmp_path):
+    from shoplens.sources.clicks import read_click_lines_stream
+    src, out = str(tmp_path / "src"), str(tmp_path / "rejects")
+    spark.createDataFrame([("1 a c u 1",), ("bad",), ("x a c u 1",)], "value string").write.text(src)
+    _, rejects = parse_ad_clicks(read_click_lines_stream(spark, "text", src))
+    q = write_rejects_stream(rejects, out, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r.value for r in read_click_lines(spark, out).collect()) == ["bad", "x a c u 1"]
