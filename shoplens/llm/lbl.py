@@ -13,8 +13,8 @@ Model vocabulary (a fixed number of rows): the end token, ``words`` most frequen
 words, and 256 classes for all other words, by their last byte. A word of a class
 has the class's probability times (c + 0.1) / (N_class + 0.1 * (V_class + 1)), so
 every word of any text has a probability. Counts cover all training documents; the
-``frequent`` most frequent words' counts are broadcast (a bound by parameter), all
-other words meet their counts in a join.
+at most ``frequent`` most frequent words' counts are broadcast (a bound by parameter),
+all other words meet their counts in a join.
 
 Defined results: null and empty texts have the end token only. Rows with a null
 doc_id are scored, not held out and never learned from; rows that repeat are scored
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ END = b""
 WORDS = 767
 FREQUENT = 200_000
 CONTEXT = 2
-DIM = 24
+DIM = 16
 NOISE = 32
 BATCH = 2048
 RATE = 0.05
@@ -191,34 +192,49 @@ class Vocabulary:
         self.index = {w: i for i, (w, _) in enumerate(frequent)}
         self.counts = np.array([c for _, c in frequent], np.float64)
         self.rows = np.array([257 + i if i < words else 1 + w[-1] for i, (w, _) in enumerate(frequent)], np.int64)
-        self.in_class = self.rows <= 256
+        self.own_rows = {w: 257 + i for i, (w, _) in enumerate(frequent[:words])}
         self.n, self.v, self.ends = n, v, ends
         self.class_n = class_n
         self.log_class = np.log10(class_n + 0.1 * (class_v + 1))
         row_counts = np.concatenate([[ends], class_n, self.counts[:words], np.zeros(max(0, words - len(frequent)))])
         self.unigram = (row_counts + 0.1) / (row_counts + 0.1).sum()
 
-    def ids(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
-        """Model rows of ``words``, whose places in the frequent list are ``at`` (or -1)."""
-        rows = self.rows[at] if len(self.rows) else np.zeros(len(at), np.int64)
-        for i in np.flatnonzero(at < 0).tolist():
-            rows[i] = 1 + words[i][-1]
-        return rows
-
-
-def _encoded(vocabulary: Vocabulary, split: list[list[bytes]]):
-    """(words, places in the frequent list, model rows with ends, starts): END stands at
-    the end of each document, at place -1."""
-    words = [w for doc in split for w in (*doc, END)]
-    ends = np.cumsum([len(doc) + 1 for doc in split]) - 1
-    get = vocabulary.index.get
-    at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-    is_end = np.zeros(len(words), bool)
-    is_end[ends] = True
-    rows = np.zeros(len(words), np.int64)
-    inner = np.flatnonzero(~is_end)
-    rows[inner] = vocabulary.ids([words[i] for i in inner.tolist()] if (at[inner] < 0).any() else [], at[inner])
-    return words, at, rows, is_end, np.concatenate([[0], ends[:-1] + 1])
+    def training_rows(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """(model rows with an end after each document, starts)."""
+        row = self.own_rows.get
+        out, starts = [], []
+        for doc in split:
+            starts.append(len(out))
+            out += [row(w) or 1 + w[-1] for w in doc]
+            out.append(0)
+        return np.array(out, np.int64), np.array(starts, np.int64)
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Place of each word in the frequent list, or -1."""
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+
+    def model_rows(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
+        out = self.rows[at] if len(self.rows) else np.zeros(len(at), np.int64)
+        rare = np.flatnonzero(at < 0)
+        out[rare] = 1 + np.fromiter((words[i][-1] for i in rare.tolist()), np.int64, len(rare))
+        return out
+
+
+class Tokens:
+    """The tokens of a block of documents, an end token after each document's words:
+    ``words`` has no ends; ``at``, ``rows``, ``is_end`` have, with ``at`` -1 there."""
+
+    def __init__(self, vocabulary: Vocabulary, split: list[list[bytes]]):
+        sizes = np.array([len(doc) + 1 for doc in split])
+        self.words = list(chain.from_iterable(split))
+        self.starts = np.cumsum(sizes) - sizes
+        self.is_end = np.zeros(sizes.sum(), bool)
+        self.is_end[np.cumsum(sizes) - 1] = True
+        self.inner = np.flatnonzero(~self.is_end)
+        self.at, self.rows = np.full(len(self.is_end), -1), np.zeros(len(self.is_end), np.int64)
+        places = vocabulary.places(self.words)
+        self.at[self.inner] = places
+        self.rows[self.inner] = vocabulary.model_rows(self.words, places)
 
 
 def _count_words(batches):
@@ -275,7 +291,7 @@ def _train(shared: Shared):
         vocabulary, start = shared.made(lambda facts, flat: _vocabulary_and_parameters(facts, flat))
         trainer, tokens = Trainer(start, vocabulary.unigram, SEED), 0
         for _, split in _blocks(batches):
-            _, _, rows, _, starts = _encoded(vocabulary, split)
+            rows, starts = vocabulary.training_rows(split)
             trainer.run(rows, starts)
             tokens += len(rows)
         if tokens:
@@ -307,21 +323,23 @@ def _score(shared: Shared):
         log_count = np.log10(vocabulary.counts + 0.1)
         item = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for rows, split in _blocks(batches):
-            words, at, ids, is_end, starts = _encoded(vocabulary, split)
-            sizes = np.diff(np.append(starts, len(words)))
+            block = Tokens(vocabulary, split)
+            at, ids, is_end, starts = block.at, block.rows, block.is_end, block.starts
+            sizes = np.diff(np.append(starts, len(ids)))
             found = at >= 0
             # what is known here of each token's log10(c + 0.1); rare words add theirs later
-            own = np.zeros(len(words))
+            own = np.zeros(len(ids))
             own[found] = log_count[at[found]]
             own[is_end] = np.log10(vocabulary.ends + 0.1)
             in_class = (ids >= 1) & (ids <= 256) & ~is_end
             model = scorer.log_probs(ids, starts) / np.log(10)
             model[in_class] += own[in_class] - vocabulary.log_class[ids[in_class] - 1]
             known = found | (is_end & (vocabulary.ends > 0))
-            rare, stops = [], np.cumsum(sizes)
-            spots = np.flatnonzero(~found & ~is_end)
-            for a, b in zip(np.searchsorted(spots, starts).tolist(), np.searchsorted(spots, stops).tolist()):
-                rare.append([{"word": w, "n": n} for w, n in Counter(words[i] for i in spots[a:b].tolist()).items()])
+            missing = np.flatnonzero(at[block.inner] < 0)  # places in block.words
+            firsts = starts - np.arange(len(starts))
+            bounds = np.searchsorted(missing, np.append(firsts, len(block.words))).tolist()
+            missing = [block.words[i] for i in missing.tolist()]
+            rare = [[{"word": w, "n": n} for w, n in Counter(missing[a:b]).items()] for a, b in zip(bounds, bounds[1:])]
             uids = np.arange(uid, uid + len(rows))
             uid += len(rows)
             yield pa.RecordBatch.from_arrays(
@@ -333,6 +351,22 @@ def _score(shared: Shared):
     return run
 
 
+def _most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
+    """The words with a count of at least m, by count, for the least m that at most
+    ``limit`` words reach. m comes from the numbers of words by size of their count
+    (exact up to 1000, doubling beyond), so the driver gets no more than ``limit`` words."""
+    size = F.when(F.col("n") <= 1000, F.col("n")).otherwise(1000 * F.pow(2, F.floor(F.log2(F.col("n") / 1000))).cast("bigint"))
+    words, least = 0, None
+    for r in counts.groupBy(size.cast("bigint").alias("size")).agg(F.count(F.lit(1)).alias("v")).orderBy(F.desc("size")).collect():
+        words += r.v
+        if words > limit:
+            break
+        least = r["size"]
+    if least is None:
+        return []
+    return sorted(((bytes(r.word), r.n) for r in counts.where(F.col("n") >= least).collect()), key=lambda x: (-x[1], x[0]))
+
+
 def score_documents(docs: DataFrame, words: int = WORDS, frequent: int = FREQUENT) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score."""
@@ -346,7 +380,7 @@ def score_documents(docs: DataFrame, words: int = WORDS, frequent: int = FREQUEN
     inner = counts.where(F.octet_length("word") > 0)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    top = [(bytes(r.word), r.n) for r in inner.orderBy(F.desc("n"), "word").limit(frequent).collect()]
+    top = _most_frequent(inner, frequent)
     class_n, class_v = np.zeros(256), np.zeros(256)
     for r in inner.groupBy(F.expr("cast(conv(hex(substring(word, -1, 1)), 16, 10) as int)").alias("last")).agg(
             F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
