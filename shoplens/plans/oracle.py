@@ -281,7 +281,7 @@ FROM per p LEFT JOIN blk b ON p.userid = b.userid
 WHERE b.block_batch IS NULL OR p.batch <= b.block_batch
 GROUP BY 1, 2"""
 
-for _name, _ms in (("", 6 * 3_600_000), ("stream_", 3 * 86_400_000)):
+for _name, _ms in (("", 6 * 3_600_000), ("stream_", 5 * 86_400_000)):
     SQL[_name + "blacklist_block_batches"] = with_clicks(_BLOCK_BATCHES.replace("BATCH_MS", str(_ms)))
     SQL[_name + "blacklist_accepted_counts"] = with_clicks(_ACCEPTED.replace("BATCH_MS", str(_ms)))
 

@@ -288,7 +288,7 @@ def published_click_stream(spark, sf_dir):
     return clicks
 
 
-SLICE_MS = 3 * 86_400_000
+SLICE_MS = 5 * 86_400_000
 
 
 def run_in_slices(spark, sf_dir, start, slice_ms=SLICE_MS):

@@ -46,18 +46,18 @@ def summarize(plan: str) -> dict:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", app="plan-report")
-    import __spark_entry__ as E
 
     print(f"# Executed plans at `{sf}` (after AQE, local[8])\n")
     print("Generated by `tools/plan_report.py`. Shuffles count hash/range exchanges; broadcasts are "
           "size-bounded (explicit) or chosen by AQE from measured sizes.\n")
     print("| Query | Scans (read schema) | Pushed filters | Shuffles | Broadcasts | Reused | Partial aggs | Partial top-k | Joins |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    from shoplens.plans.queries import QUERIES
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         df = fn(spark, sf)
-        df.collect()      # runs this DataFrame's own execution, so its final plan is recorded
+        df._jdf.queryExecution().executedPlan().execute().count()  # runs it, so its final plan is recorded
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
         scans = "<br>".join(f"{t}: `{sch}`" for t, sch in s["scans"])
@@ -66,8 +66,8 @@ def main() -> None:
         print(f"| {name} | {scans} | {pushed} | {s['exchanges']} | {s['broadcasts']} | {s['reused']} | "
               f"{s['partial_aggs']} | {s['partial_topk']} | {joins} |")
     for name in FORMATTED:
-        df = E.queries()[name](spark, sf)
-        df.collect()
+        df = QUERIES[name](spark, sf)
+        df._jdf.queryExecution().executedPlan().execute().count()
         text = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         final = text.split("== Initial Plan ==", 1)[0] if "== Initial Plan ==" in text else text
