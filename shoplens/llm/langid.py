@@ -35,6 +35,8 @@ ORDER = 4
 SAMPLE_DOCS = 500
 SAMPLE_CHARS = 200_000
 CALIBRATE_EACH = 5
+HASH_RANGE = 1 << 40
+THINNING = 4
 REJECT_QUANTILE = 0.995
 BLOCK_CHARS = 1_000_000
 MEMO_GRAMS = 600_000
@@ -269,11 +271,16 @@ def predict_languages(docs: DataFrame, order: int = ORDER, sample_docs: int = SA
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     rows = rows.withColumn("held_out", F.coalesce(fold == 2, F.lit(False)))
-    usable = rows.where(F.col("doc_id").isNotNull() & (fold != 2) & F.col("lang").isNotNull()
-                        & F.col("text").rlike(r"\p{L}") & (F.length("text") <= SAMPLE_CHARS))
+    labelled = rows.where(F.col("doc_id").isNotNull() & (fold != 2) & F.col("lang").isNotNull())
+    usable = labelled.where(F.col("text").rlike(r"\p{L}") & (F.length("text") <= SAMPLE_CHARS))
+    # a language's smallest hashes lie far below THINNING * sample_docs / (its documents) of the
+    # hash range, so that the ranking gets few rows however large the language is
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    order = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE))
+    few = usable.select("lang", "doc_id", order.alias("order")).join(sizes, "lang").where(
+        F.col("order") < F.lit(float(HASH_RANGE) * THINNING * sample_docs) / F.col("size"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    chosen = (usable.select("lang", "doc_id", F.xxhash64("doc_id").alias("order"))
-              .withColumn("nth", nth).where(F.col("nth") <= sample_docs))
+    chosen = few.withColumn("nth", nth).where(F.col("nth") <= sample_docs)
     sample = written(usable.select("doc_id", "text", "lang").join(
         F.broadcast(chosen.select("doc_id", "lang", "nth")), ["doc_id", "lang"]), "language_sample")
     learn = (F.col("nth") % CALIBRATE_EACH) != 0
