@@ -276,8 +276,8 @@ def predict_languages(docs: DataFrame, order: int = ORDER, sample_docs: int = SA
     # a language's smallest hashes lie far below THINNING * sample_docs / (its documents) of the
     # hash range, so that the ranking gets few rows however large the language is
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    order = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE))
-    few = usable.select("lang", "doc_id", order.alias("order")).join(sizes, "lang").where(
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE))
+    few = usable.select("lang", "doc_id", hashed.alias("order")).join(sizes, "lang").where(
         F.col("order") < F.lit(float(HASH_RANGE) * THINNING * sample_docs) / F.col("size"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     chosen = few.withColumn("nth", nth).where(F.col("nth") <= sample_docs)
