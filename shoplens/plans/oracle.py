@@ -75,6 +75,9 @@ SQL["actions_date_range"] = with_actions("""
 SELECT * FROM actions
 WHERE action_time >= '2024-01-08 00:00:00' AND action_time <= '2024-01-21'""")
 
+SQL["actions_preview"] = with_actions("""
+SELECT * FROM actions ORDER BY action_seq LIMIT 100""")
+
 SQL["category_action_counts"] = with_actions(CATEGORY_EXPANDED + """
 SELECT * FROM counts""")
 
@@ -146,6 +149,12 @@ SELECT * FROM v""" % _FLOW_PAGES)
 SQL["page_jump_counts"] = with_actions(_JUMPS_ALL + _COUNTS + """
 SELECT flow, from_page, to_page, jumps FROM c""")
 
+SQL["page_jump_counts_all_targets"] = with_actions(_JUMPS_ALL + _COUNTS + """,
+t AS (SELECT * FROM (VALUES %s) t(from_page, to_page))
+SELECT CAST(t.from_page AS BIGINT) AS from_page, CAST(t.to_page AS BIGINT) AS to_page, coalesce(c.jumps, 0) AS jumps
+FROM t LEFT JOIN c ON t.from_page = c.from_page AND t.to_page = c.to_page""" % ", ".join(
+    str(x) for x in [*zip(FLOW, FLOW[1:]), (7, 1), (1, 99)]))
+
 SQL["page_jump_counts_last"] = with_actions(_JUMPS_LAST + _COUNTS + """
 SELECT flow, from_page, to_page, jumps FROM c""")
 
@@ -287,6 +296,7 @@ for _name, _ms in (("", 6 * 3_600_000), ("stream_", 5 * 86_400_000)):
 
 # ---- streaming twins: each equals its batch query (where the whole table arrives in
 # one micro-batch, no user of the blacklist is blocked before it).
+SQL["stream_trigger_daily"] = SQL["ads_daily_area_city"]
 SQL["stream_restart_daily"] = SQL["ads_daily_area_city"]
 SQL["stream_click_trend_latest"] = SQL["ad_click_trend_latest"]
 SQL["stream_ads_daily_area_city"] = SQL["ads_daily_area_city"]
