@@ -38,7 +38,7 @@ _MEMOS: dict = {}
 # The splitting pattern of the vocabulary on lower-case printable ASCII, with white
 # space (which it drops) left out.
 ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_500_000  # about 150 MB a worker at most
 
 
 def _memo(path: str) -> WordMemo:

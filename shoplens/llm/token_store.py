@@ -131,7 +131,7 @@ class Shard:
 # ---- encoding ------------------------------------------------------------------
 # The splitting pattern of byte-level BPE on printable ASCII after at most one space.
 ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+"
-MEMO_WORDS = 800_000
+MEMO_WORDS = 2_000_000  # about 300 MB a worker at most
 _WORKER: dict = {}
 
 
@@ -144,19 +144,18 @@ class TextCoder:
     # Other white space than single spaces and line feeds inside the text; beyond ASCII,
     # by leading bytes.
     SINGLE = (b"\t", b"\x0b", b"\x0c", b"\r")
-    PAIRS = (b"  ", b" \n", b"\n ", b"\n\n")
     WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80")
 
     def __init__(self, path: str, width: int):
         letter = {2: "H", 4: "I"}[width]
         pack = lambda ids: struct.pack(f"<{len(ids)}{letter}", *ids)
-        self.first = WordMemo(path, ASCII_PIECES, pack, limit=MEMO_WORDS // 4)
+        self.first = WordMemo(path, ASCII_PIECES, pack, limit=MEMO_WORDS // 10)
         self.after_space = WordMemo(path, ASCII_PIECES, pack, before=b" ", limit=MEMO_WORDS)
         self.line_feed = pack(library_tokenizer(path).encode("\n", add_special_tokens=False).ids)
 
     def _odd(self, text: bytes) -> bool:
         return (text[:1].isspace() or text[-1:].isspace() or any(x in text for x in self.SINGLE)
-                or any(x in text for x in self.PAIRS) or (not text.isascii() and any(x in text for x in self.WIDE)))
+                or b"  " in text.replace(b"\n", b" ") or (not text.isascii() and any(x in text for x in self.WIDE)))
 
     def encode(self, text: bytes) -> bytes:
         after_space = self.after_space.__getitem__
@@ -195,7 +194,7 @@ def _tokenise(path: str, end_id: int, width: int, bounds: np.ndarray):
     def run(batches):
         coder, end = _coder(path, width), np.array([end_id], f"<u{width}").tobytes()
         for b in batches:
-            codes = [coder.encode(t.encode()) + end for t in b.column("text").to_pylist()]
+            codes = [coder.encode(t) + end for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([_part_of(bounds, b.column("key")), b.column("key"), pa.array(codes, pa.binary())],
                                              names=["part", "key", "ids"])
     return run
@@ -324,7 +323,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: in
                 part_docs: int = PART_DOCS) -> TokenStore:
     """Tokenise ``docs`` (doc_id, text), append ``end_id`` to each and write the shards."""
     width = 2 if max(library_tokenizer(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    rows = texts(docs).select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("key"), "text")
+    rows = texts(docs).select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("key"), F.col("text").cast("binary").alias("text"))
     parts = min(MAX_PARTS, max(1, -(-rows.count() // part_docs)))
     bounds = sorted({int(x) for x in rows.approxQuantile(
         "key", [k / parts for k in range(1, parts)], 0.1 / parts)}) if parts > 1 else []
