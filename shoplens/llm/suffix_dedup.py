@@ -42,7 +42,7 @@ from shoplens.llm.tables import prepare, written
 
 LENGTH = 400
 ANCHOR = 64
-BUCKET = 1000
+BUCKET = 20_000
 CLASSES = 19
 BLOCK = 1 << 20
 NULL_KEY = -(1 << 63)
