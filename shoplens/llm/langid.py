@@ -274,10 +274,11 @@ def predict_languages(docs: DataFrame, order: int = ORDER, sample_docs: int = SA
     labelled = rows.where(F.col("doc_id").isNotNull() & (fold != 2) & F.col("lang").isNotNull())
     usable = labelled.where(F.col("text").rlike(r"\p{L}") & (F.length("text") <= SAMPLE_CHARS))
     # a language's smallest hashes lie far below THINNING * sample_docs / (its documents) of the
-    # hash range, so that the ranking gets few rows however large the language is
+    # hash range, so that the ranking gets few rows however large the language is; the sizes,
+    # one row a language, are broadcast, so that rows are thinned before they are shuffled
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE))
-    few = usable.select("lang", "doc_id", hashed.alias("order")).join(sizes, "lang").where(
+    few = usable.select("lang", "doc_id", hashed.alias("order")).join(F.broadcast(sizes), "lang").where(
         F.col("order") < F.lit(float(HASH_RANGE) * THINNING * sample_docs) / F.col("size"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     chosen = few.withColumn("nth", nth).where(F.col("nth") <= sample_docs)
