@@ -245,9 +245,10 @@ _REFINE_DDL = ("old_bucket binary, old_context binary, bucket binary, context bi
 
 
 def _crowded(contexts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """(bucket) of those with two or more contexts, up to ``most`` and above."""
-    sizes = contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.where((F.col("n") > 1) & (F.col("n") <= most)).select("bucket"), sizes.where(F.col("n") > most).select("bucket")
+    """(bucket) of those with two or more contexts, up to ``most`` and above. Written, so
+    that a join with them is between two plain shuffles, whose large partitions Spark splits."""
+    sizes = written(contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket_sizes")
+    return sizes.where(F.col("n") <= most).select("bucket"), sizes.where(F.col("n") > most).select("bucket")
 
 
 def _sorted_reach(contexts: DataFrame, length: int) -> DataFrame:
@@ -311,7 +312,7 @@ def _covered(docs: DataFrame, length: int, size: int, bucket: int):
                     "marks")
     contexts = written(marks.groupBy("bucket", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "sha", "pos", "lone")).alias("at")), "contexts")
-    contested = contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    contested = written(contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "contested")
     wanted = (contexts.join(contested, "bucket").groupBy(F.col("at.key").alias("key"), F.col("at.sha").alias("sha"))
               .agg(F.collect_list(F.struct("bucket", "context", F.col("at.pos").alias("pos"))).alias("wanted")))
     found = written(_keyed(docs).join(written(wanted, "wanted"), ["key", "sha"]).dropDuplicates(["key", "sha"])
