@@ -129,7 +129,7 @@ class PieceMemo(dict):
     """piece (str) -> its ids as little-endian unsigned 32-bit integers. At most
     ``limit`` pieces are held, none longer than ``longest`` characters."""
 
-    def __init__(self, encoder: BytePairEncoder, limit: int = 400_000, longest: int = 48):
+    def __init__(self, encoder: BytePairEncoder, limit: int = 1_500_000, longest: int = 48):
         super().__init__()
         self.encoder, self.limit, self.longest = encoder, limit, longest
 
