@@ -6,15 +6,21 @@ predicted word. It is trained in numpy by noise-contrastive estimation (the nois
 is the smoothed unigram distribution, one draw of noise words per batch): every
 partition of the training documents goes once through all its tokens from common
 initial values, and the parameters are averaged by token count. For scoring, the
-scores of all predicted classes after each distinct context come from batched
-matrix products and are normalised exactly.
-
-Model vocabulary (a fixed number of rows): the end token, ``words`` most frequent
-words, and 256 classes for all other words, by their last byte. A word of a class
-has the class's probability times (c + 0.1) / (N_class + 0.1 * (V_class + 1)), so
-every word of any text has a probability. Counts cover all training documents; the
-at most ``frequent`` most frequent words' counts are broadcast (a bound by parameter),
-all other words meet their counts in a join.
+scores of all choices after a context come from batched matrix products and are
+normalised exactly.
+
+Model vocabulary: every word that the training documents hold ``own_count`` times or
+more, and the ``words`` most frequent ones in any case, has its own vectors, as context
+and as predicted word; the number of rows follows the corpus. The prediction is a tree
+of choices: first the end token, one of the ``words`` most frequent words, or one of 256
+classes by last byte; in a class, one of about sqrt(n) groups of its n words; in a group,
+the word. Each level is trained by noise-contrastive estimation on its own noise and
+normalised among the choices of one parent, so a token costs some sqrt(n) products. A
+class's words below ``own_count`` are one choice of it, and each of them has that
+choice's probability times (c + 0.1) / (N_rest + 0.1 * (V_rest + 1)), so every word of
+any text has a probability. Counts cover all training documents; those of the words with
+own vectors, and of the most frequent words up to ``frequent``, are broadcast, all other
+words meet their counts in a join.
 
 Defined results: null and empty texts have the end token only. Rows with a null
 doc_id are scored, not held out and never learned from; rows that repeat are scored
@@ -29,6 +35,7 @@ from collections import Counter
 from itertools import chain, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -37,15 +44,17 @@ from shoplens.llm.tables import texts, written
 
 END = b""
 WORDS = 767
+OWN_COUNT = 100
 FREQUENT = 200_000
 CONTEXT = 2
-DIM = 16
+DIM = 24
 NOISE = 32
 BATCH = 2048
 RATE = 0.05
 SEED = 7
 FLUSH_WORDS = 300_000
 BLOCK_TOKENS = 200_000
+PIECE = 8192
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -55,16 +64,16 @@ def words_of(text: str) -> list[bytes]:
 
 # ---- model ---------------------------------------------------------------------
 class Parameters:
-    """r, q: [rows, dim]; c: [context, dim]; b: [rows]."""
+    """r: [context rows, dim]; q: [choices, dim]; c: [context, dim]; b: [choices]."""
 
     def __init__(self, r, q, c, b):
         self.r, self.q, self.c, self.b = r, q, c, b
 
     @classmethod
-    def initial(cls, unigram: np.ndarray, dim: int = DIM, context: int = CONTEXT):
+    def initial(cls, unigram: np.ndarray, dim: int = DIM, context: int = CONTEXT, context_rows: int | None = None):
         rng = np.random.default_rng(SEED)
-        n = len(unigram)
-        return cls(rng.normal(0, 0.1, (n, dim)).astype(np.float32), rng.normal(0, 0.1, (n, dim)).astype(np.float32),
+        n, m = len(unigram), context_rows or len(unigram)
+        return cls(rng.normal(0, 0.1, (m, dim)).astype(np.float32), rng.normal(0, 0.1, (n, dim)).astype(np.float32),
                    np.ones((context, dim), np.float32), np.log(unigram).astype(np.float32))
 
     def flat(self) -> np.ndarray:
@@ -92,48 +101,77 @@ def histories(ids: np.ndarray, starts: np.ndarray, context: int = CONTEXT) -> np
     return out
 
 
-def _summed(rows: int, ids: np.ndarray, grads: np.ndarray) -> np.ndarray:
-    """Sum of ``grads`` by row id."""
-    order = np.argsort(ids.astype(np.uint16) if rows <= 1 << 16 else ids, kind="stable")
+class Tree:
+    """The choices that lead to a word: ``paths`` [context row, level] has the choice
+    of each level or -1; ``levels`` the first choice of each level and the end; the
+    choices of one parent are ``first`` to ``last`` (exclusive) of any of them."""
+
+    def __init__(self, paths: np.ndarray, levels: list[int], first: np.ndarray, last: np.ndarray):
+        self.paths, self.levels, self.first, self.last = paths, levels, first, last
+
+    @classmethod
+    def flat(cls, rows: int) -> "Tree":
+        return cls(np.arange(rows)[:, None], [0, rows], np.zeros(rows, np.int64), np.full(rows, rows))
+
+
+def _summed(ids: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids, sums of their ``grads``)."""
+    order = np.argsort(ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids, kind="stable")
     ordered = ids[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    out = np.zeros((rows, grads.shape[1]), np.float32)
-    out[ordered[first]] = np.add.reduceat(grads[order], first, axis=0)
-    return out
+    return ordered[first], np.add.reduceat(grads[order], first, axis=0)
 
 
 class Trainer:
-    """Noise-contrastive estimation with Adagrad steps."""
+    """Noise-contrastive estimation with Adagrad steps on the rows that a batch meets."""
 
-    def __init__(self, start: Parameters, unigram: np.ndarray, seed: int):
+    def __init__(self, start: Parameters, unigram: np.ndarray, seed: int, tree: Tree | None = None):
         self.p = start.like(start.flat())
-        self.noise_p, self.log_noise = unigram, np.log(NOISE * unigram).astype(np.float32)
-        self.cumulative = np.cumsum(unigram)
+        self.tree = tree or Tree.flat(len(unigram))
+        self.log_noise = np.log(NOISE * unigram).astype(np.float32)
+        self.cumulative = [np.cumsum(unigram[a:b]) for a, b in zip(self.tree.levels, self.tree.levels[1:])]
         self.rng = np.random.default_rng(seed)
         self.squares = [np.full_like(x, 1e-8) for x in (self.p.r, self.p.q, self.p.c, self.p.b)]
 
-    def step(self, ids: np.ndarray, history: np.ndarray) -> None:
-        p, n = self.p, len(ids)
-        noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE) * self.cumulative[-1]), len(p.b) - 1)
-        parts = [p.r[history[:, i]] for i in range(history.shape[1])]
-        v = sum(x * c for x, c in zip(parts, p.c))
+    def _move(self, k: int, rows, g: np.ndarray) -> None:
+        x, s = (self.p.r, self.p.q, self.p.c, self.p.b)[k], self.squares[k]
+        squares = s[rows] + g * g
+        s[rows] = squares
+        x[rows] -= RATE * g / np.sqrt(squares)
+
+    def _contrast(self, level: int, ids: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+        """Step of one level's choices; returns the gradient by ``v``."""
+        p, cumulative = self.p, self.cumulative[level]
+        noise = self.tree.levels[level] + np.minimum(
+            np.searchsorted(cumulative, self.rng.random(NOISE) * cumulative[-1]), len(cumulative) - 1)
         q, q_noise = p.q[ids], p.q[noise]
         true = np.einsum("ij,ij->i", v, q) + p.b[ids] - self.log_noise[ids]
         false = v @ q_noise.T + (p.b[noise] - self.log_noise[noise])
         g_true = -1.0 / (1.0 + np.exp(np.clip(true, -30, 30)))
         g_false = 1.0 / (1.0 + np.exp(-np.clip(false, -30, 30)))
         dv = g_true[:, None] * q + g_false @ q_noise
-        rows = len(p.b)
-        dq = _summed(rows, ids, g_true[:, None] * v)
-        np.add.at(dq, noise, g_false.T @ v)
-        db = np.bincount(ids, weights=g_true, minlength=rows)
-        np.add.at(db, noise, g_false.sum(axis=0))
-        dr = sum(_summed(rows, history[:, i], dv * p.c[i]) for i in range(history.shape[1]))
+        grads = np.concatenate([np.column_stack([g_true[:, None] * v, g_true]),
+                                np.column_stack([g_false.T @ v, g_false.sum(axis=0)])]).astype(np.float32)
+        rows, g = _summed(np.concatenate([ids, noise]), grads)
+        g /= n
+        self._move(1, rows, g[:, :-1])
+        self._move(3, rows, g[:, -1])
+        return dv
+
+    def step(self, ids: np.ndarray, history: np.ndarray) -> None:
+        p, n = self.p, len(ids)
+        parts = [p.r[history[:, i]] for i in range(history.shape[1])]
+        v = sum(x * c for x, c in zip(parts, p.c))
+        paths = self.tree.paths[ids]
+        dv = self._contrast(0, paths[:, 0], v, n)
+        for level in range(1, paths.shape[1]):
+            at = np.flatnonzero(paths[:, level] >= 0)
+            if len(at):
+                dv[at] += self._contrast(level, paths[at, level], v[at], n)
+        rows, g = _summed(history.T.ravel(), np.concatenate([dv * c for c in p.c]))
         dc = np.stack([(dv * x).sum(axis=0) for x in parts])
-        for x, g, s in zip((p.r, p.q, p.c, p.b), (dr, dq, dc, db), self.squares):
-            g = (g / n).astype(np.float32)
-            s += g * g
-            x -= RATE * g / np.sqrt(s)
+        self._move(0, rows, (g / n).astype(np.float32))
+        self._move(2, slice(None), (dc / n).astype(np.float32))
 
     def run(self, ids: np.ndarray, starts: np.ndarray) -> None:
         """One pass over all tokens; batches take tokens far apart."""
@@ -143,24 +181,43 @@ class Trainer:
             self.step(ids[k::batches], history[k::batches])
 
 
+def _log_sums(s: np.ndarray) -> np.ndarray:
+    top = s.max(axis=1, keepdims=True)
+    return np.log(np.exp(s - top).sum(axis=1, dtype=np.float64)) + top[:, 0]
+
+
 class Scorer:
-    """Normalised log-probabilities; the normalisers of contexts are kept."""
+    """Normalised log-probabilities; the first level's normalisers of contexts are kept."""
 
-    def __init__(self, p: Parameters):
-        self.p = p
+    def __init__(self, p: Parameters, tree: Tree | None = None):
+        self.p, self.tree = p, tree or Tree.flat(len(p.b))
         self.norms: dict[int, float] = {}
 
-    def _normalisers(self, codes: np.ndarray, history: np.ndarray) -> np.ndarray:
-        out = np.empty(len(codes), np.float64)
-        for at in range(0, len(codes), 4096):
-            s = self.p.contexts(history[at:at + 4096]) @ self.p.q.T + self.p.b
-            top = s.max(axis=1, keepdims=True)
-            out[at:at + 4096] = np.log(np.exp(s - top).sum(axis=1, dtype=np.float64)) + top[:, 0]
+    def _normalisers(self, history: np.ndarray) -> np.ndarray:
+        out, roots = np.empty(len(history), np.float64), self.tree.levels[1]
+        q, b = np.ascontiguousarray(self.p.q[:roots].T), self.p.b[:roots]
+        for at in range(0, len(history), 4096):
+            out[at:at + 4096] = _log_sums(self.p.contexts(history[at:at + 4096]) @ q + b)
+        return out
+
+    def _below(self, choice: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Log-probability of each choice among those of its parent, after contexts ``v``."""
+        p, out = self.p, np.empty(len(choice), np.float64)
+        parent = self.tree.first[choice]
+        order = np.argsort(parent, kind="stable")
+        bounds = np.flatnonzero(np.diff(parent[order], prepend=-1, append=-1)).tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            first = parent[order[a]]
+            last = self.tree.last[choice[order[a]]]
+            for at in range(a, b, 4096):
+                rows = order[at:min(b, at + 4096)]
+                s = v[rows] @ p.q[first:last].T + p.b[first:last]
+                out[rows] = s[np.arange(len(rows)), choice[rows] - first] - _log_sums(s)
         return out
 
     def log_probs(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         history = histories(ids, starts)
-        rows = len(self.p.b)
+        rows = len(self.p.r)
         code = history[:, 0].copy()
         for i in range(1, history.shape[1]):
             code = code * rows + history[:, i]
@@ -170,34 +227,73 @@ class Scorer:
         known = list(map(self.norms.get, distinct.tolist()))
         missing = [i for i, x in enumerate(known) if x is None]
         if missing:
-            new = self._normalisers(distinct[missing], history[first[missing]]).tolist()
+            new = self._normalisers(history[first[missing]]).tolist()
             for i, x in zip(missing, new):
                 known[i] = x
             self.norms.update(zip(distinct[missing].tolist(), new))
         vectors = self.p.contexts(history[first])
+        paths = self.tree.paths[ids]
         out = np.empty(len(ids), np.float64)
         for at in range(0, len(ids), 1 << 16):
             part = slice(at, at + (1 << 16))
-            out[part] = np.einsum("ij,ij->i", vectors[back[part]], self.p.q[ids[part]]) + self.p.b[ids[part]]
-        return out - np.array(known)[back]
+            root = paths[part, 0]
+            out[part] = np.einsum("ij,ij->i", vectors[back[part]], self.p.q[root]) + self.p.b[root]
+        out -= np.array(known)[back]
+        for level in range(1, paths.shape[1]):
+            at = np.flatnonzero(paths[:, level] >= 0)
+            if len(at):
+                out[at] += self._below(paths[at, level], vectors[back[at]])
+        return out
 
 
 # ---- vocabulary ----------------------------------------------------------------
 class Vocabulary:
-    """Counts of the frequent words and the model rows: 0 the end token, 1 to 256 the
-    classes by last byte, then the most frequent words."""
+    """Counts of the frequent words, the context rows (0 the end token, 1 to 256 the
+    classes by last byte, then the ``own`` most frequent words) and the choices that lead
+    to them. ``class_n`` and ``class_v`` count the words without a row of their own."""
 
     def __init__(self, frequent: list[tuple[bytes, int]], words: int, n: int, v: int, ends: int,
-                 class_n: np.ndarray, class_v: np.ndarray):
+                 class_n: np.ndarray, class_v: np.ndarray, own: int | None = None):
+        own = words if own is None else own
         self.index = {w: i for i, (w, _) in enumerate(frequent)}
         self.counts = np.array([c for _, c in frequent], np.float64)
-        self.rows = np.array([257 + i if i < words else 1 + w[-1] for i, (w, _) in enumerate(frequent)], np.int64)
-        self.own_rows = {w: 257 + i for i, (w, _) in enumerate(frequent[:words])}
+        last = np.array([w[-1] for w, _ in frequent], np.int64)
+        self.rows = np.where(np.arange(len(frequent)) < own, 257 + np.arange(len(frequent)), 1 + last)
+        self.own_rows = {w: 257 + i for i, (w, _) in enumerate(frequent[:own])}
         self.n, self.v, self.ends = n, v, ends
-        self.class_n = class_n
         self.log_class = np.log10(class_n + 0.1 * (class_v + 1))
-        row_counts = np.concatenate([[ends], class_n, self.counts[:words], np.zeros(max(0, words - len(frequent)))])
-        self.unigram = (row_counts + 0.1) / (row_counts + 0.1).sum()
+        below = np.arange(words, max(words, min(own, len(frequent))))  # own words under a class
+        in_classes = class_n + np.bincount(last[below], self.counts[below], 256)
+        tops = np.concatenate([[ends], in_classes, self.counts[:words], np.zeros(max(0, words - len(frequent)))])
+        paths = np.full((257 + words + len(below), 3), -1)
+        paths[:257 + words, 0] = np.arange(257 + words)
+        paths[257 + below, 0] = 1 + last[below]
+        if not len(below):
+            self.tree, levels = Tree.flat(len(tops)), [tops]
+        else:
+            # by class: its own words, most frequent first, then the choice of all others
+            rest = np.unique(last[below])
+            row = np.concatenate([257 + below, 1 + rest])
+            of, count = np.concatenate([last[below], rest]), np.concatenate([self.counts[below], class_n[rest]])
+            order = np.argsort(of, kind="stable")
+            row, of, count = row[order], of[order], count[order]
+            sizes = np.bincount(of, minlength=256)
+            nth = np.arange(len(of)) - (np.cumsum(sizes) - sizes)[of]
+            starts = (nth % np.ceil(np.sqrt(sizes)).astype(np.int64)[of]) == 0
+            group = np.cumsum(starts) - 1
+            group_first = np.flatnonzero(starts)
+            group_last = np.append(group_first[1:], len(of))
+            a, b = len(tops), len(tops) + group[-1] + 1
+            paths[row, 1], paths[row, 2] = a + group, b + np.arange(len(of))
+            parent = of[group_first]
+            self.tree = Tree(paths, [0, a, b, b + len(of)], np.concatenate(
+                [np.zeros(a, np.int64), a + np.searchsorted(parent, parent), b + group_first[group]]), np.concatenate(
+                [np.full(a, a), a + np.searchsorted(parent, parent, side="right"), b + group_last[group]]))
+            levels = [tops, np.bincount(group, count), count]
+        self.unigram = np.concatenate([(x + 0.1) / (x + 0.1).sum() for x in levels])
+
+    def initial(self) -> Parameters:
+        return Parameters.initial(self.unigram, context_rows=len(self.tree.paths))
 
     def training_rows(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """(model rows with an end after each document, starts)."""
@@ -289,21 +385,31 @@ class Shared:
 def _train(shared: Shared):
     def run(batches):
         vocabulary, start = shared.made(lambda facts, flat: _vocabulary_and_parameters(facts, flat))
-        trainer, tokens = Trainer(start, vocabulary.unigram, SEED), 0
+        trainer, tokens = Trainer(start, vocabulary.unigram, SEED, vocabulary.tree), 0
         for _, split in _blocks(batches):
             rows, starts = vocabulary.training_rows(split)
             trainer.run(rows, starts)
             tokens += len(rows)
         if tokens:
-            flat = trainer.p.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat) + 1)), pa.array(np.append(flat * tokens, tokens))], names=["at", "value"])
+            flat = trainer.p.flat()
+            for at in range(0, len(flat), 64 * PIECE):
+                values = [flat[i:i + PIECE].tobytes() for i in range(at, min(at + 64 * PIECE, len(flat)), PIECE)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at // PIECE + np.arange(len(values))), pa.array([tokens] * len(values), pa.int64()),
+                     pa.array(values, pa.binary())], names=["piece", "tokens", "value"])
     return run
 
 
+def _average(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The mean of a piece of the parameters, weighted by token counts."""
+    total = sum(np.frombuffer(x, np.float32).astype(np.float64) * n for x, n in zip(pdf["value"], pdf["tokens"]))
+    mean = (total / pdf["tokens"].sum()).astype(np.float32)
+    return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "value": [mean.tobytes()]})
+
+
 def _vocabulary_and_parameters(facts, flat):
     vocabulary = Vocabulary(*facts)
-    start = Parameters.initial(vocabulary.unigram)
+    start = vocabulary.initial()
     return vocabulary, start if flat is None else start.like(flat)
 
 
@@ -314,7 +420,7 @@ _SCORE_DDL = ("uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_k
 def _score(shared: Shared):
     def make(facts, flat):
         vocabulary, p = _vocabulary_and_parameters(facts, flat)
-        return vocabulary, Scorer(p)
+        return vocabulary, Scorer(p, vocabulary.tree)
 
     def run(batches):
         vocabulary, scorer = shared.made(make)
@@ -351,10 +457,10 @@ def _score(shared: Shared):
     return run
 
 
-def _most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
+def _most_frequent(counts: DataFrame, limit: int, always: int) -> list[tuple[bytes, int]]:
     """The words with a count of at least m, by count, for the least m that at most
-    ``limit`` words reach. m comes from the numbers of words by size of their count
-    (exact up to 1000, doubling beyond), so the driver gets no more than ``limit`` words."""
+    ``limit`` words reach, or ``always`` if that is less. m comes from the numbers of words
+    by size of their count (exact up to 1000, doubling beyond)."""
     size = F.when(F.col("n") <= 1000, F.col("n")).otherwise(1000 * F.pow(2, F.floor(F.log2(F.col("n") / 1000))).cast("bigint"))
     words, least = 0, None
     for r in counts.groupBy(size.cast("bigint").alias("size")).agg(F.count(F.lit(1)).alias("v")).orderBy(F.desc("size")).collect():
@@ -362,12 +468,13 @@ def _most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
         if words > limit:
             break
         least = r["size"]
-    if least is None:
-        return []
-    return sorted(((bytes(r.word), r.n) for r in counts.where(F.col("n") >= least).collect()), key=lambda x: (-x[1], x[0]))
+    least = always if least is None else min(least, always)
+    found = counts.where(F.col("n") >= least).select("word", "n").toArrow()
+    return sorted(zip(found["word"].to_pylist(), found["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
 
 
-def score_documents(docs: DataFrame, words: int = WORDS, frequent: int = FREQUENT) -> DataFrame:
+def score_documents(docs: DataFrame, words: int = WORDS, frequent: int = FREQUENT,
+                    own_count: int = OWN_COUNT) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score."""
     spark = docs.sparkSession
@@ -380,20 +487,21 @@ def score_documents(docs: DataFrame, words: int = WORDS, frequent: int = FREQUEN
     inner = counts.where(F.octet_length("word") > 0)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    top = _most_frequent(inner, frequent)
+    top = _most_frequent(inner, frequent, own_count)
+    own = max(min(words, len(top)), sum(n >= own_count for _, n in top))
     class_n, class_v = np.zeros(256), np.zeros(256)
     for r in inner.groupBy(F.expr("cast(conv(hex(substring(word, -1, 1)), 16, 10) as int)").alias("last")).agg(
             F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
         class_n[r["last"]], class_v[r["last"]] = r.n, r.v
-    for w, n in top[:words]:
+    for w, n in top[:own]:
         class_n[w[-1]] -= n
         class_v[w[-1]] -= 1
-    facts = (top, words, total.n, total.v, ends, class_n, class_v)
+    facts = (top, words, total.n, total.v, ends, class_n, class_v, own)
 
-    summed = written(training.select("text").mapInArrow(_train(Shared(spark, (facts, None))), "at bigint, value double")
-                     .groupBy("at").agg(F.sum("value").alias("value")), "parameters")
-    values = dict(summed.collect())  # as many as the model has parameters
-    flat = np.array([values[i] for i in range(len(values) - 1)]) / values[len(values) - 1] if values else None
+    mean = written(training.select("text").mapInArrow(_train(Shared(spark, (facts, None))), "piece bigint, tokens bigint, value binary")
+                   .groupBy("piece").applyInPandas(_average, "piece bigint, value binary"), "parameters")
+    pieces = mean.toArrow().sort_by("piece")["value"].to_pylist()  # as many values as the model has parameters
+    flat = np.frombuffer(b"".join(pieces), np.float32) if pieces else None
 
     scored = written(rows.select("doc_id", "held_out", "text").mapInArrow(_score(Shared(spark, (facts, flat))), _SCORE_DDL), "scored")
     rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", F.col("r.word").alias("word"), F.col("r.n").alias("k"))

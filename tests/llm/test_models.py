@@ -173,6 +173,32 @@ def test_training_beats_unigram():
     assert lbl.Scorer(trainer.p).log_probs(ids, starts).mean() > math.log(1 / 20) + 0.5
 
 
+def test_rows_follow_the_counts_and_sum_to_one():
+    frequent = [(b"w%d%s" % (i, b"abc"[i % 3:i % 3 + 1]), 900 - i) for i in range(500)]
+    class_n, class_v = np.zeros(256), np.zeros(256)
+    class_n[ord("a")], class_v[ord("a")] = 50, 10
+    vocabulary = lbl.Vocabulary(frequent, 20, 400_000, 600, 100, class_n, class_v, own=400)
+    assert vocabulary.model_rows([], np.arange(500)).tolist() == [
+        257 + i if i < 400 else 1 + w[-1] for i, (w, _) in enumerate(frequent)]
+    trainer = lbl.Trainer(vocabulary.initial(), vocabulary.unigram, 1, vocabulary.tree)
+    ids = np.resize([257 + 300, 257 + 301, 0], 300_000)
+    trainer.run(ids, np.arange(0, 300_000, 3))
+    scorer = lbl.Scorer(trainer.p, vocabulary.tree)
+    rows = len(vocabulary.tree.paths)
+    logs = scorer.log_probs(np.array([x for r in range(rows) for x in (257 + 300, r)]), np.arange(0, 2 * rows, 2))[1::2]
+    assert rows == 257 + 400 and np.exp(logs).sum() == pytest.approx(1.0, abs=1e-4)
+    assert logs[257 + 301] > max(logs[257 + 304], logs[257 + 298]) + 1  # words of one class, told apart by the context
+
+
+def test_words_beyond_the_first_learn_their_contexts(spark):
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice(("xa ya", "xb yb", "xc yc")) for _ in range(40)) for _ in range(60)]
+    texts += ["xa ya " * 10, "xa yc " * 10]
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 > 0][:60] + [-1, -2]
+    got = {r.doc_id: r for r in lbl.score_documents(table(spark, texts, ids), words=1).collect()}
+    assert lbl.DIM == 24 and got[-1].score > got[-2].score + 1
+
+
 def test_scores_without_training_rows(spark):
     got = lbl.score_documents(table(spark, ["a b", None], [None, None])).collect()
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.held_out) for r in got) == [(1, 0, 0, False), (3, 0, 0, False)]
