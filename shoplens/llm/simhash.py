@@ -19,8 +19,9 @@ pointer jumping, from files in the shared folder.
 
 Defined results: null and empty texts have the fingerprint zero, linked like any
 other; ids of rows with a null doc_id come last (a component of such rows only has
-a null id); rows with the same doc_id have one node per fingerprint. An empty table
-gives an empty result.
+a null id); rows with the same doc_id have one node per fingerprint, and of a component's
+rows with the smallest doc_id ``representatives`` keeps the one of the smallest
+fingerprint, then text digest. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -70,7 +71,9 @@ def _fingerprints(size: int):
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(shingle_hashes(t, size)) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            more = [c for c in b.schema.names if c not in ("doc_id", "text")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64)), *map(b.column, more)],
+                                             names=["doc_id", "fp", *more])
     return run
 
 
@@ -177,27 +180,41 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", F.col("new").alias("label"))
 
 
+def _labelled(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (fp and further columns, a row per fingerprint) with the label of their component."""
+    label = components(written(links(nodes.select("fp")), "fp_links")).withColumnRenamed("node", "fp")
+    return nodes.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, fingerprint (hex), component_id, group_size (rows)."""
     hashed = written(texts(docs).mapInArrow(_fingerprints(shingle), "doc_id bigint, fp bigint"), "fingerprints")
     nodes = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "fp_nodes")
-    edges = written(links(nodes.select("fp")), "fp_links")
-    label = components(edges).withColumnRenamed("node", "fp")
-    grouped = nodes.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    grouped = _labelled(nodes)
     groups = grouped.groupBy("label").agg(F.min("first").alias("component_id"), F.sum("n").alias("group_size"))
     of_fp = grouped.join(groups, "label").select("fp", "component_id", "group_size")
     return hashed.join(of_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_size")
 
 
+def _digest(text):
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def representatives(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` (all columns) that stay: of each component the row with the
-    smallest doc_id, once even when rows share that id."""
-    found = written(near_duplicates(docs, shingle), "near_duplicates")
-    keep = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
-            .select(F.col("doc_id").alias("__id"), "__n"))
-    marked = docs.alias("d").join(keep.alias("k"), F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("k.__id")))
+    smallest doc_id (then fingerprint, then text digest), once even when that row is repeated."""
+    hashed = texts(docs).withColumn("digest", _digest(F.col("text"))).mapInArrow(
+        _fingerprints(shingle), "doc_id bigint, fp bigint, digest binary")
+    nodes = written(hashed.groupBy("fp", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).groupBy("fp").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "digest", "n")).alias("first")), "fp_nodes")
+    # a digest has one fingerprint, so (id, digest) names rows of one component only
+    keep = _labelled(nodes).groupBy("label").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("__id"), F.col("first.digest").alias("__digest"), F.col("first.n").alias("__n"))
+    marked = (docs.withColumn("__digest", _digest(F.col("text"))).alias("d")
+              .join(written(keep, "near_representatives").alias("k"), F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("k.__id"))
+                    & (F.col("d.__digest") == F.col("k.__digest"))))
     cols = [F.col(f"d.`{c}`") for c in docs.columns]
     once = marked.where("k.__n = 1").select(*cols)
-    return once.unionByName(marked.where("k.__n > 1").select(*cols).dropDuplicates(["doc_id"]))
+    repeated = marked.where("k.__n > 1").select(*cols, F.col("d.__digest").alias("__digest"))
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "__digest"]).drop("__digest"))

@@ -150,6 +150,18 @@ def test_near_duplicate_rows_that_stay(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_unrelated_rows_of_one_id_all_stay(spark):
+    rnd = random.Random(5)
+    a, b, c, d, e = (words(rnd, 80) for _ in range(5))
+    assert len(set(brute_components([brute_fingerprint(x) for x in (a, b, c, d, e)]).values())) == 5
+    #                        null ids       one id   ``e`` stays as row 3, not as row 5
+    df = table(spark, [a, a, b, c, d, e, e], [None, None, None, 5, 5, 3, 5])
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in simhash.representatives(df).collect())
+    assert got == sorted([(-1, a), (-1, b), (5, c), (5, d), (3, e)])
+    one = sorted((r.doc_id, r.text) for r in simhash.representatives(table(spark, [c, e, e], [5, 3, 5])).collect())
+    assert one == [(3, e), (5, c)]
+
+
 # ---- substrings ----------------------------------------------------------------
 def brute_cut(texts, length):
     raw = [(t or "").encode() for t in texts]
