@@ -6,6 +6,7 @@ system and lost executors are covered), sorted by document key inside a shard:
     part        group of keys the shard belongs to (a range of keys)
     no          number of the shard in its part
     min_key, max_key, n_docs, n_ids
+    first_copy  how many documents of min_key earlier shards of the part hold
     keys        the document keys in order, little-endian int64, to list a shard
     payload     ids of all documents, one after another, little-endian unsigned,
                 2 bytes an id where the vocabulary allows it, else 4 (``width``)
@@ -19,10 +20,14 @@ fingerprint but for 1 in 2^32.
 
 Key ranges come from quantiles of the ids, so documents are tokenised once and
 shuffled once; a task holds one shard at a time (``shard_ids`` ids or one document).
-
-Defined results: null and empty texts hold the end id only. Rows with the same
-doc_id share one entry, their ids one after another; rows with a
-null doc_id are kept under the null key. An empty table gives an empty store.
+A key that several quantiles fall on has as many parts, and its rows go to them in turn.
+Documents of one key are told apart by their number in the part; key and number
+together are hashed.
+
+Defined results: null and empty texts hold the end id only. Every row is a document of
+its own, also where rows share a doc_id; ``lookup`` gives the documents of one doc_id
+as one entry, their ids one after another. Rows with a null doc_id are kept under the
+null key. An empty table gives an empty store.
 """
 
 from __future__ import annotations
@@ -33,6 +38,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shoplens.llm.tables import texts, written
@@ -110,6 +116,35 @@ def build_index(keys: np.ndarray, lengths: np.ndarray) -> tuple[bytes, bytes]:
     return seeds.tobytes(), slots.tobytes()
 
 
+def hash_keys(keys: np.ndarray, first_copy: int) -> np.ndarray:
+    """The keys to hash, of sorted ``keys``: the key itself for the first document of a key
+    in its part, key and number mixed for the others."""
+    keys = np.asarray(keys, np.int64)
+    copy = np.arange(len(keys)) - np.searchsorted(keys, keys)
+    copy[keys == keys[0]] += first_copy
+    return np.where(copy > 0, mix(keys.view(np.uint64), copy.astype(np.uint64) << np.uint64(33)), keys.view(np.uint64)).view(np.int64)
+
+
+def combined_crc(first: int, second: int, size: int) -> int:
+    """CRC-32 of two byte strings in a row, from theirs and the size of the second."""
+    column = [0xEDB88320, *(1 << k for k in range(31))]  # one zero bit
+    times = lambda m, x: sum_xor(m[k] for k in range(32) if x >> k & 1)
+    bits = size * 8
+    while bits:
+        if bits & 1:
+            first = times(column, first)
+        column = [times(column, x) for x in column]
+        bits >>= 1
+    return first ^ second
+
+
+def sum_xor(values) -> int:
+    out = 0
+    for x in values:
+        out ^= x
+    return out
+
+
 class Shard:
     """Keyed access to one shard row."""
 
@@ -193,60 +228,83 @@ def _coder(path: str, width: int) -> TextCoder:
 def _tokenise(path: str, end_id: int, width: int, bounds: np.ndarray):
     def run(batches):
         coder, end = _coder(path, width), np.array([end_id], f"<u{width}").tobytes()
+        turn = TaskContext.get().partitionId()
         for b in batches:
             codes = [coder.encode(t) + end for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([_part_of(bounds, b.column("key")), b.column("key"), pa.array(codes, pa.binary())],
+            first, last = _parts(bounds, b.column("key"))
+            part = first + (turn + np.arange(len(codes))) % (last - first + 1)
+            turn += len(codes)
+            yield pa.RecordBatch.from_arrays([pa.array(part), b.column("key"), pa.array(codes, pa.binary())],
                                              names=["part", "key", "ids"])
     return run
 
 
-def _part_of(bounds: np.ndarray, keys) -> pa.Array:
-    """Number of the key range that each key lies in."""
-    return pa.array(np.searchsorted(bounds, keys.to_numpy(zero_copy_only=False), side="right").astype(np.int64))
+def _parts(bounds: np.ndarray, keys) -> tuple[np.ndarray, np.ndarray]:
+    """First and last part of the key range that each key lies in."""
+    keys = keys.to_numpy(zero_copy_only=False)
+    last = np.searchsorted(bounds, keys, side="right").astype(np.int64)
+    return np.minimum(np.searchsorted(bounds, keys, side="left") + 1, last), last
 
 
 def _route(bounds: np.ndarray):
+    """Each key with all its parts."""
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([_part_of(bounds, b.column("key")), b.column("key")], names=["part", "key"])
+            first, last = _parts(bounds, b.column("key"))
+            n = last - first + 1
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(first, n) + nth), b.column("key").take(
+                pa.array(np.repeat(np.arange(len(n)), n)))], names=["part", "key"])
     return run
 
 
-_SHARD_DDL = ("part bigint, no bigint, min_key bigint, max_key bigint, n_docs bigint, n_ids bigint, width int, "
+_SHARD_DDL = ("part bigint, no bigint, min_key bigint, max_key bigint, first_copy bigint, n_docs bigint, n_ids bigint, width int, "
               "keys binary, payload binary, seeds binary, slots binary")
 
 
 def _shards(width: int, shard_ids: int):
     """Rows sorted by (part, key) to shard rows; one shard is held at a time."""
-    def close(part, no, keys, lengths, blobs):
-        seeds, slots = build_index(np.array(keys, np.int64), np.array(lengths, np.int64))
+    def close(part, no, keys, first_copy, lengths, blobs):
+        hashed = hash_keys(np.array(keys, np.int64), first_copy)
+        if len(np.unique(hashed)) < len(hashed):  # by chance, 1 in 2^64 for any two
+            return None
+        seeds, slots = build_index(hashed, np.array(lengths, np.int64))
         return pa.RecordBatch.from_pydict(
-            {"part": [part], "no": [no], "min_key": [keys[0]], "max_key": [keys[-1]], "n_docs": [len(keys)],
-             "n_ids": [sum(lengths)], "width": pa.array([width], pa.int32()),
+            {"part": [part], "no": [no], "min_key": [keys[0]], "max_key": [keys[-1]], "first_copy": [first_copy],
+             "n_docs": [len(keys)], "n_ids": [sum(lengths)], "width": pa.array([width], pa.int32()),
              "keys": pa.array([np.array(keys, "<i8").tobytes()], pa.binary()), "payload": pa.array([b"".join(blobs)], pa.binary()),
              "seeds": pa.array([seeds], pa.binary()), "slots": pa.array([slots], pa.binary())})
 
+    def cut(part, no, keys, first_copy, lengths, blobs):
+        whole = close(part, no, keys, first_copy, lengths, blobs)
+        if whole is not None:
+            return [whole]
+        half = len(keys) // 2
+        out = cut(part, no, keys[:half], first_copy, lengths[:half], blobs[:half])
+        before = keys[:half].count(keys[half]) + (first_copy if keys[half] == keys[0] else 0)
+        return out + cut(part, no + len(out), keys[half:], before, lengths[half:], blobs[half:])
+
     def run(batches):
         part, no, keys, lengths, blobs, held = None, 0, [], [], [], 0
+        first_copy, copy = 0, 0  # of the shard's first key; of the last key
         for b in batches:
             for p, key, ids in zip(*(b.column(c).to_pylist() for c in ("part", "key", "ids"))):
                 n = len(ids) // width
-                if keys and p == part and key == keys[-1]:
-                    lengths[-1] += n
-                    blobs.append(ids)
-                    held += n
-                    continue
+                copy = copy + 1 if keys and p == part and key == keys[-1] else 0
                 if keys and (p != part or held + n > shard_ids):
-                    yield close(part, no, keys, lengths, blobs)
-                    keys, lengths, blobs, held, no = [], [], [], 0, no + 1
+                    done = cut(part, no, keys, first_copy, lengths, blobs)
+                    yield from done
+                    keys, lengths, blobs, held, no = [], [], [], 0, no + len(done)
                 if p != part:
                     part, no = p, 0
+                if not keys:
+                    first_copy = copy
                 keys.append(key)
                 lengths.append(n)
                 blobs.append(ids)
                 held += n
         if keys:
-            yield close(part, no, keys, lengths, blobs)
+            yield from cut(part, no, keys, first_copy, lengths, blobs)
     return run
 
 
@@ -282,23 +340,36 @@ class TokenStore:
         return self._placed(self.shards.select(*_SHARD_READ).mapInArrow(_read_shards, _FOUND_DDL))
 
     def lookup(self, keys: DataFrame) -> DataFrame:
-        """The same for each distinct ``doc_id`` of ``keys`` that the store holds."""
+        """The same for each distinct ``doc_id`` of ``keys`` that the store holds, all its
+        documents together."""
         wanted = (keys.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_KEY)).alias("key")).distinct()
                   .mapInArrow(_route(self.bounds), "part bigint, key bigint"))
         routed = wanted.join(self.starts(), "part").where("key between min_key and max_key").select("part", "no", "key")
         shards = self.shards.select(F.col("part").alias("s_part"), F.col("no").alias("s_no"),
-                                    "width", "payload", "seeds", "slots")
-        return self._placed(routed.groupBy("part", "no").cogroup(shards.groupBy("s_part", "s_no"))
-                            .applyInPandas(_read_keys, _FOUND_DDL))
+                                    "first_copy", "width", "keys", "payload", "seeds", "slots")
+        found = self._placed(routed.groupBy("part", "no").cogroup(shards.groupBy("s_part", "s_no"))
+                             .applyInPandas(_read_keys, _FOUND_DDL))
+        pieces = F.array_sort(F.collect_list(F.struct("start", "n_tokens", "ids_crc32")))  # one a shard
+        return found.groupBy("doc_id").agg(F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), pieces.alias(
+            "pieces")).mapInArrow(_joined, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 _FOUND_DDL = "part bigint, no bigint, key bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
-_SHARD_READ = ("part", "no", "width", "keys", "payload", "seeds", "slots")
+_SHARD_READ = ("part", "no", "first_copy", "width", "keys", "payload", "seeds", "slots")
+
+
+def _joined(batches):
+    for b in batches:
+        crc = []
+        for pieces in b.column("pieces").to_pylist():
+            crc.append(pieces[0]["ids_crc32"])
+            for x in pieces[1:]:
+                crc[-1] = combined_crc(crc[-1], x["ids_crc32"], 4 * x["n_tokens"])
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crc, pa.int64())],
+                                         names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
-def _found(part: int, no: int, keys: np.ndarray, shard: Shard) -> dict:
-    found, offset, length = shard.find(keys)
-    keys, offset, length = keys[found], offset[found], length[found]
+def _found(part: int, no: int, keys: np.ndarray, offset: np.ndarray, length: np.ndarray, shard: Shard) -> dict:
     crc = [zlib.crc32(shard.ids(o, n).tobytes()) for o, n in zip(offset.tolist(), length.tolist())]
     return {"part": np.full(len(keys), part), "no": np.full(len(keys), no), "key": keys, "offset": offset,
             "n_tokens": length, "ids_crc32": np.array(crc, np.int64)}
@@ -307,16 +378,27 @@ def _found(part: int, no: int, keys: np.ndarray, shard: Shard) -> dict:
 def _read_shards(batches):
     for b in batches:
         for r in zip(*(b.column(c) for c in _SHARD_READ)):
-            part, no, width, keys, payload, seeds, slots = (x.as_py() for x in r)
-            shard = Shard(payload, seeds, slots, width)
-            yield pa.RecordBatch.from_pydict(_found(part, no, np.frombuffer(keys, "<i8"), shard))
+            part, no, first_copy, width, keys, payload, seeds, slots = (x.as_py() for x in r)
+            shard, keys = Shard(payload, seeds, slots, width), np.frombuffer(keys, "<i8")
+            _, offset, length = shard.find(hash_keys(keys, first_copy))
+            yield pa.RecordBatch.from_pydict(_found(part, no, keys, offset, length, shard))
 
 
 def _read_keys(keys: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
     if keys.empty or shard.empty:
         return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("part", "no", "key", "offset", "n_tokens", "ids_crc32")})
     row, at = shard.iloc[0], keys.iloc[0]
-    return pd.DataFrame(_found(at.part, at.no, keys["key"].to_numpy(), Shard(row.payload, row.seeds, row.slots, int(row.width))))
+    data, held = Shard(row.payload, row.seeds, row.slots, int(row.width)), np.frombuffer(row["keys"], "<i8")
+    wanted = np.sort(keys["key"].to_numpy())
+    a, b = np.searchsorted(held, wanted, side="left"), np.searchsorted(held, wanted, side="right")
+    wanted, a, b = wanted[b > a], a[b > a], b[b > a]
+    if not len(wanted):
+        return _read_keys(keys.iloc[:0], shard)
+    # a key's documents lie one after another: from the first one's offset to the last one's end
+    hashed = hash_keys(held, int(row.first_copy))
+    _, offset, _ = data.find(hashed[a])
+    _, last, length = data.find(hashed[b - 1])
+    return pd.DataFrame(_found(at.part, at.no, wanted, offset, last + length - offset, data))
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: int = SHARD_IDS,
@@ -325,8 +407,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: in
     width = 2 if max(library_tokenizer(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     rows = texts(docs).select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("key"), F.col("text").cast("binary").alias("text"))
     parts = min(MAX_PARTS, max(1, -(-rows.count() // part_docs)))
-    bounds = sorted({int(x) for x in rows.approxQuantile(
-        "key", [k / parts for k in range(1, parts)], 0.1 / parts)}) if parts > 1 else []
+    bounds = sorted(int(x) for x in rows.approxQuantile(
+        "key", [k / parts for k in range(1, parts)], 0.1 / parts)) if parts > 1 else []
     ids = rows.mapInArrow(_tokenise(tokenizer_path, end_id, width, np.array(bounds, np.int64)),
                           "part bigint, key bigint, ids binary")
     dealt = ids.repartition(-(-parts // PARTS_TO_A_TASK), "part").sortWithinPartitions("part", "key", "ids")

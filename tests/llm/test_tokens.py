@@ -110,6 +110,27 @@ def test_store_null_repeated_and_foreign_keys(spark):
     assert empty.lookup(df).count() == empty.read_all().count() == 0
 
 
+def test_store_cuts_shards_between_rows_of_one_key(spark):
+    rnd = random.Random(7)
+    texts = [words(rnd, 5) for _ in range(60)] + ["same"] * 20
+    ids = [None if i % 2 else (7 if i % 4 else i) for i in range(len(texts))]
+    tok = Tokenizer.from_file(BYTE)
+    codes = [tok.encode(t).ids + [2] for t in texts]
+    store = token_store.write_store(table(spark, texts, ids), BYTE, 2, shard_ids=40, part_docs=10)
+    crc = lambda x: zlib.crc32(np.array(x, "<u4").tobytes())
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got = store.read_all().collect()
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=key) == sorted(
+        ((i, len(c), crc(c)) for i, c in zip(ids, codes)), key=key)
+    assert max(r.n_ids for r in store.shards.select("n_ids").collect()) <= 40
+    assert store.shards.where(f"min_key = {token_store.NULL_KEY}").select("part").distinct().count() > 1
+    ends = sorted((r.start, r.start + r.n_tokens) for r in got)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    seven = store.lookup(table(spark, ["", ""], [7, None])).where("doc_id = 7").collect()
+    assert [r.n_tokens for r in seven] == [sum(len(c) for i, c in zip(ids, codes) if i == 7)]
+    assert token_store.combined_crc(zlib.crc32(b"abcd"), zlib.crc32(b"efghijkl"), 8) == zlib.crc32(b"abcdefghijkl")
+
+
 def test_units_are_encoded_independently():
     tok, rnd, coder = Tokenizer.from_file(BYTE), random.Random(2), token_store.TextCoder(BYTE, 2)
     assert coder.first.cut and coder.after_space.cut and token_counts._memo(WORD).cut
