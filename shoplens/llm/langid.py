@@ -1,8 +1,11 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 A model per language is trained on a bounded sample of labelled documents:
-``SAMPLE_DOCS`` of each language (smallest hash of doc_id), none longer than
-``SAMPLE_CHARS`` characters; a fifth of them is held back for calibration. Texts
+``SAMPLE_DOCS`` of each language (smallest hash of doc_id) of at most ``SAMPLE_CHARS``
+characters; a language with fewer of them also learns from its longer documents,
+shortest first, whole, up to the one that reaches ``LONG_CHARS`` characters, so every
+labelled language with a letter is learned. Of rows that share doc_id and language, the
+one with the shortest text is taken. A fifth is held back for calibration. Texts
 are lower-cased and every run of characters other than letters becomes one space.
 Orders below the highest use continuation counts; each order has an absolute
 discount estimated from its counts of ones and twos. Log-probabilities of seen
@@ -34,6 +37,7 @@ from shoplens.llm.tables import prepare, written
 ORDER = 4
 SAMPLE_DOCS = 500
 SAMPLE_CHARS = 200_000
+LONG_CHARS = 10_000_000
 CALIBRATE_EACH = 5
 HASH_RANGE = 1 << 40
 THINNING = 4
@@ -263,6 +267,32 @@ def _fit(rows, languages: list[str]) -> tuple[float, dict[str, float]]:
     return float(min(np.geomspace(0.5, 200, 60), key=loss)), limits
 
 
+def _chosen(ids: DataFrame, sample_docs: int) -> DataFrame:
+    """(doc_id, lang, shape, nth) of the documents to learn from, of the distinct ``ids``."""
+    short = ids.where(F.col("shape.chars") <= SAMPLE_CHARS).withColumn(
+        "order", F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE)))
+    # a language's smallest hashes lie far below THINNING * sample_docs / (its documents) of the
+    # hash range, so that the ranking gets few rows however large the language is; the sizes,
+    # one row a language, are broadcast, so that rows are thinned before they are shuffled
+    sizes = written(short.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "language_sizes")
+    sized = short.join(F.broadcast(sizes), "lang")
+    thinned = sized.where(F.col("order") < F.lit(float(HASH_RANGE) * THINNING * sample_docs) / F.col("size"))
+    enough = written(thinned.groupBy("lang", "size").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") >= F.least(F.lit(sample_docs), F.col("size"))).select("lang"), "thinned_languages")
+    few = thinned.join(F.broadcast(enough), "lang", "left_semi").unionByName(
+        sized.join(F.broadcast(enough), "lang", "left_anti"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
+    some = few.withColumn("nth", nth).where(F.col("nth") <= sample_docs).select("doc_id", "lang", "shape", "nth")
+    by_size = Window.partitionBy("lang").orderBy("shape", "doc_id")
+    long = (ids.where(F.col("shape.chars") > SAMPLE_CHARS).join(F.broadcast(sizes), "lang", "left")
+            .withColumn("size", F.coalesce("size", F.lit(0))).where(F.col("size") < sample_docs)
+            .withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= LONG_CHARS // SAMPLE_CHARS + 1)
+            .withColumn("before", F.sum("shape.chars").over(by_size.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("nth", (F.col("size") + F.col("rank")).cast("int"))
+            .where((F.coalesce("before", F.lit(0)) < LONG_CHARS) & (F.col("nth") <= sample_docs)))
+    return some.unionByName(long.select("doc_id", "lang", "shape", "nth"))
+
+
 def predict_languages(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text, lang): doc_id, held_out,
     lang_pred, score, cross_entropy, rejected."""
@@ -272,18 +302,12 @@ def predict_languages(docs: DataFrame, order: int = ORDER, sample_docs: int = SA
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     rows = rows.withColumn("held_out", F.coalesce(fold == 2, F.lit(False)))
     labelled = rows.where(F.col("doc_id").isNotNull() & (fold != 2) & F.col("lang").isNotNull())
-    usable = labelled.where(F.col("text").rlike(r"\p{L}") & (F.length("text") <= SAMPLE_CHARS))
-    # a language's smallest hashes lie far below THINNING * sample_docs / (its documents) of the
-    # hash range, so that the ranking gets few rows however large the language is; the sizes,
-    # one row a language, are broadcast, so that rows are thinned before they are shuffled
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE))
-    few = usable.select("lang", "doc_id", hashed.alias("order")).join(F.broadcast(sizes), "lang").where(
-        F.col("order") < F.lit(float(HASH_RANGE) * THINNING * sample_docs) / F.col("size"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    chosen = few.withColumn("nth", nth).where(F.col("nth") <= sample_docs)
-    sample = written(usable.select("doc_id", "text", "lang").join(
-        F.broadcast(chosen.select("doc_id", "lang", "nth")), ["doc_id", "lang"]), "language_sample")
+    usable = labelled.where(F.col("text").rlike(r"\p{L}")).withColumn(
+        "shape", F.struct(F.length("text").alias("chars"), F.xxhash64("text").alias("hash")))
+    ids = written(usable.groupBy("lang", "doc_id").agg(F.min("shape").alias("shape")), "language_ids")
+    chosen = _chosen(ids, sample_docs)
+    sample = written(usable.join(F.broadcast(chosen), ["doc_id", "lang", "shape"]).select("doc_id", "text", "lang", "nth")
+                     .dropDuplicates(["doc_id", "lang"]), "language_sample")
     learn = (F.col("nth") % CALIBRATE_EACH) != 0
     model_rows = sample.where(learn).groupBy("lang").applyInPandas(_train_group(order), _MODEL_DDL).collect()
     if not model_rows:

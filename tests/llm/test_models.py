@@ -122,6 +122,22 @@ def test_languages_and_defined_cases(spark):
     assert langid.predict_languages(df.limit(0)).count() == 0
 
 
+def test_languages_of_long_or_few_documents_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 300)
+    monkeypatch.setattr(langid, "LONG_CHARS", 2000)
+    rnd = random.Random(6)
+    rows = [(words(rnd, 25, "abcde "), "aa") for _ in range(40)] + [(words(rnd, 200, "vwxyz "), "bb") for _ in range(12)]
+    rows += [(words(rnd, 25, "ghijk "), "cc") for _ in range(4)] + [("1 2 3", "cc")] * 3000
+    ids = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 4 != 2][:len(rows)]
+    df = table(spark, [t for t, _ in rows], ids, [x for _, x in rows])
+    got = {r.doc_id: r.lang_pred for r in langid.predict_languages(df, sample_docs=5).collect()}
+    assert all(got[i] == x for i, (_, x) in list(zip(ids, rows))[:56])
+    pairs = [("aa", i, langid.SAMPLE_CHARS) for i in range(3)] + [("bb", i, 900 + i) for i in range(4)] + [("cc", 1, 10 ** 6)]
+    shapes = spark.createDataFrame([(x, i, (n, 1)) for x, i, n in pairs], "lang string, doc_id bigint, shape struct<chars:int,hash:bigint>")
+    chosen = langid._chosen(shapes, 500).collect()
+    assert sorted((r.lang, r.doc_id) for r in chosen) == [("aa", 0), ("aa", 1), ("aa", 2), ("bb", 0), ("bb", 1), ("bb", 2), ("cc", 1)]
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     got = QUERIES["op10_language_id"](spark, SF_SMALL).where("held_out")
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "lang")
