@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import bpe, exact_dedup, langid, lbl, packing, quality, simhash, suffix_dedup, token_counts, token_store
+from shoplens.llm import (
+    bpe, exact_dedup, html_text, importance, langid, lbl, packing, quality, simhash, suffix_dedup, token_counts, token_store,
+    variants,
+)
 from shoplens.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +80,19 @@ def op9_simhash(spark, sf_dir):
 @query
 def op10_language_id(spark, sf_dir):
     return langid.predict_languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op11_importance_resampling(spark, sf_dir):
+    docs, target = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return importance.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return variants.group_variants(documents(spark, sf_dir))
+
+
+@query
+def op13_html_extraction(spark, sf_dir):
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
