@@ -2,8 +2,6 @@
 
 import random
 
-from tests.conftest import spark  # noqa: F401
-
 # ends of texts, white space, case, other scripts, special strings, long runs
 ODD_TEXTS = [
     None, "", " ", "\n\t \x0b\x0c\r", "a", "A  b\tc", "a b c", "a  b\nc", "Straße ÉCOLE Σίσυφος", "你好 世界", "é é",
@@ -16,7 +14,7 @@ def words(rnd: random.Random, n: int, alphabet: str = "abcdeé") -> str:
     return " ".join("".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 6))) for _ in range(n))
 
 
-def table(spark, texts, ids=None, langs=None):  # noqa: F811
+def table(spark, texts, ids=None, langs=None):
     """documents with further columns whose names clash with outputs and helpers."""
     ids = list(range(len(texts))) if ids is None else ids
     langs = [None] * len(texts) if langs is None else langs
