@@ -29,6 +29,7 @@ repeated too). An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import re
 from bisect import bisect_left, insort
 from itertools import groupby
 
@@ -337,16 +338,48 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.unhex(F.sha2(text, 256)).alias("sha"), text.alias("text"))
 
 
-def _cut(raw: bytes, spans) -> tuple[bytes, int]:
-    """(remaining bytes, number of maximal runs removed)."""
-    kept, runs, end = [], 0, 0
+def _runs(spans) -> list[tuple[int, int]]:
+    """The spans united to maximal runs [start, end)."""
+    runs: list[tuple[int, int]] = []
     for a, b in sorted((s["start"], s["end"]) for s in spans):
-        if not runs or a > end:
-            kept.append(raw[end:a])
-            runs += 1
-        end = max(end, b)
+        if runs and a <= runs[-1][1]:
+            runs[-1] = (runs[-1][0], max(runs[-1][1], b))
+        else:
+            runs.append((a, b))
+    return runs
+
+
+_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def _passage(raw: bytes, a: int, b: int, min_words: int, sure: int) -> tuple[int, int] | None:
+    """What goes of a run: its whole words and the white space behind them if they are
+    ``min_words`` or more, else all of it if it has ``sure`` bytes."""
+    whole = [(m.start(), m.end()) for m in _WORDS.finditer(raw, a, b)]
+    if whole and a and whole[0][0] == a and _WORDS.match(raw, a - 1):
+        whole = whole[1:]  # the end of a word that begins before the run
+    if whole and whole[-1][1] == b and _WORDS.match(raw, b):
+        whole = whole[:-1]
+    if len(whole) >= min_words:
+        return whole[0][0], b if whole[-1][1] == b else min(b, whole[-1][1] + 1)
+    # white space before it stays, so that the words around it don't become one
+    return (a + len(raw[a:b]) - len(raw[a:b].lstrip()), b) if b - a >= sure else None
+
+
+def _cut(raw: bytes, spans, min_words: int = 0, sure: int = 0) -> tuple[bytes, int]:
+    """(remaining bytes, number of maximal runs removed); with ``min_words``, of passages."""
+    kept, end, n = [], 0, 0
+    for a, b in _runs(spans):
+        if min_words:
+            found = _passage(raw, a, b, min_words, sure)
+            if found is None:
+                continue
+            a, b = found
+        kept.append(raw[end:a])
+        end = b
+        n += 1
     kept.append(raw[end:])
-    return b"".join(kept), runs
+    return b"".join(kept), n
 
 
 def _cut_digests(batches):
@@ -359,29 +392,31 @@ def _cut_digests(batches):
 
 
 def removed_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, bucket: int = BUCKET) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept
+    (bytes that remain), changed (whether any were removed)."""
     scan, spans = _covered(docs, length, size, bucket)
     cut = written(_keyed(docs).join(spans, ["key", "sha"]).select("key", "sha", "text", "spans").mapInArrow(
         _cut_digests, "key bigint, sha binary, n_kept bigint, n_runs bigint, digest string"), "cut")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     zero = F.lit(0).cast("bigint")
+    removed = F.when(gone, F.col("n_bytes")).otherwise(F.coalesce(F.col("n_bytes") - F.col("n_kept"), zero))
     return scan.join(cut, ["key", "sha"], "left").select(
-        "doc_id", "n_bytes",
-        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce(F.col("n_bytes") - F.col("n_kept"), zero)).alias("n_removed"),
+        "doc_id", "n_bytes", removed.alias("n_removed"),
         F.when(gone, F.lit(1).cast("bigint")).otherwise(F.coalesce("n_runs", zero)).alias("n_spans"),
         F.when(gone, F.lit(hashlib.sha256(b"").hexdigest()))
-        .otherwise(F.coalesce("digest", F.lower(F.hex("sha")))).alias("kept_sha256"))
+        .otherwise(F.coalesce("digest", F.lower(F.hex("sha")))).alias("kept_sha256"),
+        (F.col("n_bytes") - removed).alias("n_kept"), (removed > 0).alias("changed"))
 
 
-def _cut_texts(names: list[str], text_col: str, count_col: str | None):
+def _cut_texts(names: list[str], text_col: str, count_col: str | None, min_words: int, sure: int):
     def run(batches):
         for b in batches:
             texts = []
             for t, spans, gone in zip(b.column(text_col).to_pylist(), b.column("__spans").to_pylist(), b.column("__gone").to_pylist()):
-                if gone:
-                    t = ""
-                elif spans:
-                    t = _cut(t.encode(), spans)[0].decode("utf-8", "ignore")
+                if gone or spans:
+                    raw = t.encode()
+                    whole = [{"start": 0, "end": len(raw)}]
+                    t = _cut(raw, whole if gone else spans, min_words, sure)[0].decode("utf-8", "ignore")
                 texts.append(t)
             cols = {c: b.column(c) for c in names}
             cols[text_col] = pa.array(texts, b.schema.field(text_col).type)
@@ -392,9 +427,12 @@ def _cut_texts(names: list[str], text_col: str, count_col: str | None):
     return run
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, bucket: int = BUCKET) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, bucket: int = BUCKET,
+                    min_words: int = 0, sure: int = 0) -> DataFrame:
     """``docs`` (all columns, all rows) with the repeated bytes cut out of ``text``;
-    ``n_chars``, if there, follows. Characters cut in the middle are dropped."""
+    ``n_chars``, if there, follows. Characters cut in the middle are dropped. With
+    ``min_words`` a run of covered bytes goes if it holds that many whole words (words cut
+    by its ends stay), or ``sure`` bytes (scripts without spaces); other runs stay."""
     scan, spans = _covered(docs, length, size, bucket)
     gone = written(scan.where((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select(
         F.col("key").alias("__key"), F.col("sha").alias("__sha")).distinct(), "gone")
@@ -407,4 +445,4 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, b
     marked = keyed.join(changes, ["__key", "__sha"], "left").withColumn("__gone", F.coalesce("__gone", F.lit(False)))
     count_col = "n_chars" if "n_chars" in docs.columns else None
     return marked.select(*[F.col(f"`{c}`") for c in docs.columns], "__spans", "__gone").mapInArrow(
-        _cut_texts(docs.columns, "text", count_col), docs.schema)
+        _cut_texts(docs.columns, "text", count_col, min_words, sure), docs.schema)
