@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from shoplens.llm import exact_dedup, packing, quality, simhash, suffix_dedup
 from shoplens.llm.tables import written
 
+PASSAGE_WORDS = 50
+# 50 words of three letters and a space
+PASSAGE_BYTES = 200
+PASSAGE_ANCHOR = 32
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -29,8 +34,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of strings of 400 bytes that also start elsewhere are cut out of the texts."""
-    return suffix_dedup.without_repeats(docs)
+    """Passages of PASSAGE_WORDS words or more that also stand elsewhere are cut out of the
+    texts. They are found by strings of PASSAGE_BYTES bytes, which a passage of so many
+    words has even if its words are short; runs with fewer words stay, unless they have
+    the operator's own length (scripts without spaces)."""
+    return suffix_dedup.without_repeats(docs, PASSAGE_BYTES, PASSAGE_ANCHOR, min_words=PASSAGE_WORDS, sure=suffix_dedup.LENGTH)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
