@@ -8,9 +8,14 @@ length of the longest substring that starts there and occurs again: the interval
 of equal prefix are the maximal repeats. Spans of repeats of at least
 ``min_repeat`` words are united, and the rule limits
 
-* the fraction of the words' characters that lies in repeats (``max_covered``),
-* the longest repeat, as a fraction of the words (``max_longest``); this counts
-  for repeats of more than ``long_words`` words only.
+* the fraction of the words' characters that lies in repeats (``MAX_COVERED``),
+* the longest repeat, as a fraction of the words (``MAX_LONGEST``).
+
+Both limits lie a third below the base rule (a repeat of 10 % of the words that is
+held twice covers 20 %; the base rule starts at 30 %) and count only where more than
+``LONG_WORDS`` words are repeated, or the longest repeat has more than that: a short
+text that says one sentence twice is left to the base rule, a long one that holds a
+whole passage twice goes.
 
 Defined results: null and empty texts have no words and fail the base rule. Rows
 with a null or repeated doc_id are judged like any other. Memory grows with the
@@ -32,8 +37,8 @@ from shoplens.llm.tables import prepare, texts
 MIN_REPEAT = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-MAX_COVERED = 0.30
-MAX_LONGEST = 0.20
+MAX_COVERED = 0.20
+MAX_LONGEST = 0.10
 LONG_WORDS = 50
 BATCH_WORDS = 400_000
 SYMBOLS = "#*$%&|<>"
@@ -145,7 +150,7 @@ def judge(texts_: list[str | None]) -> dict[str, list]:
         flush()
     for n, rep, frac, longest in zip(out["n_words"], out["n_repeat_words"], out["repeat_char_fraction"], out["longest_repeat"]):
         base = n < MIN_WORDS or 100 * rep > MAX_REPEAT_PERCENT * n
-        repetitive = frac > MAX_COVERED or (longest > LONG_WORDS and longest > MAX_LONGEST * n)
+        repetitive = (rep > LONG_WORDS and frac > MAX_COVERED) or (longest > LONG_WORDS and longest > MAX_LONGEST * n)
         out["base_failed"].append(base)
         out["kept"].append(not base and not repetitive)
     return out
