@@ -27,6 +27,8 @@ from shoplens.llm.tables import WORD, texts, written
 
 CAPACITIES = (512, 1024, 2048, 4096)
 GROUP_PIECES = 4096
+# rows of one doc_id and length that one step numbers
+COPY_BLOCK = 4096
 
 
 def sequence_cost(capacity: int) -> float:
@@ -97,8 +99,16 @@ def _pack_group(capacities):
 def pieces(docs: DataFrame, max_length: int) -> DataFrame:
     """(doc_id, copy, piece, first_token, n_tokens): words plus one end token."""
     n = texts(docs).select("doc_id", (F.regexp_count("text", F.lit(WORD)) + 1).cast("bigint").alias("n"))
-    rows = n.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("rows"))
-    return (rows.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1)).alias("copy"))
+    rows = written(n.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("rows")), "lengths")
+    # rows of one id and length are numbered in blocks; the blocks of a large count are spread
+    last = F.col("rows") - 1
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / COPY_BLOCK))).alias("block")
+    large = rows.where(F.col("rows") > COPY_BLOCK).select("doc_id", "n", "rows", block).repartition("doc_id", "n", "block")
+    small = rows.where(F.col("rows") <= COPY_BLOCK).select("doc_id", "n", "rows", F.lit(0).cast("bigint").alias("block"))
+    start = F.col("block") * COPY_BLOCK
+    copies = F.explode(F.sequence(start, F.least(last, start + (COPY_BLOCK - 1)))).alias("copy")
+    numbered = small.select("doc_id", "n", copies).unionByName(large.select("doc_id", "n", copies))
+    return (numbered
             .select("doc_id", "copy", "n", F.explode(F.sequence(
                 F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / max_length))).alias("piece"))
             .select("doc_id", "copy", "piece", (F.col("piece") * max_length).alias("first_token"),
