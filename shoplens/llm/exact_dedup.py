@@ -3,8 +3,9 @@
 The index is a table (digest, keep_id), bucketed and sorted by digest. New rows
 are reduced to one row per digest (partial aggregation before the shuffle), those
 known to the index are taken out by a sort-merge anti join that reads the index
-without shuffling or sorting it, and the rest is appended. Only DataFrame
-functions are used.
+without shuffling it, and the rest is appended. An append adds a sorted file to each
+bucket, so a task sorts its own bucket, which is nearly in order, before it merges.
+Only DataFrame functions are used.
 
 Defined results: a null text equals the empty text; texts that differ only in
 runs of ASCII white space are equal. Rows with a null id are grouped like any
