@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shoplens.llm import deep_shallow, exact_dedup, simhash, suffix_dedup
 from shoplens.llm.tables import written
 from tests.llm.conftest import ODD_TEXTS, table, words
@@ -195,7 +196,7 @@ def passages(seed, n=120):
 def test_cut_equals_brute_force(spark, seed, bucket):
     texts = passages(seed)
     got = sorted(tuple(r) for r in suffix_dedup.removed_repeats(table(spark, texts), 30, 8, bucket).collect())
-    assert got == [(i, *x[:4]) for i, x in enumerate(brute_cut(texts, 30))]
+    assert got == [(i, *x[:4], x[0] - x[1], x[1] > 0) for i, x in enumerate(brute_cut(texts, 30))]
 
 
 def test_cut_texts_null_and_repeated_ids(spark):
@@ -211,6 +212,55 @@ def test_cut_texts_null_and_repeated_ids(spark):
     assert suffix_dedup.removed_repeats(df.limit(0)).count() == 0
 
 
+def test_pipeline_stage_cuts_passages_of_over_fifty_words(spark):
+    """Planted passages of 51 to 60 words (300 to 400 bytes, one of short words) go from
+    all documents; shorter shared ones and clean documents stay as they are."""
+    rnd = random.Random(12)
+    letters = "abcdefghijklmnopqrst"
+
+    def of(n, size):
+        return " ".join("".join(rnd.choice(letters) for _ in range(size)) for _ in range(n))
+    planted = [of(51, 5), of(60, 5), of(55, 6), of(51, 3)]
+    short = of(40, 6)
+    assert all(200 <= len(p) < 400 for p in planted) and 200 < len(short) < 400
+    solid = "".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(150))  # 450 bytes, no spaces
+    texts, want = [], []
+    for p in [*planted, short, solid]:
+        for _ in range(3):
+            a, b = of(80, 5), of(80, 5)
+            texts.append(f"{a} {p} {b}")
+            want.append(texts[-1] if p == short else f"{a} {b}")
+    texts += [of(120, 5) for _ in range(5)] + [None, "", "short"]
+    want += texts[len(want):]
+    got = {r.doc_id: r for r in corpus_pipeline.repeated_passages(spark, table(spark, texts), "").collect()}
+    for i, (text, exp) in enumerate(zip(texts, want)):
+        if exp is None:
+            assert got[i].text is None
+        else:
+            assert got[i].text.split() == exp.split(), i
+
+
+def test_whole_texts_held_twice(spark):
+    """Equal texts go as a whole if they have the words or the bytes."""
+    rnd = random.Random(13)
+    few, many = "x" * 250 + " few words", words(rnd, 90, "abcdefgh")
+    df = table(spark, [few, few, many, many, "z" * 500, "z" * 500])
+    got = sorted((r.doc_id, r.text) for r in suffix_dedup.without_repeats(df, 200, 32, min_words=50, sure=400).collect())
+    assert got == [(0, few), (1, few), (2, ""), (3, ""), (4, ""), (5, "")]
+
+
+def test_exact_groups_of_very_long_texts(spark):
+    long = words(random.Random(14), 400_000)
+    got = sorted((r.doc_id, r.keep_id) for r in exact_dedup.dedup(table(spark, [long + " a", long + "  a", long + " b"])).collect())
+    assert got == [(0, 0), (1, 0), (2, 2)]
+
+
+def test_fingerprint_of_a_very_long_text(spark):
+    long = words(random.Random(15), 60_000)
+    r = simhash.near_duplicates(table(spark, [long])).first()
+    assert int(r.fingerprint, 16) == brute_fingerprint(long) and r.component_id == 0
+
+
 def test_anchors_across_blocks(monkeypatch):
     rnd = random.Random(1)
     text = bytes(rnd.choice(b"abc") for _ in range(3000)) + b"a" * 500

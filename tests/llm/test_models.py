@@ -61,7 +61,7 @@ def test_repetitive_documents_go_and_clean_ones_stay(spark):
     rnd = random.Random(8)
     clean = [words(rnd, 200, "abcdefghij") for _ in range(5)]
     block = words(rnd, 120, "abcdefghij")
-    df = table(spark, clean + [block + " " + words(rnd, 700, "abcdefghij") + " " + block, None, "too short"])
+    df = table(spark, clean + [block + " " + words(rnd, 1300, "abcdefghij") + " " + block, None, "too short"])
     kept = quality.passing_documents(df)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 5]
@@ -72,6 +72,27 @@ def test_repetitive_documents_go_and_clean_ones_stay(spark):
     assert quality.passing_documents(df.limit(0)).count() == 0
 
 
+def test_verdict_acts_below_the_base_rule():
+    """Production limits: the base rule passes all of these."""
+    rnd = random.Random(9)
+    passage, sentence = words(rnd, 60, "abcdefghij"), words(rnd, 9, "abcdefghij")
+    texts = [" ".join([passage, words(rnd, 380, "abcdefghij"), passage]),  # longest 12 % of the words
+             " ".join([sentence, *(x for _ in range(8) for x in (words(rnd, 26, "abcdefghij"), sentence))]),  # 28 % in nine copies
+             " ".join([passage, words(rnd, 900, "abcdefghij"), passage]),  # longest 6 %
+             " ".join([sentence, words(rnd, 60, "abcdefghij"), sentence])]  # 23 %, but one short sentence twice
+    got = quality.judge(texts)
+    assert got["base_failed"] == [False] * 4
+    assert got["kept"] == [False, False, True, True]
+
+
+def test_very_long_text():
+    rnd = random.Random(10)
+    passage, rest = words(rnd, 20_000, "abcdefghij"), words(rnd, 300_000, "abcdefghij")
+    got = quality.judge([rest, f"{passage} {rest} {passage} {passage}"])
+    assert got["n_words"] == [300_000, 360_000] and got["kept"][0] and got["longest_repeat"][1] >= 20_000
+    assert got["n_repeat_words"][1] >= 60_000
+
+
 def test_longest_repeat_rule(monkeypatch):
     rnd = random.Random(8)
     block = words(rnd, 60, "abcdefghij")
@@ -222,6 +243,19 @@ def test_scores_without_training_rows(spark):
 
 
 # ---- packing -------------------------------------------------------------------
+def test_rows_of_one_id_and_length_are_numbered_in_many_tasks(spark):
+    n = 50_000
+    docs = spark.range(n).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("").alias("text"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = packing.pieces(docs, 4096).select("copy", F.spark_partition_id().alias("at")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r["copy"] for r in found) == list(range(n))
+    sizes = Counter(r["at"] for r in found)
+    assert len(sizes) > 2 and max(sizes.values()) < n
+
+
 def test_pack_is_valid_and_near_the_bound():
     rnd = random.Random(1)
     for n in (0, 1, 5, 300):
