@@ -20,13 +20,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shoplens.defaults import FLOW_SEPARATOR
-from shoplens.operators.successor import with_successor
+from shoplens.operators.successor import with_successor, with_successor_ranged
 from shoplens.params import parse_flow
 
 # Chunk widths for splitting long sessions. Each is a leading slice of the
 # fixed-width "yyyy-MM-dd HH:mm:ss" string, so it never decreases along the
 # string order the sessions are sorted by (the property with_successor needs).
+# ``RANGES`` instead splits sessions by ranges of the sort order, however dense they are.
 CHUNKS = {"day": 10, "hour": 13, "minute": 16}
+RANGES = "ranges"
 
 
 def target_jumps(flow) -> list[tuple[int, int]]:
@@ -48,6 +50,8 @@ def page_successors(actions: DataFrame, tie: str | None = None,
     """(session_id, page_id, action_time[, tie], position, next_page) for every action;
     ``position`` orders the actions that agree on everything before it."""
     cols = dict.fromkeys(["session_id", *_order(tie)])
+    if chunk == RANGES:
+        return with_successor_ranged(actions.select(*cols), ["session_id"], _order(tie), "page_id", "next_page", "position")
     return with_successor(actions.select(*cols), ["session_id"], _order(tie), "page_id", "next_page",
                           _chunk(chunk), position="position")
 

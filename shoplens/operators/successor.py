@@ -7,6 +7,11 @@ the minute of the action time) the window runs per (key, chunk) instead, and the
 successor of each chunk's last row is the first row of the key's next non-empty
 chunk, found on a table with one row per (key, chunk). The result is exact: the
 same as the unchunked ``lead``.
+
+``with_successor_ranged`` needs no chunk and splits any key, however many rows it has
+at one time: the rows are range-partitioned on (keys, order), so a large key becomes
+several ranges, numbered in order, and ``lead`` runs over blocks of successive
+numbers. The first row of each block is carried to the last row of the block before.
 """
 
 from __future__ import annotations
@@ -16,6 +21,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shoplens.sinks.tables import staged
+
+# rows of a block are numbered by this many low bits of the place in their range
+BLOCK_BITS = 20
+
 
 def with_successor(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                    value: str, out: str, chunk: Column | None = None,
@@ -49,3 +59,33 @@ def with_successor(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return (d.join(nxt, same & (F.col("_chunk") == F.col("_of")), "left")
              .withColumn(out, F.when(F.col("_last"), F.col("_next_head")).otherwise(F.col(out)))
              .drop("_chunk", "_last", "_first", "_next_head", "_of", *[f"_key{i}" for i in range(len(keys))]))
+
+
+def with_successor_ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                          value: str, out: str, position: str | None = None,
+                          block_bits: int = BLOCK_BITS) -> DataFrame:
+    """``with_successor`` for keys of any density. The sorted ranges are written to the
+    shared store once, so that their numbers stand; ``position`` is that number.
+
+    A task holds one range, then one block of at most 2^``block_bits`` rows; rows that
+    are equal in keys and order are split too (by where they stand in the input). Only
+    one row per block is looked at together.
+    """
+    keys = list(keys)
+    by = [*keys, *order, "_row"]
+    ranges = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
+    # (number of the range << 33) + place in the range
+    rows = staged(ranges.drop("_row").withColumn("_at", F.monotonically_increasing_id()), "successor")
+    block = F.shiftright("_at", block_bits)
+    head = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(value).alias("v"))
+    inside = Window.partitionBy("_block").orderBy("_at")
+    d = rows.withColumn("_block", block).withColumn("_next", F.lead(head).over(inside))
+    # a block's first row has the low bits 0; one row per block, in the order of the blocks
+    firsts = rows.where(F.col("_at").bitwiseAND(F.lit((1 << block_bits) - 1)) == 0).select(block.alias("_b"), head.alias("_head"))
+    carried = firsts.select("_b", F.lead("_head").over(Window.orderBy("_b")).alias("_carry"))
+    d = d.join(carried, F.col("_block") == F.col("_b"), "left").withColumn("_next", F.coalesce("_next", "_carry"))
+    same = reduce(lambda x, y: x & y, [F.col(f"_next.k{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)])
+    d = d.withColumn(out, F.when(F.col("_next").isNotNull() & same, F.col("_next.v")))
+    if position is not None:
+        d = d.withColumn(position, F.col("_at"))
+    return d.drop("_at", "_block", "_b", "_carry", "_next")

@@ -95,8 +95,18 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([checkpoint_root(spark), "shoplens", *parts])
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop(spark, path)
+    return fs.exists(p)
+
+
 def remove_run_folder(spark: SparkSession) -> None:
     """Delete what this application wrote to unique paths; results that still read
     them must have been used."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    p, fs = _hadoop(spark, run_root(spark))
+    fs.delete(p, True)

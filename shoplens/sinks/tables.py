@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from shoplens.session import shared_path
+
 
 def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
                   fmt: str = "parquet", path: str | None = None) -> None:
@@ -17,6 +21,26 @@ def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = Non
     w.saveAsTable(name)
 
 
+def replace_version(df: DataFrame, name: str, path: str) -> str:
+    """Replace what ``name`` shows with ``df``, without a gap: the rows are written to a new
+    folder below ``path`` first, then the catalog view ``name`` is switched to it in one
+    step. A reader sees the old rows or the new ones, never neither, and a reader that
+    began on the old folder finishes on it (old folders stay until someone deletes
+    them). Returns the new folder. ``name`` must not be a table."""
+    folder = f"{path}/version={uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    return folder
+
+
+def staged(df: DataFrame, *name: str) -> DataFrame:
+    """``df`` written to a new folder of the shared store and read back: what is read twice
+    is computed once, and lost executors start again from the files."""
+    path = shared_path(df.sparkSession, *name, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
                 password: str | None = None, driver: str | None = None,
                 batchsize: int = 1000, num_partitions: int | None = None,

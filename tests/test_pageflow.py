@@ -167,3 +167,50 @@ def test_actions_of_one_second_give_one_result_for_any_partitioning(spark, dedup
     results = {tuple(sorted((r.flow, r.rate) for r in pageflow.jump_rate(df.repartition(n), (1, 2, 3, 4, 5), dedupe).collect()))
                for n in (1, 2, 3, 5)}
     assert results == {tuple(sorted(model_rate({"s": sorted(pages)}, (1, 2, 3, 4, 5), dedupe).items()))}
+
+
+@pytest.mark.parametrize("bits", [2, 20])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ranged_successor_equals_plain_lead(spark, bits, seed, monkeypatch):
+    """Null and repeated keys, equal rows, sessions that end at a block's or a range's end."""
+    import random
+    from shoplens.operators import successor
+    rnd = random.Random(seed)
+    rows = [(rnd.choice(["a", "b", "c", None]), rnd.choice(["10:00", "10:00", "10:01", None]), rnd.randrange(3)) for _ in range(150)]
+    df = spark.createDataFrame(rows + [("z", "09:00", 1)], "s string, t string, page int").repartition(5)
+    plain = successor.with_successor(df, ["s"], ["t", "page"], "page", "nxt")
+    ranged = successor.with_successor_ranged(df, ["s"], ["t", "page"], "page", "nxt", "position", block_bits=bits)
+    assert sorted(map(str, map(tuple, ranged.drop("position").collect()))) == sorted(map(str, map(tuple, plain.collect())))
+    key = lambda r: (r.s is not None, r.s or "", r.position)
+    for a, b in zip(sorted(ranged.collect(), key=key), sorted(ranged.collect(), key=key)[1:]):
+        if a.s == b.s:
+            assert (a.t is not None, a.t or "", a.page) <= (b.t is not None, b.t or "", b.page) and a.nxt == b.page
+
+
+def test_one_session_of_one_minute_is_spread_over_the_partitions(spark):
+    from pyspark.sql import functions as F
+    from shoplens.operators import successor
+    n = 40_000
+    rows = spark.range(n).select(F.lit(None).cast("string").alias("session_id"), F.lit("2024-01-01 00:00:07").alias("action_time"),
+                                 F.lit(3).alias("page_id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = successor.with_successor_ranged(rows, ["session_id"], ["action_time", "page_id"], "page_id", "nxt", "at", block_bits=10)
+        sizes = {r["part"]: r["n"] for r in got.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n")).collect()}
+        assert len(sizes) > 2 and max(sizes.values()) < n / 2           # ranges of equal rows
+        assert got.where("nxt is null").count() == 1
+        per_task = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("nxt").alias("n")).collect()
+        assert len(per_task) > 2 and max(r["n"] for r in per_task) < n * 0.6
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("dedupe", ["last", "none"])
+def test_rates_by_ranges_equal_rates_by_minutes(spark, dedupe):
+    from shoplens.sources import testviews
+    from tests.conftest import SF_SMALL
+    acts = testviews.actions(spark, SF_SMALL)
+    flow = (1, 2, 3, 4, 5, 6, 7)
+    minute = pageflow.jump_rate(acts, flow, dedupe, tie=TIE).collect()
+    ranges = pageflow.jump_rate(acts, flow, dedupe, tie=TIE, chunk=pageflow.RANGES).collect()
+    assert sorted(map(tuple, minute)) == sorted(map(tuple, ranges)) and minute
