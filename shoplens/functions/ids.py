@@ -13,6 +13,6 @@ def id_list(c) -> Column:
     A text without any separator is one id, also the empty text.
     """
     c = F.col(c) if isinstance(c, str) else c
-    stripped = F.regexp_replace(c, f"{ID_LIST_SEPARATOR}+$", "")
+    stripped = F.rtrim(c, F.lit(ID_LIST_SEPARATOR))
     return (F.when((stripped == "") & (c != ""), F.array().cast("array<string>"))
             .when(c.isNotNull(), F.split(stripped, ID_LIST_SEPARATOR)))

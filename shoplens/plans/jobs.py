@@ -14,7 +14,7 @@ from shoplens.operators import category, pageflow
 from shoplens.operators.filters import in_action_time_range
 from shoplens.params import JobParams
 from shoplens.sinks.tables import append_jdbc, replace_table
-from shoplens.sources.actions import read_actions
+from shoplens.sources.actions import partition_columns, read_actions
 
 
 def new_task_id() -> str:
@@ -26,7 +26,10 @@ def with_task_id(df: DataFrame, task_id: str) -> DataFrame:
 
 
 def _filtered(actions: DataFrame, params: JobParams) -> DataFrame:
-    return in_action_time_range(actions, params.start_date, params.end_date)
+    """The actions of the time range. A log partitioned by its day is pruned by it: the
+    partition column ``date`` of such a log is the day of ``action_time``."""
+    date_col = "date" if "date" in partition_columns(actions) else None
+    return in_action_time_range(actions, params.start_date, params.end_date, date_col=date_col)
 
 
 def category_top10_job(actions: DataFrame, params: JobParams, task_id: str, n: int = 10) -> DataFrame:

@@ -15,6 +15,19 @@ def conform_actions(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def partition_columns(df: DataFrame) -> set[str]:
+    """Names of the partition columns of the files that ``df`` reads."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found: set[str] = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("Relation") or leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                found.update(relation.partitionSchema().fieldNames())
+    return found
+
+
 def read_actions(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
     """A catalog table name or a path. Parquet brings its own columns, of which the known
     ones are cast; other formats are read with the schema given. Projections and filters

@@ -75,3 +75,34 @@ def test_newest_trend_is_found_before_any_document_is_made(spark):
     # window is found from the ad's newest bucket, a partial maximum
     assert plan.index("collect_list") < plan.index("Join") < plan.index("partial_max(bucket_ms")
     assert "collect_list" not in plan[plan.index("Join"):]
+
+
+def test_jobs_prune_a_log_by_day(spark, tmp_path):
+    from shoplens.params import JobParams
+    from shoplens.plans import jobs
+    from shoplens.sources import testviews
+    from shoplens.sources.actions import partition_columns, read_actions
+    by_day, flat = str(tmp_path / "by_day"), str(tmp_path / "flat")
+    acts = testviews.actions(spark, SF_SMALL)
+    acts.repartition("date").write.partitionBy("date").parquet(by_day)
+    acts.write.parquet(flat)
+    assert partition_columns(read_actions(spark, by_day)) == {"date"}
+    assert partition_columns(read_actions(spark, flat)) == partition_columns(spark.range(3)) == set()
+    params = JobParams.from_json('{"startDate": "2024-01-08 00:00:00", "endDate": "2024-01-21", "targetPageFlow": "1,2,3"}')
+    for job in (jobs.category_top10_job, jobs.category_session_top10_job, jobs.page_jump_rate_job):
+        pruned, whole = (job(read_actions(spark, p), params, "t") for p in (by_day, flat))
+        spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+        plan = _plan(pruned)
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        filters = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
+        assert "2024-01-08" in filters and "2024-01-21" in filters
+        assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_observed_counts_take_no_second_pass(spark):
+    from pyspark.sql import Observation
+    from shoplens.plans.queries import spoilt_lines
+    from shoplens.sources.clicks import parse_counted
+    plan = _plan(parse_counted(spoilt_lines(spark, SF_SMALL), Observation("x")))
+    assert plan.count("FileScan parquet") == 4             # events and the three dimensions, once each
+    assert "CollectMetrics" in plan and "Aggregate" not in plan
