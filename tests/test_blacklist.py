@@ -1,3 +1,5 @@
+import pytest
+
 from hypothesis import given, settings, strategies as st
 
 from shoplens.operators import blacklist
@@ -72,3 +74,45 @@ def test_a_hot_user_is_spread_over_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert [r.userid for r in blacklist.block_batches(hot, 5).collect()] == ["bot"]
+
+
+@pytest.mark.parametrize("bits", [15, 16, 22])
+def test_prefiltered_anti_join_equals_the_plain_one(spark, bits):
+    import random
+    rnd = random.Random(bits)
+    clicks = clicks_df(spark, [(i, "a", "c", rnd.choice([None, f"u{rnd.randrange(3000)}"]), "1") for i in range(4000)])
+    for users in ([f"u{i}" for i in range(0, 3000, 7)], [], [None, "u1"], [f"u{i}" for i in range(3000)]):
+        black = spark.createDataFrame([(u,) for u in users], "userid string")
+        plain, quick = (sorted(map(str, map(tuple, f(clicks, black).select(*clicks.columns).collect()))) for f in (
+            blacklist.drop_blocked, lambda c, b: blacklist.drop_blocked_prefiltered(c, b, bits)))
+        assert plain == quick
+
+
+def test_few_clicks_reach_the_anti_join(spark):
+    """Only rows whose user is set in the bitmap are shuffled."""
+    clicks = clicks_df(spark, [(i, "a", "c", f"u{i}", "1") for i in range(5000)])
+    black = spark.createDataFrame([(f"u{i}",) for i in range(0, 5000, 100)], "userid string")
+    out = blacklist.drop_blocked_prefiltered(clicks, black)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert out.count() == 4950
+        plan = out._jdf.queryExecution().executedPlan()
+        out.collect()
+        rows, text = [], []
+
+        def walk(node):
+            name = node.nodeName()
+            text.append(name)
+            if name.startswith("AdaptiveSparkPlan"):
+                walk(node.executedPlan())
+            elif name.endswith("QueryStage"):
+                walk(node.plan())
+            elif name == "Exchange":
+                rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+        walk(plan)
+        assert rows and max(rows) < 500, text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
