@@ -97,6 +97,7 @@ SQL["category_top10"] = with_actions(CATEGORY_EXPANDED + """
 SELECT * FROM top""")
 
 SQL["table_round_trip"] = SQL["category_top10"]
+SQL["table_versions"] = SQL["category_top10"]
 
 SQL["category_session_top10"] = with_actions(CATEGORY_EXPANDED + """,
 sc AS (
@@ -162,6 +163,13 @@ SQL["page_jump_rate"] = with_actions(_JUMPS_LAST + _COUNTS + """
 SELECT flow, round(CAST(jumps AS DOUBLE) / visits * 100, 6) AS rate
 FROM c JOIN v ON c.from_page = v.page_id""")
 
+SQL["page_jump_rate_ranges"] = SQL["page_jump_rate"]
+
+SQL["page_jump_counts_one_session"] = with_actions(""",
+j AS (
+  SELECT page_id AS from_page, lead(page_id) OVER (ORDER BY right(action_time, 2), action_seq) AS to_page FROM actions)""" + _COUNTS + """
+SELECT flow, from_page, to_page, jumps FROM c""")
+
 SQL["page_jump_rate_all"] = with_actions(_JUMPS_ALL + _COUNTS + """
 SELECT flow, round(CAST(jumps AS DOUBLE) / visits * 100, 6) AS rate
 FROM c JOIN v ON c.from_page = v.page_id""")
@@ -223,6 +231,9 @@ SQL["ad_click_rejects"] = with_clicks("""
 SELECT CASE event_id % 4 WHEN 1 THEN 'too few fields' WHEN 3 THEN 'bad time' ELSE 'good' END AS reason, count(*) AS lines
 FROM clicks GROUP BY 1""")
 
+SQL["ad_click_rejects_observed"] = SQL["ad_click_rejects"]
+SQL["stream_rejects_observed"] = SQL["ad_click_rejects"]
+
 SQL["ads_daily_area_city"] = with_clicks(_DAILY + """
 SELECT * FROM daily""")
 
@@ -281,6 +292,8 @@ SELECT userid, adid, clicks FROM uac""")
 SQL["blacklist_filtered_clicks"] = with_clicks(_BLOCKED + """
 SELECT * FROM clicks WHERE userid NOT IN (SELECT userid FROM blocked)""")
 
+SQL["blacklist_filtered_prefiltered"] = SQL["blacklist_filtered_clicks"]
+
 _BLOCK_BATCHES = _PER_BATCH + """
 SELECT userid, block_batch FROM blk"""
 
@@ -294,8 +307,40 @@ for _name, _ms in (("", 6 * 3_600_000), ("stream_", 5 * 86_400_000)):
     SQL[_name + "blacklist_block_batches"] = with_clicks(_BLOCK_BATCHES.replace("BATCH_MS", str(_ms)))
     SQL[_name + "blacklist_accepted_counts"] = with_clicks(_ACCEPTED.replace("BATCH_MS", str(_ms)))
 
+_DAYS5 = str(5 * 86_400_000)
+
+SQL["stream_accepted_clicks"] = with_clicks(_PER_BATCH.replace("BATCH_MS", _DAYS5) + """
+SELECT ts_ms, area, city, clicks.userid, adid, ts_ms // """ + _DAYS5 + """ AS slice
+FROM clicks LEFT JOIN blk ON clicks.userid = blk.userid
+WHERE blk.block_batch IS NULL OR ts_ms // """ + _DAYS5 + """ <= blk.block_batch""")
+
+# A click is late if its day had ended by the watermark of the slices published before
+# its own: three days before the newest click in them. A day is final once it has ended
+# by the watermark of all slices.
+_ON_TIME = """,
+published AS (
+  SELECT *, ts_ms // """ + _DAYS5 + """ + CASE WHEN event_id % 7 = 0 THEN 2 ELSE 0 END AS slice,
+         (ts_ms // 86400000 + 1) * 86400000 AS day_end
+  FROM clicks),
+newest AS (SELECT slice, max(ts_ms) AS ts FROM published GROUP BY slice),
+marks AS (
+  SELECT slice, max(ts) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 259200000 AS mark FROM newest),
+on_time AS (
+  SELECT p.* FROM published p JOIN marks m ON p.slice = m.slice WHERE m.mark IS NULL OR p.day_end > m.mark)"""
+
+SQL["stream_daily_final"] = with_clicks(_ON_TIME + """
+SELECT """ + _DAY + """ AS day, area, city, adid, count(*) AS clicks FROM on_time
+WHERE day_end <= (SELECT max(ts) - 259200000 FROM newest) GROUP BY 1, 2, 3, 4""")
+
+SQL["stream_daily_watermarked"] = with_clicks(_ON_TIME + """
+SELECT """ + _DAY + """ AS day, area, city, adid, count(*) AS clicks FROM on_time GROUP BY 1, 2, 3, 4""")
+
 # ---- streaming twins: each equals its batch query (where the whole table arrives in
 # one micro-batch, no user of the blacklist is blocked before it).
+SQL["stream_daily_snapshot"] = SQL["ads_daily_area_city"]
+SQL["stream_top3_kept"] = SQL["ads_daily_top3"]
+SQL["stream_top3_kept_json"] = SQL["ads_daily_top3_json"]
+SQL["stream_window_trend"] = SQL["ad_click_trend"]
 SQL["stream_trigger_daily"] = SQL["ads_daily_area_city"]
 SQL["stream_restart_daily"] = SQL["ads_daily_area_city"]
 SQL["stream_click_trend_latest"] = SQL["ad_click_trend_latest"]

@@ -43,3 +43,28 @@ AD_BUCKETS = T.StructType([
     T.StructField("bucket_ms", T.LongType()),
     T.StructField("clicks", T.LongType()),
 ])
+
+# Totals and rankings per (day, area), as kept up to date by the streaming job.
+AREA_TOTALS = T.StructType([
+    T.StructField("day", T.StringType()),
+    T.StructField("area", T.StringType()),
+    T.StructField("adid", T.StringType()),
+    T.StructField("clicks", T.LongType()),
+])
+
+DAILY_TOP = T.StructType([
+    T.StructField("day", T.StringType()),
+    T.StructField("area", T.StringType()),
+    T.StructField("rank", T.IntegerType()),
+    T.StructField("adid", T.StringType()),
+    T.StructField("clicks", T.LongType()),
+])
+
+# What the blacklist loop keeps.
+USER_AD_COUNTS = T.StructType([
+    T.StructField("userid", T.StringType()),
+    T.StructField("adid", T.StringType()),
+    T.StructField("clicks", T.LongType()),
+])
+
+BLOCKED_USERS = T.StructType([T.StructField("userid", T.StringType())])

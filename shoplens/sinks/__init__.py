@@ -1,6 +1,4 @@
-"""Writers: catalog tables, JDBC, rejected lines, and change logs of streaming aggregates."""
+"""Where results go: catalog tables, JDBC, folders of micro-batches."""
 
-from shoplens.sinks.changes import (  # noqa: F401
-    append_changes, committed_runs, fold_changes, latest, live_runs, read_changes,
-)
-from shoplens.sinks.tables import append_jdbc, preview, replace_table  # noqa: F401
+from shoplens.sinks.batches import read_batches, write_batch  # noqa: F401
+from shoplens.sinks.tables import append_jdbc, preview, replace_table, replace_version  # noqa: F401

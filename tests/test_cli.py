@@ -17,7 +17,7 @@ def test_streaming_commands_keep_rejects(spark, tmp_path):
     src = str(tmp_path / "lines")
     _lines(spark, src, [f"{T0} n bj u1 1", f"{T0 + 20 * 3_600_000} n bj u1 1 sixth", "short line", f"x{T0} n bj u1 1"])
     daily, bl, trend = (str(tmp_path / x) for x in ("daily", "blacklist", "trend"))
-    common = ["--format", "text", "--path", src, "--available-now", "--state-partitions", "2", "--fold-every", "5"]
+    common = ["--format", "text", "--path", src, "--available-now", "--state-partitions", "2", "--full-every", "5"]
     assert main(["ads-daily", *common, "--out", daily, "--tz", "Asia/Shanghai"]) == 0
     assert sorted((r.day, r.clicks) for r in streaming.read_daily_totals(spark, daily).collect()) == [
         ("2018-11-26", 1), ("2018-11-27", 1)]
@@ -26,6 +26,9 @@ def test_streaming_commands_keep_rejects(spark, tmp_path):
     assert main(["blacklist", *common, "--out", bl, "--threshold", "2", "--rejects", str(tmp_path / "bad")]) == 0
     assert [r.userid for r in streaming.read_blacklist(spark, bl).collect()] == ["u1"]
     assert read_click_lines(spark, str(tmp_path / "bad")).count() == 2
+    top = str(tmp_path / "top")
+    assert main(["ads-top", *common, "--out", top, "--tz", "UTC"]) == 0
+    assert [(r.day, r.rank, r.clicks) for r in streaming.read_top_ads(spark, top, full_every=5).collect()] == [("2018-11-26", 1, 2)]
     assert main(["ads-trend", *common, "--out", trend, "--bucket-ms", "3600000"]) == 0
     assert streaming.read_click_buckets(spark, trend).count() == 2
 

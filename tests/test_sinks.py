@@ -1,4 +1,3 @@
-import os
 import tempfile
 import uuid
 
@@ -6,9 +5,10 @@ import pytest
 
 from shoplens.session import checkpoint_root, shared_path
 from shoplens.schemas import DAILY_TOTALS
-from shoplens.sinks import append_changes, committed_runs, fold_changes, latest, live_runs, read_changes, replace_table
+from shoplens.sinks import read_batches, replace_table, replace_version, write_batch
+from shoplens.sinks.batches import since_full
 from shoplens.sources.clicks import (
-    parse_ad_clicks, read_click_lines, reject_counts, write_click_lines, write_rejects_stream,
+    observed_counts, parse_ad_clicks, parse_counted, read_click_lines, reject_counts, write_click_lines, write_rejects_stream,
 )
 from tests.conftest import clicks_df
 
@@ -61,86 +61,90 @@ def test_preview_shows_first_rows(spark, capsys):
     assert "|n  |" in out and "|99 |" in out and "|100|" not in out
 
 
-KEYS = ["day", "area", "city", "adid"]
-
-
 def _totals(spark, rows):
     return spark.createDataFrame([(d, "a", "c", ad, n) for d, ad, n in rows], DAILY_TOTALS)
 
 
-def _fold(rows):
-    return latest(rows, KEYS, "clicks")
-
-
-def _values(spark, path):
-    return sorted((r.day, r.adid, r.clicks) for r in _fold(read_changes(spark, path, DAILY_TOTALS)).collect())
-
-
-def test_uncommitted_rows_are_not_read(spark, tmp_path):
-    path = str(tmp_path / "log")
-    assert read_changes(spark, path, DAILY_TOTALS).count() == 0
-    append_changes(_totals(spark, [("d1", "1", 1)]), path, 0, ["day"])
-    # a batch that died while it wrote: rows without a commit
-    _totals(spark, [("d1", "1", 9)]).write.partitionBy("day").parquet(f"{path}/run=1-1.0")
-    assert _values(spark, path) == [("d1", "1", 1)]
-    append_changes(_totals(spark, [("d1", "1", 2)]), path, 1, ["day"])
-    assert _values(spark, path) == [("d1", "1", 2)]
-
-
-def test_replay_leaves_no_gap(spark, tmp_path):
-    path = str(tmp_path / "log")
-    append_changes(_totals(spark, [("d1", "1", 5)]), path, 0)
-    seen = read_changes(spark, path, DAILY_TOTALS)
-    append_changes(_totals(spark, [("d1", "1", 5)]), path, 0)       # replayed: a new attempt
-    assert [r.name for r in live_runs(committed_runs(spark, path))] == ["0-0.1"]
-    assert seen.count() == 1                                        # a reader of the first attempt goes on
-    assert _values(spark, path) == [("d1", "1", 5)]
-
-
-def test_a_hot_day_is_written_by_many_tasks(spark, tmp_path):
-    path = str(tmp_path / "log")
-    rows = _totals(spark, [("d1", str(i), i) for i in range(4000)]).repartition(16)
-    append_changes(rows, path, 0, ["day"])
-    assert len([f for f in os.listdir(f"{path}/run=0-0.0/day=d1") if f.endswith(".parquet")]) == 16
-
-
-def test_a_thousand_batches_stay_few_runs(spark, tmp_path):
-    """Markers only: which runs are live after 1,000 batches that fold by tens."""
-    from shoplens.sinks.changes import Run
-    runs = []
-    for b in range(1000):
-        runs.append(Run(b, b, 0))
-        width = 10
-        while b > 0 and b % width == 0:
-            runs = live_runs(runs)
-            target = Run(b - width, b - 1, 0)
-            assert any(r.within(target) for r in runs)
-            runs.append(target)
-            width *= 10
-        runs = live_runs(runs)
-        assert len(runs) <= 31
-    covered = sorted(i for r in runs for i in range(r.first, r.last + 1))
-    assert covered == list(range(1000))
-
-
-def test_folding_keeps_values_and_bounds_files(spark, tmp_path):
-    path = str(tmp_path / "log")
-    total = {}
-    for b in range(13):
-        rows = [(f"d{b % 3}", str(a), b + a) for a in range(3)] + [("d9", "x", b + 1)]
-        for d, a, n in rows:
-            total[d, a] = max(n, total.get((d, a), 0))
-        append_changes(_totals(spark, rows).repartition(4), path, b, ["day"])
-        fold_changes(spark, path, DAILY_TOTALS, _fold, b, ["day"], every=3)
-        assert _values(spark, path) == sorted((d, a, n) for (d, a), n in total.items())
-    live = live_runs(committed_runs(spark, path))
-    assert [(r.first, r.last) for r in live] == [(0, 8), (9, 11), (12, 12)]
-    folders = [f for f in os.listdir(path) if f.startswith("run=")]
-    assert len(folders) <= 8                                        # folded ones go at the next fold
-    files = [f for _, _, names in os.walk(f"{path}/run=0-8.0") for f in names if f.endswith(".parquet")]
-    assert len(files) <= 8                                          # 4 days
-    assert fold_changes(spark, path, DAILY_TOTALS, _fold, 12, ["day"], every=3) == []   # folded before
-    assert _values(spark, path) == sorted((d, a, n) for (d, a), n in total.items())
+def _rows(df):
+    return sorted((r.day, r.adid, r.clicks, r.batch) for r in df.collect())
+
+
+def test_a_replayed_batch_replaces_its_own_rows(spark, tmp_path):
+    path = str(tmp_path / "out")
+    assert read_batches(spark, path, DAILY_TOTALS).count() == 0
+    write_batch(_totals(spark, [("d1", "1", 1)]), path, 0)
+    write_batch(_totals(spark, [("d1", "1", 2), ("d2", "1", 1)]), path, 1)
+    back = write_batch(_totals(spark, [("d1", "1", 3)]), path, 1)             # the same batch again
+    assert back.count() == 1
+    assert _rows(read_batches(spark, path, DAILY_TOTALS)) == [("d1", "1", 1, 0), ("d1", "1", 3, 1)]
+
+
+def test_rows_since_the_last_full_batch(spark, tmp_path):
+    path = str(tmp_path / "out")
+    for b in range(9):
+        write_batch(_totals(spark, [("d", "1", b)]), path, b)
+    rows = read_batches(spark, path, DAILY_TOTALS)
+    assert [sorted(r.batch for r in since_full(rows, b, 4).collect()) for b in (0, 1, 4, 5, 9)] == [
+        [], [0], [0, 1, 2, 3], [4], [8]]
+    plan = since_full(rows, 9, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch" in plan
+
+
+def test_a_view_is_switched_without_a_gap(spark, tmp_path):
+    name = "versions_" + uuid.uuid4().hex[:8]
+    replace_version(spark.createDataFrame([(1,)], "n int"), name, str(tmp_path))
+    began = spark.table(name)
+    seen = []
+
+    class Slow:
+        """Stands between the write of the new version and the switch of the view."""
+        def __init__(self, df):
+            self.df, self.sparkSession = df, self
+
+        @property
+        def write(self):
+            return self.df.write
+
+        def sql(self, text):
+            seen.append([r.n for r in spark.table(name).collect()])
+            return spark.sql(text)
+
+    replace_version(Slow(spark.createDataFrame([(2,), (3,)], "n int")), name, str(tmp_path))
+    assert seen == [[1]]                                   # between the two steps: the old rows
+    assert sorted(r.n for r in spark.table(name).collect()) == [2, 3]
+    assert [r.n for r in began.collect()] == [1]           # a reader that had begun goes on
+    replace_version(spark.createDataFrame([("x", 1)], "m string, n int"), name, str(tmp_path))   # another shape
+    assert spark.table(name).columns == ["m", "n"]
+    spark.sql(f"DROP VIEW {name}")
+
+
+LINES = ["1 a c u 1", "2 a c u 1 more fields", "3 a c u", "x a c u 1", "", None, "4 a c u 1 "]
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_lines_are_counted_in_the_pass_that_reads_them(spark, strict):
+    from pyspark.sql import Observation
+    df = spark.createDataFrame([(x,) for x in LINES], "value string").repartition(3)
+    seen = Observation("lines")
+    got = parse_counted(df, seen, strict=strict).collect()
+    clicks, rejects = parse_ad_clicks(df, strict=strict)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, clicks.collect()))
+    exp = {"good": clicks.count(), "null line": 0, "too few fields": 0, "bad time": 0}
+    exp.update({r.reason: r.lines for r in reject_counts(rejects).collect()})
+    assert seen.get == exp
+
+
+def test_lines_of_a_stream_are_counted_by_its_progress(spark, tmp_path):
+    from shoplens.sources.clicks import read_click_lines_stream
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    spark.createDataFrame([(x or "",) for x in LINES], "value string").repartition(4).write.text(src)
+    clicks = parse_counted(read_click_lines_stream(spark, "text", src, maxFilesPerTrigger=1), "lines")
+    q = (clicks.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert len(q.recentProgress) > 1
+    assert observed_counts(q.recentProgress, "lines") == {"good": 3, "null line": 0, "too few fields": 3, "bad time": 1}
+    assert spark.read.parquet(out).count() == 3
 
 
 def test_lines_are_read_by_position_and_rejects_kept(spark, tmp_path):

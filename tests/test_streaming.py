@@ -2,10 +2,12 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from shoplens import streaming
 from shoplens.operators import ads, blacklist
-from shoplens.sinks.changes import committed_runs, live_runs
+from shoplens.sinks.batches import read_batches
+from shoplens.schemas import DAILY_TOP, USER_AD_COUNTS
 from shoplens.sources.clicks import parse_ad_clicks, read_click_lines_stream
 from tests.conftest import clicks_df
 from tests.test_blacklist import model_loop
@@ -30,8 +32,13 @@ def _clicks_stream(spark, d):
     return clicks
 
 
-def _live(spark, path):
-    return [(r.first, r.last) for r in live_runs(committed_runs(spark, path))]
+def _done(q):
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def _tuples(df):
+    return sorted(map(tuple, df.collect()))
 
 
 def _out():
@@ -47,24 +54,20 @@ def test_blacklist_stream_equals_loop_and_batch(spark):
     ]]
     out = _out()
     q = streaming.run_blacklist(_clicks_stream(spark, _write_batches(batches)), out, threshold=3,
-                                trigger=NOW, state_partitions=2)
+                                trigger=NOW)
     q.awaitTermination()
     assert q.exception() is None
-    compacted = _out()
-    q = streaming.run_blacklist(_clicks_stream(spark, _write_batches(batches)), compacted,
-                                threshold=3, trigger=NOW, state_partitions=2, fold_every=2)
-    q.awaitTermination()
-    assert q.exception() is None
-    assert _live(spark, f"{compacted}/totals") == [(0, 1), (2, 2), (3, 3)]       # folded at batch 2
-    assert sorted(map(tuple, streaming.read_user_ad_counts(spark, compacted).collect())) == \
-        sorted(map(tuple, streaming.read_user_ad_counts(spark, out).collect()))
-    assert sorted(map(tuple, streaming.read_block_batches(spark, compacted).collect())) == \
-        sorted(map(tuple, streaming.read_block_batches(spark, out).collect()))
+    full = _out()
+    _done(streaming.run_blacklist(_clicks_stream(spark, _write_batches(batches)), full, threshold=3, trigger=NOW, full_every=2))
+    assert _tuples(streaming.read_user_ad_counts(spark, full, full_every=2)) == _tuples(streaming.read_user_ad_counts(spark, out))
+    assert _tuples(streaming.read_block_batches(spark, full)) == _tuples(streaming.read_block_batches(spark, out))
+    at = {r.batch: r.n for r in read_batches(spark, f"{full}/counts", USER_AD_COUNTS).groupBy("batch")
+          .agg(F.count("*").alias("n")).collect()}
+    assert at == {0: 2, 1: 3, 2: 4, 3: 1}                  # batch 2 writes all pairs, the others what they touched
     counts, blocked = model_loop([[(r[3], r[4]) for r in b] for b in batches], 3)
     got = {(r.userid, r.adid): r.clicks for r in streaming.read_user_ad_counts(spark, out).collect()}
     assert got == counts
     assert {r.userid for r in streaming.read_blacklist(spark, out).collect()} == blocked
-    assert _live(spark, f"{out}/totals") == [(i, i) for i in range(len(batches))]
     blocked_at = {r.userid: r.block_batch for r in streaming.read_block_batches(spark, out).collect()}
     # batch twin with the file index as batch id
     rows = [(b * 10_000 + r[0] - T0, *r[1:]) for b, batch in enumerate(batches) for r in batch]
@@ -72,6 +75,10 @@ def test_blacklist_stream_equals_loop_and_batch(spark):
     twin = {(r.userid, r.adid): r.clicks for r in blacklist.accepted_counts(df, 3).collect()}
     assert twin == counts
     assert blocked_at == {r.userid: r.block_batch for r in blacklist.block_batches(df, 3).collect()}
+    # the accepted clicks themselves: those up to and including the user's blocking batch
+    passed = sorted((b, *r) for b, batch in enumerate(batches) for r in batch if b <= blocked_at.get(r[3], len(batches)))
+    assert sorted((r.batch, r.ts_ms, r.area, r.city, r.userid, r.adid)
+                  for r in streaming.read_accepted_clicks(spark, out).collect()) == passed
 
 
 def test_daily_totals_stream_restart_adds_nothing(spark):
@@ -92,7 +99,6 @@ def test_daily_totals_stream_restart_adds_nothing(spark):
     top = ads.daily_top_ads(expected, 3)
     assert sorted(map(tuple, streaming.read_daily_top_ads(spark, out).collect())) == \
         sorted(map(tuple, top.collect()))
-    assert _live(spark, f"{out}/totals") == [(i, i) for i in range(len(batches))]
 
 
 def test_trend_stream_equals_batch(spark):
@@ -163,21 +169,102 @@ def test_console_preview_runs(spark):
     assert q.exception() is None
 
 
-def test_daily_log_is_pruned_by_day(spark):
+def test_daily_totals_come_from_the_state(spark):
     src = _write_batches([[(T0 - 86_400_000, "n", "bj", "u", "1"), (T0, "n", "bj", "u", "1")],
-                          [(T0 + 5, "n", "bj", "u", "2")]])
+                          [(T0 + 5, "n", "bj", "u", "2"), (T0 + 6, None, "bj", "u", "2")]])
     out = _out()
-    q = streaming.run_daily_totals(_clicks_stream(spark, src), out, tz="UTC", trigger=NOW,
-                                   state_partitions=2)
-    q.awaitTermination()
+    _done(streaming.run_daily_totals(_clicks_stream(spark, src), out, tz="UTC", trigger=NOW, state_partitions=2))
+    assert os.listdir(out) == ["_checkpoint"]              # nothing but the state
     recent = streaming.read_daily_totals(spark, out, since_day="2018-11-26")
-    assert sorted((r.day, r.adid, r.clicks) for r in recent.collect()) == [
-        ("2018-11-26", "1", 1), ("2018-11-26", "2", 1)]
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "2018-11-26" in plan
-    top = streaming.read_daily_top_json(spark, out, 3)
-    assert {r.day: r.top_json for r in top.collect()} == {"2018-11-25": '{"1":1}',
-                                                          "2018-11-26": '{"1":1,"2":1}'}
+    assert sorted((r.day, str(r.area), r.adid, r.clicks) for r in recent.collect()) == [
+        ("2018-11-26", "None", "2", 1), ("2018-11-26", "n", "1", 1), ("2018-11-26", "n", "2", 1)]
+    top = streaming.read_daily_top_json(spark, out, 3).where("area is not null")
+    assert {r.day: r.top_json for r in top.collect()} == {"2018-11-25": '{"1":1}', "2018-11-26": '{"1":1,"2":1}'}
+
+
+def test_a_stream_without_clicks_has_an_empty_result(spark, tmp_path):
+    src = str(tmp_path / "lines")
+    os.makedirs(src)
+    clicks, _ = parse_ad_clicks(read_click_lines_stream(spark, "text", src))
+    a, b, c, d, e = (str(tmp_path / x) for x in "abcde")
+    _done(streaming.run_daily_totals(clicks, a, tz="UTC", trigger=NOW))
+    _done(streaming.run_blacklist(clicks, b, trigger=NOW))
+    _done(streaming.run_daily_top_ads(clicks, c, tz="UTC", trigger=NOW))
+    _done(streaming.run_window_trend(clicks, d, "1 minute", trigger=NOW))
+    _done(streaming.run_daily_snapshots(clicks, e, tz="UTC", trigger=NOW))
+    for df in (streaming.read_daily_totals(spark, a), streaming.read_blacklist(spark, b), streaming.read_accepted_clicks(spark, b),
+               streaming.read_user_ad_counts(spark, b), streaming.read_top_ads(spark, c), streaming.read_window_trend(spark, d),
+               streaming.read_final_daily_totals(spark, a), streaming.read_last_snapshot(spark, e)):
+        assert df.collect() == []
+
+
+def test_top_ads_are_ranked_only_where_a_batch_touched(spark):
+    day = 86_400_000
+    batches = [[(T0, "n", "bj", "u", ad) for ad in "1122334"] + [(T0, "s", "sh", "u", "9")],
+               [(T0 + 1, "n", "tj", "u", "4"), (T0 + 2, "n", "bj", "u", "4")],       # 4 overtakes
+               [(T0 + day, "s", "sh", "u", "1")],                                    # a new group
+               [(T0 + 3, "s", "sh", "u", "8"), (T0 + 3, "s", "sh", "u", "8")],
+               [(T0 + day + 1, "s", "sh", "u", "1")]]
+    out = _out()
+    _done(streaming.run_daily_top_ads(_clicks_stream(spark, _write_batches(batches)), out, tz="UTC", n=3, trigger=NOW,
+                                      state_partitions=2, full_every=4))
+    written = read_batches(spark, f"{out}/top", DAILY_TOP).select("batch", "day", "area").distinct()
+    assert sorted((r.batch, r.day[-2:], r.area) for r in written.collect()) == [
+        (0, "26", "n"), (0, "26", "s"), (1, "26", "n"), (2, "27", "s"), (3, "26", "s"),
+        (4, "26", "n"), (4, "26", "s"), (4, "27", "s")]    # batch 4 is a full one
+    twin = ads.daily_top_ads(ads.daily_area_city(clicks_df(spark, [r for b in batches for r in b]), "UTC"), 3)
+    assert _tuples(streaming.read_top_ads(spark, out, full_every=4)) == _tuples(twin)
+    assert _tuples(streaming.read_top_ads_json(spark, out, full_every=4)) == _tuples(ads.top_ads_json(twin))
+    totals = os.listdir(f"{out}/totals")
+    assert sorted(totals) == [f"batch={i}" for i in range(5)]
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_kept_top_ads_equal_the_batch_job_after_every_batch(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    batches = [[(T0 + rnd.randrange(3) * 86_400_000, rnd.choice("ns"), rnd.choice("xy"), "u", rnd.choice("123456"))
+                for _ in range(rnd.randint(1, 25))] for _ in range(6)]
+    src, out, seen = _write_batches([]), _out(), []
+    for i, b in enumerate(batches):
+        with open(os.path.join(src, f"part-{i}.txt"), "w") as f:
+            f.write("".join(" ".join(map(str, r)) + "\n" for r in b))
+        seen += b
+        _done(streaming.run_daily_top_ads(_clicks_stream(spark, src), out, tz="UTC", n=2, trigger=NOW, state_partitions=2,
+                                          full_every=3))
+        twin = ads.daily_top_ads(ads.daily_area_city(clicks_df(spark, seen), "UTC"), 2)
+        assert _tuples(streaming.read_top_ads(spark, out, full_every=3)) == _tuples(twin)
+
+
+def test_every_snapshot_has_every_key(spark):
+    batches = [[(T0, "n", "bj", "u", "1"), (T0, "n", "bj", "u", "2")], [(T0 + 1, "n", "bj", "u", "1")], [(T0 + 2, "s", "sh", "u", "3")]]
+    out = _out()
+    _done(streaming.run_daily_snapshots(_clicks_stream(spark, _write_batches(batches)), out, tz="UTC", trigger=NOW, state_partitions=2))
+    for i in range(3):
+        twin = ads.daily_area_city(clicks_df(spark, [r for b in batches[:i + 1] for r in b]), "UTC")
+        got = streaming.read_snapshots(spark, out).where(F.col("batch") == i).drop("batch")
+        assert _tuples(got) == _tuples(twin)
+    assert _tuples(streaming.read_last_snapshot(spark, out)) == _tuples(twin)
+
+
+def test_finished_windows_leave_the_state_and_are_written_once(spark):
+    batches = [[(T0 + s * 1000, "n", "c", "u", ad) for s, ad in b] for b in [
+        [(0, "1"), (5, "1"), (12, "2")], [(70, "1"), (75, "2")], [(200, "1")], [(200, "2")],
+        [(201, "1"), (3, "1")]]]                              # the last click is late by the watermark of the batch before
+    out = _out()
+    run = lambda: streaming.run_window_trend(
+        _clicks_stream(spark, _write_batches(batches)), out, "20 seconds", window="60 seconds", slide="10 seconds",
+        bucket_ms=10_000, trigger=NOW, state_partitions=2)
+    _done(run())
+    mark = T0 + 201_000 - 20_000
+    open_ends = {r.window_end_ms for r in streaming.read_open_windows(spark, out).collect()}
+    assert open_ends and min(open_ends) > mark                # older windows are gone from the state
+    final = spark.read.parquet(f"{out}/final")
+    assert final.count() == final.distinct().count() and {r.window_end_ms <= mark for r in final.collect()} == {True}
+    on_time = [r for b in batches for r in b][:-1]
+    twin = ads.click_trend(ads.click_buckets(clicks_df(spark, on_time), 10_000), "60 seconds", "10 seconds", 6)
+    cols = ["window_start_ms", "window_end_ms", "adid", "bucket_ms", "clicks"]
+    assert _tuples(streaming.read_window_trend(spark, out).select(*cols)) == _tuples(twin.select(*cols))
 
 
 def test_replayed_batch_changes_nothing(spark):
@@ -261,33 +348,27 @@ def test_watermark_honours_the_time_zone(spark):
     assert days == ["2018-11-27", "2018-11-27"]
 
 
-def test_folding_the_blacklist_log_keeps_every_result(spark):
-    """Users blocked in an early run go on clicking for many batches, folded at each level."""
+@pytest.mark.parametrize("every", [1, 2, 3, 100])
+def test_full_batches_keep_every_result_of_the_loop(spark, every):
+    """Users blocked early go on clicking for many batches."""
     import random
     rnd = random.Random(7)
     batches = [[(T0 + i, "a", "c", rnd.choice(["u1", "u2", "u3", "u4"]), rnd.choice(["x", "y"]))
-                for i in range(rnd.randint(1, 4))] for _ in range(11)]
+                for i in range(rnd.randint(1, 4))] for _ in range(9)]
     out = _out()
-    q = streaming.run_blacklist(_clicks_stream(spark, _write_batches(batches)), out, threshold=4,
-                                trigger=NOW, state_partitions=2, fold_every=2)
-    q.awaitTermination()
-    assert q.exception() is None
-    assert _live(spark, f"{out}/totals") == [(0, 7), (8, 9), (10, 10)]
+    _done(streaming.run_blacklist(_clicks_stream(spark, _write_batches(batches)), out, threshold=4, trigger=NOW, full_every=every))
     counts, blocked = model_loop([[(r[3], r[4]) for r in b] for b in batches], 4)
-    assert {(r.userid, r.adid): r.clicks for r in streaming.read_user_ad_counts(spark, out).collect()} == counts
+    assert {(r.userid, r.adid): r.clicks for r in streaming.read_user_ad_counts(spark, out, every).collect()} == counts
     assert {r.userid for r in streaming.read_blacklist(spark, out).collect()} == blocked
 
 
-def test_recent_buckets_are_pruned_by_day(spark):
+def test_recent_buckets(spark):
     day = 86_400_000
     batches = [[(T0 + d * day + 1_000, "a", "c", "u", "1")] for d in range(3)]
     out = _out()
-    q = streaming.run_click_trend(_clicks_stream(spark, _write_batches(batches)), out, bucket_ms=10_000, trigger=NOW)
-    q.awaitTermination()
+    _done(streaming.run_click_trend(_clicks_stream(spark, _write_batches(batches)), out, bucket_ms=10_000, trigger=NOW))
     recent = streaming.read_click_buckets(spark, out, since_ms=T0 + 2 * day)
     assert [r.bucket_ms for r in recent.collect()] == [T0 + 2 * day]
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan and "2018-11-28" in plan
 
 
 STREAMS_OVER_TABLES = ["stream_ads_daily_area_city", "stream_ads_daily_top3", "stream_ads_daily_top3_json",
