@@ -5,7 +5,8 @@ with a vector r per context word, a diagonal weight c_i per position and q, b pe
 predicted word. It is trained in numpy by noise-contrastive estimation (the noise
 is the smoothed unigram distribution, one draw of noise words per batch): every
 partition of the training documents goes once through all its tokens from common
-initial values, and the parameters are averaged by token count. For scoring, the
+initial values; each row of the parameters is averaged over the partitions that met it,
+by their token counts, so what is shuffled follows the tokens. For scoring, the
 scores of all choices after a context come from batched matrix products and are
 normalised exactly.
 
@@ -35,7 +36,6 @@ from collections import Counter
 from itertools import chain, repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -54,7 +54,10 @@ RATE = 0.05
 SEED = 7
 FLUSH_WORDS = 300_000
 BLOCK_TOKENS = 200_000
-PIECE = 8192
+# rows of a table that are averaged together
+PIECE = 256
+# what the squared gradients begin with
+START = np.float32(1e-8)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -131,7 +134,7 @@ class Trainer:
         self.log_noise = np.log(NOISE * unigram).astype(np.float32)
         self.cumulative = [np.cumsum(unigram[a:b]) for a, b in zip(self.tree.levels, self.tree.levels[1:])]
         self.rng = np.random.default_rng(seed)
-        self.squares = [np.full_like(x, 1e-8) for x in (self.p.r, self.p.q, self.p.c, self.p.b)]
+        self.squares = [np.full_like(x, START) for x in (self.p.r, self.p.q, self.p.c, self.p.b)]
 
     def _move(self, k: int, rows, g: np.ndarray) -> None:
         x, s = (self.p.r, self.p.q, self.p.c, self.p.b)[k], self.squares[k]
@@ -139,6 +142,10 @@ class Trainer:
         s[rows] = squares
         x[rows] -= RATE * g / np.sqrt(squares)
 
+    def touched(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Masks of the rows of ``_tables`` that a step has moved."""
+        return (self.squares[0][:, 0] > START, self.squares[3] > START, np.ones(len(self.p.c), bool))
+
     def _contrast(self, level: int, ids: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
         """Step of one level's choices; returns the gradient by ``v``."""
         p, cumulative = self.p, self.cumulative[level]
@@ -187,17 +194,56 @@ def _log_sums(s: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """Normalised log-probabilities; the first level's normalisers of contexts are kept."""
+    """Normalised log-probabilities of the tokens of documents."""
 
     def __init__(self, p: Parameters, tree: Tree | None = None):
         self.p, self.tree = p, tree or Tree.flat(len(p.b))
-        self.norms: dict[int, float] = {}
+        self.codes, self.norms = np.zeros(0, np.int64), np.zeros(0)
 
     def _normalisers(self, history: np.ndarray) -> np.ndarray:
-        out, roots = np.empty(len(history), np.float64), self.tree.levels[1]
-        q, b = np.ascontiguousarray(self.p.q[:roots].T), self.p.b[:roots]
-        for at in range(0, len(history), 4096):
-            out[at:at + 4096] = _log_sums(self.p.contexts(history[at:at + 4096]) @ q + b)
+        """Log of the sum of the first level's exponentials after each context. The score is
+        a sum over the context's words, so its exponential is a product: the exponentials
+        are taken once per word and place, and a context costs one inner product."""
+        p, n, roots = self.p, len(history), self.tree.levels[1]
+        q, b = np.ascontiguousarray(p.q[:roots].T), p.b[:roots]
+        tables, places, shift = [], [], np.zeros(n)
+        for i in range(history.shape[1]):
+            rows, at = np.unique(history[:, i], return_inverse=True)
+            s = (p.r[rows] * p.c[i]) @ q
+            if i == 0:
+                s += b
+            top = s.max(axis=1)
+            s -= top[:, None]
+            tables.append(np.exp(s, out=s))
+            places.append(at)
+            shift += top[at]
+        sums = np.empty(n, np.float64)
+        for at in range(0, n, 256):  # a block of rows that stays in the cache
+            part = slice(at, at + 256)
+            x = tables[0][places[0][part]]
+            for table, place in zip(tables[1:-1], places[1:-1]):
+                x *= table[place[part]]
+            sums[part] = np.einsum("ij,ij->i", x, tables[-1][places[-1][part]]) if len(tables) > 1 else x.sum(axis=1)
+        out = np.log(np.maximum(sums, 1e-30)) + shift
+        far = np.flatnonzero(sums < 1e-20)  # the words' best choices are far apart: too little is left of the product
+        for at in range(0, len(far), 4096):
+            out[far[at:at + 4096]] = _log_sums(p.contexts(history[far[at:at + 4096]]) @ q + b)
+        return out
+
+    def _norms_of(self, codes: np.ndarray, history: np.ndarray) -> np.ndarray:
+        """``_normalisers``, kept for contexts (sorted ``codes``) that come again."""
+        if len(self.codes) > 1_500_000:
+            self.codes, self.norms = self.codes[:0], self.norms[:0]
+        at = np.searchsorted(self.codes, codes)
+        known = np.zeros(len(codes), bool)
+        inside = at < len(self.codes)
+        known[inside] = self.codes[at[inside]] == codes[inside]
+        out = np.empty(len(codes), np.float64)
+        out[known] = self.norms[at[known]]
+        new = ~known
+        out[new] = self._normalisers(history[new])
+        self.codes = np.insert(self.codes, at[new], codes[new])
+        self.norms = np.insert(self.norms, at[new], out[new])
         return out
 
     def _below(self, choice: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -222,15 +268,7 @@ class Scorer:
         for i in range(1, history.shape[1]):
             code = code * rows + history[:, i]
         distinct, first, back = np.unique(code, return_index=True, return_inverse=True)
-        if len(self.norms) > 1_500_000:
-            self.norms.clear()
-        known = list(map(self.norms.get, distinct.tolist()))
-        missing = [i for i, x in enumerate(known) if x is None]
-        if missing:
-            new = self._normalisers(history[first[missing]]).tolist()
-            for i, x in zip(missing, new):
-                known[i] = x
-            self.norms.update(zip(distinct[missing].tolist(), new))
+        norms = self._norms_of(distinct, history[first])
         vectors = self.p.contexts(history[first])
         paths = self.tree.paths[ids]
         out = np.empty(len(ids), np.float64)
@@ -238,7 +276,7 @@ class Scorer:
             part = slice(at, at + (1 << 16))
             root = paths[part, 0]
             out[part] = np.einsum("ij,ij->i", vectors[back[part]], self.p.q[root]) + self.p.b[root]
-        out -= np.array(known)[back]
+        out -= norms[back]
         for level in range(1, paths.shape[1]):
             at = np.flatnonzero(paths[:, level] >= 0)
             if len(at):
@@ -384,33 +422,69 @@ class Shared:
 
 def _train(shared: Shared):
     def run(batches):
-        vocabulary, start = shared.made(lambda facts, flat: _vocabulary_and_parameters(facts, flat))
+        vocabulary, start = shared.made(_vocabulary_and_parameters)
         trainer, tokens = Trainer(start, vocabulary.unigram, SEED, vocabulary.tree), 0
         for _, split in _blocks(batches):
             rows, starts = vocabulary.training_rows(split)
             trainer.run(rows, starts)
             tokens += len(rows)
         if tokens:
-            flat = trainer.p.flat()
-            for at in range(0, len(flat), 64 * PIECE):
-                values = [flat[i:i + PIECE].tobytes() for i in range(at, min(at + 64 * PIECE, len(flat)), PIECE)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at // PIECE + np.arange(len(values))), pa.array([tokens] * len(values), pa.int64()),
-                     pa.array(values, pa.binary())], names=["piece", "tokens", "value"])
+            for table, (values, touched) in enumerate(zip(_tables(trainer.p), trainer.touched())):
+                rows = np.flatnonzero(touched)
+                for part in np.split(rows, np.flatnonzero(np.diff(rows // PIECE)) + 1):
+                    if len(part):
+                        yield _piece(table, part[0] // PIECE, tokens, part, values[part])
     return run
 
 
-def _average(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The mean of a piece of the parameters, weighted by token counts."""
-    total = sum(np.frombuffer(x, np.float32).astype(np.float64) * n for x, n in zip(pdf["value"], pdf["tokens"]))
-    mean = (total / pdf["tokens"].sum()).astype(np.float32)
-    return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "value": [mean.tobytes()]})
+def _tables(p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parameters as tables with a row per context word, choice and place."""
+    return p.r, np.column_stack([p.q, p.b]), p.c
+
+
+_PIECE_DDL = "table int, piece bigint, tokens bigint, rows binary, value binary"
 
 
-def _vocabulary_and_parameters(facts, flat):
+def _piece(table: int, piece: int, tokens: int, rows: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([table], pa.int32()), pa.array([piece], pa.int64()), pa.array([tokens], pa.int64()),
+         pa.array([rows.astype(np.int64).tobytes()], pa.binary()), pa.array([values.astype(np.float32).tobytes()], pa.binary())],
+        names=["table", "piece", "tokens", "rows", "value"])
+
+
+def _average(batches):
+    """The mean of each row over the partitions that met it, weighted by their tokens. The
+    input is sorted by (table, piece): one piece of rows is held at a time."""
+    held, total, weight = None, None, None
+
+    def mean():
+        rows = np.flatnonzero(weight)
+        return _piece(*held, 0, held[1] * PIECE + rows, total[rows] / weight[rows, None])
+
+    for b in batches:
+        for table, piece, tokens, rows, value in zip(*(b.column(c).to_pylist() for c in b.schema.names)):
+            at = np.frombuffer(rows, np.int64) - piece * PIECE
+            values = np.frombuffer(value, np.float32).reshape(len(at), -1)
+            if held != (table, piece):
+                if held is not None:
+                    yield mean()
+                held, total, weight = (table, piece), np.zeros((PIECE, values.shape[1])), np.zeros(PIECE)
+            total[at] += values.astype(np.float64) * tokens
+            weight[at] += tokens
+    if held is not None:
+        yield mean()
+
+
+def _vocabulary_and_parameters(facts, learned):
+    """``learned``: (table, rows, values) of the rows that any partition met; the others keep
+    their initial values."""
     vocabulary = Vocabulary(*facts)
-    start = vocabulary.initial()
-    return vocabulary, start if flat is None else start.like(flat)
+    p = vocabulary.initial()
+    tables = _tables(p)
+    for table, rows, value in learned or ():
+        at = np.frombuffer(rows, np.int64)
+        tables[table][at] = np.frombuffer(value, np.float32).reshape(len(at), -1)
+    return vocabulary, Parameters(tables[0], np.ascontiguousarray(tables[1][:, :-1]), tables[2], tables[1][:, -1].copy())
 
 
 _SCORE_DDL = ("uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
@@ -418,8 +492,8 @@ _SCORE_DDL = ("uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_k
 
 
 def _score(shared: Shared):
-    def make(facts, flat):
-        vocabulary, p = _vocabulary_and_parameters(facts, flat)
+    def make(facts, learned):
+        vocabulary, p = _vocabulary_and_parameters(facts, learned)
         return vocabulary, Scorer(p, vocabulary.tree)
 
     def run(batches):
@@ -498,12 +572,12 @@ def score_documents(docs: DataFrame, words: int = WORDS, frequent: int = FREQUEN
         class_v[w[-1]] -= 1
     facts = (top, words, total.n, total.v, ends, class_n, class_v, own)
 
-    mean = written(training.select("text").mapInArrow(_train(Shared(spark, (facts, None))), "piece bigint, tokens bigint, value binary")
-                   .groupBy("piece").applyInPandas(_average, "piece bigint, value binary"), "parameters")
-    pieces = mean.toArrow().sort_by("piece")["value"].to_pylist()  # as many values as the model has parameters
-    flat = np.frombuffer(b"".join(pieces), np.float32) if pieces else None
+    mean = written(training.select("text").mapInArrow(_train(Shared(spark, (facts, None))), _PIECE_DDL)
+                   .repartition("table", "piece").sortWithinPartitions("table", "piece").mapInArrow(_average, _PIECE_DDL), "parameters")
+    found = mean.select("table", "rows", "value").toArrow()  # as many values as the model has parameters
+    learned = list(zip(*(found[c].to_pylist() for c in ("table", "rows", "value"))))
 
-    scored = written(rows.select("doc_id", "held_out", "text").mapInArrow(_score(Shared(spark, (facts, flat))), _SCORE_DDL), "scored")
+    scored = written(rows.select("doc_id", "held_out", "text").mapInArrow(_score(Shared(spark, (facts, learned))), _SCORE_DDL), "scored")
     rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", F.col("r.word").alias("word"), F.col("r.n").alias("k"))
     met = (rare.join(counts.hint("merge"), "word", "left").groupBy("uid").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("logs"),

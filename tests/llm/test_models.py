@@ -197,6 +197,55 @@ def test_log_probabilities_are_normalised():
     assert np.exp(logs[2::3]).sum() == pytest.approx(1.0, abs=1e-4)
 
 
+@pytest.mark.parametrize("spread", [1.0, 12.0])
+def test_log_probabilities_equal_plain_sums(spread):
+    """Token by token, choice by choice, over all siblings; ``spread`` 12 makes the factors
+    of the first level's sum vanish, so that it is taken the long way."""
+    rng = np.random.default_rng(3)
+    frequent = [(b"w%d%s" % (i, b"abc"[i % 3:i % 3 + 1]), 900 - i) for i in range(60)]
+    class_n, class_v = np.zeros(256), np.zeros(256)
+    class_n[ord("a")], class_v[ord("a")] = 50, 10
+    vocabulary = lbl.Vocabulary(frequent, 20, 40_000, 600, 100, class_n, class_v, own=50)
+    p, tree = vocabulary.initial(), vocabulary.tree
+    for x in (p.r, p.q, p.c, p.b):
+        x[:] = rng.normal(0, spread if x is p.b else spread ** 0.5, x.shape)
+    docs = [[257 + int(i) for i in rng.integers(0, 50, n)] + [0] for n in (0, 1, 2, 40, 7)] + [[98, 99, 257, 98, 0]]
+    ids, starts = np.array([i for d in docs for i in d]), np.cumsum([0] + [len(d) for d in docs[:-1]])
+    scorer = lbl.Scorer(p, tree)
+    for _ in range(2):  # the second time from what it keeps
+        got = scorer.log_probs(ids, starts)
+        at = 0
+        for d in docs:
+            for k, word in enumerate(d):
+                before = [d[k - 1 - i] if k > i else 0 for i in range(lbl.CONTEXT)]
+                v = sum(p.c[i].astype(float) * p.r[h] for i, h in enumerate(before))
+                exp = 0.0
+                for choice in tree.paths[word]:
+                    if choice >= 0:
+                        s = p.q[tree.first[choice]:tree.last[choice]] @ v + p.b[tree.first[choice]:tree.last[choice]]
+                        exp += s[choice - tree.first[choice]] - s.max() - math.log(np.exp(s - s.max()).sum())
+                assert got[at] == pytest.approx(exp, rel=1e-4, abs=1e-3)
+                at += 1
+
+
+def test_rows_are_averaged_over_the_partitions_that_met_them():
+    rows = [np.array([0, 3]), np.array([3]), np.array([300])]
+    values = [np.array([[1., 2.], [3., 4.]]), np.array([[9., 10.]]), np.array([[5., 6.]])]
+    batches = [lbl._piece(1, 0, 10, rows[0], values[0]), lbl._piece(1, 0, 30, rows[1], values[1]), lbl._piece(1, 1, 10, rows[2], values[2])]
+    found = {}
+    for b in lbl._average(batches):
+        at = np.frombuffer(b.column("rows")[0].as_py(), np.int64)
+        found.update(zip(at.tolist(), np.frombuffer(b.column("value")[0].as_py(), np.float32).reshape(len(at), -1).tolist()))
+    assert found == {0: [1, 2], 3: [7.5, 8.5], 300: [5, 6]}
+
+
+def test_scores_of_a_very_long_text(spark):
+    rnd = random.Random(6)
+    long = words(rnd, 250_000, "ab")
+    got = {r.doc_id: r for r in lbl.score_documents(table(spark, [long, "a b", None], [1, 2, 3])).collect()}
+    assert got[1].n_tokens == 250_001 and got[1].score < got[1].n_tokens * -0.01 and got[3].n_tokens == 1
+
+
 def test_training_beats_unigram():
     rng = np.random.default_rng(0)
     ids = np.zeros(60_000, np.int64)
