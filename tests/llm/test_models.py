@@ -120,6 +120,51 @@ def test_kneser_ney_sums_to_one():
         assert p <= 1 + 1e-9 and p > 1 - 60 * unseen
 
 
+def plain_kneser_ney(texts, order):
+    """p(last character | those before it) with dictionaries, as a function of a tuple."""
+    grams = [Counter() for _ in range(order + 1)]
+    for t in texts:
+        padded = (0,) * (order - 1) + tuple(t)
+        for i in range(order - 1, len(padded)):
+            for k in range(1, order + 1):
+                grams[k][padded[i + 1 - k:i + 1]] += 1
+    counts = [None, *(Counter(g[1:] for g in grams[k + 1]) for k in range(1, order)), grams[order]]
+    base, discount, total, kinds = 1 / (len(grams[1]) + 1), [None], [None], [None]
+    for k in range(1, order + 1):
+        ones, twos = (sum(c == x for c in counts[k].values()) for x in (1, 2))
+        discount.append(ones / (ones + 2 * twos) if ones and twos else 0.5)
+        total.append(Counter())
+        kinds.append(Counter())
+        for g, c in counts[k].items():
+            total[k][g[:-1]] += c
+            kinds[k][g[:-1]] += 1
+
+    def p(seq):
+        k = len(seq)
+        if not k:
+            return base
+        lower, context = p(seq[1:]), seq[:-1]
+        if not total[k][context]:
+            return lower
+        return (max(counts[k][seq] - discount[k], 0) + discount[k] * kinds[k][context] * lower) / total[k][context]
+    return p
+
+
+@pytest.mark.parametrize("order,seed", [(2, 1), (3, 2), (4, 3)])
+def test_kneser_ney_equals_plain_counting(order, seed):
+    rnd = random.Random(seed)
+    texts = ["".join(rnd.choice("aaabbc é") for _ in range(rnd.randint(1, 60))) for _ in range(20)] + ["a", "zz"]
+    arrays = [a for a in map(langid.normalised, texts) if len(a)]
+    scorer = langid.Scorer({"x": langid.train(arrays, order)}, order)
+    p = plain_kneser_ney([a.tolist() for a in arrays], order)
+    probes = [tuple(rnd.choice([0, 32, *map(ord, "abcézq")]) for _ in range(order - 1)) + (rnd.choice([32, *map(ord, "abcézq")]),)
+              for _ in range(400)]
+    # (a zero before each probe: the place before a text)
+    codes = np.array([x for probe in probes for x in (0, *probe)], np.uint64)
+    got = scorer._compute(codes, np.arange(order, len(codes), order + 1))[:, 0]
+    assert got == pytest.approx([math.log(p(probe)) for probe in probes], rel=1e-9)
+
+
 def test_languages_and_defined_cases(spark):
     rnd = random.Random(5)
     names = sorted(LANGS)
