@@ -16,6 +16,23 @@ from shoplens.llm.tables import documents
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+# fixed values: remainders of the CRC-32 polynomial 0xEDB88320 for the 16 values of four bits
+_CRC_REMAINDERS = ("[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, "
+                   "4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]")
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned CRC-32 of a string expression's UTF-8 bytes, four bits at a time."""
+    half = "instr('0123456789ABCDEF', {}) - 1"
+    halves = (f"flatten(list_transform(regexp_extract_all(hex({text}), '..'), "
+              f"lambda b: [{half.format('b[2]')}, {half.format('b[1]')}]))")
+    return (f"xor(4294967295, list_reduce({halves}, "
+            f"lambda c, x: xor(c >> 4, {_CRC_REMAINDERS}[(xor(c, x) & 15) + 1]), 4294967295::BIGINT))")
+
+
+def _lowered(text: str) -> str:
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 
 def query(fn):
     QUERIES[fn.__name__] = fn
@@ -88,11 +105,83 @@ def op11_importance_resampling(spark, sf_dir):
     return importance.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+SQL["op11_importance_resampling"] = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id, text, true AS of_docs FROM documents
+    UNION ALL SELECT row_number() OVER (), NULL, text, false FROM benchmark),
+split AS (
+    SELECT row, doc_id, of_docs, regexp_extract_all({_lowered("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+words AS (SELECT row, of_docs, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM split),
+runs AS (
+    SELECT row, of_docs, w AS one, w || ' ' || lead(w) OVER onward AS two,
+           w || ' ' || lead(w) OVER onward || ' ' || lead(w, 2) OVER onward AS three
+    FROM words WINDOW onward AS (PARTITION BY of_docs, row ORDER BY i)),
+features AS (
+    SELECT row, of_docs, f FROM (
+        SELECT row, of_docs, one AS f FROM runs UNION ALL SELECT row, of_docs, two FROM runs
+        UNION ALL SELECT row, of_docs, three FROM runs)
+    WHERE f IS NOT NULL),
+buckets AS (SELECT f, {_crc32("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM features)),
+counts AS (
+    SELECT bucket, count(*) FILTER (of_docs) AS s, count(*) FILTER (NOT of_docs) AS t
+    FROM features JOIN buckets USING (f) GROUP BY bucket),
+gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                   / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM counts),
+weights AS (
+    SELECT row, count(*) AS n_features, sum(gain)::BIGINT AS weight
+    FROM features JOIN buckets USING (f) JOIN gains USING (bucket) WHERE of_docs GROUP BY row),
+scored AS (
+    SELECT row, doc_id, len(w) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln(
+               (('0x' || left(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM (SELECT * FROM split WHERE of_docs) LEFT JOIN weights USING (row)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST, n_features DESC) AS place,
+           count(*) FILTER (able) OVER () AS n_able
+    FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * n_able // 100 THEN place END AS rank FROM ranked
+"""
+
+
 @query
 def op12_spelling_variants(spark, sf_dir):
     return variants.group_variants(documents(spark, sf_dir))
 
 
+SQL["op12_spelling_variants"] = rf"""
+WITH RECURSIVE runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all({_lowered("text")}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents),
+hashed AS (SELECT run, count(*) AS k, {_crc32("id || ':' || run")} AS h FROM runs GROUP BY id, run),
+slipped AS (
+    SELECT k, CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run) + 2)::BIGINT)
+                   ELSE run END AS word FROM hashed),
+words AS (
+    SELECT word, sum(k)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cuts AS (
+    SELECT word, left(word, i - 1) AS head, substr(word, i + 1) AS rest
+    FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM words)),
+less AS (SELECT DISTINCT c.word, w.word AS near FROM cuts c JOIN words w ON w.word = c.head || c.rest),
+near AS (
+    SELECT a.word, b.word AS near FROM cuts a JOIN cuts b ON a.head = b.head AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT word, near FROM less UNION SELECT near, word FROM less),
+best AS (
+    SELECT near.word, near.near, w.n, count(*) OVER (PARTITION BY near.word) AS n_near,
+           row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, near.near) AS place
+    FROM near JOIN words w ON w.word = near.near),
+forms AS (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.n >= 2 * w.n THEN b.near END AS form,
+           CASE WHEN b.n >= 2 * w.n THEN b.n END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word AND b.place = 1),
+way AS (
+    SELECT word, word AS root, form AS following FROM forms
+    UNION ALL SELECT way.word, forms.word, forms.form FROM way JOIN forms ON forms.word = way.following)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM way WHERE following IS NULL) USING (word)
+"""
+
+
 @query
 def op13_html_extraction(spark, sf_dir):
     return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
