@@ -30,6 +30,72 @@ def _crc32(text: str) -> str:
             f"lambda c, x: xor(c >> 4, {_CRC_REMAINDERS}[(xor(c, x) & 15) + 1]), 4294967295::BIGINT))")
 
 
+def _mod(expression: str) -> str:
+    """SQL of a 128-bit unsigned expression's low 64 bits."""
+    return f"(({expression}) % 18446744073709551616::UHUGEINT)::UBIGINT"
+
+
+def _times(a: str, b: str) -> str:
+    return _mod(f"({a})::UHUGEINT * {b}::UHUGEINT")
+
+
+def _plus(a: str, b: str) -> str:
+    return _mod(f"({a})::UHUGEINT + {b}::UHUGEINT")
+
+
+def _turned(a: str, bits: int) -> str:
+    """Rotation to the left: 2^64 is 1 modulo 2^64 - 1 (right for all values but 2^64 - 1 itself)."""
+    return f"(({a})::UHUGEINT * {1 << bits}::UHUGEINT % 18446744073709551615::UHUGEINT)::UBIGINT"
+
+
+# fixed values: the five primes of XXH64
+_P1, _P2, _P3, _P4, _P5 = ("11400714785074694791", "14029467366897019727", "1609587929392839161",
+                           "9650029242287828579", "2870177450012600261")
+
+
+def _xxh64_ctes(source: str, name: str, seed: int) -> str:
+    """SQL of the common table expressions that give ``name`` (f, h): the unsigned XXH64 of
+    the UTF-8 bytes of the distinct strings f of ``source``."""
+    p1, p2 = int(_P1), int(_P2)
+    starts = [(seed + p1 + p2) % (1 << 64), (seed + p2) % (1 << 64), seed, (seed - p1) % (1 << 64)]
+    taken_in = _times(_turned(_times("x", _P2), 31), _P1)
+    lanes = [f"list_reduce(list_slice(lanes, {i + 1}, stripes * 4, 4), lambda c, x: "
+             f"{_times(_turned(_plus('c', '(' + _times('x', _P2) + ')'), 31), _P1)}, {start}::UBIGINT)" for i, start in enumerate(starts)]
+    merged = _mod(" + ".join(f"{_turned(f'a{i}', r)}::UHUGEINT" for i, r in enumerate((1, 7, 12, 18))))
+    for i in range(4):
+        merged = _plus(_times(f"xor({merged}, {_times(_turned(_times(f'a{i}', _P2), 31), _P1)})", _P1), _P4)
+    return f"""
+{name}_bytes AS (
+    SELECT f, regexp_extract_all(hex(f), '..') AS bytes, strlen(f) AS n, strlen(f) // 32 AS stripes FROM (SELECT DISTINCT f FROM {source})),
+{name}_lanes AS (
+    SELECT f, n, stripes, n % 8 // 4 AS fours,
+           list_transform(range(n // 8), lambda i: ('0x' || array_to_string(list_reverse(list_slice(bytes, 8 * i + 1, 8 * i + 8)), ''))::UBIGINT) AS lanes,
+           ('0x' || array_to_string(list_reverse(list_slice(bytes, n // 8 * 8 + 1, n // 8 * 8 + 4)), '')) AS half,
+           list_transform(list_slice(bytes, n // 4 * 4 + 1, n), lambda b: ('0x' || b)::UBIGINT) AS ends
+    FROM {name}_bytes),
+{name}_striped AS (
+    SELECT *, {", ".join(f"{lane} AS a{i}" for i, lane in enumerate(lanes))} FROM {name}_lanes),
+{name}_merged AS (
+    SELECT f, lanes, stripes, fours, half, ends, {_plus(f"CASE WHEN stripes > 0 THEN {merged} ELSE {(seed + int(_P5)) % (1 << 64)}::UBIGINT END", "n")} AS c
+    FROM {name}_striped),
+{name}_eights AS (
+    SELECT f, fours, half, ends, list_reduce(list_slice(lanes, stripes * 4 + 1, len(lanes)), lambda c, x: {_plus(_times(_turned(f"xor(c, {taken_in})", 27), _P1), _P4)}, c) AS c
+    FROM {name}_merged),
+{name}_fours AS (
+    SELECT f, ends, CASE WHEN fours = 0 THEN c
+                         ELSE {_plus(_times(_turned(f"xor(c, {_times('half::UBIGINT', _P1)})", 23), _P2), _P3)} END AS c
+    FROM {name}_eights),
+{name}_ends AS (
+    SELECT f, list_reduce(ends, lambda c, x: {_times(_turned(f"xor(c, {_times('x', _P5)})", 11), _P1)}, c) AS c FROM {name}_fours),
+{name}_mixed AS (SELECT f, {_times("xor(c, c >> 33)", _P2)} AS c FROM {name}_ends),
+{name}_again AS (SELECT f, {_times("xor(c, c >> 29)", _P3)} AS c FROM {name}_mixed),
+{name} AS (SELECT f, xor(c, c >> 32) AS h FROM {name}_again)"""
+
+
+# SQL of the number whose bits are those set in over half the values h of a group
+_MAJORITY = " + ".join(f"CASE WHEN 2 * sum((h >> {bit}) & 1) > count(*) THEN {1 << bit}::HUGEINT ELSE 0 END" for bit in range(64))
+
+
 def _lowered(text: str) -> str:
     return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -89,11 +155,54 @@ def op8_suffix_dedup(spark, sf_dir):
     return suffix_dedup.removed_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+SQL["op8_suffix_dedup"] = """
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n_bytes FROM documents),
+blocks AS (
+    SELECT row, base, substr(h, 2 * base + 1, 2 * 1399) AS h
+    FROM (SELECT row, h, unnest(range(0, greatest(n_bytes - 399, 0), 1000)) AS base FROM docs)),
+starts AS (
+    SELECT row, base + i AS p, md5(substr(h, 2 * i - 1, 800)) AS string
+    FROM (SELECT row, base, h, unnest(generate_series(1, least(1000, strlen(h) // 2 - 399))) AS i FROM blocks)),
+repeated AS (SELECT row, p FROM (SELECT row, p, count(*) OVER (PARTITION BY string) AS n FROM starts) WHERE n > 1),
+numbered AS (
+    SELECT row, p, sum(opens) OVER (PARTITION BY row ORDER BY p) AS span
+    FROM (SELECT row, p, CASE WHEN p <= lag(p) OVER (PARTITION BY row ORDER BY p) + 400 THEN 0 ELSE 1 END AS opens FROM repeated)),
+spans AS (SELECT row, min(p) AS first, max(p) + 399 AS last FROM numbered GROUP BY row, span),
+gaps AS (SELECT *, coalesce(lag(last) OVER (PARTITION BY row ORDER BY first), 0) AS before FROM spans),
+cut AS (
+    SELECT row, sum(last - first + 1)::BIGINT AS n_removed, count(*) AS n_spans,
+           string_agg(substr(h, 2 * before + 1, 2 * (first - before - 1)), '' ORDER BY first) || substr(any_value(h), 2 * max(last) + 1) AS kept
+    FROM gaps JOIN docs USING (row) GROUP BY row)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256, n_bytes - coalesce(n_removed, 0) AS n_kept, n_removed IS NOT NULL AS changed
+FROM docs LEFT JOIN cut USING (row)
+"""
+
+
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+SQL["op9_simhash"] = rf"""
+WITH RECURSIVE split AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_lowered("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT row, array_to_string(list_slice(w, i, i + 2), ' ') AS f
+    FROM (SELECT row, w, unnest(generate_series(1, greatest(len(w) - 2, least(len(w), 1)))) AS i FROM split)),
+{_xxh64_ctes("shingles", "hashes", 42)},
+prints AS (SELECT row, ({_MAJORITY})::UBIGINT AS fp FROM shingles JOIN hashes USING (f) GROUP BY row),
+docs AS (SELECT doc_id, coalesce(fp, 0) AS fp FROM split LEFT JOIN prints USING (row)),
+nodes AS (SELECT fp, min(doc_id) AS first, count(*) AS n FROM docs GROUP BY fp),
+links AS (SELECT a.fp, b.fp AS near FROM nodes a JOIN nodes b ON bit_count(xor(a.fp, b.fp)::HUGEINT) <= 2),
+reached AS (SELECT fp, fp AS near FROM nodes UNION SELECT reached.fp, links.near FROM reached JOIN links ON links.fp = reached.near),
+components AS (
+    SELECT reached.fp, min(first) AS component_id, sum(n)::BIGINT AS group_size
+    FROM reached JOIN nodes ON nodes.fp = reached.near GROUP BY reached.fp)
+SELECT doc_id, lpad(lower(to_hex(fp)), 16, '0') AS fingerprint, component_id, group_size FROM docs JOIN components USING (fp)
+"""
+
+
 @query
 def op10_language_id(spark, sf_dir):
     return langid.predict_languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
