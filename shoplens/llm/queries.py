@@ -150,6 +150,45 @@ def op7_quality_rules(spark, sf_dir):
     return quality.measure(documents(spark, sf_dir))
 
 
+SQL["op7_quality_rules"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT row, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM docs),
+numbered AS (SELECT row, i, w, dense_rank() OVER (ORDER BY w) AS v FROM words),
+windows AS (
+    SELECT row, i, list(v) OVER onward AS eight, count(*) OVER onward AS n FROM numbered
+    WINDOW onward AS (PARTITION BY row ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
+twice AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, eight) AS times FROM windows WHERE n = 8) WHERE times > 1),
+inside AS (
+    SELECT row, w, coalesce(i - max(t.i) OVER (PARTITION BY row ORDER BY i) < 8, false) AS repeated
+    FROM numbered LEFT JOIN twice t USING (row, i)),
+sums AS (
+    SELECT row, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars, count(*) FILTER (repeated) AS n_repeat_words,
+           coalesce(sum(strlen(w)) FILTER (repeated), 0)::DOUBLE / sum(strlen(w))::DOUBLE AS repeat_char_fraction
+    FROM inside GROUP BY row),
+-- pairs of equal words at one distance, and the longest unbroken run of them
+pairs AS (
+    SELECT a.row, b.i - a.i AS distance, a.i - row_number() OVER (PARTITION BY a.row, b.i - a.i ORDER BY a.i) AS run
+    FROM numbered a JOIN numbered b ON a.row = b.row AND a.v = b.v AND a.i < b.i),
+longest AS (SELECT row, max(n) AS longest_repeat FROM (SELECT row, count(*) AS n FROM pairs GROUP BY row, distance, run) GROUP BY row),
+lines AS (SELECT row, unnest(string_split(text, chr(10))) AS line FROM docs),
+dup_lines AS (
+    SELECT row, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row),
+measured AS (
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(repeat_char_fraction, 0) AS repeat_char_fraction,
+           coalesce(longest_repeat, 0) AS longest_repeat
+    FROM docs LEFT JOIN sums USING (row) LEFT JOIN longest USING (row) LEFT JOIN dup_lines USING (row)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND NOT (n_repeat_words > 50 AND repeat_char_fraction > 0.2::DOUBLE)
+          AND NOT (longest_repeat > 50 AND longest_repeat > 0.1::DOUBLE * n_words) AS kept
+FROM judged
+"""
+
+
 @query
 def op8_suffix_dedup(spark, sf_dir):
     return suffix_dedup.removed_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
