@@ -54,7 +54,7 @@ STAGES = [
     ("best-fit packing", packed_sequences),
 ]
 
-#: SQL can express neither the SimHash groups nor the repeated strings.
+#: SQL can't express the search of the best-fit packing.
 ORACLE_SQL = None
 
 
