@@ -56,6 +56,8 @@ FLUSH_WORDS = 300_000
 BLOCK_TOKENS = 200_000
 # rows of a table that are averaged together
 PIECE = 256
+# contexts whose first level is summed up at once
+CACHED = 256
 # what the squared gradients begin with
 START = np.float32(1e-8)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -89,9 +91,6 @@ class Parameters:
             at += x.size
         return Parameters(*out)
 
-    def contexts(self, history: np.ndarray) -> np.ndarray:
-        return sum(self.r[history[:, i]] * self.c[i] for i in range(history.shape[1]))
-
 
 def histories(ids: np.ndarray, starts: np.ndarray, context: int = CONTEXT) -> np.ndarray:
     """[token, context]: the ids before each token of its document, nearest first; the
@@ -117,68 +116,117 @@ class Tree:
         return cls(np.arange(rows)[:, None], [0, rows], np.zeros(rows, np.int64), np.full(rows, rows))
 
 
+def _rows(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``x[at]`` of a contiguous ``x``; ``at`` is in range. With ``clip`` numpy copies whole
+    rows without a check of each, several times as fast."""
+    return x.take(at, axis=0, mode="clip")
+
+
+def _sorted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(stable order, ``ids`` in it) by a sort of id and place in one number, which is quicker
+    than a sort of places."""
+    bits = len(ids).bit_length()
+    ordered = (ids << bits) | np.arange(len(ids))
+    ordered.sort()
+    return ordered & ((1 << bits) - 1), ordered >> bits
+
+
 def _summed(ids: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct ids, sums of their ``grads``)."""
-    order = np.argsort(ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids, kind="stable")
-    ordered = ids[order]
+    order, ordered = _sorted(ids)
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[first], np.add.reduceat(grads[order], first, axis=0)
+    sums = _rows(grads, order[first])
+    size = np.diff(first, append=len(ids))
+    for k in range(1, 4):  # most ids come only a few times; a segment costs more than some additions
+        more = np.flatnonzero(size > k)
+        sums[more] += _rows(grads, order[first[more] + k])
+    more = np.flatnonzero(size > 4)
+    if len(more):
+        rest = np.repeat(size > 4, size)
+        rest[first] = rest[first + np.minimum(1, size - 1)] = False
+        rest[first + np.minimum(2, size - 1)] = rest[first + np.minimum(3, size - 1)] = False
+        left = size[more] - 4
+        sums[more] += np.add.reduceat(_rows(grads, order[rest]), np.cumsum(left) - left, axis=0)
+    return ordered[first], sums
 
 
 class Trainer:
     """Noise-contrastive estimation with Adagrad steps on the rows that a batch meets."""
 
     def __init__(self, start: Parameters, unigram: np.ndarray, seed: int, tree: Tree | None = None):
-        self.p = start.like(start.flat())
         self.tree = tree or Tree.flat(len(unigram))
         self.log_noise = np.log(NOISE * unigram).astype(np.float32)
         self.cumulative = [np.cumsum(unigram[a:b]) for a, b in zip(self.tree.levels, self.tree.levels[1:])]
         self.rng = np.random.default_rng(seed)
-        self.squares = [np.full_like(x, START) for x in (self.p.r, self.p.q, self.p.c, self.p.b)]
+        self.tables = [x.astype(np.float32) for x in _tables(start)]
+        self.squares = [np.full_like(x, START) for x in self.tables]
+
+    @property
+    def p(self) -> Parameters:
+        return _parameters(*self.tables)
 
-    def _move(self, k: int, rows, g: np.ndarray) -> None:
-        x, s = (self.p.r, self.p.q, self.p.c, self.p.b)[k], self.squares[k]
-        squares = s[rows] + g * g
+    def _move(self, table: int, rows: np.ndarray, g: np.ndarray) -> None:
+        x, s = self.tables[table], self.squares[table]
+        squares = g * g
+        squares += _rows(s, rows)
         s[rows] = squares
-        x[rows] -= RATE * g / np.sqrt(squares)
+        g *= np.float32(RATE)
+        g /= np.sqrt(squares, out=squares)
+        x[rows] = np.subtract(_rows(x, rows), g, out=g)
 
     def touched(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Masks of the rows of ``_tables`` that a step has moved."""
-        return (self.squares[0][:, 0] > START, self.squares[3] > START, np.ones(len(self.p.c), bool))
+        return (self.squares[0][:, 0] > START, self.squares[1][:, -1] > START, np.ones(len(self.tables[2]), bool))
 
     def _contrast(self, level: int, ids: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
-        """Step of one level's choices; returns the gradient by ``v``."""
-        p, cumulative = self.p, self.cumulative[level]
+        """Step of one level's choices; ``v`` has a 1 behind each context's vector, for b.
+        Returns the gradient by ``v``."""
+        cumulative = self.cumulative[level]
         noise = self.tree.levels[level] + np.minimum(
             np.searchsorted(cumulative, self.rng.random(NOISE) * cumulative[-1]), len(cumulative) - 1)
-        q, q_noise = p.q[ids], p.q[noise]
-        true = np.einsum("ij,ij->i", v, q) + p.b[ids] - self.log_noise[ids]
-        false = v @ q_noise.T + (p.b[noise] - self.log_noise[noise])
-        g_true = -1.0 / (1.0 + np.exp(np.clip(true, -30, 30)))
-        g_false = 1.0 / (1.0 + np.exp(-np.clip(false, -30, 30)))
-        dv = g_true[:, None] * q + g_false @ q_noise
-        grads = np.concatenate([np.column_stack([g_true[:, None] * v, g_true]),
-                                np.column_stack([g_false.T @ v, g_false.sum(axis=0)])]).astype(np.float32)
+        q, q_noise = _rows(self.tables[1], ids), _rows(self.tables[1], noise)
+        against = -q_noise
+        against[:, -1] += self.log_noise[noise]
+        with np.errstate(over="ignore"):  # 1 / (1 + inf) is 0
+            g_true = -1.0 / (1.0 + np.exp(np.einsum("ij,ij->i", v, q) - self.log_noise[ids]))
+            g_false = v @ against.T
+            np.exp(g_false, out=g_false)
+            g_false += 1.0
+            np.reciprocal(g_false, out=g_false)
+        q *= g_true[:, None]
+        dv = g_false @ q_noise
+        dv += q
+        grads = np.empty((len(ids) + NOISE, v.shape[1]), np.float32)
+        np.multiply(v, g_true[:, None], out=grads[:len(ids)])
+        np.matmul(g_false.T, v, out=grads[len(ids):])
         rows, g = _summed(np.concatenate([ids, noise]), grads)
-        g /= n
-        self._move(1, rows, g[:, :-1])
-        self._move(3, rows, g[:, -1])
+        g /= np.float32(n)
+        self._move(1, rows, g)
         return dv
 
     def step(self, ids: np.ndarray, history: np.ndarray) -> None:
-        p, n = self.p, len(ids)
-        parts = [p.r[history[:, i]] for i in range(history.shape[1])]
-        v = sum(x * c for x, c in zip(parts, p.c))
-        paths = self.tree.paths[ids]
+        n, (r, _, c) = len(ids), self.tables
+        words = np.ascontiguousarray(history.T)
+        parts = [_rows(r, x) for x in words]
+        v = np.ones((n, c.shape[1] + 1), np.float32)
+        np.multiply(parts[0], c[0], out=v[:, :-1])
+        for x, weight in zip(parts[1:], c[1:]):
+            v[:, :-1] += x * weight
+        paths = _rows(self.tree.paths, ids)
         dv = self._contrast(0, paths[:, 0], v, n)
         for level in range(1, paths.shape[1]):
             at = np.flatnonzero(paths[:, level] >= 0)
             if len(at):
-                dv[at] += self._contrast(level, paths[at, level], v[at], n)
-        rows, g = _summed(history.T.ravel(), np.concatenate([dv * c for c in p.c]))
-        dc = np.stack([(dv * x).sum(axis=0) for x in parts])
-        self._move(0, rows, (g / n).astype(np.float32))
-        self._move(2, slice(None), (dc / n).astype(np.float32))
+                dv[at] += self._contrast(level, paths[at, level], _rows(v, at), n)
+        dv = dv[:, :-1]
+        grads = np.empty((len(c), *dv.shape), np.float32)
+        for weight, out in zip(c, grads):
+            np.multiply(dv, weight, out=out)
+        rows, g = _summed(words.ravel(), grads.reshape(-1, dv.shape[1]))
+        g /= np.float32(n)
+        dc = np.stack([np.einsum("ij,ij->j", dv, x) for x in parts])
+        self._move(0, rows, g)
+        self._move(2, np.arange(len(c)), (dc / n).astype(np.float32))
 
     def run(self, ids: np.ndarray, starts: np.ndarray) -> None:
         """One pass over all tokens; batches take tokens far apart."""
@@ -198,38 +246,43 @@ class Scorer:
 
     def __init__(self, p: Parameters, tree: Tree | None = None):
         self.p, self.tree = p, tree or Tree.flat(len(p.b))
+        self.qb = _tables(p)[1]
         self.codes, self.norms = np.zeros(0, np.int64), np.zeros(0)
 
-    def _normalisers(self, history: np.ndarray) -> np.ndarray:
-        """Log of the sum of the first level's exponentials after each context. The score is
-        a sum over the context's words, so its exponential is a product: the exponentials
-        are taken once per word and place, and a context costs one inner product."""
-        p, n, roots = self.p, len(history), self.tree.levels[1]
-        q, b = np.ascontiguousarray(p.q[:roots].T), p.b[:roots]
-        tables, places, shift = [], [], np.zeros(n)
-        for i in range(history.shape[1]):
-            rows, at = np.unique(history[:, i], return_inverse=True)
-            s = (p.r[rows] * p.c[i]) @ q
-            if i == 0:
-                s += b
-            top = s.max(axis=1)
-            s -= top[:, None]
-            tables.append(np.exp(s, out=s))
-            places.append(at)
-            shift += top[at]
-        sums = np.empty(n, np.float64)
-        for at in range(0, n, 256):  # a block of rows that stays in the cache
-            part = slice(at, at + 256)
-            x = tables[0][places[0][part]]
-            for table, place in zip(tables[1:-1], places[1:-1]):
-                x *= table[place[part]]
-            sums[part] = np.einsum("ij,ij->i", x, tables[-1][places[-1][part]]) if len(tables) > 1 else x.sum(axis=1)
-        out = np.log(np.maximum(sums, 1e-30)) + shift
-        far = np.flatnonzero(sums < 1e-20)  # the words' best choices are far apart: too little is left of the product
-        for at in range(0, len(far), 4096):
-            out[far[at:at + 4096]] = _log_sums(p.contexts(history[far[at:at + 4096]]) @ q + b)
+    def _vectors(self, history: np.ndarray) -> np.ndarray:
+        """The contexts' vectors with a 1 behind each, for b."""
+        out = np.ones((len(history), self.qb.shape[1]), np.float32)
+        np.multiply(_rows(self.p.r, history[:, 0]), self.p.c[0], out=out[:, :-1])
+        for i in range(1, history.shape[1]):
+            out[:, :-1] += _rows(self.p.r, history[:, i]) * self.p.c[i]
+        return out
+
+    def _log_norms(self, v: np.ndarray, bounds: list[tuple[int, int, int, int]]) -> np.ndarray:
+        """For each (a, b, first, last), which follow one another: the logs of the sums of the
+        exponentials of the choices first to last after the contexts v[a:b]. Scores are small,
+        so their exponentials are summed as they are; where that fails, from the largest on."""
+        sums = np.empty(len(v), np.float32)
+        ones = np.ones(max((last - first for _, _, first, last in bounds), default=0), np.float32)
+        with np.errstate(over="ignore"):
+            for a, b, first, last in bounds:
+                s = v[a:b] @ self.qb[first:last].T
+                np.exp(s, out=s)
+                np.matmul(s, ones[:last - first], out=sums[a:b])
+            bad = ~((sums > 1e-20) & (sums < 1e30))
+            out = np.log(sums, dtype=np.float64, where=~bad, out=np.zeros(len(v)))
+        if bad.any():
+            for a, b, first, last in bounds:
+                rows = a + np.flatnonzero(bad[a:b])
+                if len(rows):
+                    out[rows] = _log_sums(v[rows] @ self.qb[first:last].T)
         return out
 
+    def _normalisers(self, history: np.ndarray) -> np.ndarray:
+        """Log of the sum of the first level's exponentials after each context; as many
+        contexts at once as keep their scores in the cache."""
+        n, roots = len(history), self.tree.levels[1]
+        return self._log_norms(self._vectors(history), [(at, min(n, at + CACHED), 0, roots) for at in range(0, n, CACHED)])
+
     def _norms_of(self, codes: np.ndarray, history: np.ndarray) -> np.ndarray:
         """``_normalisers``, kept for contexts (sorted ``codes``) that come again."""
         if len(self.codes) > 1_500_000:
@@ -241,24 +294,21 @@ class Scorer:
         out = np.empty(len(codes), np.float64)
         out[known] = self.norms[at[known]]
         new = ~known
-        out[new] = self._normalisers(history[new])
+        out[new] = self._normalisers(_rows(history, np.flatnonzero(new)))
         self.codes = np.insert(self.codes, at[new], codes[new])
         self.norms = np.insert(self.norms, at[new], out[new])
         return out
 
     def _below(self, choice: np.ndarray, v: np.ndarray) -> np.ndarray:
         """Log-probability of each choice among those of its parent, after contexts ``v``."""
-        p, out = self.p, np.empty(len(choice), np.float64)
-        parent = self.tree.first[choice]
-        order = np.argsort(parent, kind="stable")
-        bounds = np.flatnonzero(np.diff(parent[order], prepend=-1, append=-1)).tolist()
-        for a, b in zip(bounds, bounds[1:]):
-            first = parent[order[a]]
-            last = self.tree.last[choice[order[a]]]
-            for at in range(a, b, 4096):
-                rows = order[at:min(b, at + 4096)]
-                s = v[rows] @ p.q[first:last].T + p.b[first:last]
-                out[rows] = s[np.arange(len(rows)), choice[rows] - first] - _log_sums(s)
+        order, parent = _sorted(self.tree.first[choice])
+        choice, v = choice[order], _rows(v, order)
+        edges = np.flatnonzero(np.diff(parent, prepend=-1, append=-1))
+        last = self.tree.last[choice[edges[:-1]]].tolist()
+        bounds = [(at, min(b, at + 4096), first, end) for a, b, first, end in
+                  zip(edges.tolist(), edges[1:].tolist(), parent[edges[:-1]].tolist(), last) for at in range(a, b, 4096)]
+        out = np.empty(len(choice), np.float64)
+        out[order] = np.einsum("ij,ij->i", v, _rows(self.qb, choice)) - self._log_norms(v, bounds)
         return out
 
     def log_probs(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -268,19 +318,19 @@ class Scorer:
         for i in range(1, history.shape[1]):
             code = code * rows + history[:, i]
         distinct, first, back = np.unique(code, return_index=True, return_inverse=True)
-        norms = self._norms_of(distinct, history[first])
-        vectors = self.p.contexts(history[first])
-        paths = self.tree.paths[ids]
+        history = _rows(history, first)
+        norms = self._norms_of(distinct, history)
+        vectors = self._vectors(history)
+        paths = _rows(self.tree.paths, ids)
         out = np.empty(len(ids), np.float64)
-        for at in range(0, len(ids), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            root = paths[part, 0]
-            out[part] = np.einsum("ij,ij->i", vectors[back[part]], self.p.q[root]) + self.p.b[root]
+        for at in range(0, len(ids), 1 << 14):
+            part = slice(at, at + (1 << 14))
+            out[part] = np.einsum("ij,ij->i", _rows(vectors, back[part]), _rows(self.qb, paths[part, 0]))
         out -= norms[back]
         for level in range(1, paths.shape[1]):
             at = np.flatnonzero(paths[:, level] >= 0)
             if len(at):
-                out[at] += self._below(paths[at, level], vectors[back[at]])
+                out[at] += self._below(paths[at, level], _rows(vectors, back[at]))
         return out
 
 
@@ -335,13 +385,16 @@ class Vocabulary:
 
     def training_rows(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """(model rows with an end after each document, starts)."""
-        row = self.own_rows.get
-        out, starts = [], []
-        for doc in split:
-            starts.append(len(out))
-            out += [row(w) or 1 + w[-1] for w in doc]
-            out.append(0)
-        return np.array(out, np.int64), np.array(starts, np.int64)
+        sizes = np.array([len(doc) + 1 for doc in split], np.int64)
+        words = list(chain.from_iterable(split))
+        rows = np.fromiter(map(self.own_rows.get, words, repeat(0)), np.int64, len(words))
+        rest = np.flatnonzero(rows == 0)
+        rows[rest] = 1 + np.fromiter((words[i][-1] for i in rest.tolist()), np.int64, len(rest))
+        out = np.zeros(sizes.sum(), np.int64)
+        inner = np.ones(len(out), bool)
+        inner[np.cumsum(sizes) - 1] = False
+        out[inner] = rows
+        return out, np.cumsum(sizes) - sizes
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Place of each word in the frequent list, or -1."""
@@ -429,7 +482,7 @@ def _train(shared: Shared):
             trainer.run(rows, starts)
             tokens += len(rows)
         if tokens:
-            for table, (values, touched) in enumerate(zip(_tables(trainer.p), trainer.touched())):
+            for table, (values, touched) in enumerate(zip(trainer.tables, trainer.touched())):
                 rows = np.flatnonzero(touched)
                 for part in np.split(rows, np.flatnonzero(np.diff(rows // PIECE)) + 1):
                     if len(part):
@@ -442,6 +495,10 @@ def _tables(p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return p.r, np.column_stack([p.q, p.b]), p.c
 
 
+def _parameters(r: np.ndarray, qb: np.ndarray, c: np.ndarray) -> Parameters:
+    return Parameters(r, np.ascontiguousarray(qb[:, :-1]), c, qb[:, -1].copy())
+
+
 _PIECE_DDL = "table int, piece bigint, tokens bigint, rows binary, value binary"
 
 
@@ -484,7 +541,7 @@ def _vocabulary_and_parameters(facts, learned):
     for table, rows, value in learned or ():
         at = np.frombuffer(rows, np.int64)
         tables[table][at] = np.frombuffer(value, np.float32).reshape(len(at), -1)
-    return vocabulary, Parameters(tables[0], np.ascontiguousarray(tables[1][:, :-1]), tables[2], tables[1][:, -1].copy())
+    return vocabulary, _parameters(*tables)
 
 
 _SCORE_DDL = ("uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -273,6 +274,34 @@ def test_log_probabilities_equal_plain_sums(spread):
                 at += 1
 
 
+def test_normalisers_hold_no_table_of_all_words():
+    """20,000 contexts of as many words: the scores of a block of contexts at a time."""
+    rng = np.random.default_rng(5)
+    rows, roots = 20_000, 1024
+    p = lbl.Parameters.initial(np.full(roots, 1 / roots), context_rows=rows)
+    scorer = lbl.Scorer(p, lbl.Tree(np.zeros((rows, 1), np.int64), [0, roots], np.zeros(roots, np.int64), np.full(roots, roots)))
+    history = np.column_stack([rng.permutation(rows), rng.permutation(rows)])
+    tracemalloc.start()
+    got = scorer._normalisers(history)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000_000  # a table of a row per word and place has 82 MB
+    for k in range(0, rows, 997):
+        v = sum(p.c[i].astype(float) * p.r[h] for i, h in enumerate(history[k]))
+        assert got[k] == pytest.approx(math.log(np.exp(p.q @ v + p.b).sum()), abs=1e-5)
+
+
+def test_gradients_of_equal_ids_are_summed():
+    rng = np.random.default_rng(6)
+    for n, most in ((1, 1), (9, 1), (7, 100_000), (5000, 100_000), (5000, 800), (5000, 3)):
+        ids, grads = rng.integers(0, most, n), rng.normal(size=(n, 5)).astype(np.float32)
+        rows, sums = lbl._summed(ids, grads)
+        plain = np.zeros((most, 5))
+        np.add.at(plain, ids, grads.astype(float))
+        assert rows.tolist() == sorted(set(ids.tolist()))
+        assert np.allclose(sums, plain[rows], atol=1e-3)
+
+
 def test_rows_are_averaged_over_the_partitions_that_met_them():
     rows = [np.array([0, 3]), np.array([3]), np.array([300])]
     values = [np.array([[1., 2.], [3., 4.]]), np.array([[9., 10.]]), np.array([[5., 6.]])]
