@@ -32,6 +32,7 @@ null key. An empty table gives an empty store.
 
 from __future__ import annotations
 
+import gc
 import struct
 import zlib
 
@@ -183,7 +184,8 @@ class TextCoder:
 
     def __init__(self, path: str, width: int):
         letter = {2: "H", 4: "I"}[width]
-        pack = lambda ids: struct.pack(f"<{len(ids)}{letter}", *ids)
+        packers = [struct.Struct(f"<{n}{letter}").pack for n in range(64)]  # by number of ids
+        pack = lambda ids: packers[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}{letter}", *ids)
         self.first = WordMemo(path, ASCII_PIECES, pack, limit=MEMO_WORDS // 10)
         self.after_space = WordMemo(path, ASCII_PIECES, pack, before=b" ", limit=MEMO_WORDS)
         self.line_feed = pack(library_tokenizer(path).encode("\n", add_special_tokens=False).ids)
@@ -222,6 +224,8 @@ def units(text: bytes) -> list[bytes]:
 def _coder(path: str, width: int) -> TextCoder:
     if (path, width) not in _WORKER:
         _WORKER[path, width] = TextCoder(path, width)
+        gc.collect()
+        gc.freeze()  # a worker collects after each task: the memos' words are no garbage to look for
     return _WORKER[path, width]
 
 

@@ -51,7 +51,9 @@ class WordMemo(dict):
         super().__init__()
         self.tok = library_tokenizer(path)
         self.model, self.limit, self.before, self.fold, self.pack = self.tok.model, limit, before, fold, pack
-        self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.tokenize, self.space = self.model.tokenize, "Ġ" if before else ""
+        special = [re.escape(t.content.encode()) for t in self.tok.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(special) or rb"(?!)").search
         self.pieces, self.characters, self.tails = re.compile(pattern).findall, byte_characters(), {}
         self.cut = True
         self.cut = all(self._made(w.encode()) == self._whole(w.encode()) for w in self.PROBES)
@@ -69,25 +71,25 @@ class WordMemo(dict):
 
     def _piece(self, piece: str):
         written = piece.encode().decode("latin-1").translate(self.characters)
-        return self.pack([t.id for t in self.model.tokenize(written)])
+        return self.pack([t.id for t in self.tokenize(written)])
 
     def _made(self, word: bytes):
         if not self.cut:
             return self._whole(word)
         if word.isalpha():  # of ASCII letters: characters stand for themselves, a space for its own
             piece = self.fold(word.decode())
-            return self.pack([t.id for t in self.model.tokenize("Ġ" + piece if self.before else piece)])
+            return self.pack([t.id for t in self.tokenize(self.space + piece)])
         if self.LETTERS.fullmatch(word):
             return self._piece(self.fold((self.before + word).decode()))
         tailed = self.TAILED.fullmatch(word)
-        if tailed and not any(s in word for s in self.special):
+        if tailed and not self.special(word):
             tail = tailed[2]
             if tail not in self.tails:
                 if len(self.tails) >= 10_000:
                     self.tails.clear()
                 self.tails[tail] = self._piece(tail.decode())
             return self[tailed[1]] + self.tails[tail]
-        if self.PRINTABLE.fullmatch(word) and not any(s in word for s in self.special):
+        if self.PRINTABLE.fullmatch(word) and not self.special(word):
             first, *rest = map(self._piece, self.pieces(self.fold((self.before + word).decode())))
             return sum(rest, first) if isinstance(first, int) else first + b"".join(rest)
         return self._whole(word)

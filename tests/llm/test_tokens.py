@@ -1,5 +1,6 @@
 """Token counts, byte-level BPE and the token store against the libraries."""
 
+import gc
 import hashlib
 import random
 import zlib
@@ -141,6 +142,17 @@ def test_units_are_encoded_independently():
         assert ids == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_memos_are_no_work_for_the_collector(monkeypatch):
+    """A worker collects garbage after each task; that must not go through all remembered words."""
+    monkeypatch.setattr(token_store, "_WORKER", {})
+    try:
+        coder = token_store._coder(BYTE, 2)
+        assert not any(x is coder.after_space or x is coder.first for x in gc.get_objects())
+        assert token_store._coder(BYTE, 2) is coder
+    finally:
+        gc.unfreeze()
+
+
 def test_word_memo_equals_the_library():
     rnd = random.Random(4)
     tok, memo = Tokenizer.from_file(WORD), token_counts._memo(WORD)
