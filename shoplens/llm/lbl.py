@@ -33,10 +33,10 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -67,6 +67,23 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(_LOWER).split()
 
 
+def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts, as ``words_of`` gives them, one after another; number of words of each)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    full = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space at an end of a text leaves an empty one
+    if not full.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full], minlength=len(sizes))
+        words = words.filter(pa.array(full))
+    return words, sizes
+
+
+def _last_bytes(words: pa.Array) -> np.ndarray:
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32)[words.offset + 1:words.offset + len(words) + 1]
+    return np.frombuffer(data, np.uint8)[ends - 1].astype(np.int64)
+
+
 # ---- model ---------------------------------------------------------------------
 class Parameters:
     """r: [context rows, dim]; q: [choices, dim]; c: [context, dim]; b: [choices]."""
@@ -343,11 +360,10 @@ class Vocabulary:
     def __init__(self, frequent: list[tuple[bytes, int]], words: int, n: int, v: int, ends: int,
                  class_n: np.ndarray, class_v: np.ndarray, own: int | None = None):
         own = words if own is None else own
-        self.index = {w: i for i, (w, _) in enumerate(frequent)}
+        self.words = pa.array([w.decode() for w, _ in frequent], pa.string())
         self.counts = np.array([c for _, c in frequent], np.float64)
         last = np.array([w[-1] for w, _ in frequent], np.int64)
         self.rows = np.where(np.arange(len(frequent)) < own, 257 + np.arange(len(frequent)), 1 + last)
-        self.own_rows = {w: 257 + i for i, (w, _) in enumerate(frequent[:own])}
         self.n, self.v, self.ends = n, v, ends
         self.log_class = np.log10(class_n + 0.1 * (class_v + 1))
         below = np.arange(words, max(words, min(own, len(frequent))))  # own words under a class
@@ -383,45 +399,32 @@ class Vocabulary:
     def initial(self) -> Parameters:
         return Parameters.initial(self.unigram, context_rows=len(self.tree.paths))
 
-    def training_rows(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """(model rows with an end after each document, starts)."""
-        sizes = np.array([len(doc) + 1 for doc in split], np.int64)
-        words = list(chain.from_iterable(split))
-        rows = np.fromiter(map(self.own_rows.get, words, repeat(0)), np.int64, len(words))
-        rest = np.flatnonzero(rows == 0)
-        rows[rest] = 1 + np.fromiter((words[i][-1] for i in rest.tolist()), np.int64, len(rest))
-        out = np.zeros(sizes.sum(), np.int64)
-        inner = np.ones(len(out), bool)
-        inner[np.cumsum(sizes) - 1] = False
-        out[inner] = rows
-        return out, np.cumsum(sizes) - sizes
-
-    def places(self, words: list[bytes]) -> np.ndarray:
+    def places(self, words: pa.Array) -> np.ndarray:
         """Place of each word in the frequent list, or -1."""
-        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def model_rows(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
+    def model_rows(self, words: pa.Array, at: np.ndarray) -> np.ndarray:
         out = self.rows[at] if len(self.rows) else np.zeros(len(at), np.int64)
         rare = np.flatnonzero(at < 0)
-        out[rare] = 1 + np.fromiter((words[i][-1] for i in rare.tolist()), np.int64, len(rare))
+        if len(rare):
+            out[rare] = 1 + _last_bytes(words)[rare]
         return out
 
 
 class Tokens:
     """The tokens of a block of documents, an end token after each document's words:
-    ``words`` has no ends; ``at``, ``rows``, ``is_end`` have, with ``at`` -1 there."""
-
-    def __init__(self, vocabulary: Vocabulary, split: list[list[bytes]]):
-        sizes = np.array([len(doc) + 1 for doc in split])
-        self.words = list(chain.from_iterable(split))
-        self.starts = np.cumsum(sizes) - sizes
-        self.is_end = np.zeros(sizes.sum(), bool)
-        self.is_end[np.cumsum(sizes) - 1] = True
+    ``words`` has no ends; ``at`` (place in the frequent list), ``rows`` (of the model) and
+    ``is_end`` have, with ``at`` -1 and row 0 there. ``columns``: the documents' other columns."""
+
+    def __init__(self, columns: list[pa.Array], words: pa.Array, sizes: np.ndarray, places: np.ndarray, rows: np.ndarray):
+        self.columns, self.words = columns, words
+        ends = np.cumsum(sizes + 1)
+        self.starts = ends - sizes - 1
+        self.is_end = np.zeros(ends[-1], bool)
+        self.is_end[ends - 1] = True
         self.inner = np.flatnonzero(~self.is_end)
         self.at, self.rows = np.full(len(self.is_end), -1), np.zeros(len(self.is_end), np.int64)
-        places = vocabulary.places(self.words)
-        self.at[self.inner] = places
-        self.rows[self.inner] = vocabulary.model_rows(self.words, places)
+        self.at[self.inner], self.rows[self.inner] = places, rows
 
 
 def _count_words(batches):
@@ -441,20 +444,31 @@ def _count_words(batches):
         yield out()
 
 
-def _blocks(batches):
-    """Documents in blocks of about BLOCK_TOKENS tokens: (batch rows, split texts)."""
-    rows, split, size = [], [], 0
+def _blocks(batches, vocabulary: Vocabulary):
+    """Documents (their texts in the last column) in blocks of about BLOCK_TOKENS tokens."""
+    held, size = [], 0
+
+    def block():
+        columns = [pa.concat_arrays([x[0].column(i) for x in held]) for i in range(held[0][0].num_columns - 1)]
+        return Tokens(columns, pa.concat_arrays([x[1] for x in held]), *(np.concatenate(x) for x in list(zip(*held))[2:]))
+
     for b in batches:
-        for row in zip(*(b.column(c).to_pylist() for c in b.schema.names)):
-            words = words_of(row[-1])
-            rows.append(row[:-1])
-            split.append(words)
-            size += len(words) + 1
+        words, sizes = split_texts(b.column(b.num_columns - 1))
+        places = vocabulary.places(words)
+        rows = vocabulary.model_rows(words, places)
+        ends, tokens = (np.concatenate([[0], np.cumsum(x)]) for x in (sizes, sizes + 1))
+        at = 0
+        while at < len(sizes):
+            to = min(len(sizes), int(np.searchsorted(tokens, tokens[at] + BLOCK_TOKENS - size)))
+            a, z = int(ends[at]), int(ends[to])
+            held.append((b.slice(at, to - at), words.slice(a, z - a), sizes[at:to], places[a:z], rows[a:z]))
+            size += tokens[to] - tokens[at]
+            at = to
             if size >= BLOCK_TOKENS:
-                yield rows, split
-                rows, split, size = [], [], 0
-    if rows:
-        yield rows, split
+                yield block()
+                held, size = [], 0
+    if held:
+        yield block()
 
 
 _WORKER: dict = {}
@@ -477,10 +491,9 @@ def _train(shared: Shared):
     def run(batches):
         vocabulary, start = shared.made(_vocabulary_and_parameters)
         trainer, tokens = Trainer(start, vocabulary.unigram, SEED, vocabulary.tree), 0
-        for _, split in _blocks(batches):
-            rows, starts = vocabulary.training_rows(split)
-            trainer.run(rows, starts)
-            tokens += len(rows)
+        for block in _blocks(batches, vocabulary):
+            trainer.run(block.rows, block.starts)
+            tokens += len(block.rows)
         if tokens:
             for table, (values, touched) in enumerate(zip(trainer.tables, trainer.touched())):
                 rows = np.flatnonzero(touched)
@@ -559,8 +572,7 @@ def _score(shared: Shared):
         denominator = np.log10(vocabulary.n + 0.1 * (vocabulary.v + 1))
         log_count = np.log10(vocabulary.counts + 0.1)
         item = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-        for rows, split in _blocks(batches):
-            block = Tokens(vocabulary, split)
+        for block in _blocks(batches, vocabulary):
             at, ids, is_end, starts = block.at, block.rows, block.is_end, block.starts
             sizes = np.diff(np.append(starts, len(ids)))
             found = at >= 0
@@ -575,12 +587,12 @@ def _score(shared: Shared):
             missing = np.flatnonzero(at[block.inner] < 0)  # places in block.words
             firsts = starts - np.arange(len(starts))
             bounds = np.searchsorted(missing, np.append(firsts, len(block.words))).tolist()
-            missing = [block.words[i] for i in missing.tolist()]
+            missing = block.words.take(pa.array(missing)).cast(pa.binary()).to_pylist()
             rare = [[{"word": w, "n": n} for w, n in Counter(missing[a:b]).items()] for a, b in zip(bounds, bounds[1:])]
-            uids = np.arange(uid, uid + len(rows))
-            uid += len(rows)
+            uids = np.arange(uid, uid + len(starts))
+            uid += len(starts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(uids), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
+                [pa.array(uids), *block.columns,
                  pa.array(sizes, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                  pa.array(np.add.reduceat(own, starts) - sizes * denominator), pa.array(np.add.reduceat(model, starts)),
                  pa.array(rare, item)],

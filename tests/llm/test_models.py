@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,6 +292,32 @@ def test_normalisers_hold_no_table_of_all_words():
         assert got[k] == pytest.approx(math.log(np.exp(p.q @ v + p.b).sum()), abs=1e-5)
 
 
+def test_words_of_blocks_equal_plain_splits(monkeypatch):
+    """Words, places and rows of whole columns; documents stay whole in their blocks."""
+    monkeypatch.setattr(lbl, "BLOCK_TOKENS", 50)
+    rnd = random.Random(8)
+    texts = [t or "" for t in ODD_TEXTS] + [words(rnd, n, "abcDÉ") + " " * (n % 2) for n in (0, 3, 49, 50, 51, 200, 7, 1)] + ["a\x00b\x1c c"]
+    class_n, class_v = np.zeros(256), np.zeros(256)
+    frequent = [(w, 9) for w in dict.fromkeys(w for t in texts[::2] for w in lbl.words_of(t))]
+    vocabulary = lbl.Vocabulary(frequent, 5, 100, 50, 9, class_n, class_v, own=20)
+    place = {w: i for i, (w, _) in enumerate(frequent)}
+    batches = [pa.RecordBatch.from_pydict({"doc_id": list(range(i, min(i + 4, len(texts)))), "text": texts[i:i + 4]}) for i in range(0, len(texts), 4)]
+    ids, sizes = [], []
+    for block in lbl._blocks(batches, vocabulary):
+        docs = block.columns[0].to_pylist()
+        split = [lbl.words_of(texts[i]) for i in docs]
+        tokens = [w for s in split for w in (*s, None)]
+        assert block.words.cast(pa.binary()).to_pylist() == [w for s in split for w in s]
+        assert block.at.tolist() == [place.get(w, -1) for w in tokens]
+        assert block.rows.tolist() == [0 if w is None else 257 + place[w] if place.get(w, 99) < 20 else 1 + w[-1] for w in tokens]
+        assert block.is_end.tolist() == [w is None for w in tokens]
+        assert block.starts.tolist() == [sum(len(s) + 1 for s in split[:k]) for k in range(len(split))]
+        ids += docs
+        sizes.append((len(tokens), len(split[-1]) + 1))
+    assert ids == list(range(len(texts))) and len(sizes) > 5
+    assert all(n >= 50 > n - last for n, last in sizes[:-1])
+
+
 def test_gradients_of_equal_ids_are_summed():
     rng = np.random.default_rng(6)
     for n, most in ((1, 1), (9, 1), (7, 100_000), (5000, 100_000), (5000, 800), (5000, 3)):
