@@ -1,8 +1,11 @@
 """Exact, near and substring dedup against brute force."""
 
+import glob
 import hashlib
 import random
 import re
+import tempfile
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shoplens.llm import deep_shallow, exact_dedup, simhash, suffix_dedup
-from shoplens.llm.tables import written
+from shoplens.llm.tables import CLEANUP, written
 from tests.llm.conftest import ODD_TEXTS, table, words
 
 
@@ -249,6 +252,24 @@ def test_whole_texts_held_twice(spark):
     assert got == [(0, few), (1, few), (2, ""), (3, ""), (4, ""), (5, "")]
 
 
+def test_no_shuffle_files_of_the_steps_stay(spark):
+    """The shuffle files of each written step go with it, whenever the driver collects garbage."""
+    def files():
+        return set(glob.glob(f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*/*/shuffle_*.data"))
+    df = table(spark, passages(6, 60))
+    df.groupBy("lang").count().collect()  # an ordinary query's files stay: they are seen here
+    seen = files()
+    assert seen
+    set_before = spark.conf.get(CLEANUP, None)
+    got = suffix_dedup.removed_repeats(df, 30, 8)
+    until = time.time() + 20  # they are deleted in the background
+    while (left := files() - seen) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(CLEANUP, None) == set_before
+    assert got.count() == df.count()
+
+
 def test_exact_groups_of_very_long_texts(spark):
     long = words(random.Random(14), 400_000)
     got = sorted((r.doc_id, r.keep_id) for r in exact_dedup.dedup(table(spark, [long + " a", long + "  a", long + " b"])).collect())
