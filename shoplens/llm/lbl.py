@@ -32,7 +32,6 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -52,12 +51,18 @@ NOISE = 32
 BATCH = 2048
 RATE = 0.05
 SEED = 7
-FLUSH_WORDS = 300_000
+# bytes of words that are counted at once
+COUNT_BYTES = 16 << 20
 BLOCK_TOKENS = 200_000
+# words looked up at once: each lookup indexes the vocabulary anew
+LOOKED_UP = 1_000_000
 # rows of a table that are averaged together
 PIECE = 256
 # contexts whose first level is summed up at once
 CACHED = 256
+# contexts of two of so many first rows may come from one table; what is kept of the others
+SQUARE = 3072
+KEPT = 1_000_000
 # what the squared gradients begin with
 START = np.float32(1e-8)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -148,16 +153,27 @@ def _sorted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered & ((1 << bits) - 1), ordered >> bits
 
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct ``codes``, the first place of each, the place of each code in them)."""
+    if not len(codes) or int(codes.max()).bit_length() + len(codes).bit_length() > 63:
+        return np.unique(codes, return_index=True, return_inverse=True)
+    order, ordered = _sorted(codes)
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    back = np.empty(len(codes), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], back
+
+
 def _summed(ids: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct ids, sums of their ``grads``)."""
     order, ordered = _sorted(ids)
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    edges = np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]).nonzero()[0]
+    first, size = edges[:-1], edges[1:] - edges[:-1]
     sums = _rows(grads, order[first])
-    size = np.diff(first, append=len(ids))
     for k in range(1, 4):  # most ids come only a few times; a segment costs more than some additions
-        more = np.flatnonzero(size > k)
+        more = (size > k).nonzero()[0]
         sums[more] += _rows(grads, order[first[more] + k])
-    more = np.flatnonzero(size > 4)
+    more = (size > 4).nonzero()[0]
     if len(more):
         rest = np.repeat(size > 4, size)
         rest[first] = rest[first + np.minimum(1, size - 1)] = False
@@ -167,6 +183,17 @@ def _summed(ids: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return ordered[first], sums
 
 
+def _levels(paths: np.ndarray, v: np.ndarray):
+    """(level, tokens whose path reaches it, their rows of ``v``) for the levels below the first."""
+    at = np.arange(len(paths))
+    for level in range(1, paths.shape[1]):
+        on = (paths[at, level] >= 0).nonzero()[0]
+        if len(on) < len(at):  # a path that ends goes no deeper
+            at, v = at[on], _rows(v, on)
+        if len(at):
+            yield level, at, v
+
+
 class Trainer:
     """Noise-contrastive estimation with Adagrad steps on the rows that a batch meets."""
 
@@ -195,9 +222,9 @@ class Trainer:
         """Masks of the rows of ``_tables`` that a step has moved."""
         return (self.squares[0][:, 0] > START, self.squares[1][:, -1] > START, np.ones(len(self.tables[2]), bool))
 
-    def _contrast(self, level: int, ids: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
-        """Step of one level's choices; ``v`` has a 1 behind each context's vector, for b.
-        Returns the gradient by ``v``."""
+    def _contrast(self, level: int, ids: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One level's choices against its noise; ``v`` has a 1 behind each context's vector, for
+        b. Returns the gradient by ``v``, the choices met and the gradient of each."""
         cumulative = self.cumulative[level]
         noise = self.tree.levels[level] + np.minimum(
             np.searchsorted(cumulative, self.rng.random(NOISE) * cumulative[-1]), len(cumulative) - 1)
@@ -216,10 +243,7 @@ class Trainer:
         grads = np.empty((len(ids) + NOISE, v.shape[1]), np.float32)
         np.multiply(v, g_true[:, None], out=grads[:len(ids)])
         np.matmul(g_false.T, v, out=grads[len(ids):])
-        rows, g = _summed(np.concatenate([ids, noise]), grads)
-        g /= np.float32(n)
-        self._move(1, rows, g)
-        return dv
+        return dv, np.concatenate([ids, noise]), grads
 
     def step(self, ids: np.ndarray, history: np.ndarray) -> None:
         n, (r, _, c) = len(ids), self.tables
@@ -230,11 +254,16 @@ class Trainer:
         for x, weight in zip(parts[1:], c[1:]):
             v[:, :-1] += x * weight
         paths = _rows(self.tree.paths, ids)
-        dv = self._contrast(0, paths[:, 0], v, n)
-        for level in range(1, paths.shape[1]):
-            at = np.flatnonzero(paths[:, level] >= 0)
-            if len(at):
-                dv[at] += self._contrast(level, paths[at, level], _rows(v, at), n)
+        dv, *met = self._contrast(0, paths[:, 0], v)
+        choices, moves = [met[0]], [met[1]]
+        for level, at, below in _levels(paths, v):
+            more, met, g = self._contrast(level, paths[at, level], below)
+            dv[at] += more
+            choices.append(met)
+            moves.append(g)
+        rows, g = _summed(np.concatenate(choices), np.concatenate(moves))  # no two levels share a choice
+        g /= np.float32(n)
+        self._move(1, rows, g)
         dv = dv[:, :-1]
         grads = np.empty((len(c), *dv.shape), np.float32)
         for weight, out in zip(c, grads):
@@ -262,16 +291,17 @@ class Scorer:
     """Normalised log-probabilities of the tokens of documents."""
 
     def __init__(self, p: Parameters, tree: Tree | None = None):
-        self.p, self.tree = p, tree or Tree.flat(len(p.b))
+        self.r, self.c, self.tree = p.r, p.c, tree or Tree.flat(len(p.b))
         self.qb = _tables(p)[1]
         self.codes, self.norms = np.zeros(0, np.int64), np.zeros(0)
+        self.square, self.in_square = None, 0
 
     def _vectors(self, history: np.ndarray) -> np.ndarray:
         """The contexts' vectors with a 1 behind each, for b."""
         out = np.ones((len(history), self.qb.shape[1]), np.float32)
-        np.multiply(_rows(self.p.r, history[:, 0]), self.p.c[0], out=out[:, :-1])
+        np.multiply(_rows(self.r, history[:, 0]), self.c[0], out=out[:, :-1])
         for i in range(1, history.shape[1]):
-            out[:, :-1] += _rows(self.p.r, history[:, i]) * self.p.c[i]
+            out[:, :-1] += _rows(self.r, history[:, i]) * self.c[i]
         return out
 
     def _log_norms(self, v: np.ndarray, bounds: list[tuple[int, int, int, int]]) -> np.ndarray:
@@ -294,26 +324,51 @@ class Scorer:
                     out[rows] = _log_sums(v[rows] @ self.qb[first:last].T)
         return out
 
-    def _normalisers(self, history: np.ndarray) -> np.ndarray:
-        """Log of the sum of the first level's exponentials after each context; as many
-        contexts at once as keep their scores in the cache."""
+    def _normalisers(self, history: np.ndarray, v: np.ndarray | None = None) -> np.ndarray:
+        """Log of the sum of the first level's exponentials after each context (``v``: their
+        vectors, if there); as many contexts at once as keep their scores in the cache."""
         n, roots = len(history), self.tree.levels[1]
-        return self._log_norms(self._vectors(history), [(at, min(n, at + CACHED), 0, roots) for at in range(0, n, CACHED)])
-
-    def _norms_of(self, codes: np.ndarray, history: np.ndarray) -> np.ndarray:
-        """``_normalisers``, kept for contexts (sorted ``codes``) that come again."""
-        if len(self.codes) > 1_500_000:
+        v = self._vectors(history) if v is None else v
+        return self._log_norms(v, [(at, min(n, at + CACHED), 0, roots) for at in range(0, n, CACHED)])
+
+    def _make_square(self) -> None:
+        """``_normalisers`` of all pairs of the first SQUARE rows: an exponential of a sum is a product
+        of exponentials, so all the sums are one matrix product. Left out where factors could vanish."""
+        roots, rows = self.qb[:self.tree.levels[1]], self.r[:SQUARE]
+        near = (rows * self.c[0]) @ roots[:, :-1].T + roots[:, -1]
+        far = (rows * self.c[1]) @ roots[:, :-1].T
+        if all(x.max() < 35 and x.min() > -35 for x in (near, far)):
+            square = np.exp(near, out=near) @ np.exp(far, out=far).T
+            self.square = np.log(square, out=square)
+
+    def _norms_of(self, codes: np.ndarray, history: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """``_normalisers`` of contexts (sorted ``codes``, vectors ``v``), kept for those that come
+        again. Those of frequent words come from a table once as many were met as it costs."""
+        out = np.empty(len(codes), np.float64)
+        inner = (history < SQUARE).all(axis=1) if history.shape[1] == 2 else np.zeros(len(codes), bool)
+        if self.square is not None:
+            out[inner] = self.square[history[inner, 0], history[inner, 1]]
+            rest = (~inner).nonzero()[0]
+            codes = codes[rest]
+        else:
+            rest = np.arange(len(codes))
+        if len(self.codes) > KEPT:
             self.codes, self.norms = self.codes[:0], self.norms[:0]
         at = np.searchsorted(self.codes, codes)
         known = np.zeros(len(codes), bool)
         inside = at < len(self.codes)
         known[inside] = self.codes[at[inside]] == codes[inside]
-        out = np.empty(len(codes), np.float64)
-        out[known] = self.norms[at[known]]
-        new = ~known
-        out[new] = self._normalisers(_rows(history, np.flatnonzero(new)))
+        out[rest[known]] = self.norms[at[known]]
+        new = (~known).nonzero()[0]
+        found = self._normalisers(_rows(history, rest[new]), _rows(v, rest[new]))
+        out[rest[new]] = found
         self.codes = np.insert(self.codes, at[new], codes[new])
-        self.norms = np.insert(self.norms, at[new], out[new])
+        self.norms = np.insert(self.norms, at[new], found)
+        if self.square is None:
+            before, self.in_square = self.in_square, self.in_square + int(inner[rest[new]].sum())
+            # a pair of the product costs about a fiftieth of a context by itself; tried once
+            if before <= min(SQUARE, len(self.r)) ** 2 // 50 < self.in_square:
+                self._make_square()
         return out
 
     def _below(self, choice: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -330,24 +385,24 @@ class Scorer:
 
     def log_probs(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         history = histories(ids, starts)
-        rows = len(self.p.r)
+        rows = len(self.r)
         code = history[:, 0].copy()
         for i in range(1, history.shape[1]):
             code = code * rows + history[:, i]
-        distinct, first, back = np.unique(code, return_index=True, return_inverse=True)
+        distinct, first, back = _distinct(code)
         history = _rows(history, first)
-        norms = self._norms_of(distinct, history)
         vectors = self._vectors(history)
+        norms = self._norms_of(distinct, history, vectors)
         paths = _rows(self.tree.paths, ids)
         out = np.empty(len(ids), np.float64)
         for at in range(0, len(ids), 1 << 14):
             part = slice(at, at + (1 << 14))
             out[part] = np.einsum("ij,ij->i", _rows(vectors, back[part]), _rows(self.qb, paths[part, 0]))
         out -= norms[back]
-        for level in range(1, paths.shape[1]):
-            at = np.flatnonzero(paths[:, level] >= 0)
-            if len(at):
-                out[at] += self._below(paths[at, level], _rows(vectors, back[at]))
+        if paths.shape[1] > 1:
+            reach = (paths[:, 1] >= 0).nonzero()[0]
+            for level, at, v in _levels(paths[reach], _rows(vectors, back[reach])):
+                out[reach[at]] += self._below(paths[reach[at], level], v)
         return out
 
 
@@ -428,19 +483,45 @@ class Tokens:
 
 
 def _count_words(batches):
-    counts: Counter = Counter()
+    held, size, ends = [], 0, 0
 
     def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                                          names=["word", "n"])
+        counts = pa.chunked_array(held, pa.string()).value_counts()
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array([END], pa.binary()), counts.field("values").cast(pa.binary())]),
+             pa.concat_arrays([pa.array([ends], pa.int64()), counts.field("counts")])], names=["word", "n"])
     for b in batches:
-        for t in b.column("text").to_pylist():
-            counts.update(words_of(t))
-            counts[END] += 1
-            if len(counts) > FLUSH_WORDS:
-                yield out()
-                counts.clear()
-    if counts:
+        words, _ = split_texts(b.column("text"))
+        held.append(words)
+        size += words.nbytes
+        ends += b.num_rows
+        if size > COUNT_BYTES:
+            yield out()
+            held, size, ends = [], 0, 0
+    if ends:
+        yield out()
+
+
+def _looked_up(batches, vocabulary: Vocabulary):
+    """(other columns, words, number of words of each document, places, rows) of batches of
+    documents, their texts in the last column; LOOKED_UP words or more at once."""
+    held, n = [], 0
+
+    def out():
+        columns = [pa.concat_arrays(list(c)) for c in zip(*(x[0] for x in held))]
+        words, sizes = pa.concat_arrays([x[1] for x in held]), np.concatenate([x[2] for x in held])
+        held.clear()
+        places = vocabulary.places(words)
+        return columns, words, sizes, places, vocabulary.model_rows(words, places)
+
+    for b in batches:
+        words, sizes = split_texts(b.columns[-1])
+        held.append((b.columns[:-1], words, sizes))
+        n += len(words)
+        if n >= LOOKED_UP:
+            yield out()
+            n = 0
+    if held:
         yield out()
 
 
@@ -449,19 +530,16 @@ def _blocks(batches, vocabulary: Vocabulary):
     held, size = [], 0
 
     def block():
-        columns = [pa.concat_arrays([x[0].column(i) for x in held]) for i in range(held[0][0].num_columns - 1)]
+        columns = [pa.concat_arrays(list(c)) for c in zip(*(x[0] for x in held))]
         return Tokens(columns, pa.concat_arrays([x[1] for x in held]), *(np.concatenate(x) for x in list(zip(*held))[2:]))
 
-    for b in batches:
-        words, sizes = split_texts(b.column(b.num_columns - 1))
-        places = vocabulary.places(words)
-        rows = vocabulary.model_rows(words, places)
+    for columns, words, sizes, places, rows in _looked_up(batches, vocabulary):
         ends, tokens = (np.concatenate([[0], np.cumsum(x)]) for x in (sizes, sizes + 1))
         at = 0
         while at < len(sizes):
             to = min(len(sizes), int(np.searchsorted(tokens, tokens[at] + BLOCK_TOKENS - size)))
             a, z = int(ends[at]), int(ends[to])
-            held.append((b.slice(at, to - at), words.slice(a, z - a), sizes[at:to], places[a:z], rows[a:z]))
+            held.append(([c.slice(at, to - at) for c in columns], words.slice(a, z - a), sizes[at:to], places[a:z], rows[a:z]))
             size += tokens[to] - tokens[at]
             at = to
             if size >= BLOCK_TOKENS:
@@ -471,6 +549,17 @@ def _blocks(batches, vocabulary: Vocabulary):
         yield block()
 
 
+def _counted(words: pa.Array, docs: np.ndarray, n: int) -> pa.ListArray:
+    """For each of ``n`` documents its distinct words with their counts; ``docs``: each word's."""
+    found = words.cast(pa.binary()).dictionary_encode()
+    kinds = max(1, len(found.dictionary))
+    codes, _, back = _distinct(docs * kinds + found.indices.to_numpy())
+    return pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(codes, np.arange(n + 1) * kinds), pa.int32()),
+        pa.StructArray.from_arrays([found.dictionary.take(pa.array(codes % kinds)), pa.array(np.bincount(back, minlength=len(codes)))],
+                                   names=["word", "n"]))
+
+
 _WORKER: dict = {}
 
 
@@ -571,7 +660,6 @@ def _score(shared: Shared):
         uid = TaskContext.get().partitionId() << 40
         denominator = np.log10(vocabulary.n + 0.1 * (vocabulary.v + 1))
         log_count = np.log10(vocabulary.counts + 0.1)
-        item = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for block in _blocks(batches, vocabulary):
             at, ids, is_end, starts = block.at, block.rows, block.is_end, block.starts
             sizes = np.diff(np.append(starts, len(ids)))
@@ -585,17 +673,15 @@ def _score(shared: Shared):
             model[in_class] += own[in_class] - vocabulary.log_class[ids[in_class] - 1]
             known = found | (is_end & (vocabulary.ends > 0))
             missing = np.flatnonzero(at[block.inner] < 0)  # places in block.words
-            firsts = starts - np.arange(len(starts))
-            bounds = np.searchsorted(missing, np.append(firsts, len(block.words))).tolist()
-            missing = block.words.take(pa.array(missing)).cast(pa.binary()).to_pylist()
-            rare = [[{"word": w, "n": n} for w, n in Counter(missing[a:b]).items()] for a, b in zip(bounds, bounds[1:])]
+            docs = np.searchsorted(starts - np.arange(len(starts)), missing, side="right") - 1
+            rare = _counted(block.words.take(pa.array(missing)), docs, len(starts))
             uids = np.arange(uid, uid + len(starts))
             uid += len(starts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(uids), *block.columns,
                  pa.array(sizes, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                  pa.array(np.add.reduceat(own, starts) - sizes * denominator), pa.array(np.add.reduceat(model, starts)),
-                 pa.array(rare, item)],
+                 rare],
                 names=["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
     return run
 

@@ -292,6 +292,92 @@ def test_normalisers_hold_no_table_of_all_words():
         assert got[k] == pytest.approx(math.log(np.exp(p.q @ v + p.b).sum()), abs=1e-5)
 
 
+@pytest.mark.parametrize("spread", [0.5, 12.0])
+def test_sums_of_frequent_pairs_come_from_one_table(monkeypatch, spread):
+    """After some contexts all other pairs of the first SQUARE rows cost no sum of their own;
+    with ``spread`` 12 the table's factors would vanish, so it is not made."""
+    monkeypatch.setattr(lbl, "SQUARE", 40)
+    rng = np.random.default_rng(9)
+    rows, roots = 60, 30
+    p = lbl.Parameters.initial(np.full(roots, 1 / roots), context_rows=rows)
+    for x in (p.r, p.q, p.c, p.b):
+        x[:] = rng.normal(0, spread if x is p.b else spread ** 0.5, x.shape)
+    scorer = lbl.Scorer(p, lbl.Tree(np.zeros((rows, 1), np.int64), [0, roots], np.zeros(roots, np.int64), np.full(roots, roots)))
+    alone, plain = [], scorer._normalisers
+    monkeypatch.setattr(scorer, "_normalisers", lambda h, v=None: alone.append(len(h)) or plain(h, v))
+    pairs = np.array([(a, b) for a in range(rows) for b in range(rows)])
+    first = (pairs < 8).all(axis=1)
+    for part in (pairs[first], pairs[~first]):
+        got = scorer._norms_of(part[:, 0] * rows + part[:, 1], part, scorer._vectors(part))
+        for k in range(0, len(part), 37):
+            s = p.q.astype(float) @ sum(p.c[i].astype(float) * p.r[h] for i, h in enumerate(part[k])) + p.b
+            assert got[k] == pytest.approx(s.max() + math.log(np.exp(s - s.max()).sum()), rel=1e-5, abs=1e-4)
+    assert alone == [64, 3600 - 1600 if spread < 1 else 3600 - 64]
+
+
+def test_distinct_contexts():
+    rng = np.random.default_rng(10)
+    for codes in (rng.integers(0, 50, 300), rng.integers(0, 1 << 62, 300).repeat(2), np.zeros(0, np.int64)):
+        for got, exp in zip(lbl._distinct(codes), np.unique(codes, return_index=True, return_inverse=True)):
+            assert got.tolist() == exp.tolist()
+
+
+def test_a_step_sums_the_gradients_of_each_table_once(monkeypatch):
+    frequent = [(b"w%d%s" % (i, b"abc"[i % 3:i % 3 + 1]), 900 - i) for i in range(60)]
+    class_n, class_v = np.zeros(256), np.zeros(256)
+    vocabulary = lbl.Vocabulary(frequent, 20, 40_000, 600, 100, class_n, class_v, own=50)
+    trainer = lbl.Trainer(vocabulary.initial(), vocabulary.unigram, 1, vocabulary.tree)
+    calls, plain = [], lbl._summed
+    monkeypatch.setattr(lbl, "_summed", lambda ids, grads: calls.append(ids) or plain(ids, grads))
+    ids = np.resize([257 + 30, 257 + 1, 257 + 41, 0], 400)
+    before = trainer.tables[1].copy()
+    trainer.run(ids, np.arange(0, 400, 4))
+    assert len(calls) == 2
+    moved = np.flatnonzero((trainer.tables[1] != before).any(axis=1))
+    assert moved.tolist() == sorted(set(calls[0].tolist()))  # choices of all levels
+    assert {int(x) for x in vocabulary.tree.paths[[287, 258, 298, 0]].ravel() if x >= 0} <= set(moved.tolist())
+
+
+@pytest.mark.parametrize("most", [1, 200, 1 << 20])
+def test_word_counts_equal_plain_counting(monkeypatch, most):
+    """Whole columns are counted, and given out once they reach COUNT_BYTES."""
+    monkeypatch.setattr(lbl, "COUNT_BYTES", most)
+    rnd = random.Random(14)
+    texts = [t or "" for t in ODD_TEXTS] + [words(rnd, n, "abÉ") for n in (0, 70, 3)]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i:i + 4]}) for i in range(0, len(texts), 4)]
+    got, rows = Counter(), list(lbl._count_words(iter(batches)))
+    for b in rows:
+        got.update(dict(zip(b.column("word").to_pylist(), b.column("n").to_pylist())))
+    exp = Counter(w for t in texts for w in lbl.words_of(t))
+    exp[lbl.END] = len(texts)
+    assert got == exp and (len(rows) == 1) == (most > 200)
+    assert not list(lbl._count_words(iter([])))
+
+
+def test_rare_words_of_each_document_are_counted():
+    """Documents without words at any place, words of several documents, a word more than once."""
+    docs = [[], [b"x", b"y", b"x"], [], [], [b"y"], ["é".encode(), b"\x00", b"x", b"x", b"x"], []]
+    words = pa.array([w.decode() for d in docs for w in d], pa.string())
+    got = lbl._counted(words, np.repeat(np.arange(len(docs)), [len(d) for d in docs]), len(docs)).to_pylist()
+    assert [{r["word"]: r["n"] for r in d} for d in got] == [Counter(d) for d in docs]
+    assert lbl._counted(words.slice(0, 0), np.zeros(0, np.int64), 2).to_pylist() == [[], []]
+
+
+def test_words_of_many_batches_are_looked_up_at_once(monkeypatch):
+    class_n, class_v = np.zeros(256), np.zeros(256)
+    vocabulary = lbl.Vocabulary([(b"a", 9)], 5, 100, 50, 9, class_n, class_v, own=1)
+    calls, plain = [], vocabulary.places
+    monkeypatch.setattr(vocabulary, "places", lambda w: calls.append(len(w)) or plain(w))
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": ["a b " * 10]}) for i in range(50)]
+    whole = list(lbl._blocks(iter(batches), vocabulary))
+    assert calls == [1000]
+    monkeypatch.setattr(lbl, "LOOKED_UP", 100)
+    parts = list(lbl._blocks(iter(batches), vocabulary))
+    assert calls[1:] == [100] * 10
+    assert [b.rows.tolist() for b in whole] == [b.rows.tolist() for b in parts] and len(whole) == 1
+    assert [b.columns[0].to_pylist() for b in parts] == [list(range(50))]
+
+
 def test_words_of_blocks_equal_plain_splits(monkeypatch):
     """Words, places and rows of whole columns; documents stay whole in their blocks."""
     monkeypatch.setattr(lbl, "BLOCK_TOKENS", 50)
